@@ -50,13 +50,12 @@ def separable_points(keys: DataFrame, key: str, weights: Sequence[float]) -> Dat
     return points.withColumn("label", F.when(dot <= 0, -1).otherwise(1))
 
 
-def binary_subset(
-    frame: DataFrame, key: str, features: Sequence[str], label: str, *, below: int | Column
-) -> DataFrame:
-    """The rows with ``key < below``, the named features, and the label with 0 turned to -1."""
-    return frame.filter(F.col(quoted(key)) < below).select(
+def binary_subset(frame: DataFrame, features: Sequence[str], label: str, negative, positive) -> DataFrame:
+    """The rows of two classes with the named features; the label becomes -1 and +1."""
+    value = F.col(quoted(label))
+    return frame.filter(value.isin(negative, positive)).select(
         *[F.col(quoted(f)) for f in features],
-        F.when(F.col(quoted(label)) == 0, -1).otherwise(F.col(quoted(label))).alias("label"),
+        F.when(value == F.lit(negative), -1).otherwise(1).alias("label"),
     )
 
 

@@ -194,3 +194,16 @@ def boosted_trees(rows: str, features: Sequence[str], rounds: int, depth: int) -
             f"g{k} AS (SELECT * EXCLUDE (f, r, fit), f + (SELECT p FROM step{k})::DOUBLE * fit AS f, fit FROM fit{k})"
         )
     return ctes, f"g{rounds}"
+
+
+def route(prefix: str, name: str, rows: str, features: Sequence[str], depth: int) -> list[str]:
+    """CTEs that send other rows down a grown tree; ``<name>_<depth>`` has their nodes."""
+    ctes = [f"{name}_0 AS (SELECT 1::BIGINT AS node, * FROM {rows})"]
+    value = "CASE b.feature " + " ".join(f"WHEN {i} THEN r.{f}" for i, f in enumerate(features)) + " END"
+    for level in range(depth):
+        ctes.append(
+            f"""{name}_{level + 1} AS (SELECT CASE WHEN b.node IS NULL THEN r.node WHEN {value} <= b.t THEN 2 * r.node
+                ELSE 2 * r.node + 1 END AS node, r.* EXCLUDE (node)
+                FROM {name}_{level} r LEFT JOIN {prefix}_best{level} b ON r.node = b.node)"""
+        )
+    return ctes

@@ -135,16 +135,25 @@ GINI = f"((nl * {GINI_LOW} + nh * {GINI_HIGH}) / (nl + nh))"
 LOSS = "(ql - zl * zl / nl + qh - zh * zh / nh)"
 
 
+def numeric_lines(spark, folder, features=tuple(LINE_FEATURES)):
+    """The melted features of lineitem with label and target, and their layout."""
+    rows = lines(spark, folder).select(*features, "y", "z")
+    layout = ordered.lay_out(rows, features)
+    return criteria.melt_numeric(ordered.add_slices(rows, layout), features, ["y", "z"], layout), layout
+
+
 def class_histogram(spark, folder):
-    rows = criteria.melt_numeric(lines(spark, folder), LINE_FEATURES, ["y"])
-    return rows.groupBy("feature", "x").agg(*criteria.class_measures(F.col("y"), [0, 1], F.lit(1.0)))
+    rows, layout = numeric_lines(spark, folder)
+    counts = criteria.class_measures(F.col("y"), [0, 1], F.lit(1.0))
+    return rows.groupBy(*criteria.value_keys([], layout)).agg(*counts), layout
 
 
 def target_histogram(spark, folder, features=tuple(LINE_FEATURES)):
-    rows = criteria.melt_numeric(lines(spark, folder), list(features), ["z"])
-    return rows.groupBy("feature", "x").agg(
+    rows, layout = numeric_lines(spark, folder, features)
+    sums = rows.groupBy(*criteria.value_keys([], layout)).agg(
         F.count(F.lit(1)).cast("double").alias("n"), F.sum("z").alias("s"), F.sum(F.expr("z * z")).alias("q")
     )
+    return sums, layout
 
 
 @query(
@@ -154,7 +163,8 @@ def target_histogram(spark, folder, features=tuple(LINE_FEATURES)):
           (nh - sh)::BIGINT AS c0_high, sh::BIGINT AS c1_high FROM side""",
 )
 def threshold_counts(spark, folder):
-    totals = criteria.threshold_totals(class_histogram(spark, folder), [], ["c0", "c1"], digits=4)
+    histogram, layout = class_histogram(spark, folder)
+    totals = criteria.threshold_totals(histogram, [], ["c0", "c1"], digits=4, layout=layout)
     return totals.select(
         "feature", "threshold", *[F.col(c).cast("long").alias(c) for c in ("c0_low", "c1_low", "c0_high", "c1_high")]
     )
@@ -167,7 +177,8 @@ def threshold_counts(spark, folder):
            round_even({LOSS}, 2) + 0.0 AS loss FROM side""",
 )
 def threshold_sse(spark, folder):
-    return criteria.loss_candidates(target_histogram(spark, folder), []).select(
+    histogram, layout = target_histogram(spark, folder)
+    return criteria.loss_candidates(histogram, [], layout=layout).select(
         "feature",
         "threshold",
         r6(F.col("s_low") / F.col("n_low")).alias("mean_low"),
@@ -178,7 +189,8 @@ def threshold_sse(spark, folder):
 
 @query("threshold_gini", SPLITS + f" SELECT feature, t AS threshold, round_even({GINI}, 8) + 0.0 AS gini FROM side")
 def threshold_gini(spark, folder):
-    return criteria.gini_candidates(class_histogram(spark, folder), [], 2).select(
+    histogram, layout = class_histogram(spark, folder)
+    return criteria.gini_candidates(histogram, [], 2, layout=layout).select(
         "feature", "threshold", r6(F.col("gini"), 8).alias("gini")
     )
 
@@ -204,7 +216,8 @@ def gini(spark, folder):
            ORDER BY round_even({GINI}, 12), feature, t LIMIT 1""",
 )
 def best_split_gini(spark, folder):
-    table = criteria.gini_candidates(class_histogram(spark, folder), [], 2)
+    histogram, layout = class_histogram(spark, folder)
+    table = criteria.gini_candidates(histogram, [], 2, layout=layout)
     best = criteria.best_per_node(
         table, [], ["feature", "threshold", "gini"], [F.col("gini"), F.col("feature"), F.col("threshold")]
     )
@@ -218,7 +231,8 @@ def best_split_gini(spark, folder):
            ORDER BY round_even({LOSS}, 2), feature DESC, t LIMIT 1""",
 )
 def best_split_sse(spark, folder):
-    table = criteria.loss_candidates(target_histogram(spark, folder), [])
+    histogram, layout = target_histogram(spark, folder)
+    table = criteria.loss_candidates(histogram, [], layout=layout)
     best = criteria.best_per_node(
         table, [], ["feature", "threshold", "loss"], [F.col("share"), -F.col("feature"), F.col("threshold")]
     )
@@ -238,10 +252,8 @@ def best_split_sse(spark, folder):
         ORDER BY {LOSS}, t LIMIT 1""",
 )
 def best_split_wide(spark, folder):
-    rows = lines(spark, folder).select("l_extendedprice", "z")
-    profile = ordered.profile_columns(rows, ["l_extendedprice"])
-    histogram = target_histogram(spark, folder, ("l_extendedprice",))
-    table = criteria.loss_candidates(histogram, [], boundaries=[profile.boundaries["l_extendedprice"]])
+    histogram, layout = target_histogram(spark, folder, ("l_extendedprice",))
+    table = criteria.loss_candidates(histogram, [], layout=layout)
     best = criteria.best_per_node(
         table, [], ["threshold", "n_low", "n_high", "loss"], [F.col("share"), F.col("threshold")]
     )
@@ -270,12 +282,12 @@ STUMPS = f"""WITH l AS ({NUMERIC_LONG}),
           ORDER BY e, feature, t, polarity DESC LIMIT 1""",
 )
 def stump_best(spark, folder):
-    rows = criteria.melt_numeric(lines(spark, folder), LINE_FEATURES, ["y"])
-    histogram = rows.groupBy("feature", "x").agg(
+    rows, layout = numeric_lines(spark, folder)
+    histogram = rows.groupBy(*criteria.value_keys([], layout)).agg(
         F.sum(F.expr("IF(y = 1, 1D, 0D)")).alias("wp"), F.sum(F.expr("IF(y = 1, 0D, 1D)")).alias("wn")
     )
     best = criteria.best_per_node(
-        criteria.stump_candidates(histogram, []),
+        criteria.stump_candidates(histogram, [], layout=layout),
         [],
         ["feature", "threshold", "polarity", "error"],
         [F.col("error"), F.col("feature"), F.col("threshold"), -F.col("polarity")],

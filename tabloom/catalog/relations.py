@@ -188,11 +188,12 @@ def fold_average(spark, folder):
 )
 def candidate_points(spark, folder):
     rows = table(spark, folder, "lineitem").select("l_quantity", "l_extendedprice")
-    profile = ordered.profile_columns(rows, rows.columns)
-    boundaries = [profile.boundaries[c] for c in rows.columns]
-    values = criteria.melt_numeric(rows, rows.columns, []).distinct()
-    values = values.withColumn("slice", ordered.slice_by_feature(F.col("feature"), F.col("x"), boundaries))
-    paired = ordered.next_value(values, ["feature"], "x", "x_next", slice_column="slice")
+    layout = ordered.lay_out(rows, rows.columns)
+    values = criteria.melt_numeric(ordered.add_slices(rows, layout), rows.columns, [], layout)
+    histogram = values.groupBy(*criteria.value_keys([], layout)).agg(F.count(F.lit(1)).alias("n"))
+    paired = ordered.running_totals(
+        histogram, ["feature"], ["x"], ["n"], slice_column=layout.slice_column, following="x_next"
+    )
     return paired.filter("x_next IS NOT NULL").select(
         "feature", r6((F.col("x") + F.col("x_next")) / 2, 4).alias("threshold")
     )

@@ -12,18 +12,30 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.functions import entropy_term, half_even, quoted
-from tabloom.operators.ordered import next_value, running_totals, slice_by_feature
+from tabloom.operators.ordered import Layout, running_totals, slice_by_feature
 
 
-def melt_numeric(frame: DataFrame, features: Sequence[str], carry: Sequence[str | Column]) -> DataFrame:
-    """One row per (row, feature): the feature's position and its value; nulls left out."""
-    pairs = [
-        F.struct(F.lit(i).alias("feature"), F.col(quoted(name)).cast("double").alias("x"))
-        for i, name in enumerate(features)
-    ]
+def melt_numeric(
+    frame: DataFrame, features: Sequence[str], carry: Sequence[str | Column], layout: Layout | None = None
+) -> DataFrame:
+    """One row per (row, feature): the feature's position and its value; nulls left out.
+
+    With a sliced layout (and a table that went through ``add_slices``) also the slice.
+    """
+    pairs = []
+    for i, name in enumerate(features):
+        parts = [F.lit(i).alias("feature"), F.col(quoted(name)).cast("double").alias("x")]
+        if layout is not None and layout.sliced:
+            parts.append(layout.slice_of(i).alias("slice"))
+        pairs.append(F.struct(*parts))
     return frame.select(*carry, F.inline(F.array(*pairs))).filter(F.col("x").isNotNull())
 
 
+def value_keys(keys: Sequence[str], layout: Layout | None = None) -> list[str]:
+    """Grouping columns of a value histogram."""
+    return [*keys, "feature", *(["slice"] if layout is not None and layout.sliced else []), "x"]
+
+
 def melt_text(frame: DataFrame, features: Sequence[str], carry: Sequence[str | Column]) -> DataFrame:
     """As ``melt_numeric`` for categorical features, the value as text."""
     pairs = [
@@ -47,23 +59,55 @@ def threshold_totals(
     measures: Sequence[str],
     *,
     digits: int,
-    boundaries: Sequence[Sequence[float]] = (),
+    layout: Layout,
     strict: bool = False,
 ) -> DataFrame:
     """Totals on either side of every candidate threshold.
 
-    Candidates are midpoints of adjacent distinct values, rounded half even.  A rounded
-    midpoint can leave its interval, so values and thresholds are put in one order and
-    the totals are taken at the threshold's own place.  The low side holds ``x <= t``,
-    or ``x < t`` when ``strict``.
+    Candidates are midpoints of adjacent distinct values, rounded half even.  The low
+    side holds ``x <= t``, or ``x < t`` when ``strict``.  On coarse columns a rounded
+    midpoint stays between its two values, so the running total at the lower one is the
+    low side; otherwise ``mixed_totals`` looks up the threshold's own place.
     """
+    if not layout.coarse:
+        return mixed_totals(histogram, keys, measures, digits=digits, layout=layout, strict=strict)
     groups = [*keys, "feature"]
-    sliced = any(len(points) for points in boundaries)
-    slice_column = "slice" if sliced else None
-    if sliced:
-        histogram = histogram.withColumn("slice", slice_by_feature(F.col("feature"), F.col("x"), boundaries))
-    paired = next_value(histogram, groups, "x", "x_next", slice_column=slice_column)
-    threshold = half_even((F.col("x") + F.col("x_next")) / 2, digits)
+    running = running_totals(
+        histogram, groups, ["x"], measures, slice_column=layout.slice_column, following="x_next"
+    ).filter("x_next IS NOT NULL")
+    return running.select(*groups, candidate(layout, digits).alias("threshold"), *side_totals(measures))
+
+
+def candidate(layout: Layout, digits: int) -> Column:
+    """The rounded midpoint to the next value; a boundary of a snapped column is a cut as it is."""
+    middle = half_even((F.col("x") + F.col("x_next")) / 2, digits)
+    if not layout.snapped:
+        return middle
+    snapped = F.col("feature").isin(list(layout.snapped)) & F.col("x_next").isNotNull()
+    return F.when(snapped, F.col("x")).otherwise(middle)
+
+
+def side_totals(measures: Sequence[str]) -> list[Column]:
+    low = [F.col(f"{m}_upto").alias(f"{m}_low") for m in measures]
+    return low + [F.expr(f"{m}_all - {m}_upto").alias(f"{m}_high") for m in measures]
+
+
+def mixed_totals(
+    histogram: DataFrame,
+    keys: Sequence[str],
+    measures: Sequence[str],
+    *,
+    digits: int,
+    layout: Layout,
+    strict: bool = False,
+) -> DataFrame:
+    """As ``threshold_totals`` where a rounded midpoint may leave its interval: values and
+    thresholds are put in one order and the totals are taken at the threshold's place."""
+    groups = [*keys, "feature"]
+    paired = running_totals(
+        histogram, groups, ["x"], measures[:1], slice_column=layout.slice_column, following="x_next"
+    )
+    threshold = candidate(layout, digits)
     value_rank, threshold_rank = (1, 0) if strict else (0, 1)
     points = paired.select(
         *groups,
@@ -80,17 +124,12 @@ def threshold_totals(
             )
         ),
     ).filter(F.col("at").isNotNull())
-    if sliced:
-        points = points.withColumn("slice", slice_by_feature(F.col("feature"), F.col("at"), boundaries))
+    if layout.sliced:
+        points = points.withColumn("slice", slice_by_feature(F.col("feature"), F.col("at"), layout.boundaries))
     return (
-        running_totals(points, groups, ["at", "rank"], measures, slice_column=slice_column)
+        running_totals(points, groups, ["at", "rank"], measures, slice_column=layout.slice_column)
         .filter(F.col("rank") == threshold_rank)
-        .select(
-            *groups,
-            F.col("at").alias("threshold"),
-            *[F.col(f"{m}_upto").alias(f"{m}_low") for m in measures],
-            *[(F.col(f"{m}_all") - F.col(f"{m}_upto")).alias(f"{m}_high") for m in measures],
-        )
+        .select(*groups, F.col("at").alias("threshold"), *side_totals(measures))
     )
 
 
@@ -129,23 +168,23 @@ def squared_loss(n: Column, total: Column, squares: Column) -> Column:
 
 
 def gini_candidates(
-    histogram: DataFrame, keys: Sequence[str], classes: int, *, digits: int = 4, boundaries=()
+    histogram: DataFrame, keys: Sequence[str], classes: int, *, layout: Layout, digits: int = 4
 ) -> DataFrame:
     """Per (keys, feature, threshold): class weights of both sides and the weighted gini."""
     measures = [f"c{k}" for k in range(classes)]
-    table = threshold_totals(histogram, keys, measures, digits=digits, boundaries=boundaries)
+    table = threshold_totals(histogram, keys, measures, digits=digits, layout=layout)
     n_low = added([f"{m}_low" for m in measures])
     n_high = added([f"{m}_high" for m in measures])
     return both_sides(table, n_low, n_high).withColumn("gini", half_even(weighted_gini(classes), 12))
 
 
-def loss_candidates(histogram: DataFrame, keys: Sequence[str], *, digits: int = 4, boundaries=()) -> DataFrame:
+def loss_candidates(histogram: DataFrame, keys: Sequence[str], *, layout: Layout, digits: int = 4) -> DataFrame:
     """Per (keys, feature, threshold): means and squared loss of both sides.
 
     The histogram carries ``n``, ``s`` (sum) and ``q`` (sum of squares).  ``share`` is
     the loss as a part of the unsplit loss, rounded so that equal partitions tie.
     """
-    table = threshold_totals(histogram, keys, ["n", "s", "q"], digits=digits, boundaries=boundaries)
+    table = threshold_totals(histogram, keys, ["n", "s", "q"], digits=digits, layout=layout)
     table = both_sides(table, F.col("n_low"), F.col("n_high"))
     low = squared_loss(F.col("n_low"), F.col("s_low"), F.col("q_low"))
     high = squared_loss(F.col("n_high"), F.col("s_high"), F.col("q_high"))
@@ -160,13 +199,13 @@ def loss_candidates(histogram: DataFrame, keys: Sequence[str], *, digits: int =
     )
 
 
-def stump_candidates(histogram: DataFrame, keys: Sequence[str], *, digits: int = 8, boundaries=()) -> DataFrame:
+def stump_candidates(histogram: DataFrame, keys: Sequence[str], *, layout: Layout, digits: int = 8) -> DataFrame:
     """Weighted error of ``x >= t -> polarity`` for both polarities of every threshold.
 
     The histogram carries ``wp`` and ``wn``, the weights of the +1 and -1 rows.
     """
     table = threshold_totals(
-        histogram, keys, ["wp", "wn"], digits=digits, boundaries=boundaries, strict=True
+        histogram, keys, ["wp", "wn"], digits=digits, layout=layout, strict=True
     )
     total = F.col("wp_low") + F.col("wp_high") + F.col("wn_low") + F.col("wn_high")
     error = (F.col("wn_high") + F.col("wp_low")) / total

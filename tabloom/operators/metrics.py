@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tabloom.functions import quoted
-from tabloom.operators.ordered import profile_columns, running_totals, slice_of
+from tabloom.operators.ordered import add_slices, lay_out, running_totals
 
 
 def auc(frame: DataFrame, label: str, score: str) -> DataFrame:
@@ -17,12 +17,12 @@ def auc(frame: DataFrame, label: str, score: str) -> DataFrame:
     total over slices of the score range, so continuous scores do not meet in one task.
     """
     rows = frame.select(F.col(quoted(label)).alias("y"), F.col(quoted(score)).cast("double").alias("s")).dropna()
-    boundaries = profile_columns(rows, ["s"]).boundaries["s"]
-    histogram = rows.groupBy("s").agg(
+    layout = lay_out(rows, ["s"])
+    rows = add_slices(rows, layout).withColumn("slice", layout.slice_of(0))
+    histogram = rows.groupBy("slice", "s").agg(
         F.sum(F.when(F.col("y") > 0, 1).otherwise(0)).alias("pos"),
         F.sum(F.when(F.col("y") > 0, 0).otherwise(1)).alias("neg"),
     )
-    histogram = histogram.withColumn("slice", slice_of(F.col("s"), boundaries))
     ranked = running_totals(histogram, [], ["s"], ["neg"], slice_column="slice")
     return ranked.agg(
         F.sum(F.col("pos").cast("double") * (F.col("neg_upto") - F.col("neg") / 2)).alias("pairs"),

@@ -10,59 +10,116 @@ fixed before the job starts, so a retried task always sees the same slices.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+import math
+from collections.abc import Sequence
+from dataclasses import dataclass
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabloom.functions import quoted
 
 SLICES = 128
 SMALL_DOMAIN = 20_000
+INFINITY = float("inf")
 
 
 @dataclass(frozen=True)
-class ColumnProfile:
-    """Row count, and per column its distinct count (estimated) and slice boundaries."""
+class Layout:
+    """How a set of columns is worked on: size, estimated distinct counts, slices.
 
+    ``three_decimals`` says per column that no value has more.  Then neighbours are 0.001
+    apart or more, and a midpoint rounded to four decimals or finer stays strictly between
+    them.  ``snapped`` columns hold slice boundaries instead of their own values.
+    """
+
+    columns: tuple[str, ...]
     rows: int
-    distinct: Mapping[str, int]
-    boundaries: Mapping[str, tuple[float, ...]] = field(default_factory=dict)
+    distinct: tuple[int, ...]
+    boundaries: tuple[tuple[float, ...], ...]
+    three_decimals: tuple[bool, ...]
+    snapped: tuple[int, ...] = ()
+
+    @property
+    def coarse(self) -> bool:
+        """Every candidate threshold lies between the two values it comes from."""
+        return all(fine or i in self.snapped for i, fine in enumerate(self.three_decimals))
+
+    @property
+    def sliced(self) -> bool:
+        return any(self.boundaries)
+
+    @property
+    def slice_column(self) -> str | None:
+        return "slice" if self.sliced else None
 
     @property
     def combinations(self) -> float:
-        """Upper estimate of the distinct feature vectors."""
+        """Upper estimate of the distinct rows over the columns."""
         product = 1.0
-        for count in self.distinct.values():
+        for count in self.distinct:
             product *= max(count, 1)
         return product
 
+    def slice_of(self, position: int) -> Column:
+        """The slice of a column's value in a table that went through ``add_slices``."""
+        return F.col(f"slice_{position}") if self.boundaries[position] else F.lit(0)
 
-def profile_columns(
-    frame: DataFrame,
-    columns: Sequence[str],
-    *,
-    slices: int = SLICES,
-    small_domain: int = SMALL_DOMAIN,
-) -> ColumnProfile:
-    """One pass: how many distinct values each column has and where its quantiles lie."""
-    steps = [i / slices for i in range(1, slices)]
+    def slice_names(self) -> list[str]:
+        return [f"slice_{i}" for i, points in enumerate(self.boundaries) if points]
+
+
+def lay_out(
+    frame: DataFrame, columns: Sequence[str], *, slices: int = SLICES, small_domain: int = SMALL_DOMAIN
+) -> Layout:
+    """One pass for sizes; a second, over the wide columns alone, for their quantiles."""
     aggregates = [F.count(F.lit(1)).alias("rows")]
     for i, name in enumerate(columns):
-        value = F.col(quoted(name))
-        aggregates.append(F.approx_count_distinct(value).alias(f"d{i}"))
-        aggregates.append(F.percentile_approx(value.cast("double"), steps, 10_000).alias(f"q{i}"))
+        scaled = f"CAST({quoted(name)} AS DOUBLE) * 1000D"
+        aggregates.append(F.approx_count_distinct(quoted(name)).alias(f"d{i}"))
+        aggregates.append(F.expr(f"max(abs({scaled} - rint({scaled})))").alias(f"g{i}"))
     row = frame.agg(*aggregates).first()
-    distinct = {name: int(row[f"d{i}"]) for i, name in enumerate(columns)}
-    boundaries = {
-        name: tuple(sorted(set(row[f"q{i}"] or []))) if distinct[name] > small_domain else ()
-        for i, name in enumerate(columns)
-    }
-    return ColumnProfile(rows=int(row["rows"]), distinct=distinct, boundaries=boundaries)
+    distinct = tuple(int(row[f"d{i}"]) for i in range(len(columns)))
+    boundaries: list[tuple[float, ...]] = [()] * len(columns)
+    wide = [i for i, count in enumerate(distinct) if count > small_domain]
+    if wide:
+        steps = [i / slices for i in range(1, slices)]
+        cuts = frame.agg(
+            *[
+                F.percentile_approx(F.col(quoted(columns[i])).cast("double"), steps, 10_000).alias(f"q{i}")
+                for i in wide
+            ]
+        ).first()
+        for i in wide:
+            boundaries[i] = tuple(sorted(set(cuts[f"q{i}"])))
+    three_decimals = tuple((row[f"g{i}"] or 0.0) <= 1e-5 for i in range(len(columns)))
+    return Layout(tuple(columns), int(row["rows"]), distinct, tuple(boundaries), three_decimals)
+
+
+def add_slices(frame: DataFrame, layout: Layout) -> DataFrame:
+    """Add ``slice_<i>`` for every wide column: how many boundaries are below the value.
+
+    ``Bucketizer`` puts a boundary into the upper slice; its splits are the next larger
+    doubles, so here the boundary closes the lower one.
+    """
+    wide = [i for i, points in enumerate(layout.boundaries) if points]
+    if not wide:
+        return frame
+    names = [f"slice_{i}" for i in wide]
+    cutter = Bucketizer(
+        inputCols=[layout.columns[i] for i in wide],
+        outputCols=names,
+        splitsArray=[
+            [-INFINITY, *[math.nextafter(b, INFINITY) for b in layout.boundaries[i]], INFINITY] for i in wide
+        ],
+        handleInvalid="keep",
+    )
+    return cutter.transform(frame).withColumns({n: F.col(n).cast("int") for n in names})
 
 
-def slice_of(value: Column, boundaries: Sequence[float]) -> Column:
-    """How many boundaries lie below the value, as a balanced CASE tree."""
+def slice_index(value: Column, boundaries: Sequence[float]) -> Column:
+    """How many boundaries are below the value, as a balanced CASE tree: the slice of a
+    number that is not a table column."""
 
     def between(low: int, high: int) -> Column:
         if low == high:
@@ -76,11 +133,11 @@ def slice_of(value: Column, boundaries: Sequence[float]) -> Column:
 
 
 def slice_by_feature(feature: Column, value: Column, boundaries: Sequence[Sequence[float]]) -> Column:
-    """``slice_of`` for rows that carry the feature's position beside its value."""
+    """``slice_index`` for rows that carry the feature's position beside its value."""
     chosen = None
     for position, points in enumerate(boundaries):
         if points:
-            here, branch = feature == position, slice_of(value, points)
+            here, branch = feature == position, slice_index(value, points)
             chosen = F.when(here, branch) if chosen is None else chosen.when(here, branch)
     return F.lit(0) if chosen is None else chosen.otherwise(F.lit(0))
 
@@ -88,55 +145,45 @@ def slice_by_feature(feature: Column, value: Column, boundaries: Sequence[Sequen
 def running_totals(
     frame: DataFrame,
     groups: Sequence[str],
-    order: Sequence[str | Column],
+    order: Sequence[str],
     measures: Sequence[str],
     *,
     slice_column: str | None = None,
+    following: str | None = None,
 ) -> DataFrame:
     """Add ``<m>_upto`` (sum over the rows up to this one) and ``<m>_all`` per group.
 
+    With ``following``, also the next row's first order column under that name.
     Without ``slice_column`` the caller vouches that a group is small.
     """
     local = [*groups, slice_column] if slice_column else list(groups)
-    ordered = Window.partitionBy(*local).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    ordered = Window.partitionBy(*local).orderBy(*order)
+    upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*groups)
+    ahead = [F.lead(order[0]).over(ordered).alias(following)] if following else []
     if slice_column is None:
-        whole = Window.partitionBy(*groups)
         return frame.select(
             "*",
-            *[F.sum(m).over(ordered).alias(f"{m}_upto") for m in measures],
+            *ahead,
+            *[F.sum(m).over(upto).alias(f"{m}_upto") for m in measures],
             *[F.sum(m).over(whole).alias(f"{m}_all") for m in measures],
         )
-    by_slice = frame.groupBy(*local).agg(*[F.sum(m).alias(f"{m}_slice") for m in measures])
-    earlier = Window.partitionBy(*groups).orderBy(slice_column).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*groups)
+    by_slice = frame.groupBy(*local).agg(
+        F.min(order[0]).alias("slice_head"), *[F.sum(m).alias(f"{m}_slice") for m in measures]
+    )
+    slices = Window.partitionBy(*groups).orderBy(slice_column)
+    earlier = slices.rowsBetween(Window.unboundedPreceding, -1)
     offsets = by_slice.select(
         *local,
+        F.lead("slice_head").over(slices).alias("next_head"),
         *[F.coalesce(F.sum(f"{m}_slice").over(earlier), F.lit(0)).alias(f"{m}_before") for m in measures],
         *[F.sum(f"{m}_slice").over(whole).alias(f"{m}_all") for m in measures],
     )
-    inside = frame.select("*", *[F.sum(m).over(ordered).alias(f"{m}_inside") for m in measures])
+    inside = frame.select("*", *ahead, *[F.sum(m).over(upto).alias(f"{m}_inside") for m in measures])
+    ahead = [F.coalesce(following, "next_head").alias(following)] if following else []
     return inside.join(offsets, local).select(
         *frame.columns,
+        *ahead,
         *[(F.col(f"{m}_before") + F.col(f"{m}_inside")).alias(f"{m}_upto") for m in measures],
         *[F.col(f"{m}_all") for m in measures],
     )
-
-
-def next_value(
-    frame: DataFrame, groups: Sequence[str], value: str, name: str, *, slice_column: str | None = None
-) -> DataFrame:
-    """Add the next larger value of the same group (rows are distinct per group and value)."""
-    if slice_column is None:
-        ordered = Window.partitionBy(*groups).orderBy(value)
-        return frame.withColumn(name, F.lead(value).over(ordered))
-    local = [*groups, slice_column]
-    ordered = Window.partitionBy(*local).orderBy(value)
-    heads = frame.groupBy(*local).agg(F.min(value).alias("slice_head"))
-    following = heads.select(
-        *local,
-        F.lead("slice_head").over(Window.partitionBy(*groups).orderBy(slice_column)).alias("following_head"),
-    )
-    inside = frame.withColumn(name, F.lead(value).over(ordered))
-    return inside.join(following, local).select(
-        *frame.columns, F.coalesce(F.col(name), F.col("following_head")).alias(name)
-    )

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.functions import quoted
-from tabloom.operators.criteria import melt_numeric
-from tabloom.operators.ordered import profile_columns, running_totals, slice_by_feature
+from tabloom.operators.criteria import melt_numeric, value_keys
+from tabloom.operators.ordered import add_slices, lay_out, running_totals
 
 
 def value_counts(frame: DataFrame, column: str) -> DataFrame:
@@ -59,8 +59,9 @@ def describe(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     Quartiles are exact: they are read off the running count of the value histogram,
     which is cut into slices, so no task has to hold all values of a column.
     """
-    boundaries = [profile_columns(frame, columns).boundaries[c] for c in columns]
-    melted = melt_numeric(frame, columns, [])
+    frame = frame.select(*[quoted(c) for c in columns])
+    layout = lay_out(frame, columns)
+    melted = melt_numeric(add_slices(frame, layout), columns, [], layout)
     plain = melted.groupBy("feature").agg(
         F.count(F.lit(1)).alias("count"),
         F.avg("x").alias("mean"),
@@ -68,11 +69,8 @@ def describe(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.min("x").alias("min"),
         F.max("x").alias("max"),
     )
-    histogram = melted.groupBy("feature", "x").agg(F.count(F.lit(1)).alias("n"))
-    sliced = any(boundaries)
-    if sliced:
-        histogram = histogram.withColumn("slice", slice_by_feature(F.col("feature"), F.col("x"), boundaries))
-    ranked = running_totals(histogram, ["feature"], ["x"], ["n"], slice_column="slice" if sliced else None)
+    histogram = melted.groupBy(*value_keys([], layout)).agg(F.count(F.lit(1)).alias("n"))
+    ranked = running_totals(histogram, ["feature"], ["x"], ["n"], slice_column=layout.slice_column)
     quartiles = ranked.groupBy("feature").agg(
         *[quantile_parts(share, side).alias(f"{name}_{side}") for name, share in QUARTILES for side in ("low", "high")],
         F.max("n_all").alias("total"),

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tabloom.functions import double_sql, quoted
 from tabloom.operators import criteria
+from tabloom.operators.ordered import Layout
 from tabloom.plans.compact import class_rows, target_rows
 from tabloom.plans.tree_model import Tree
 from tabloom.plans.trees import TreeParams, grow_regression_tree
@@ -109,16 +110,15 @@ def fit_stump_booster(
     A round's alpha is half the log odds of its weighted error, times ``learning_rate``.
     Stops before a stump no better than chance and after one without error.
     """
-    rows, profile = class_rows(frame, features, label)
+    rows, layout = class_rows(frame, features, label)
     try:
         rows = signed(rows, "label")
-        boundaries = [profile.boundaries[f] for f in features]
         booster = StumpBooster(())
         total = rows.agg(F.sum("n").alias("n")).first()["n"]
         if not total:
             raise ValueError("no labelled rows to fit")
         for number in range(1, rounds + 1):
-            best = best_stump(rows, features, booster, boundaries)
+            best = best_stump(rows, features, booster, layout)
             if best is None or best["error"] >= 0.5:
                 break
             error = best["error"]
@@ -136,19 +136,17 @@ def fit_stump_booster(
         rows.unpersist()
 
 
-def best_stump(rows: DataFrame, features: Sequence[str], booster: StumpBooster, boundaries) -> dict | None:
+def best_stump(rows: DataFrame, features: Sequence[str], booster: StumpBooster, layout: Layout):
     """Smallest weighted error; ties go to the first feature, then threshold, then +1 above."""
-    weighted = rows.select(
-        *[quoted(f) for f in features], "sign", (F.col("n") * booster.weight()).alias("w")
-    )
+    weighted = rows.withColumn("w", F.col("n") * booster.weight())
     histogram = (
-        criteria.melt_numeric(weighted, features, ["sign", "w"])
-        .groupBy("feature", "x")
+        criteria.melt_numeric(weighted, features, ["sign", "w"], layout)
+        .groupBy(*criteria.value_keys([], layout))
         .agg(
             F.sum(F.expr("IF(sign = 1, w, 0D)")).alias("wp"), F.sum(F.expr("IF(sign = 1, 0D, w)")).alias("wn")
         )
     )
-    table = criteria.stump_candidates(histogram, [], boundaries=boundaries)
+    table = criteria.stump_candidates(histogram, [], layout=layout)
     return table.agg(
         F.min(F.struct("error", "feature", "threshold", (-F.col("polarity")).alias("below"))).alias("best")
     ).select("best.error", "best.feature", "best.threshold", (-F.col("best.below")).alias("polarity")).first()
@@ -246,7 +244,7 @@ def fit_tree_booster(
         raise ValueError(f"loss must be one of {LOSSES}")
     params = TreeParams(**options)
     shared_dir(frame.sparkSession)
-    rows, profile = target_rows(frame, features, label)
+    rows, layout = target_rows(frame, features, label)
     try:
         start = rows.agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("mean")).first()["mean"]
         if start is None:
@@ -257,7 +255,7 @@ def fit_tree_booster(
             done = len(trees) - len(trees) % TREES_PER_CHECKPOINT
             state = add_trees(settled, "score", list(zip(steps[done:], trees[done:])))
             residual = F.col("m") - F.col("score")
-            tree = grow_regression_tree(state, features, residual, 0.0, profile, params)
+            tree = grow_regression_tree(state, features, residual, 0.0, layout, params)
             if len(tree.nodes) == 1:
                 break
             grid = step_losses(state, residual, tree.column(), F.col("n"), F.col("m2"))

@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from tabloom.functions import quoted
-from tabloom.operators.ordered import ColumnProfile, profile_columns
+from tabloom.operators.ordered import Layout, add_slices, lay_out
 
 FOLD_RATIO = 0.5
 
@@ -30,29 +30,29 @@ def features_and_label(frame: DataFrame, features: Sequence[str], label: str) ->
     ).filter(F.col("label").isNotNull())
 
 
-def worth_folding(profile: ColumnProfile, per_vector: int = 1) -> bool:
-    return profile.combinations * per_vector <= FOLD_RATIO * profile.rows
+def worth_folding(layout: Layout, per_vector: int = 1) -> bool:
+    return layout.combinations * per_vector <= FOLD_RATIO * layout.rows
 
 
-def class_rows(frame: DataFrame, features: Sequence[str], label: str) -> tuple[DataFrame, ColumnProfile]:
+def class_rows(frame: DataFrame, features: Sequence[str], label: str) -> tuple[DataFrame, Layout]:
     """(features, label, n) rows, kept in memory and on disk for the fit."""
     base = features_and_label(frame, features, label)
-    profile = profile_columns(base, features)
-    if worth_folding(profile, per_vector=4):
+    layout = lay_out(base, features)
+    if worth_folding(layout, per_vector=4):
         rows = base.groupBy(*[quoted(f) for f in features], "label").agg(
             F.count(F.lit(1)).cast("double").alias("n")
         )
     else:
         rows = base.withColumn("n", F.lit(1.0))
-    return rows.persist(StorageLevel.MEMORY_AND_DISK), profile
+    return add_slices(rows, layout).persist(StorageLevel.MEMORY_AND_DISK), layout
 
 
-def target_rows(frame: DataFrame, features: Sequence[str], label: str) -> tuple[DataFrame, ColumnProfile]:
+def target_rows(frame: DataFrame, features: Sequence[str], label: str) -> tuple[DataFrame, Layout]:
     """(features, n, m, m2) rows: count, mean and squared deviation of the target."""
     base = features_and_label(frame, features, label)
-    profile = profile_columns(base, features)
+    layout = lay_out(base, features)
     target = F.col("label").cast("double")
-    if worth_folding(profile):
+    if worth_folding(layout):
         rows = base.groupBy(*[quoted(f) for f in features]).agg(
             F.count(F.lit(1)).cast("double").alias("n"),
             F.avg(target).alias("m"),
@@ -65,4 +65,4 @@ def target_rows(frame: DataFrame, features: Sequence[str], label: str) -> tuple[
             target.alias("m"),
             F.lit(0.0).alias("m2"),
         )
-    return rows.persist(StorageLevel.MEMORY_AND_DISK), profile
+    return add_slices(rows, layout).persist(StorageLevel.MEMORY_AND_DISK), layout

@@ -7,13 +7,13 @@ split.  The driver sees one row per open node and level.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabloom.functions import half_even
+from tabloom.functions import quoted
 from tabloom.operators import criteria
-from tabloom.operators.ordered import ColumnProfile
+from tabloom.operators.ordered import Layout
 from tabloom.plans.compact import class_rows, features_and_label, target_rows
 from tabloom.plans.tree_model import Node, Tree
 
@@ -52,32 +52,24 @@ def fit_tree(frame: DataFrame, features: Sequence[str], label: str, objective: s
     return fit(frame, features, label, **params)
 
 
-def level_value(features: Sequence[str], profile: ColumnProfile, params: TreeParams) -> Sequence[Sequence[float]]:
-    """Slice boundaries of the columns with many values, in feature order."""
-    return [profile.boundaries[f] for f in features]
+def snap(rows: DataFrame, layout: Layout) -> tuple[DataFrame, Layout]:
+    """Put the values of wide columns on the upper boundary of their slice.
 
-
-def to_quantiles(melted: DataFrame, boundaries: Sequence[Sequence[float]]) -> DataFrame:
-    """Replace values of large domains by the upper quantile boundary they fall under.
-
-    The histogram is then bounded by nodes x features x boundaries; thresholds come from
-    the boundaries instead of from every pair of neighbours.
+    A level's histogram is then bounded by nodes x features x boundaries, and the cuts
+    are the boundaries instead of the midpoints of all neighbours.
     """
-    value = None
-    for position, points in enumerate(boundaries):
-        if points:
-            edges = F.array(*[F.lit(float(p)) for p in points])
-            place = slice_index(F.col("x"), points)
-            snapped = F.coalesce(F.get(edges, place), F.col("x") * 0 + F.lit(float(points[-1]) + 1.0))
-            here = F.col("feature") == position
-            value = F.when(here, snapped) if value is None else value.when(here, snapped)
-    return melted if value is None else melted.withColumn("x", value.otherwise(F.col("x")))
-
-
-def slice_index(value: Column, points: Sequence[float]) -> Column:
-    from tabloom.operators.ordered import slice_of
-
-    return slice_of(value, points)
+    wide = [i for i, points in enumerate(layout.boundaries) if points]
+    changed = {}
+    for i in wide:
+        name, points = layout.columns[i], layout.boundaries[i]
+        edges = F.array(*[F.lit(p) for p in (*points, points[-1] + 1.0)])
+        changed[name] = F.when(F.col(quoted(name)).isNotNull(), F.get(edges, F.col(f"slice_{i}")))
+    if not wide:
+        return rows, layout
+    narrow = tuple(() for _ in layout.boundaries)
+    return rows.withColumns(changed).drop(*layout.slice_names()), replace(
+        layout, boundaries=narrow, snapped=tuple(wide)
+    )
 
 
 def labels_of(rows: DataFrame) -> tuple[list, list[float]]:
@@ -103,37 +95,31 @@ def gini_of(counts: Sequence[float]) -> float:
 def fit_class_tree(frame: DataFrame, features: Sequence[str], label: str, **options) -> Tree:
     """Binary classification tree by the Gini index."""
     params = TreeParams(**options)
-    rows, profile = class_rows(frame, features, label)
+    rows, layout = class_rows(frame, features, label)
     try:
-        return grow_class_tree(rows, features, profile, params)
+        return grow_class_tree(rows, features, layout, params)
     finally:
         rows.unpersist()
 
 
-def grow_class_tree(rows: DataFrame, features: Sequence[str], profile: ColumnProfile, params: TreeParams) -> Tree:
+def grow_class_tree(rows: DataFrame, features: Sequence[str], layout: Layout, params: TreeParams) -> Tree:
     classes, counts = labels_of(rows)
     if not classes:
         raise ValueError("no labelled rows to fit")
     names = [f"c{k}" for k in range(len(classes))]
-    boundaries = level_value(features, profile, params)
+    if params.candidates == "quantile":
+        rows, layout = snap(rows, layout)
     root = Node(1, None, 0, None, None, None, majority(classes, counts), int(sum(counts)))
     nodes = [root]
     open_nodes = {1: (root, counts)} if gini_of(counts) > 0 else {}
     while open_nodes and next(iter(open_nodes.values()))[0].depth < params.max_depth:
         place = F.expr(Tree(nodes).place_sql(set(open_nodes))).alias("node")
-        melted = criteria.melt_numeric(rows, features, [place, "label", "n"])
+        melted = criteria.melt_numeric(rows, features, [place, "label", "n"], layout)
         melted = melted.filter(F.col("node").isNotNull())
-        if params.candidates == "quantile":
-            melted = to_quantiles(melted, boundaries)
-        histogram = melted.groupBy("node", "feature", "x").agg(
+        histogram = melted.groupBy(*criteria.value_keys(["node"], layout)).agg(
             *criteria.class_measures(F.col("label"), classes, F.col("n"))
         )
-        table = criteria.gini_candidates(
-            histogram,
-            ["node"],
-            len(classes),
-            boundaries=() if params.candidates == "quantile" else boundaries,
-        )
+        table = criteria.gini_candidates(histogram, ["node"], len(classes), layout=layout)
         best = criteria.best_per_node(
             table,
             ["node"],
@@ -180,12 +166,12 @@ def class_split_allowed(node: Node, totals, row, names, params: TreeParams) -> b
 def fit_regression_tree(frame: DataFrame, features: Sequence[str], label: str, **options) -> Tree:
     """Binary regression tree by squared loss; a leaf is the mean rounded to 8 decimals."""
     params = TreeParams(**options)
-    rows, profile = target_rows(frame, features, label)
+    rows, layout = target_rows(frame, features, label)
     try:
         mean = rows.agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("mean")).first()["mean"]
         if mean is None:
             raise ValueError("no labelled rows to fit")
-        return grow_regression_tree(rows, features, F.col("m") - F.lit(mean), mean, profile, params)
+        return grow_regression_tree(rows, features, F.col("m") - F.lit(mean), mean, layout, params)
     finally:
         rows.unpersist()
 
@@ -195,7 +181,7 @@ def grow_regression_tree(
     features: Sequence[str],
     residual: Column,
     centre: float,
-    profile: ColumnProfile,
+    layout: Layout,
     params: TreeParams,
 ) -> Tree:
     """Fit ``residual`` of (n, m, m2) rows; leaves are ``centre`` plus the mean residual.
@@ -203,7 +189,8 @@ def grow_regression_tree(
     The residual is taken off each row's mean before squaring, so a small residual of a
     large target keeps its digits.
     """
-    boundaries = level_value(features, profile, params)
+    if params.candidates == "quantile":
+        rows, layout = snap(rows, layout)
     n, r = F.col("n"), residual.alias("r")
     spread = rows.select(n, "m2", r).agg(
         F.sum("n").alias("n"),
@@ -222,18 +209,14 @@ def grow_regression_tree(
     open_nodes = {1: root} if whole_loss > 0 else {}
     while open_nodes and next(iter(open_nodes.values())).depth < params.max_depth:
         place = F.expr(Tree(nodes).place_sql(set(open_nodes))).alias("node")
-        melted = criteria.melt_numeric(rows, features, [place, n, "m2", r])
+        melted = criteria.melt_numeric(rows, features, [place, n, "m2", r], layout)
         melted = melted.filter(F.col("node").isNotNull())
-        if params.candidates == "quantile":
-            melted = to_quantiles(melted, boundaries)
-        histogram = melted.groupBy("node", "feature", "x").agg(
+        histogram = melted.groupBy(*criteria.value_keys(["node"], layout)).agg(
             F.sum("n").alias("n"),
             F.sum(F.col("n") * F.col("r")).alias("s"),
             F.sum(F.col("m2") + F.col("n") * F.col("r") * F.col("r")).alias("q"),
         )
-        table = criteria.loss_candidates(
-            histogram, ["node"], boundaries=() if params.candidates == "quantile" else boundaries
-        )
+        table = criteria.loss_candidates(histogram, ["node"], layout=layout)
         payload = ["feature", "threshold", "n_low", "s_low", "loss_low", "n_high", "s_high", "loss_high"]
         best = criteria.best_per_node(
             table, ["node"], payload, [F.col("share"), -F.col("feature"), F.col("threshold")]
@@ -377,7 +360,3 @@ def fit_tree_depths(frame, features, label, depths: Sequence[int], **options) ->
     of the deepest one, so the sweep costs one set of level jobs."""
     deepest = fit_class_tree(frame, features, label, max_depth=max(depths), **options)
     return {d: Tree([node for node in deepest.nodes if node.depth <= d]) for d in depths}
-
-
-def rounded(column: Column, digits: int = 6) -> Column:
-    return half_even(column, digits)

@@ -109,7 +109,7 @@ def info_gain_ratio(spark, folder):
 )
 def best_split_gain(spark, folder):
     best = criteria.best_per_node(
-        gains(spark, folder), [], ["feature", "gain"], [-F.round("gain", 10), F.col("feature")]
+        gains(spark, folder), [], ["feature", "gain"], ["-round(gain, 10)", "feature"]
     )
     return best.select("feature", r6(F.col("gain")).alias("gain"))
 
@@ -219,7 +219,7 @@ def best_split_gini(spark, folder):
     histogram, layout = class_histogram(spark, folder)
     table = criteria.gini_candidates(histogram, [], 2, layout=layout)
     best = criteria.best_per_node(
-        table, [], ["feature", "threshold", "gini"], [F.col("gini"), F.col("feature"), F.col("threshold")]
+        table, [], ["feature", "threshold", "gini"], ["gini", "feature", "threshold"]
     )
     return best.select("feature", "threshold", r6(F.col("gini"), 8).alias("gini"))
 
@@ -234,7 +234,7 @@ def best_split_sse(spark, folder):
     histogram, layout = target_histogram(spark, folder)
     table = criteria.loss_candidates(histogram, [], layout=layout)
     best = criteria.best_per_node(
-        table, [], ["feature", "threshold", "loss"], [F.col("share"), -F.col("feature"), F.col("threshold")]
+        table, [], ["feature", "threshold", "loss"], ["share", "-feature", "threshold"]
     )
     return best.select("feature", "threshold", r6(F.col("loss"), 2).alias("loss"))
 
@@ -255,7 +255,7 @@ def best_split_wide(spark, folder):
     histogram, layout = target_histogram(spark, folder, ("l_extendedprice",))
     table = criteria.loss_candidates(histogram, [], layout=layout)
     best = criteria.best_per_node(
-        table, [], ["threshold", "n_low", "n_high", "loss"], [F.col("share"), F.col("threshold")]
+        table, [], ["threshold", "n_low", "n_high", "loss"], ["share", "threshold"]
     )
     return best.select(
         "threshold",
@@ -290,7 +290,7 @@ def stump_best(spark, folder):
         criteria.stump_candidates(histogram, [], layout=layout),
         [],
         ["feature", "threshold", "polarity", "error"],
-        [F.col("error"), F.col("feature"), F.col("threshold"), -F.col("polarity")],
+        ["error", "feature", "threshold", "-polarity"],
     )
     return best.select("feature", "threshold", "polarity", r6(F.col("error"), 8).alias("error"))
 

@@ -22,13 +22,13 @@ def melt_numeric(
 
     With a sliced layout (and a table that went through ``add_slices``) also the slice.
     """
-    pairs = []
-    for i, name in enumerate(features):
-        parts = [F.lit(i).alias("feature"), F.col(quoted(name)).cast("double").alias("x")]
-        if layout is not None and layout.sliced:
-            parts.append(layout.slice_of(i).alias("slice"))
-        pairs.append(F.struct(*parts))
-    return frame.select(*carry, F.inline(F.array(*pairs))).filter(F.col("x").isNotNull())
+    sliced = layout is not None and layout.sliced
+    pairs = [
+        f"struct({i} AS feature, CAST({quoted(name)} AS DOUBLE) AS x"
+        + (f", {layout.slice_sql(i)} AS slice)" if sliced else ")")
+        for i, name in enumerate(features)
+    ]
+    return frame.select(*carry, F.expr(f"inline(array({', '.join(pairs)}))")).filter("x IS NOT NULL")
 
 
 def value_keys(keys: Sequence[str], layout: Layout | None = None) -> list[str]:
@@ -47,9 +47,9 @@ def melt_text(frame: DataFrame, features: Sequence[str], carry: Sequence[str | C
 
 def class_measures(label: Column, classes: Sequence, weight: Column) -> list[Column]:
     """``c0, c1, ..``: the weight of each class."""
+    none = F.lit(0.0)
     return [
-        F.sum(F.when(label == F.lit(value), weight).otherwise(F.lit(0.0))).alias(f"c{k}")
-        for k, value in enumerate(classes)
+        F.sum(F.when(label == value, weight).otherwise(none)).alias(f"c{k}") for k, value in enumerate(classes)
     ]
 
 
@@ -75,21 +75,21 @@ def threshold_totals(
     running = running_totals(
         histogram, groups, ["x"], measures, slice_column=layout.slice_column, following="x_next"
     ).filter("x_next IS NOT NULL")
-    return running.select(*groups, candidate(layout, digits).alias("threshold"), *side_totals(measures))
+    return running.selectExpr(*groups, f"{cut_sql(layout, digits)} AS threshold", *side_totals(measures))
 
 
-def candidate(layout: Layout, digits: int) -> Column:
+def cut_sql(layout: Layout, digits: int) -> str:
     """The rounded midpoint to the next value; a boundary of a snapped column is a cut as it is."""
-    middle = half_even((F.col("x") + F.col("x_next")) / 2, digits)
+    scale = f"{10.0**digits!r}D"
+    middle = f"rint((x + x_next) / 2 * {scale}) / {scale}"
     if not layout.snapped:
         return middle
-    snapped = F.col("feature").isin(list(layout.snapped)) & F.col("x_next").isNotNull()
-    return F.when(snapped, F.col("x")).otherwise(middle)
+    snapped = ", ".join(map(str, layout.snapped))
+    return f"CASE WHEN feature IN ({snapped}) AND x_next IS NOT NULL THEN x ELSE {middle} END"
 
 
-def side_totals(measures: Sequence[str]) -> list[Column]:
-    low = [F.col(f"{m}_upto").alias(f"{m}_low") for m in measures]
-    return low + [F.expr(f"{m}_all - {m}_upto").alias(f"{m}_high") for m in measures]
+def side_totals(measures: Sequence[str]) -> list[str]:
+    return [f"{m}_upto AS {m}_low" for m in measures] + [f"{m}_all - {m}_upto AS {m}_high" for m in measures]
 
 
 def mixed_totals(
@@ -107,37 +107,20 @@ def mixed_totals(
     paired = running_totals(
         histogram, groups, ["x"], measures[:1], slice_column=layout.slice_column, following="x_next"
     )
-    threshold = candidate(layout, digits)
     value_rank, threshold_rank = (1, 0) if strict else (0, 1)
-    points = paired.select(
-        *groups,
-        F.inline(
-            F.array(
-                F.struct(
-                    F.col("x").alias("at"), F.lit(value_rank).alias("rank"), *[F.col(m) for m in measures]
-                ),
-                F.struct(
-                    threshold.alias("at"),
-                    F.lit(threshold_rank).alias("rank"),
-                    *[F.lit(0.0).alias(m) for m in measures],
-                ),
-            )
-        ),
-    ).filter(F.col("at").isNotNull())
+    kept, empty = ", ".join(measures), ", ".join(f"0D AS {m}" for m in measures)
+    value = f"struct(x AS at, {value_rank} AS rank, {kept})"
+    threshold = f"struct({cut_sql(layout, digits)} AS at, {threshold_rank} AS rank, {empty})"
+    points = paired.selectExpr(*groups, f"inline(array({value}, {threshold}))").filter("at IS NOT NULL")
     if layout.sliced:
         points = points.withColumn("slice", slice_by_feature(F.col("feature"), F.col("at"), layout.boundaries))
     return (
         running_totals(points, groups, ["at", "rank"], measures, slice_column=layout.slice_column)
-        .filter(F.col("rank") == threshold_rank)
-        .select(*groups, F.col("at").alias("threshold"), *side_totals(measures))
+        .filter(f"rank = {threshold_rank}")
+        .selectExpr(*groups, "at AS threshold", *side_totals(measures))
     )
 
 
-def both_sides(candidates: DataFrame, low: Column, high: Column) -> DataFrame:
-    """Drop candidates that leave a side empty: nothing is split there."""
-    return candidates.filter((low > 0) & (high > 0))
-
-
 def added(names: Sequence[str]) -> Column:
     return F.expr(" + ".join(names))
 
@@ -152,50 +135,43 @@ def gini(counts: Sequence[str]) -> Column:
     return F.expr(gini_sql(counts))
 
 
-def weighted_gini(classes: int) -> Column:
-    """Gini of both sides of a threshold, weighted by side size."""
-    low = [f"c{k}_low" for k in range(classes)]
-    high = [f"c{k}_high" for k in range(classes)]
-    n_low, n_high = " + ".join(low), " + ".join(high)
-    return F.expr(
-        f"(({n_low}) * ({gini_sql(low)}) + ({n_high}) * ({gini_sql(high)})) / ({n_low} + {n_high})"
-    )
-
-
-def squared_loss(n: Column, total: Column, squares: Column) -> Column:
-    """Squared deviation from the mean, from count, sum and sum of squares."""
-    return F.greatest(squares - total * total / n, F.lit(0.0))
-
-
 def gini_candidates(
     histogram: DataFrame, keys: Sequence[str], classes: int, *, layout: Layout, digits: int = 4
 ) -> DataFrame:
-    """Per (keys, feature, threshold): class weights of both sides and the weighted gini."""
+    """Per (keys, feature, threshold) with rows on both sides: class weights of the sides,
+    and their gini weighted by size."""
     measures = [f"c{k}" for k in range(classes)]
     table = threshold_totals(histogram, keys, measures, digits=digits, layout=layout)
-    n_low = added([f"{m}_low" for m in measures])
-    n_high = added([f"{m}_high" for m in measures])
-    return both_sides(table, n_low, n_high).withColumn("gini", half_even(weighted_gini(classes), 12))
+    low, high = [f"{m}_low" for m in measures], [f"{m}_high" for m in measures]
+    n_low, n_high = " + ".join(low), " + ".join(high)
+    weighted = f"(({n_low}) * ({gini_sql(low)}) + ({n_high}) * ({gini_sql(high)})) / ({n_low} + {n_high})"
+    return table.filter(f"{n_low} > 0 AND {n_high} > 0").selectExpr("*", f"rint({weighted} * 1e12D) / 1e12D AS gini")
 
 
 def loss_candidates(histogram: DataFrame, keys: Sequence[str], *, layout: Layout, digits: int = 4) -> DataFrame:
-    """Per (keys, feature, threshold): means and squared loss of both sides.
+    """Per (keys, feature, threshold) with rows on both sides: the sides' squared losses.
 
-    The histogram carries ``n``, ``s`` (sum) and ``q`` (sum of squares).  ``share`` is
-    the loss as a part of the unsplit loss, rounded so that equal partitions tie.
+    The histogram carries ``n``, ``s`` (sum) and ``q`` (sum of squares); a loss is
+    q - s^2 / n.  ``share`` is the loss as a part of the unsplit loss, rounded so that
+    equal partitions tie.
     """
     table = threshold_totals(histogram, keys, ["n", "s", "q"], digits=digits, layout=layout)
-    table = both_sides(table, F.col("n_low"), F.col("n_high"))
-    low = squared_loss(F.col("n_low"), F.col("s_low"), F.col("q_low"))
-    high = squared_loss(F.col("n_high"), F.col("s_high"), F.col("q_high"))
-    whole = squared_loss(
-        F.col("n_low") + F.col("n_high"), F.col("s_low") + F.col("s_high"), F.col("q_low") + F.col("q_high")
+    whole = (
+        "greatest(q_low + q_high - (s_low + s_high) * (s_low + s_high) / (n_low + n_high), 0D)"
     )
     return (
-        table.withColumn("loss_low", low)
-        .withColumn("loss_high", high)
-        .withColumn("loss", low + high)
-        .withColumn("share", F.when(whole > 0, half_even((low + high) / whole, 10)).otherwise(F.lit(1.0)))
+        table.filter("n_low > 0 AND n_high > 0")
+        .selectExpr(
+            "*",
+            "greatest(q_low - s_low * s_low / n_low, 0D) AS loss_low",
+            "greatest(q_high - s_high * s_high / n_high, 0D) AS loss_high",
+            f"{whole} AS whole",
+        )
+        .selectExpr(
+            "*",
+            "loss_low + loss_high AS loss",
+            "CASE WHEN whole > 0 THEN rint((loss_low + loss_high) / whole * 1e10D) / 1e10D ELSE 1D END AS share",
+        )
     )
 
 
@@ -207,19 +183,10 @@ def stump_candidates(histogram: DataFrame, keys: Sequence[str], *, layout: Layou
     table = threshold_totals(
         histogram, keys, ["wp", "wn"], digits=digits, layout=layout, strict=True
     )
-    total = F.col("wp_low") + F.col("wp_high") + F.col("wn_low") + F.col("wn_high")
-    error = (F.col("wn_high") + F.col("wp_low")) / total
-    return table.select(
-        *keys,
-        "feature",
-        "threshold",
-        F.inline(
-            F.array(
-                F.struct(F.lit(1).alias("polarity"), half_even(error, 12).alias("error")),
-                F.struct(F.lit(-1).alias("polarity"), half_even(F.lit(1.0) - error, 12).alias("error")),
-            )
-        ),
-    )
+    error = "(wn_high + wp_low) / (wp_low + wp_high + wn_low + wn_high)"
+    above = f"struct(1 AS polarity, rint({error} * 1e12D) / 1e12D AS error)"
+    below = f"struct(-1 AS polarity, rint((1D - {error}) * 1e12D) / 1e12D AS error)"
+    return table.selectExpr(*keys, "feature", "threshold", f"inline(array({above}, {below}))")
 
 
 def category_gains(counts: DataFrame, keys: Sequence[str], classes: int) -> DataFrame:
@@ -261,20 +228,19 @@ def category_gains(counts: DataFrame, keys: Sequence[str], classes: int) -> Data
 
 
 def best_per_node(
-    candidates: DataFrame, keys: Sequence[str], payload: Sequence[str], ranking: Sequence[Column]
+    candidates: DataFrame, keys: Sequence[str], payload: Sequence[str], ranking: Sequence[str]
 ) -> DataFrame:
-    """The smallest candidate of each key by ``ranking``, with the number of usable features.
+    """The smallest candidate of each key by the ``ranking`` expressions, with the number
+    of usable features.
 
     The first grouping has the partitioning of the candidate windows, so only one row
     per feature is shuffled.
     """
-    order = F.struct(*[rank.alias(f"o{i}") for i, rank in enumerate(ranking)])
-    chosen = F.struct(*[F.col(name) for name in payload])
-    per_feature = candidates.groupBy(*keys, "feature").agg(
-        F.min(F.struct(order.alias("order"), chosen.alias("chosen"))).alias("best")
-    )
+    order = ", ".join(f"{expression} AS o{i}" for i, expression in enumerate(ranking))
+    both = f"min(struct(struct({order}) AS rank, struct({', '.join(payload)}) AS chosen)) AS best"
+    per_feature = candidates.groupBy(*keys, "feature").agg(F.expr(both))
     return (
         per_feature.groupBy(*keys)
-        .agg(F.min("best").alias("best"), F.count(F.lit(1)).alias("usable_features"))
-        .select(*keys, "usable_features", "best.chosen.*")
+        .agg(F.expr("min(best) AS best"), F.expr("count(1) AS usable_features"))
+        .selectExpr(*keys, "usable_features", "best.chosen.*")
     )

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.functions import quoted
 
@@ -63,7 +63,11 @@ class Layout:
 
     def slice_of(self, position: int) -> Column:
         """The slice of a column's value in a table that went through ``add_slices``."""
-        return F.col(f"slice_{position}") if self.boundaries[position] else F.lit(0)
+        return F.expr(self.slice_sql(position))
+
+    def slice_sql(self, position: int) -> str:
+        # never null, so no null filter on one side of a join keeps two scans from being one
+        return f"coalesce(slice_{position}, -1)" if self.boundaries[position] else "0"
 
     def slice_names(self) -> list[str]:
         return [f"slice_{i}" for i, points in enumerate(self.boundaries) if points]
@@ -157,33 +161,35 @@ def running_totals(
     Without ``slice_column`` the caller vouches that a group is small.
     """
     local = [*groups, slice_column] if slice_column else list(groups)
-    ordered = Window.partitionBy(*local).orderBy(*order)
-    upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*groups)
-    ahead = [F.lead(order[0]).over(ordered).alias(following)] if following else []
+    part = f"PARTITION BY {', '.join(local)}" if local else ""
+    whole = f"PARTITION BY {', '.join(groups)}" if groups else ""
+    place = f"{part} ORDER BY {', '.join(order)}"
+    upto = f"({place} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    ahead = [f"lead({order[0]}) OVER ({place}) AS {following}"] if following else []
     if slice_column is None:
-        return frame.select(
+        return frame.selectExpr(
             "*",
             *ahead,
-            *[F.sum(m).over(upto).alias(f"{m}_upto") for m in measures],
-            *[F.sum(m).over(whole).alias(f"{m}_all") for m in measures],
+            *[f"sum({m}) OVER {upto} AS {m}_upto" for m in measures],
+            *[f"sum({m}) OVER ({whole}) AS {m}_all" for m in measures],
+        )
+    slices = f"{whole} ORDER BY {slice_column}"
+    earlier = f"({slices} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    sums = [f"sum({m}) AS {m}_slice" for m in measures]
+    offsets = (
+        frame.groupBy(*local)
+        .agg(*[F.expr(e) for e in (f"min({order[0]}) AS slice_head", *sums)])
+        .selectExpr(
+            *local,
+            f"lead(slice_head) OVER ({slices}) AS next_head",
+            *[f"coalesce(sum({m}_slice) OVER {earlier}, 0) AS {m}_before" for m in measures],
+            *[f"sum({m}_slice) OVER ({whole}) AS {m}_all" for m in measures],
         )
-    by_slice = frame.groupBy(*local).agg(
-        F.min(order[0]).alias("slice_head"), *[F.sum(m).alias(f"{m}_slice") for m in measures]
-    )
-    slices = Window.partitionBy(*groups).orderBy(slice_column)
-    earlier = slices.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = by_slice.select(
-        *local,
-        F.lead("slice_head").over(slices).alias("next_head"),
-        *[F.coalesce(F.sum(f"{m}_slice").over(earlier), F.lit(0)).alias(f"{m}_before") for m in measures],
-        *[F.sum(f"{m}_slice").over(whole).alias(f"{m}_all") for m in measures],
     )
-    inside = frame.select("*", *ahead, *[F.sum(m).over(upto).alias(f"{m}_inside") for m in measures])
-    ahead = [F.coalesce(following, "next_head").alias(following)] if following else []
-    return inside.join(offsets, local).select(
+    inside = frame.selectExpr("*", *ahead, *[f"sum({m}) OVER {upto} AS {m}_inside" for m in measures])
+    return inside.join(offsets, local).selectExpr(
         *frame.columns,
-        *ahead,
-        *[(F.col(f"{m}_before") + F.col(f"{m}_inside")).alias(f"{m}_upto") for m in measures],
-        *[F.col(f"{m}_all") for m in measures],
+        *([f"coalesce({following}, next_head) AS {following}"] if following else []),
+        *[f"{m}_before + {m}_inside AS {m}_upto" for m in measures],
+        *[f"{m}_all" for m in measures],
     )

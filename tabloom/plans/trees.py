@@ -124,7 +124,7 @@ def grow_class_tree(rows: DataFrame, features: Sequence[str], layout: Layout, pa
             table,
             ["node"],
             ["feature", "threshold", "gini", *[f"{c}_low" for c in names], *[f"{c}_high" for c in names]],
-            [F.col("gini"), F.col("feature"), F.col("threshold")],
+            ["gini", "feature", "threshold"],
         )
         chosen = {row["node"]: row for row in best.collect()}
         following = {}
@@ -192,12 +192,8 @@ def grow_regression_tree(
     if params.candidates == "quantile":
         rows, layout = snap(rows, layout)
     n, r = F.col("n"), residual.alias("r")
-    spread = rows.select(n, "m2", r).agg(
-        F.sum("n").alias("n"),
-        F.sum(F.col("n") * F.col("r")).alias("s"),
-        F.sum(F.col("m2") + F.col("n") * F.col("r") * F.col("r")).alias("q"),
-    )
-    total = spread.first()
+    sums = [F.expr(e) for e in ("sum(n) AS n", "sum(n * r) AS s", "sum(m2 + n * r * r) AS q")]
+    total = rows.select(n, "m2", r).agg(*sums).first()
     whole_loss = total["q"] - total["s"] ** 2 / total["n"]
     flat = max(whole_loss, 0.0) * 1e-14
 
@@ -211,15 +207,11 @@ def grow_regression_tree(
         place = F.expr(Tree(nodes).place_sql(set(open_nodes))).alias("node")
         melted = criteria.melt_numeric(rows, features, [place, n, "m2", r], layout)
         melted = melted.filter(F.col("node").isNotNull())
-        histogram = melted.groupBy(*criteria.value_keys(["node"], layout)).agg(
-            F.sum("n").alias("n"),
-            F.sum(F.col("n") * F.col("r")).alias("s"),
-            F.sum(F.col("m2") + F.col("n") * F.col("r") * F.col("r")).alias("q"),
-        )
+        histogram = melted.groupBy(*criteria.value_keys(["node"], layout)).agg(*sums)
         table = criteria.loss_candidates(histogram, ["node"], layout=layout)
         payload = ["feature", "threshold", "n_low", "s_low", "loss_low", "n_high", "s_high", "loss_high"]
         best = criteria.best_per_node(
-            table, ["node"], payload, [F.col("share"), -F.col("feature"), F.col("threshold")]
+            table, ["node"], payload, ["share", "-feature", "threshold"]
         )
         chosen = {row["node"]: row for row in best.collect()}
         following = {}

@@ -145,15 +145,13 @@ def numeric_lines(spark, folder, features=tuple(LINE_FEATURES)):
 def class_histogram(spark, folder):
     rows, layout = numeric_lines(spark, folder)
     counts = criteria.class_measures(F.col("y"), [0, 1], F.lit(1.0))
-    return rows.groupBy(*criteria.value_keys([], layout)).agg(*counts), layout
+    return ordered.histogram(rows, [], layout, counts), layout
 
 
 def target_histogram(spark, folder, features=tuple(LINE_FEATURES)):
     rows, layout = numeric_lines(spark, folder, features)
-    sums = rows.groupBy(*criteria.value_keys([], layout)).agg(
-        F.count(F.lit(1)).cast("double").alias("n"), F.sum("z").alias("s"), F.sum(F.expr("z * z")).alias("q")
-    )
-    return sums, layout
+    sums = [F.expr(e) for e in ("CAST(count(1) AS DOUBLE) AS n", "sum(z) AS s", "sum(z * z) AS q")]
+    return ordered.histogram(rows, [], layout, sums), layout
 
 
 @query(
@@ -283,9 +281,8 @@ STUMPS = f"""WITH l AS ({NUMERIC_LONG}),
 )
 def stump_best(spark, folder):
     rows, layout = numeric_lines(spark, folder)
-    histogram = rows.groupBy(*criteria.value_keys([], layout)).agg(
-        F.sum(F.expr("IF(y = 1, 1D, 0D)")).alias("wp"), F.sum(F.expr("IF(y = 1, 0D, 1D)")).alias("wn")
-    )
+    sides = ("sum(IF(y = 1, 1D, 0D)) AS wp", "sum(IF(y = 1, 0D, 1D)) AS wn")
+    histogram = ordered.histogram(rows, [], layout, [F.expr(e) for e in sides])
     best = criteria.best_per_node(
         criteria.stump_candidates(histogram, [], layout=layout),
         [],

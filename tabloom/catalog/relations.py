@@ -190,9 +190,15 @@ def candidate_points(spark, folder):
     rows = table(spark, folder, "lineitem").select("l_quantity", "l_extendedprice")
     layout = ordered.lay_out(rows, rows.columns)
     values = criteria.melt_numeric(ordered.add_slices(rows, layout), rows.columns, [], layout)
-    histogram = values.groupBy(*criteria.value_keys([], layout)).agg(F.count(F.lit(1)).alias("n"))
+    counted = ordered.histogram(values, [], layout, [F.expr("count(1) AS n")])
     paired = ordered.running_totals(
-        histogram, ["feature"], ["x"], ["n"], slice_column=layout.slice_column, following="x_next"
+        counted.values,
+        ["feature"],
+        ["x"],
+        ["n"],
+        slice_column=layout.slice_column,
+        by_slice=counted.by_slice,
+        following="x_next",
     )
     return paired.filter("x_next IS NOT NULL").select(
         "feature", r6((F.col("x") + F.col("x_next")) / 2, 4).alias("threshold")

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.functions import entropy_term, half_even, quoted
-from tabloom.operators.ordered import Layout, running_totals, slice_by_feature
+from tabloom.operators.ordered import Histogram, Layout, running_totals, slice_by_feature
 
 
 def melt_numeric(
@@ -31,11 +31,6 @@ def melt_numeric(
     return frame.select(*carry, F.expr(f"inline(array({', '.join(pairs)}))")).filter("x IS NOT NULL")
 
 
-def value_keys(keys: Sequence[str], layout: Layout | None = None) -> list[str]:
-    """Grouping columns of a value histogram."""
-    return [*keys, "feature", *(["slice"] if layout is not None and layout.sliced else []), "x"]
-
-
 def melt_text(frame: DataFrame, features: Sequence[str], carry: Sequence[str | Column]) -> DataFrame:
     """As ``melt_numeric`` for categorical features, the value as text."""
     pairs = [
@@ -54,7 +49,7 @@ def class_measures(label: Column, classes: Sequence, weight: Column) -> list[Col
 
 
 def threshold_totals(
-    histogram: DataFrame,
+    histogram: Histogram,
     keys: Sequence[str],
     measures: Sequence[str],
     *,
@@ -73,7 +68,13 @@ def threshold_totals(
         return mixed_totals(histogram, keys, measures, digits=digits, layout=layout, strict=strict)
     groups = [*keys, "feature"]
     running = running_totals(
-        histogram, groups, ["x"], measures, slice_column=layout.slice_column, following="x_next"
+        histogram.values,
+        groups,
+        ["x"],
+        measures,
+        slice_column=layout.slice_column,
+        by_slice=histogram.by_slice,
+        following="x_next",
     ).filter("x_next IS NOT NULL")
     return running.selectExpr(*groups, f"{cut_sql(layout, digits)} AS threshold", *side_totals(measures))
 
@@ -93,7 +94,7 @@ def side_totals(measures: Sequence[str]) -> list[str]:
 
 
 def mixed_totals(
-    histogram: DataFrame,
+    histogram: Histogram,
     keys: Sequence[str],
     measures: Sequence[str],
     *,
@@ -105,7 +106,13 @@ def mixed_totals(
     thresholds are put in one order and the totals are taken at the threshold's place."""
     groups = [*keys, "feature"]
     paired = running_totals(
-        histogram, groups, ["x"], measures[:1], slice_column=layout.slice_column, following="x_next"
+        histogram.values,
+        groups,
+        ["x"],
+        measures[:1],
+        slice_column=layout.slice_column,
+        by_slice=histogram.by_slice,
+        following="x_next",
     )
     value_rank, threshold_rank = (1, 0) if strict else (0, 1)
     kept, empty = ", ".join(measures), ", ".join(f"0D AS {m}" for m in measures)
@@ -136,7 +143,7 @@ def gini(counts: Sequence[str]) -> Column:
 
 
 def gini_candidates(
-    histogram: DataFrame, keys: Sequence[str], classes: int, *, layout: Layout, digits: int = 4
+    histogram: Histogram, keys: Sequence[str], classes: int, *, layout: Layout, digits: int = 4
 ) -> DataFrame:
     """Per (keys, feature, threshold) with rows on both sides: class weights of the sides,
     and their gini weighted by size."""
@@ -148,7 +155,7 @@ def gini_candidates(
     return table.filter(f"{n_low} > 0 AND {n_high} > 0").selectExpr("*", f"rint({weighted} * 1e12D) / 1e12D AS gini")
 
 
-def loss_candidates(histogram: DataFrame, keys: Sequence[str], *, layout: Layout, digits: int = 4) -> DataFrame:
+def loss_candidates(histogram: Histogram, keys: Sequence[str], *, layout: Layout, digits: int = 4) -> DataFrame:
     """Per (keys, feature, threshold) with rows on both sides: the sides' squared losses.
 
     The histogram carries ``n``, ``s`` (sum) and ``q`` (sum of squares); a loss is
@@ -175,7 +182,7 @@ def loss_candidates(histogram: DataFrame, keys: Sequence[str], *, layout: Layout
     )
 
 
-def stump_candidates(histogram: DataFrame, keys: Sequence[str], *, layout: Layout, digits: int = 8) -> DataFrame:
+def stump_candidates(histogram: Histogram, keys: Sequence[str], *, layout: Layout, digits: int = 8) -> DataFrame:
     """Weighted error of ``x >= t -> polarity`` for both polarities of every threshold.
 
     The histogram carries ``wp`` and ``wn``, the weights of the +1 and -1 rows.

@@ -7,7 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tabloom.functions import quoted
-from tabloom.operators.ordered import add_slices, lay_out, running_totals
+from tabloom.operators.criteria import melt_numeric
+from tabloom.operators.ordered import add_slices, histogram, lay_out, running_totals
 
 
 def auc(frame: DataFrame, label: str, score: str) -> DataFrame:
@@ -18,12 +19,12 @@ def auc(frame: DataFrame, label: str, score: str) -> DataFrame:
     """
     rows = frame.select(F.col(quoted(label)).alias("y"), F.col(quoted(score)).cast("double").alias("s")).dropna()
     layout = lay_out(rows, ["s"])
-    rows = add_slices(rows, layout).withColumn("slice", layout.slice_of(0))
-    histogram = rows.groupBy("slice", "s").agg(
-        F.sum(F.when(F.col("y") > 0, 1).otherwise(0)).alias("pos"),
-        F.sum(F.when(F.col("y") > 0, 0).otherwise(1)).alias("neg"),
+    melted = melt_numeric(add_slices(rows, layout), ["s"], ["y"], layout)
+    sides = ("count_if(y > 0) AS pos", "count_if(y <= 0) AS neg")
+    counted = histogram(melted, [], layout, [F.expr(e) for e in sides])
+    ranked = running_totals(
+        counted.values, ["feature"], ["x"], ["neg"], slice_column=layout.slice_column, by_slice=counted.by_slice
     )
-    ranked = running_totals(histogram, [], ["s"], ["neg"], slice_column="slice")
     return ranked.agg(
         F.sum(F.col("pos").cast("double") * (F.col("neg_upto") - F.col("neg") / 2)).alias("pairs"),
         F.sum("pos").cast("double").alias("positives"),

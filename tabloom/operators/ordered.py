@@ -153,12 +153,15 @@ def running_totals(
     measures: Sequence[str],
     *,
     slice_column: str | None = None,
+    by_slice: DataFrame | None = None,
     following: str | None = None,
 ) -> DataFrame:
     """Add ``<m>_upto`` (sum over the rows up to this one) and ``<m>_all`` per group.
 
     With ``following``, also the next row's first order column under that name.
-    Without ``slice_column`` the caller vouches that a group is small.
+    ``by_slice`` gives the measures and ``slice_head``, the smallest order value, per
+    group and slice; without it they are summed from ``frame``.  Without
+    ``slice_column`` the caller vouches that a group is small.
     """
     local = [*groups, slice_column] if slice_column else list(groups)
     part = f"PARTITION BY {', '.join(local)}" if local else ""
@@ -175,16 +178,14 @@ def running_totals(
         )
     slices = f"{whole} ORDER BY {slice_column}"
     earlier = f"({slices} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    sums = [f"sum({m}) AS {m}_slice" for m in measures]
-    offsets = (
-        frame.groupBy(*local)
-        .agg(*[F.expr(e) for e in (f"min({order[0]}) AS slice_head", *sums)])
-        .selectExpr(
-            *local,
-            f"lead(slice_head) OVER ({slices}) AS next_head",
-            *[f"coalesce(sum({m}_slice) OVER {earlier}, 0) AS {m}_before" for m in measures],
-            *[f"sum({m}_slice) OVER ({whole}) AS {m}_all" for m in measures],
-        )
+    if by_slice is None:
+        sums = [F.expr(f"sum({m}) AS {m}") for m in measures]
+        by_slice = frame.groupBy(*local).agg(F.expr(f"min({order[0]}) AS slice_head"), *sums)
+    offsets = by_slice.selectExpr(
+        *local,
+        f"lead(slice_head) OVER ({slices}) AS next_head",
+        *[f"coalesce(sum({m}) OVER {earlier}, 0) AS {m}_before" for m in measures],
+        *[f"sum({m}) OVER ({whole}) AS {m}_all" for m in measures],
     )
     inside = frame.selectExpr("*", *ahead, *[f"sum({m}) OVER {upto} AS {m}_inside" for m in measures])
     return inside.join(offsets, local).selectExpr(
@@ -193,3 +194,25 @@ def running_totals(
         *[f"{m}_before + {m}_inside AS {m}_upto" for m in measures],
         *[f"{m}_all" for m in measures],
     )
+
+
+@dataclass(frozen=True)
+class Histogram:
+    """Measures per (keys, feature, value) and, for sliced layouts, per slice.
+
+    Both are grouped from the rows: the slice totals are map-side combined to a few rows
+    per task, so only the values pass through a large shuffle.
+    """
+
+    values: DataFrame
+    by_slice: DataFrame | None
+
+
+def histogram(melted: DataFrame, keys: Sequence[str], layout: Layout, measures: Sequence[Column]) -> Histogram:
+    """Group melted rows (``feature``, ``x``, and ``slice`` where the layout has slices)."""
+    if not layout.sliced:
+        return Histogram(melted.groupBy(*keys, "feature", "x").agg(*measures), None)
+    return Histogram(
+        melted.groupBy(*keys, "feature", "slice", "x").agg(*measures),
+        melted.groupBy(*keys, "feature", "slice").agg(F.expr("min(x) AS slice_head"), *measures),
+    )

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.functions import quoted
-from tabloom.operators.criteria import melt_numeric, value_keys
-from tabloom.operators.ordered import add_slices, lay_out, running_totals
+from tabloom.operators.criteria import melt_numeric
+from tabloom.operators.ordered import add_slices, histogram, lay_out, running_totals
 
 
 def value_counts(frame: DataFrame, column: str) -> DataFrame:
@@ -69,8 +69,10 @@ def describe(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.min("x").alias("min"),
         F.max("x").alias("max"),
     )
-    histogram = melted.groupBy(*value_keys([], layout)).agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_totals(histogram, ["feature"], ["x"], ["n"], slice_column=layout.slice_column)
+    counted = histogram(melted, [], layout, [F.expr("count(1) AS n")])
+    ranked = running_totals(
+        counted.values, ["feature"], ["x"], ["n"], slice_column=layout.slice_column, by_slice=counted.by_slice
+    )
     quartiles = ranked.groupBy("feature").agg(
         *[quantile_parts(share, side).alias(f"{name}_{side}") for name, share in QUARTILES for side in ("low", "high")],
         F.max("n_all").alias("total"),

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tabloom.functions import double_sql, quoted
 from tabloom.operators import criteria
-from tabloom.operators.ordered import Layout
+from tabloom.operators.ordered import Layout, histogram
 from tabloom.plans.compact import class_rows, target_rows
 from tabloom.plans.tree_model import Tree
 from tabloom.plans.trees import TreeParams, grow_regression_tree
@@ -139,14 +139,10 @@ def fit_stump_booster(
 def best_stump(rows: DataFrame, features: Sequence[str], booster: StumpBooster, layout: Layout):
     """Smallest weighted error; ties go to the first feature, then threshold, then +1 above."""
     weighted = rows.withColumn("w", F.col("n") * booster.weight())
-    histogram = (
-        criteria.melt_numeric(weighted, features, ["sign", "w"], layout)
-        .groupBy(*criteria.value_keys([], layout))
-        .agg(
-            F.sum(F.expr("IF(sign = 1, w, 0D)")).alias("wp"), F.sum(F.expr("IF(sign = 1, 0D, w)")).alias("wn")
-        )
-    )
-    table = criteria.stump_candidates(histogram, [], layout=layout)
+    melted = criteria.melt_numeric(weighted, features, ["sign", "w"], layout)
+    sides = ("sum(IF(sign = 1, w, 0D)) AS wp", "sum(IF(sign = 1, 0D, w)) AS wn")
+    counted = histogram(melted, [], layout, [F.expr(e) for e in sides])
+    table = criteria.stump_candidates(counted, [], layout=layout)
     return table.agg(
         F.min(F.struct("error", "feature", "threshold", (-F.col("polarity")).alias("below"))).alias("best")
     ).select("best.error", "best.feature", "best.threshold", (-F.col("best.below")).alias("polarity")).first()

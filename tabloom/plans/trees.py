@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.functions import quoted
 from tabloom.operators import criteria
-from tabloom.operators.ordered import Layout
+from tabloom.operators.ordered import Layout, histogram
 from tabloom.plans.compact import class_rows, features_and_label, target_rows
 from tabloom.plans.tree_model import Node, Tree
 
@@ -107,6 +107,7 @@ def grow_class_tree(rows: DataFrame, features: Sequence[str], layout: Layout, pa
     if not classes:
         raise ValueError("no labelled rows to fit")
     names = [f"c{k}" for k in range(len(classes))]
+    measures = criteria.class_measures(F.col("label"), classes, F.col("n"))
     if params.candidates == "quantile":
         rows, layout = snap(rows, layout)
     root = Node(1, None, 0, None, None, None, majority(classes, counts), int(sum(counts)))
@@ -116,10 +117,8 @@ def grow_class_tree(rows: DataFrame, features: Sequence[str], layout: Layout, pa
         place = F.expr(Tree(nodes).place_sql(set(open_nodes))).alias("node")
         melted = criteria.melt_numeric(rows, features, [place, "label", "n"], layout)
         melted = melted.filter(F.col("node").isNotNull())
-        histogram = melted.groupBy(*criteria.value_keys(["node"], layout)).agg(
-            *criteria.class_measures(F.col("label"), classes, F.col("n"))
-        )
-        table = criteria.gini_candidates(histogram, ["node"], len(classes), layout=layout)
+        counted = histogram(melted, ["node"], layout, measures)
+        table = criteria.gini_candidates(counted, ["node"], len(classes), layout=layout)
         best = criteria.best_per_node(
             table,
             ["node"],
@@ -207,8 +206,8 @@ def grow_regression_tree(
         place = F.expr(Tree(nodes).place_sql(set(open_nodes))).alias("node")
         melted = criteria.melt_numeric(rows, features, [place, n, "m2", r], layout)
         melted = melted.filter(F.col("node").isNotNull())
-        histogram = melted.groupBy(*criteria.value_keys(["node"], layout)).agg(*sums)
-        table = criteria.loss_candidates(histogram, ["node"], layout=layout)
+        counted = histogram(melted, ["node"], layout, sums)
+        table = criteria.loss_candidates(counted, ["node"], layout=layout)
         payload = ["feature", "threshold", "n_low", "s_low", "loss_low", "n_high", "s_high", "loss_high"]
         best = criteria.best_per_node(
             table, ["node"], payload, ["share", "-feature", "threshold"]

@@ -74,9 +74,10 @@ class Layout:
 
 
 def lay_out(
-    frame: DataFrame, columns: Sequence[str], *, slices: int = SLICES, small_domain: int = SMALL_DOMAIN
+    frame: DataFrame, columns: Sequence[str], *, slices: int | None = None, small_domain: int | None = None
 ) -> Layout:
     """One pass for sizes; a second, over the wide columns alone, for their quantiles."""
+    slices, small_domain = slices or SLICES, small_domain or SMALL_DOMAIN
     aggregates = [F.count(F.lit(1)).alias("rows")]
     for i, name in enumerate(columns):
         scaled = f"CAST({quoted(name)} AS DOUBLE) * 1000D"

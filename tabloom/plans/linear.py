@@ -117,19 +117,17 @@ def fit_linear_descent(
     """
     m = moments(frame, features, label)
 
-    def cost(theta: np.ndarray) -> float:
-        return float(theta @ m.gram @ theta - 2 * theta @ m.cross + m.square)
-
-    theta = np.zeros(len(m.gram))
-    before, diverged, steps = cost(theta), False, 0
+    theta, diverged, steps = np.zeros(len(m.gram)), False, 0
     while steps < max_iterations:
-        following = theta - eta / m.rows * (m.gram @ theta - m.cross)
-        after = cost(following)
+        gap = m.gram @ theta - m.cross
+        move = -eta / m.rows * gap
+        # the fall of the squared error, taken from the move and not from two large costs
+        fell = -float(move @ m.gram @ move + 2 * move @ gap)
         steps += 1
-        if not after <= before:
+        if not fell >= 0:
             diverged = True
             break
-        theta, fell, before = following, before - after, after
+        theta = theta + move
         if fell < delta:
             break
     return LinearModel(

@@ -33,10 +33,11 @@ class Stacked:
     importances: DataFrame
 
 
-def in_parallel(tasks: Sequence[Callable]) -> list:
+def in_parallel(spark: SparkSession, tasks: Sequence[Callable]) -> list:
     """Run independent fits side by side, as Spark's own cross validator does."""
+    inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max_workers=min(PARALLEL_FITS, max(len(tasks), 1))) as pool:
-        running = [pool.submit(inheritable_thread_target(task)) for task in tasks]
+        running = [pool.submit(inherit(task)) for task in tasks]
         return [r.result() for r in running]
 
 
@@ -102,6 +103,7 @@ def average_columns(scored: DataFrame, key: str, arrays: bool) -> DataFrame:
 def fold_metrics(oof: DataFrame, label: str, prediction: str, metric: str, folds: int) -> DataFrame:
     """The metric per fold (1..k) and over all folds (fold 0)."""
     tables = in_parallel(
+        oof.sparkSession,
         [lambda: evaluate(oof, label, prediction, metric).withColumn("fold", F.lit(0))]
         + [
             lambda fold=fold: evaluate(
@@ -131,6 +133,7 @@ def stack_binary(
     """Fit one model per fold on the other folds; score the fold and the test table."""
     train = with_folds(train, key, label, folds, stratified)
     models = in_parallel(
+        train.sparkSession,
         [
             lambda fold=fold: learner.fit(train.filter(F.col("fold") != fold), features, label)
             for fold in range(folds)
@@ -200,6 +203,7 @@ def stack_multi(
     test scores their mean over the folds."""
     train = with_folds(train, key, label, folds, stratified)
     models = in_parallel(
+        train.sparkSession,
         [
             lambda fold=fold: learner.fit(train.filter(F.col("fold") != fold), features, label)
             for fold in range(folds)
@@ -239,7 +243,7 @@ def depth_sweep(
     scored = test.select(
         F.col(quoted(label)).alias("label"), *[trees[d].column().alias(f"depth_{d}") for d in depths]
     )
-    tables = in_parallel([lambda d=d: evaluate(scored, "label", f"depth_{d}", metric) for d in depths])
+    tables = in_parallel(train.sparkSession, [lambda d=d: evaluate(scored, "label", f"depth_{d}", metric) for d in depths])
     whole = None
     for depth, table in zip(depths, tables):
         row = table.select(F.lit(depth).alias("max_depth"), "name", "value")
@@ -290,6 +294,7 @@ def parameter_search(
     """(trial, setting, value): random settings of the space by cross-validated metric."""
     settings = draw(space, trials, seed)
     values = in_parallel(
+        frame.sparkSession,
         [
             lambda s=s: cross_validated(
                 frame, features, label, key, make_learner(s), folds=folds, metric=metric

@@ -12,7 +12,7 @@ from tabloom.catalog.tree_sql import cart_levels, route, stump_rounds
 from tabloom.operators import metrics
 from tabloom.operators.folds import in_holdout
 from tabloom.plans.learners import GbtLearner, RegressionTreeLearner, fit_model
-from tabloom.plans.selection import PerClassLearner, depth_sweep, parameter_search, stack_binary, stack_multi
+from tabloom.plans.selection import PerClassTrees, depth_sweep, parameter_search, stack_binary, stack_multi
 
 FEATURES = ["price", "month", "priority"]
 FOLDS = 3
@@ -166,7 +166,7 @@ def oof_stack_multi(spark, folder):
         FEATURES,
         "kind",
         "o_orderkey",
-        PerClassLearner(RegressionTreeLearner({"max_depth": 1}), range(CLASSES)),
+        PerClassTrees({"max_depth": 1}, range(CLASSES)),
         classes=CLASSES,
         folds=MULTI_FOLDS,
     )

@@ -11,102 +11,93 @@ from tabloom.operators.criteria import melt_numeric
 from tabloom.operators.ordered import add_slices, histogram, lay_out, running_totals
 
 
-def auc(frame: DataFrame, label: str, score: str) -> DataFrame:
-    """Area under the ROC curve, ties one half, as one row (auc).
+def auc(frame: DataFrame, label: str, score: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Area under the ROC curve, ties one half: one row (auc), or one per value of ``keys``.
 
     Rows are first counted per score.  The negatives below each score are a running
     total over slices of the score range, so continuous scores do not meet in one task.
     """
-    rows = frame.select(F.col(quoted(label)).alias("y"), F.col(quoted(score)).cast("double").alias("s")).dropna()
+    rows = frame.select(
+        *[quoted(k) for k in keys], F.col(quoted(label)).alias("y"), F.col(quoted(score)).cast("double").alias("s")
+    ).dropna(subset=["y", "s"])
     layout = lay_out(rows, ["s"])
-    melted = melt_numeric(add_slices(rows, layout), ["s"], ["y"], layout)
+    melted = melt_numeric(add_slices(rows, layout), ["s"], [*keys, "y"], layout)
     sides = ("count_if(y > 0) AS pos", "count_if(y <= 0) AS neg")
-    counted = histogram(melted, [], layout, [F.expr(e) for e in sides])
+    counted = histogram(melted, keys, layout, [F.expr(e) for e in sides])
     ranked = running_totals(
-        counted.values, ["feature"], ["x"], ["neg"], slice_column=layout.slice_column, by_slice=counted.by_slice
+        counted.values,
+        [*keys, "feature"],
+        ["x"],
+        ["neg"],
+        slice_column=layout.slice_column,
+        by_slice=counted.by_slice,
     )
-    return ranked.agg(
-        F.sum(F.col("pos").cast("double") * (F.col("neg_upto") - F.col("neg") / 2)).alias("pairs"),
-        F.sum("pos").cast("double").alias("positives"),
-        F.sum("neg").cast("double").alias("negatives"),
-    ).select((F.col("pairs") / F.nullif(F.col("positives") * F.col("negatives"), F.lit(0.0))).alias("auc"))
+    sums = ("sum(pos * (neg_upto - neg / 2D)) AS pairs", "CAST(sum(pos) AS DOUBLE) AS p", "CAST(sum(neg) AS DOUBLE) AS n")
+    return ranked.groupBy(*keys).agg(*[F.expr(e) for e in sums]).selectExpr(*keys, "pairs / nullif(p * n, 0D) AS auc")
 
 
-def accuracy(frame: DataFrame, label: str, prediction: str) -> DataFrame:
-    """One row (accuracy, error); a missing prediction is an error."""
+def accuracy(frame: DataFrame, label: str, prediction: str, keys: Sequence[str] = ()) -> DataFrame:
+    """One row (accuracy, error) per ``keys``; a missing prediction is an error."""
     right = F.coalesce((F.col(quoted(label)) == F.col(quoted(prediction))).cast("double"), F.lit(0.0))
-    return frame.agg(F.avg(right).alias("accuracy"), F.avg(1 - right).alias("error"))
+    return frame.groupBy(*keys).agg(F.avg(right).alias("accuracy"), F.avg(1 - right).alias("error"))
 
 
-def confusion(frame: DataFrame, label: str, prediction: str) -> DataFrame:
+def confusion(frame: DataFrame, label: str, prediction: str, keys: Sequence[str] = ()) -> DataFrame:
     """TP, FP and FN per class, over the classes of truth and prediction together."""
-    cells = frame.groupBy(F.col(quoted(label)).alias("truth"), F.col(quoted(prediction)).alias("guess")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    hit = F.coalesce(F.col("truth") == F.col("guess"), F.lit(False))
-    n, none = F.col("n"), F.lit(0)
-    sides = F.array(
-        F.struct(
-            F.col("truth").cast("string").alias("class"),
-            F.when(hit, n).otherwise(none).alias("tp"),
-            none.cast("long").alias("fp"),
-            F.when(hit, none).otherwise(n).alias("fn"),
-        ),
-        F.struct(
-            F.col("guess").cast("string").alias("class"),
-            none.cast("long").alias("tp"),
-            F.when(hit, none).otherwise(n).alias("fp"),
-            none.cast("long").alias("fn"),
-        ),
-    )
+    cells = frame.groupBy(
+        *keys, F.col(quoted(label)).alias("truth"), F.col(quoted(prediction)).alias("guess")
+    ).agg(F.count(F.lit(1)).alias("n"))
+    truth = "struct(CAST(truth AS STRING) AS class, IF(truth <=> guess, n, 0) AS tp, 0L AS fp, IF(truth <=> guess, 0, n) AS fn)"
+    guess = "struct(CAST(guess AS STRING) AS class, 0L AS tp, IF(truth <=> guess, 0, n) AS fp, 0L AS fn)"
     return (
-        cells.select(F.inline(sides))
-        .filter(F.col("class").isNotNull())
-        .groupBy("class")
+        cells.selectExpr(*keys, f"inline(array({truth}, {guess}))")
+        .filter("class IS NOT NULL")
+        .groupBy(*keys, "class")
         .agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn"))
     )
 
 
-PRECISION = "coalesce(tp / nullif(tp + fp, 0), 0D)"
-RECALL = "coalesce(tp / nullif(tp + fn, 0), 0D)"
-F1 = "coalesce(2D * tp / nullif(2 * tp + fp + fn, 0), 0D)"
+PRECISION = "coalesce(tp / nullif(tp + fp, 0), 0D) AS precision"
+RECALL = "coalesce(tp / nullif(tp + fn, 0), 0D) AS recall"
+F1 = "coalesce(2D * tp / nullif(2 * tp + fp + fn, 0), 0D) AS f1"
+
+
+def counted_classes(frame, label, prediction, classes, keys) -> DataFrame:
+    table = confusion(frame, label, prediction, keys)
+    return table if classes is None else table.filter(F.col("class").isin([str(c) for c in classes]))
 
 
 def f1_per_class(
-    frame: DataFrame, label: str, prediction: str, classes: Sequence | None = None
+    frame: DataFrame, label: str, prediction: str, classes: Sequence | None = None, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Precision, recall and F1 per class. ``classes`` limits which classes count."""
-    table = confusion(frame, label, prediction)
-    if classes is not None:
-        table = table.filter(F.col("class").isin([str(c) for c in classes]))
-    return table.select(
-        "class", F.expr(PRECISION).alias("precision"), F.expr(RECALL).alias("recall"), F.expr(F1).alias("f1")
-    )
+    table = counted_classes(frame, label, prediction, classes, keys)
+    return table.selectExpr(*keys, "class", PRECISION, RECALL, F1)
 
 
-def f1_micro(frame: DataFrame, label: str, prediction: str, classes: Sequence | None = None) -> DataFrame:
-    """F1 of the pooled counts, as one row (precision, recall, f1)."""
-    table = confusion(frame, label, prediction)
-    if classes is not None:
-        table = table.filter(F.col("class").isin([str(c) for c in classes]))
-    pooled = table.agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn"))
-    return pooled.select(
-        F.expr(PRECISION).alias("precision"), F.expr(RECALL).alias("recall"), F.expr(F1).alias("f1")
-    )
+def f1_micro(
+    frame: DataFrame, label: str, prediction: str, classes: Sequence | None = None, keys: Sequence[str] = ()
+) -> DataFrame:
+    """F1 of the pooled counts: one row (precision, recall, f1) per ``keys``."""
+    table = counted_classes(frame, label, prediction, classes, keys)
+    pooled = table.groupBy(*keys).agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn"))
+    return pooled.selectExpr(*keys, PRECISION, RECALL, F1)
 
 
-def f1_macro(frame: DataFrame, label: str, prediction: str, classes: Sequence | None = None) -> DataFrame:
-    """Unweighted mean of the classes' F1, as one row (f1)."""
-    return f1_per_class(frame, label, prediction, classes).agg(F.avg("f1").alias("f1"))
+def f1_macro(
+    frame: DataFrame, label: str, prediction: str, classes: Sequence | None = None, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Unweighted mean of the classes' F1: one row (f1) per ``keys``."""
+    return f1_per_class(frame, label, prediction, classes, keys).groupBy(*keys).agg(F.avg("f1").alias("f1"))
 
 
-def squared_error(frame: DataFrame, label: str, prediction: str) -> DataFrame:
-    """One row (mse, rmse)."""
+def squared_error(frame: DataFrame, label: str, prediction: str, keys: Sequence[str] = ()) -> DataFrame:
+    """One row (mse, rmse) per ``keys``."""
     gap = F.col(quoted(label)) - F.col(quoted(prediction))
-    return frame.agg(F.avg(gap * gap).alias("mse")).select("mse", F.sqrt("mse").alias("rmse"))
+    return frame.groupBy(*keys).agg(F.avg(gap * gap).alias("mse")).selectExpr(*keys, "mse", "sqrt(mse) AS rmse")
 
 
-Metric = Callable[[DataFrame, str, str], DataFrame]
+Metric = Callable[..., DataFrame]
 
 METRICS: dict[str, tuple[Metric, str, bool]] = {
     "auc": (auc, "auc", True),
@@ -120,15 +111,19 @@ METRICS: dict[str, tuple[Metric, str, bool]] = {
 
 
 def register_metric(name: str, metric: Metric, column: str, higher_is_better: bool) -> None:
-    """Add a metric of your own: a function of (frame, label, prediction) to one row."""
+    """Add a metric of your own: a function of (frame, label, prediction, keys=()) that
+    gives one row with ``column`` per value of the key columns."""
     METRICS[name] = (metric, column, higher_is_better)
 
 
-def evaluate(frame: DataFrame, label: str, prediction: str, name: str) -> DataFrame:
-    """One row (name, value, higher_is_better)."""
+def evaluate(frame: DataFrame, label: str, prediction: str, name: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Rows (keys.., name, value, higher_is_better): one, or one per value of ``keys``."""
     if name not in METRICS:
         raise ValueError(f"metric must be one of {sorted(METRICS)}")
     metric, column, higher = METRICS[name]
-    return metric(frame, label, prediction).select(
-        F.lit(name).alias("name"), F.col(column).alias("value"), F.lit(higher).alias("higher_is_better")
+    return metric(frame, label, prediction, keys=keys).select(
+        *[quoted(k) for k in keys],
+        F.lit(name).alias("name"),
+        F.col(column).alias("value"),
+        F.lit(higher).alias("higher_is_better"),
     )

@@ -20,13 +20,15 @@ from tabloom.operators.ordered import Layout, add_slices, lay_out
 FOLD_RATIO = 0.5
 
 
-def features_and_label(frame: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+def features_and_label(
+    frame: DataFrame, features: Sequence[str], label: str, carry: Sequence[str] = ()
+) -> DataFrame:
     """The columns a fit reads, labelled rows only; nothing else leaves the scan."""
     clash = [f for f in features if f.lower() in {"label", "n", "m", "m2", "node"}]
     if clash or len({f.lower() for f in features}) != len(features):
         raise ValueError(f"rename or deduplicate features: {clash or list(features)}")
     return frame.select(
-        *[F.col(quoted(f)) for f in features], F.col(quoted(label)).alias("label")
+        *[F.col(quoted(f)) for f in (*features, *carry)], F.col(quoted(label)).alias("label")
     ).filter(F.col("label").isNotNull())
 
 
@@ -34,12 +36,17 @@ def worth_folding(layout: Layout, per_vector: int = 1) -> bool:
     return layout.combinations * per_vector <= FOLD_RATIO * layout.rows
 
 
-def class_rows(frame: DataFrame, features: Sequence[str], label: str) -> tuple[DataFrame, Layout]:
-    """(features, label, n) rows, kept in memory and on disk for the fit."""
-    base = features_and_label(frame, features, label)
+def class_rows(
+    frame: DataFrame, features: Sequence[str], label: str, carry: Sequence[str] = ()
+) -> tuple[DataFrame, Layout]:
+    """(features, carry, label, n) rows, kept in memory and on disk for the fit.
+
+    ``carry`` columns have few values, such as a fold number.
+    """
+    base = features_and_label(frame, features, label, carry)
     layout = lay_out(base, features)
     if worth_folding(layout, per_vector=4):
-        rows = base.groupBy(*[quoted(f) for f in features], "label").agg(
+        rows = base.groupBy(*[quoted(f) for f in (*features, *carry)], "label").agg(
             F.count(F.lit(1)).cast("double").alias("n")
         )
     else:
@@ -47,22 +54,20 @@ def class_rows(frame: DataFrame, features: Sequence[str], label: str) -> tuple[D
     return add_slices(rows, layout).persist(StorageLevel.MEMORY_AND_DISK), layout
 
 
-def target_rows(frame: DataFrame, features: Sequence[str], label: str) -> tuple[DataFrame, Layout]:
-    """(features, n, m, m2) rows: count, mean and squared deviation of the target."""
-    base = features_and_label(frame, features, label)
+def target_rows(
+    frame: DataFrame, features: Sequence[str], label: str, carry: Sequence[str] = ()
+) -> tuple[DataFrame, Layout]:
+    """(features, carry, n, m, m2) rows: count, mean and squared deviation of the target."""
+    base = features_and_label(frame, features, label, carry)
     layout = lay_out(base, features)
     target = F.col("label").cast("double")
-    if worth_folding(layout):
-        rows = base.groupBy(*[quoted(f) for f in features]).agg(
+    kept = [quoted(f) for f in (*features, *carry)]
+    if worth_folding(layout, per_vector=4 if carry else 1):
+        rows = base.groupBy(*kept).agg(
             F.count(F.lit(1)).cast("double").alias("n"),
             F.avg(target).alias("m"),
             (F.var_pop(target) * F.count(F.lit(1))).alias("m2"),
         )
     else:
-        rows = base.select(
-            *[F.col(quoted(f)) for f in features],
-            F.lit(1.0).alias("n"),
-            target.alias("m"),
-            F.lit(0.0).alias("m2"),
-        )
+        rows = base.select(*kept, F.lit(1.0).alias("n"), target.alias("m"), F.lit(0.0).alias("m2"))
     return add_slices(rows, layout).persist(StorageLevel.MEMORY_AND_DISK), layout

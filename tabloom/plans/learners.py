@@ -21,7 +21,7 @@ from tabloom.operators.folds import in_holdout
 from tabloom.plans.boosting import fit_stump_booster, fit_tree_booster
 from tabloom.plans.linear import fit_logistic, fit_normal_equation
 from tabloom.plans.tree_model import Tree
-from tabloom.plans.trees import fit_category_tree, fit_class_tree, fit_regression_tree
+from tabloom.plans.trees import fit_category_tree, fit_class_tree, fit_fold_trees, fit_regression_tree
 
 
 @dataclass(frozen=True)
@@ -48,6 +48,9 @@ class RegressionTreeLearner:
     def fit(self, frame: DataFrame, features: Sequence[str], label: str) -> TreeScore:
         return TreeScore(fit_regression_tree(frame, features, label, **self.options))
 
+    def fit_folds(self, train: DataFrame, features: Sequence[str], label: str, folds: int) -> list[TreeScore]:
+        return [TreeScore(t) for t in fit_fold_trees(train, features, label, folds, **self.options)]
+
 
 PLAIN_FITS = {
     "ID3": lambda frame, features, label, **o: fit_category_tree(frame, features, label, "ID3", **o),

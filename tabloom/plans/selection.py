@@ -8,20 +8,17 @@ from __future__ import annotations
 
 import random
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tabloom.functions import quoted
 from tabloom.operators.folds import fold_of, stratified_folds
 from tabloom.operators.metrics import evaluate
 from tabloom.functions.encode import first_argmax
-from tabloom.plans.trees import fit_tree_depths
-
-PARALLEL_FITS = 4
-
+from tabloom.plans.learners import TreeScore
+from tabloom.plans.trees import fit_fold_trees, fit_tree_depths
+from tabloom.session import in_parallel
 
 @dataclass(frozen=True)
 class Stacked:
@@ -33,14 +30,6 @@ class Stacked:
     importances: DataFrame
 
 
-def in_parallel(spark: SparkSession, tasks: Sequence[Callable]) -> list:
-    """Run independent fits side by side, as Spark's own cross validator does."""
-    inherit = inheritable_thread_target(spark)
-    with ThreadPoolExecutor(max_workers=min(PARALLEL_FITS, max(len(tasks), 1))) as pool:
-        running = [pool.submit(inherit(task)) for task in tasks]
-        return [r.result() for r in running]
-
-
 def with_folds(train: DataFrame, key: str, label: str, folds: int, stratified: bool) -> DataFrame:
     if stratified:
         return stratified_folds(train, key, label, folds)
@@ -100,22 +89,24 @@ def average_columns(scored: DataFrame, key: str, arrays: bool) -> DataFrame:
     return scored.select(quoted(key), F.transform(total, lambda a: a / len(names)).alias("score"))
 
 
-def fold_metrics(oof: DataFrame, label: str, prediction: str, metric: str, folds: int) -> DataFrame:
-    """The metric per fold (1..k) and over all folds (fold 0)."""
-    tables = in_parallel(
-        oof.sparkSession,
-        [lambda: evaluate(oof, label, prediction, metric).withColumn("fold", F.lit(0))]
-        + [
-            lambda fold=fold: evaluate(
-                oof.filter(F.col("fold") == fold), label, prediction, metric
-            ).withColumn("fold", F.lit(fold + 1))
+def fold_metrics(oof: DataFrame, label: str, prediction: str, metric: str) -> DataFrame:
+    """The metric per fold (1..k), from one grouped evaluation, and over all rows (fold 0)."""
+    whole = evaluate(oof, label, prediction, metric).select(F.lit(0).alias("fold"), "name", "value")
+    parts = evaluate(oof, label, prediction, metric, ["fold"]).select((F.col("fold") + 1).alias("fold"), "name", "value")
+    return whole.unionByName(parts)
+
+
+def fold_models(train: DataFrame, features: Sequence[str], label: str, learner, folds: int) -> list:
+    """One model per fold, fitted on the other folds."""
+    if hasattr(learner, "fit_folds"):
+        return learner.fit_folds(train, features, label, folds)
+    return in_parallel(
+        train.sparkSession,
+        [
+            lambda fold=fold: learner.fit(train.filter(F.col("fold") != fold), features, label)
             for fold in range(folds)
-        ]
+        ],
     )
-    whole = tables[0]
-    for table in tables[1:]:
-        whole = whole.unionByName(table)
-    return whole.select("fold", "name", "value")
 
 
 def stack_binary(
@@ -132,19 +123,13 @@ def stack_binary(
 ) -> Stacked:
     """Fit one model per fold on the other folds; score the fold and the test table."""
     train = with_folds(train, key, label, folds, stratified)
-    models = in_parallel(
-        train.sparkSession,
-        [
-            lambda fold=fold: learner.fit(train.filter(F.col("fold") != fold), features, label)
-            for fold in range(folds)
-        ]
-    )
+    models = fold_models(train, features, label, learner, folds)
     oof = fold_scores(train, models, [key, label])
     scored = average_columns(mean_scores(test, models, key), key, arrays=False)
     return Stacked(
         oof,
         scored,
-        fold_metrics(oof, label, "score", metric, folds),
+        fold_metrics(oof, label, "score", metric),
         importance_table(train.sparkSession, models, features),
     )
 
@@ -167,23 +152,15 @@ class OneTreePerClass:
 
 
 @dataclass(frozen=True)
-class PerClassLearner:
-    """Turns a learner of a numeric target into a multiclass one, one indicator per class."""
+class PerClassTrees:
+    """One regression tree per class indicator and fold; all share one prepared table."""
 
-    base: object
+    options: Mapping
     classes: Sequence
 
-    def fit(self, frame: DataFrame, features: Sequence[str], label: str) -> OneTreePerClass:
-        return OneTreePerClass(
-            [
-                self.base.fit(
-                    frame.withColumn("is_class", (F.col(quoted(label)) == F.lit(c)).cast("int")),
-                    features,
-                    "is_class",
-                )
-                for c in self.classes
-            ]
-        )
+    def fit_folds(self, train: DataFrame, features: Sequence[str], label: str, folds: int) -> list[OneTreePerClass]:
+        grown = fit_fold_trees(train, features, label, folds, list(self.classes), **self.options)
+        return [OneTreePerClass([TreeScore(tree) for tree in trees]) for trees in grown]
 
 
 def stack_multi(
@@ -202,13 +179,7 @@ def stack_multi(
     """As ``stack_binary`` for labels 0..classes-1: scores are arrays over the classes, the
     test scores their mean over the folds."""
     train = with_folds(train, key, label, folds, stratified)
-    models = in_parallel(
-        train.sparkSession,
-        [
-            lambda fold=fold: learner.fit(train.filter(F.col("fold") != fold), features, label)
-            for fold in range(folds)
-        ]
-    )
+    models = fold_models(train, features, label, learner, folds)
     oof = fold_scores(train, models, [key, label]).withColumn("predicted", first_argmax(F.col("score")))
     if all(hasattr(m, "column") for m in models):
         means = []
@@ -223,7 +194,7 @@ def stack_multi(
     return Stacked(
         oof,
         scored,
-        fold_metrics(oof, label, "predicted", metric, folds),
+        fold_metrics(oof, label, "predicted", metric),
         importance_table(train.sparkSession, models, features),
     )
 
@@ -243,12 +214,9 @@ def depth_sweep(
     scored = test.select(
         F.col(quoted(label)).alias("label"), *[trees[d].column().alias(f"depth_{d}") for d in depths]
     )
-    tables = in_parallel(train.sparkSession, [lambda d=d: evaluate(scored, "label", f"depth_{d}", metric) for d in depths])
-    whole = None
-    for depth, table in zip(depths, tables):
-        row = table.select(F.lit(depth).alias("max_depth"), "name", "value")
-        whole = row if whole is None else whole.unionByName(row)
-    return whole
+    pairs = ", ".join(f"struct({d} AS max_depth, depth_{d} AS guess)" for d in depths)
+    melted = scored.selectExpr("label", f"inline(array({pairs}))")
+    return evaluate(melted, "label", "guess", metric, ["max_depth"]).select("max_depth", "name", "value")
 
 
 def draw(space: Mapping[str, tuple], trials: int, seed: int) -> list[dict]:

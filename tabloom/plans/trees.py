@@ -6,19 +6,24 @@ split.  The driver sees one row per open node and level.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.functions import quoted
 from tabloom.operators import criteria
 from tabloom.operators.ordered import Layout, histogram
+from tabloom.session import in_parallel
 from tabloom.plans.compact import class_rows, features_and_label, target_rows
 from tabloom.plans.tree_model import Node, Tree
 
 MAX_CLASSES = 1_000
 MAX_CATEGORIES = 10_000
+# category combinations that fold to a small table whatever the number of rows
+FOLDED_ROWS = 10_000_000
 OBJECTIVES = ("binary", "regression")
 METHODS = ("ID3", "C4.5")
 
@@ -167,10 +172,48 @@ def fit_regression_tree(frame: DataFrame, features: Sequence[str], label: str, *
     params = TreeParams(**options)
     rows, layout = target_rows(frame, features, label)
     try:
-        mean = rows.agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("mean")).first()["mean"]
-        if mean is None:
-            raise ValueError("no labelled rows to fit")
-        return grow_regression_tree(rows, features, F.col("m") - F.lit(mean), mean, layout, params)
+        return grow_mean_tree(rows, features, layout, params)
+    finally:
+        rows.unpersist()
+
+
+def grow_mean_tree(rows: DataFrame, features: Sequence[str], layout: Layout, params: TreeParams) -> Tree:
+    """A regression tree of the rows' own target, centred on its mean."""
+    mean = rows.agg(F.expr("sum(n * m) / sum(n) AS mean")).first()["mean"]
+    if mean is None:
+        raise ValueError("no labelled rows to fit")
+    return grow_regression_tree(rows, features, F.col("m") - F.lit(mean), mean, layout, params)
+
+
+def fit_fold_trees(
+    frame: DataFrame, features: Sequence[str], label: str, folds: int, classes: Sequence | None = None, **options
+) -> list:
+    """A regression tree per fold of the ``fold`` column, each without its own fold; with
+    ``classes`` a list of trees per fold, one per class indicator.
+
+    All fits read one kept table, so the rows are prepared and stored once, not per fold.
+    """
+    params = TreeParams(**options)
+    if classes is None:
+        rows, layout = target_rows(frame, features, label, ["fold"])
+    else:
+        rows, layout = class_rows(frame, features, label, ["fold"])
+    try:
+        jobs = []
+        for fold in range(folds):
+            others = rows.filter(F.col("fold") != fold)
+            if classes is None:
+                jobs.append(others)
+                continue
+            for value in classes:
+                indicator = {"m": (F.col("label") == F.lit(value)).cast("double"), "m2": F.lit(0.0)}
+                jobs.append(others.withColumns(indicator))
+        trees = in_parallel(
+            frame.sparkSession, [lambda r=r: grow_mean_tree(r, features, layout, params) for r in jobs]
+        )
+        if classes is None:
+            return trees
+        return [trees[k * len(classes) : (k + 1) * len(classes)] for k in range(folds)]
     finally:
         rows.unpersist()
 
@@ -272,10 +315,13 @@ def fit_category_tree(
         raise ValueError(f"method must be one of {METHODS}")
     base = features_and_label(frame, features, label)
     domains = category_domains(base, features)
-    rows = base.groupBy(*[f"`{f}`" for f in features], "label").agg(
-        F.count(F.lit(1)).cast("double").alias("n")
-    )
-    rows = rows.persist()
+    if math.prod(max(len(d), 1) for d in domains.values()) <= FOLDED_ROWS:
+        rows = base.groupBy(*[quoted(f) for f in features], "label").agg(
+            F.count(F.lit(1)).cast("double").alias("n")
+        )
+    else:
+        rows = base.withColumn("n", F.lit(1.0))
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return grow_category_tree(rows, features, domains, method, delta, above_average_gain)
     finally:

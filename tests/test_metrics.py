@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tabloom.operators import metrics, ordered, stats
 
@@ -58,7 +59,7 @@ def test_quartiles_are_exact(spark, wide, monkeypatch):
 
 
 def test_own_metric_joins_the_registry(example):
-    metrics.register_metric("misses", lambda f, y, p: f.selectExpr(f"count_if({y} <> {p}) AS misses"), "misses", False)
+    metrics.register_metric("misses", lambda f, y, p, keys=(): f.groupBy(*keys).agg(F.expr(f"count_if({y} <> {p}) AS misses")), "misses", False)
     try:
         row = metrics.evaluate(example, "y", "p", "misses").first()
         assert (row["name"], row["value"], row["higher_is_better"]) == ("misses", 6, False)
@@ -71,3 +72,14 @@ def test_own_metric_joins_the_registry(example):
 def test_missing_prediction_counts_as_an_error(spark):
     frame = spark.createDataFrame([(1, 1), (0, None)], "y int, p int")
     assert tuple(metrics.accuracy(frame, "y", "p").first()) == (0.5, 0.5)
+
+
+def test_metrics_by_key_equal_metrics_of_the_parts(spark):
+    generator = random.Random(9)
+    rows = [(i % 3, generator.randint(0, 1), generator.randint(0, 9) / 9) for i in range(150)]
+    frame = spark.createDataFrame(rows, "part int, y int, s double").withColumn("p", (F.col("s") > 0.5).cast("int"))
+    for name, column in (("auc", "s"), ("f1_macro", "p"), ("f1_micro", "p"), ("error", "p"), ("rmse", "s")):
+        together = {r["part"]: r["value"] for r in metrics.evaluate(frame, "y", column, name, ["part"]).collect()}
+        for part in range(3):
+            alone = metrics.evaluate(frame.filter(F.col("part") == part), "y", column, name).first()["value"]
+            assert together[part] == pytest.approx(alone, abs=1e-12)

@@ -8,6 +8,7 @@ from tabloom.catalog import LINE_FEATURES, PLANTED_LABEL, PLANTED_TARGET, lines,
 from tabloom.functions import encode
 from tabloom.operators import criteria, ordered
 from tabloom.plans.boosting import Stump, StumpBooster
+from tabloom.plans.compact import category_rows
 from tabloom.plans.trees import category_domains
 
 CATEGORIES = ["flag", "status", "quantity", "discount", "tax"]
@@ -36,8 +37,10 @@ def categories(spark, folder):
 
 
 def category_counts(spark, folder):
-    rows = criteria.melt_text(categories(spark, folder), CATEGORIES, ["y"])
-    return rows.groupBy("feature", "value").agg(*criteria.class_measures(F.col("y"), [0, 1], F.lit(1.0)))
+    """Class counts per (feature, value), melted after equal rows are folded."""
+    folded = category_rows(categories(spark, folder), CATEGORIES, "y")
+    rows = criteria.melt_text(folded, CATEGORIES, ["label", "n"])
+    return rows.groupBy("feature", "value").agg(*criteria.class_measures(F.col("label"), [0, 1], F.col("n")))
 
 
 @query(
@@ -47,8 +50,7 @@ def category_counts(spark, folder):
         FROM d LEFT JOIN l ON d.feature = l.feature AND d.value = l.value AND l.y IS NOT NULL GROUP BY ALL""",
 )
 def class_counts(spark, folder):
-    rows = categories(spark, folder)
-    domains = category_domains(rows, CATEGORIES)
+    domains = category_domains(category_rows(categories(spark, folder), CATEGORIES, "y"), CATEGORIES)
     declared = [(i, v) for i, c in enumerate(CATEGORIES) for v in domains[c]]
     domain = spark.createDataFrame(declared, "feature int, value string")
     counts = category_counts(spark, folder)

@@ -196,8 +196,9 @@ def stump_candidates(histogram: Histogram, keys: Sequence[str], *, layout: Layou
     return table.selectExpr(*keys, "feature", "threshold", f"inline(array({above}, {below}))")
 
 
-def category_gains(counts: DataFrame, keys: Sequence[str], classes: int) -> DataFrame:
-    """Gain, intrinsic value and gain ratio per (keys, feature) from class counts per value.
+def category_gains(counts: DataFrame, keys: Sequence[str], classes: int, *more: Column) -> DataFrame:
+    """Gain, intrinsic value and gain ratio per (keys, feature) from class counts per value;
+    ``more`` are further aggregates per feature.
 
     ``counts`` has one row per (keys, feature, value) with class counts ``c0, c1, ..``.
     Entropies are taken from sums of x log2 x, so one aggregation gives all three.
@@ -215,6 +216,7 @@ def category_gains(counts: DataFrame, keys: Sequence[str], classes: int) -> Data
         *[F.sum(name).alias(name) for name in names],
         F.sum(xlogx(size)).alias("value_part"),
         F.sum(inner).alias("cell_part"),
+        *more,
     )
     n = added(names)
     entropy = entropy_term(F.col(names[0]) / n)

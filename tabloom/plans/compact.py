@@ -9,6 +9,7 @@ continuous features grouping would only add a shuffle; then rows stay as they ar
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -18,6 +19,8 @@ from tabloom.functions import quoted
 from tabloom.operators.ordered import Layout, add_slices, lay_out
 
 FOLD_RATIO = 0.5
+# category combinations that make a small table whatever the number of rows
+FOLDED_ROWS = 10_000_000
 
 
 def features_and_label(
@@ -71,3 +74,14 @@ def target_rows(
     else:
         rows = base.select(*kept, F.lit(1.0).alias("n"), target.alias("m"), F.lit(0.0).alias("m2"))
     return add_slices(rows, layout).persist(StorageLevel.MEMORY_AND_DISK), layout
+
+
+def category_rows(frame: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """(features, label, n) rows of categorical columns, folded when few combinations exist."""
+    base = features_and_label(frame, features, label)
+    sizes = base.agg(*[F.approx_count_distinct(quoted(f)).alias(f"d{i}") for i, f in enumerate(features)]).first()
+    if math.prod(max(size, 1) for size in sizes) > FOLDED_ROWS:
+        return base.withColumn("n", F.lit(1.0))
+    return base.groupBy(*[quoted(f) for f in features], "label").agg(
+        F.count(F.lit(1)).cast("double").alias("n")
+    )

@@ -6,7 +6,6 @@ split.  The driver sees one row per open node and level.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
@@ -17,13 +16,11 @@ from tabloom.functions import quoted
 from tabloom.operators import criteria
 from tabloom.operators.ordered import Layout, histogram
 from tabloom.session import in_parallel
-from tabloom.plans.compact import class_rows, features_and_label, target_rows
+from tabloom.plans.compact import category_rows, class_rows, target_rows
 from tabloom.plans.tree_model import Node, Tree
 
 MAX_CLASSES = 1_000
 MAX_CATEGORIES = 10_000
-# category combinations that fold to a small table whatever the number of rows
-FOLDED_ROWS = 10_000_000
 OBJECTIVES = ("binary", "regression")
 METHODS = ("ID3", "C4.5")
 
@@ -285,12 +282,11 @@ def grow_regression_tree(
 
 
 def category_domains(frame: DataFrame, features: Sequence[str]) -> dict[str, list[str]]:
-    """All values of each categorical column, as text, from the whole training table."""
+    """All values of each categorical column, as text."""
     values = criteria.melt_text(frame, features, []).distinct()
-    limit = MAX_CATEGORIES
-    found = values.orderBy("feature", "value").limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} categories in {list(features)}: bin the columns first")
+    found = values.orderBy("feature", "value").limit(MAX_CATEGORIES + 1).collect()
+    if len(found) > MAX_CATEGORIES:
+        raise ValueError(f"more than {MAX_CATEGORIES} categories in {list(features)}: bin the columns first")
     domains: dict[str, list[str]] = {f: [] for f in features}
     for row in found:
         domains[features[row["feature"]]].append(row["value"])
@@ -313,16 +309,9 @@ def fit_category_tree(
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
-    base = features_and_label(frame, features, label)
-    domains = category_domains(base, features)
-    if math.prod(max(len(d), 1) for d in domains.values()) <= FOLDED_ROWS:
-        rows = base.groupBy(*[quoted(f) for f in features], "label").agg(
-            F.count(F.lit(1)).cast("double").alias("n")
-        )
-    else:
-        rows = base.withColumn("n", F.lit(1.0))
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = category_rows(frame, features, label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        domains = category_domains(rows, features)
         return grow_category_tree(rows, features, domains, method, delta, above_average_gain)
     finally:
         rows.unpersist()
@@ -348,11 +337,9 @@ def grow_category_tree(rows, features, domains, method, delta, above_average_gai
         table = melted.groupBy("node", "feature", "value").agg(
             *criteria.class_measures(F.col("label"), classes, F.col("n"))
         )
-        gains = criteria.category_gains(table, ["node"], len(classes))
-        branches = table.groupBy("node", "feature").agg(
-            F.collect_list(F.struct("value", *names)).alias("branches")
-        )
-        gains = gains.drop(*names).join(branches, ["node", "feature"])
+        # a feature's categories are few: fit_category_tree has counted them
+        branches = F.collect_list(F.struct("value", *names)).alias("branches")
+        gains = criteria.category_gains(table, ["node"], len(classes), branches)
         options: dict[int, list] = {}
         for row in gains.collect():
             options.setdefault(row["node"], []).append(row)

@@ -36,9 +36,8 @@ def categories(spark, folder):
     )
 
 
-def category_counts(spark, folder):
+def category_counts(folded):
     """Class counts per (feature, value), melted after equal rows are folded."""
-    folded = category_rows(categories(spark, folder), CATEGORIES, "y")
     rows = criteria.melt_text(folded, CATEGORIES, ["label", "n"])
     return rows.groupBy("feature", "value").agg(*criteria.class_measures(F.col("label"), [0, 1], F.col("n")))
 
@@ -50,10 +49,11 @@ def category_counts(spark, folder):
         FROM d LEFT JOIN l ON d.feature = l.feature AND d.value = l.value AND l.y IS NOT NULL GROUP BY ALL""",
 )
 def class_counts(spark, folder):
-    domains = category_domains(category_rows(categories(spark, folder), CATEGORIES, "y"), CATEGORIES)
+    folded = category_rows(categories(spark, folder), CATEGORIES, "y")
+    domains = category_domains(folded, CATEGORIES)
     declared = [(i, v) for i, c in enumerate(CATEGORIES) for v in domains[c]]
     domain = spark.createDataFrame(declared, "feature int, value string")
-    counts = category_counts(spark, folder)
+    counts = category_counts(folded)
     return domain.join(counts, ["feature", "value"], "left").select(
         "feature",
         "value",
@@ -63,7 +63,8 @@ def class_counts(spark, folder):
 
 
 def gains(spark, folder):
-    return criteria.category_gains(category_counts(spark, folder), [], 2)
+    folded = category_rows(categories(spark, folder), CATEGORIES, "y")
+    return criteria.category_gains(category_counts(folded), [], 2)
 
 
 GAINS = f"""WITH l AS ({CATEGORY_LONG}),

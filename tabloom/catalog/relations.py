@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabloom.catalog import EVENTS_WITH_GAPS, LINE_FEATURES, events_with_gaps, lines, query, r6, table
+from tabloom.catalog import EVENTS_WITH_GAPS, events_with_gaps, query, r6, table
 from tabloom.functions import hash_bucket
+from tabloom.functions.encode import mode_row
 from tabloom.operators import criteria, ordered, stats
 from tabloom.sources import tables
 
@@ -82,7 +83,7 @@ def bind_scores(spark, folder):
 
 @query(
     "fill_submission",
-    """SELECT doc_id, l.score FROM documents d LEFT JOIN (SELECT doc_id AS id, round_even(0.25 + 0.5 * quality, 6) AS score
+    """SELECT doc_id, l.score FROM documents d LEFT JOIN (SELECT doc_id AS id, 0.25::DOUBLE + 0.5::DOUBLE * quality AS score
        FROM labels) l ON d.doc_id = l.id""",
 )
 def fill_submission(spark, folder):
@@ -106,8 +107,6 @@ def value_counts(spark, folder):
         GROUP BY event_type ORDER BY count(*) DESC, event_type LIMIT 1""",
 )
 def mode_value(spark, folder):
-    from tabloom.functions.encode import mode_row
-
     return mode_row(events_with_gaps(spark, folder), "event_type")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabloom.catalog import LINE_FEATURES, PLANTED_LABEL, lines, query, r6, table
+from tabloom.catalog import LINE_FEATURES, lines, query, r6, table
 from tabloom.catalog.boosting import SIGNED_ROWS
 from tabloom.catalog.linear import DOCUMENT_FEATURES, labelled_documents
 from tabloom.catalog.trees import LABEL_ROWS

@@ -25,6 +25,7 @@ ALPHA_CAP = 20.0
 STEPS = [0.5 + 0.05 * i for i in range(90)]
 TREES_PER_CHECKPOINT = 5
 LEAVES_PER_PROJECTION = 64
+ROUNDS_PER_PASS = 20
 LOSSES = ("square loss",)
 
 
@@ -149,13 +150,27 @@ def best_stump(rows: DataFrame, features: Sequence[str], booster: StumpBooster,
 
 
 def error_curve(frame: DataFrame, label: str, booster: StumpBooster) -> DataFrame:
-    """Error rate of the first 1, 2, .. stumps, from one pass over the table."""
+    """Error rate of the first 1, 2, .. stumps: one pass over the table per 20 rounds.
+
+    A pass starts from the margin of all earlier rounds, so its expressions stay small.
+    """
     truth = F.when(F.col(quoted(label)) > 0, 1).otherwise(0)
-    rounds = range(1, len(booster.stumps) + 1)
-    wrong = [F.avg((booster.vote(r) != truth).cast("double")).alias(f"r{r}") for r in rounds]
-    wide = frame.filter(F.col(quoted(label)).isNotNull()).agg(*wrong)
-    pairs = F.array(*[F.struct(F.lit(r).alias("round"), F.col(f"r{r}").alias("error")) for r in rounds])
-    return wide.select(F.inline(pairs))
+    labelled = frame.filter(F.col(quoted(label)).isNotNull())
+    curve = None
+    for low in range(0, len(booster.stumps), ROUNDS_PER_PASS):
+        group = booster.stumps[low : low + ROUNDS_PER_PASS]
+        votes = [StumpBooster((stump,)).margin().alias(f"v{stump.round}") for stump in group]
+        rows = labelled.select(truth.alias("truth"), booster.margin(low).alias("margin"), *votes)
+        sums = ["margin"]
+        wrong = []
+        for stump in group:
+            sums.append(f"v{stump.round}")
+            miss = f"IF({' + '.join(sums)} >= 0, 1, 0) <> truth"
+            wrong.append(F.expr(f"avg(IF({miss}, 1D, 0D)) AS r{stump.round}"))
+        pairs = ", ".join(f"struct({s.round} AS round, r{s.round} AS error)" for s in group)
+        part = rows.agg(*wrong).selectExpr(f"inline(array({pairs}))")
+        curve = part if curve is None else curve.unionByName(part)
+    return curve
 
 
 @dataclass(frozen=True)

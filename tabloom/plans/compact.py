@@ -15,9 +15,11 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
-from tabloom.functions import quoted
+from tabloom.functions import nan_to_null, quoted
 from tabloom.operators.ordered import Layout, add_slices, lay_out
 
+# columns that the fits add to a table
+OWN_NAMES = {"label", "n", "m", "m2", "r", "node", "score", "sign", "w", "fold"}
 FOLD_RATIO = 0.5
 # category combinations that make a small table whatever the number of rows
 FOLDED_ROWS = 10_000_000
@@ -27,12 +29,12 @@ def features_and_label(
     frame: DataFrame, features: Sequence[str], label: str, carry: Sequence[str] = ()
 ) -> DataFrame:
     """The columns a fit reads, labelled rows only; nothing else leaves the scan."""
-    clash = [f for f in features if f.lower() in {"label", "n", "m", "m2", "node"}]
+    clash = [f for f in features if f.lower() in OWN_NAMES]
     if clash or len({f.lower() for f in features}) != len(features):
         raise ValueError(f"rename or deduplicate features: {clash or list(features)}")
-    return frame.select(
-        *[F.col(quoted(f)) for f in (*features, *carry)], F.col(quoted(label)).alias("label")
-    ).filter(F.col("label").isNotNull())
+    columns = [F.col(quoted(f)) for f in (*features, *carry)]
+    # NaN would sort above every number and take the right branch
+    return nan_to_null(frame.select(*columns, F.col(quoted(label)).alias("label"))).filter("label IS NOT NULL")
 
 
 def worth_folding(layout: Layout, per_vector: int = 1) -> bool:

@@ -183,6 +183,19 @@ def test_missing_values_match_no_rule(spark):
     assert [r["prediction"] for r in tree.score(rows, fallback=0).collect()] == [0, 1, 0]
 
 
+def test_nan_is_a_missing_value(spark):
+    rows = [(float(i), int(i > 4)) for i in range(10)] + [(float("nan"), 0), (None, 0)]
+    frame = spark.createDataFrame(rows, "a double, y int")
+    tree = fit_class_tree(frame, ["a"], "y")
+    assert [(n.rule, n.n) for n in tree.nodes] == [(None, 12), ("a <= 4.5", 5), ("a > 4.5", 5)]
+
+
+def test_names_the_fits_use_are_refused(spark):
+    frame = spark.createDataFrame([(1.0, 0), (2.0, 1)], "node double, y int")
+    with pytest.raises(ValueError, match="rename"):
+        fit_class_tree(frame, ["node"], "y")
+
+
 def test_wrong_parameters_are_refused(spark, melon):
     with pytest.raises(ValueError):
         fit_tree(melon, MELON_FEATURES, "haogua", "ranking")

@@ -81,7 +81,7 @@ def cart_nodes(prefix: str, features: Sequence[str], target: str, depth: int, ki
     if kind == "class":
         guess = "CASE WHEN {s} > {n} - {s} THEN 1 ELSE 0 END::DOUBLE"
     else:
-        guess = "round_even({s} / {n}, 6) + 0.0"
+        guess = "round_even(round({s} / {n}, 8), 6) + 0.0"
     parts = [
         f"""SELECT 1::BIGINT AS node_id, 0::BIGINT AS parent_id, 0 AS depth, '' AS feature, '' AS op, 0.0::DOUBLE AS value,
             {guess.format(s=f"sum({target})", n="count(*)")} AS prediction, count(*)::BIGINT AS n FROM {prefix}_rows0"""

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.functions import entropy_term, half_even, quoted
-from tabloom.operators.ordered import Histogram, Layout, running_totals, slice_by_feature
+from tabloom.operators.ordered import Histogram, Layout, running_totals, slice_melted
 
 
 def melt_numeric(
@@ -120,7 +120,7 @@ def mixed_totals(
     threshold = f"struct({cut_sql(layout, digits)} AS at, {threshold_rank} AS rank, {empty})"
     points = paired.selectExpr(*groups, f"inline(array({value}, {threshold}))").filter("at IS NOT NULL")
     if layout.sliced:
-        points = points.withColumn("slice", slice_by_feature(F.col("feature"), F.col("at"), layout.boundaries))
+        points = slice_melted(points, layout, "at")
     return (
         running_totals(points, groups, ["at", "rank"], measures, slice_column=layout.slice_column)
         .filter(f"rank = {threshold_rank}")

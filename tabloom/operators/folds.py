@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tabloom.functions import hash_bucket, quoted
 
 PARTS_PER_UNIT = 10_000
+PREFIX_DIGITS = 4
 
 
 def in_holdout(key: Column, share: float, salt: str = "") -> Column:
@@ -21,12 +22,12 @@ def fold_of(key: Column, folds: int, salt: str = "") -> Column:
 def stratified_folds(frame: DataFrame, key: str, label: str, folds: int) -> DataFrame:
     """Add ``fold``: rows of a class in md5 order, dealt out 0, 1, .., folds-1, 0, ..
 
-    One class may hold most rows, so the md5 order is cut by its first three hex digits:
+    One class may hold most rows, so the md5 order is cut by its first four hex digits:
     rows are numbered inside (class, prefix) and shifted by the sizes of the smaller
-    prefixes, a table of at most classes x 4096 rows.
+    prefixes, a table of at most classes x 65536 rows.
     """
     digest = F.md5(F.col(quoted(key)).cast("string"))
-    rows = frame.withColumn("digest", digest).withColumn("prefix", F.substring("digest", 1, 3))
+    rows = frame.withColumn("digest", digest).withColumn("prefix", F.substring("digest", 1, PREFIX_DIGITS))
     local = [quoted(label), "prefix"]
     sizes = rows.groupBy(*local).agg(F.count(F.lit(1)).alias("size"))
     before = Window.partitionBy(quoted(label)).orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)

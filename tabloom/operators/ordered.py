@@ -19,8 +19,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.functions import quoted
 
-SLICES = 128
 SMALL_DOMAIN = 20_000
+# at least SLICES slices, and more so that a slice holds about VALUES_PER_SLICE values
+SLICES, MAX_SLICES, VALUES_PER_SLICE = 128, 8192, 1_000_000
 INFINITY = float("inf")
 
 
@@ -77,7 +78,7 @@ def lay_out(
     frame: DataFrame, columns: Sequence[str], *, slices: int | None = None, small_domain: int | None = None
 ) -> Layout:
     """One pass for sizes; a second, over the wide columns alone, for their quantiles."""
-    slices, small_domain = slices or SLICES, small_domain or SMALL_DOMAIN
+    small_domain = small_domain or SMALL_DOMAIN
     aggregates = [F.count(F.lit(1)).alias("rows")]
     for i, name in enumerate(columns):
         scaled = f"CAST({quoted(name)} AS DOUBLE) * 1000D"
@@ -88,15 +89,19 @@ def lay_out(
     boundaries: list[tuple[float, ...]] = [()] * len(columns)
     wide = [i for i, count in enumerate(distinct) if count > small_domain]
     if wide:
+        needed = max(distinct[i] for i in wide) // VALUES_PER_SLICE
+        slices = slices or max(SLICES, min(needed, MAX_SLICES))
         steps = [i / slices for i in range(1, slices)]
         cuts = frame.agg(
             *[
-                F.percentile_approx(F.col(quoted(columns[i])).cast("double"), steps, 10_000).alias(f"q{i}")
+                F.percentile_approx(
+                    F.col(quoted(columns[i])).cast("double"), steps, max(10_000, 10 * slices)
+                ).alias(f"q{i}")
                 for i in wide
             ]
         ).first()
         for i in wide:
-            boundaries[i] = tuple(sorted(set(cuts[f"q{i}"])))
+            boundaries[i] = tuple(sorted({b for b in cuts[f"q{i}"] if math.isfinite(b)}))
     three_decimals = tuple((row[f"g{i}"] or 0.0) <= 1e-5 for i in range(len(columns)))
     return Layout(tuple(columns), int(row["rows"]), distinct, tuple(boundaries), three_decimals)
 
@@ -107,44 +112,30 @@ def add_slices(frame: DataFrame, layout: Layout) -> DataFrame:
     ``Bucketizer`` puts a boundary into the upper slice; its splits are the next larger
     doubles, so here the boundary closes the lower one.
     """
-    wide = [i for i, points in enumerate(layout.boundaries) if points]
-    if not wide:
+    names = layout.slice_names()
+    if not names:
         return frame
-    names = [f"slice_{i}" for i in wide]
-    cutter = Bucketizer(
-        inputCols=[layout.columns[i] for i in wide],
-        outputCols=names,
-        splitsArray=[
-            [-INFINITY, *[math.nextafter(b, INFINITY) for b in layout.boundaries[i]], INFINITY] for i in wide
-        ],
-        handleInvalid="keep",
-    )
-    return cutter.transform(frame).withColumns({n: F.col(n).cast("int") for n in names})
+    sliced = cutter(layout, [c for c, points in zip(layout.columns, layout.boundaries) if points], names)
+    return sliced.transform(frame).withColumns({n: F.col(n).cast("int") for n in names})
 
 
-def slice_index(value: Column, boundaries: Sequence[float]) -> Column:
-    """How many boundaries are below the value, as a balanced CASE tree: the slice of a
-    number that is not a table column."""
-
-    def between(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(value <= F.lit(float(boundaries[middle])), between(low, middle)).otherwise(
-            between(middle + 1, high)
-        )
-
-    return between(0, len(boundaries))
+def cutter(layout: Layout, inputs: Sequence[str], outputs: Sequence[str]) -> Bucketizer:
+    splits = [[math.nextafter(b, INFINITY) for b in points] for points in layout.boundaries if points]
+    return Bucketizer(
+        inputCols=list(inputs),
+        outputCols=list(outputs),
+        splitsArray=[[-INFINITY, *points, INFINITY] for points in splits],
+        handleInvalid="keep",
+    )
 
 
-def slice_by_feature(feature: Column, value: Column, boundaries: Sequence[Sequence[float]]) -> Column:
-    """``slice_index`` for rows that carry the feature's position beside its value."""
-    chosen = None
-    for position, points in enumerate(boundaries):
-        if points:
-            here, branch = feature == position, slice_index(value, points)
-            chosen = F.when(here, branch) if chosen is None else chosen.when(here, branch)
-    return F.lit(0) if chosen is None else chosen.otherwise(F.lit(0))
+def slice_melted(frame: DataFrame, layout: Layout, value: str) -> DataFrame:
+    """Add ``slice`` to rows that carry a feature's position beside a number of its range."""
+    names = layout.slice_names()
+    cut = cutter(layout, [value] * len(names), names).transform(frame)
+    positions = [i for i, points in enumerate(layout.boundaries) if points]
+    choice = " ".join(f"WHEN {i} THEN CAST(slice_{i} AS INT)" for i in positions)
+    return cut.selectExpr(*frame.columns, f"CASE feature {choice} ELSE 0 END AS slice")
 
 
 def running_totals(

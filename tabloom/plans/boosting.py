@@ -22,6 +22,7 @@ from tabloom.plans.trees import TreeParams, grow_regression_tree
 from tabloom.session import shared_dir
 
 ALPHA_CAP = 20.0
+# fixed values: the step search tries 0.5, 0.55, .., 4.95
 STEPS = [0.5 + 0.05 * i for i in range(90)]
 TREES_PER_CHECKPOINT = 5
 LEAVES_PER_PROJECTION = 64

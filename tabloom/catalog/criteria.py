@@ -36,10 +36,10 @@ def categories(spark, folder):
     )
 
 
-def category_counts(folded):
-    """Class counts per (feature, value), melted after equal rows are folded."""
-    rows = criteria.melt_text(folded, CATEGORIES, ["label", "n"])
-    return rows.groupBy("feature", "value").agg(*criteria.class_measures(F.col("label"), [0, 1], F.col("n")))
+def category_counts(rows, label, weight):
+    """Class counts per (feature, value)."""
+    melted = criteria.melt_text(rows, CATEGORIES, [F.col(label).alias("label"), weight.alias("n")])
+    return melted.groupBy("feature", "value").agg(*criteria.class_measures(F.col("label"), [0, 1], F.col("n")))
 
 
 @query(
@@ -53,7 +53,7 @@ def class_counts(spark, folder):
     domains = category_domains(folded, CATEGORIES)
     declared = [(i, v) for i, c in enumerate(CATEGORIES) for v in domains[c]]
     domain = spark.createDataFrame(declared, "feature int, value string")
-    counts = category_counts(folded)
+    counts = category_counts(folded, "label", F.col("n"))
     return domain.join(counts, ["feature", "value"], "left").select(
         "feature",
         "value",
@@ -63,8 +63,9 @@ def class_counts(spark, folder):
 
 
 def gains(spark, folder):
-    folded = category_rows(categories(spark, folder), CATEGORIES, "y")
-    return criteria.category_gains(category_counts(folded), [], 2)
+    # one aggregation over the rows: folding would only add a pass
+    counts = category_counts(categories(spark, folder), "y", F.lit(1.0))
+    return criteria.category_gains(counts, [], 2)
 
 
 GAINS = f"""WITH l AS ({CATEGORY_LONG}),

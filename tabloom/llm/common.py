@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabloom.session import scratch_path
@@ -32,7 +33,7 @@ def written(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
 def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
     """The batches cut into runs of rows whose texts have about ``most`` bytes; one row at least."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         first = held = 0
         for row, size in enumerate(sizes):
             if held and held + size > most:

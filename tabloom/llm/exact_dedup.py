@@ -16,7 +16,6 @@ from hashlib import blake2b, sha256
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 

@@ -11,6 +11,7 @@ from tabloom.llm.common import table
 from tabloom.llm.curve_packing import pack_documents
 from tabloom.llm.deobfuscate import find_personal_data
 from tabloom.llm.exact_dedup import exact_groups
+from tabloom.llm.ngram_join import near_duplicate_groups
 from tabloom.llm.secret_ledger import scan_secrets
 
 
@@ -35,9 +36,14 @@ def pii_deobfuscation(spark: SparkSession, folder: str) -> DataFrame:
     return find_personal_data(table(spark, folder, "documents"))
 
 
+def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicate_groups(spark, table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_ledger": secret_ledger,
     "op3_curve_packing": curve_packing,
+    "op4_jaccard_join": jaccard_join,
     "op7_byte_bpe": byte_bpe,
     "op9_exact_dedup": exact_dedup,
     "op10_pii_deobfuscation": pii_deobfuscation,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tabloom.llm.byte_bpe import encode_decode
 from tabloom.llm.common import table
+from tabloom.llm.crf_language import predict_languages
 from tabloom.llm.curve_packing import pack_documents
 from tabloom.llm.deobfuscate import find_personal_data
 from tabloom.llm.exact_dedup import exact_groups
@@ -23,6 +24,10 @@ def curve_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(spark, table(spark, folder, "documents"))
 
 
+def crf_language(spark: SparkSession, folder: str) -> DataFrame:
+    return predict_languages(spark, table(spark, folder, "documents"))
+
+
 def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encode_decode(table(spark, folder, "documents"))
 
@@ -44,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_ledger": secret_ledger,
     "op3_curve_packing": curve_packing,
     "op4_jaccard_join": jaccard_join,
+    "op6_crf_language": crf_language,
     "op7_byte_bpe": byte_bpe,
     "op9_exact_dedup": exact_dedup,
     "op10_pii_deobfuscation": pii_deobfuscation,

@@ -12,10 +12,21 @@ from tabloom.llm.crf_language import predict_languages
 from tabloom.llm.curve_packing import pack_documents
 from tabloom.llm.deobfuscate import find_personal_data
 from tabloom.llm.exact_dedup import exact_groups
+from tabloom.llm.kd_search import top_inner_products
+from tabloom.llm.license_scan import find_licenses
 from tabloom.llm.ngram_join import near_duplicate_groups
+from tabloom.llm.ordinal_toxicity import score_toxicity
 from tabloom.llm.secret_ledger import scan_secrets
 
 
+def ordinal_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return score_toxicity(spark, table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return find_licenses(table(spark, folder, "documents"))
+
+
 def secret_ledger(spark: SparkSession, folder: str) -> DataFrame:
     return scan_secrets(spark, table(spark, folder, "documents"))
 
@@ -32,6 +43,10 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encode_decode(table(spark, folder, "documents"))
 
 
+def kd_search(spark: SparkSession, folder: str) -> DataFrame:
+    return top_inner_products(spark, table(spark, folder, "embeddings"))
+
+
 def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     columns = "doc_id", "keep_id", "group_size", "kept", "text_sha256"
     return exact_groups(spark, table(spark, folder, "documents")).select(*columns)
@@ -46,11 +61,14 @@ def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ordinal_toxicity": ordinal_toxicity,
     "op2_secret_ledger": secret_ledger,
     "op3_curve_packing": curve_packing,
     "op4_jaccard_join": jaccard_join,
+    "op5_license_scan": license_scan,
     "op6_crf_language": crf_language,
     "op7_byte_bpe": byte_bpe,
+    "op8_kd_search": kd_search,
     "op9_exact_dedup": exact_dedup,
     "op10_pii_deobfuscation": pii_deobfuscation,
 }
@@ -63,4 +81,16 @@ g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)
 """
 
-ORACLES: dict[str, str] = {"op9_exact_dedup": EXACT_DEDUP_SQL}
+KD_SEARCH_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+ORACLES: dict[str, str] = {"op8_kd_search": KD_SEARCH_SQL, "op9_exact_dedup": EXACT_DEDUP_SQL}

@@ -25,7 +25,7 @@ from tabloom.llm.common import batch_of, slices, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
-IP = re.compile(r"[0-9]++(?:\.[0-9]++){3}")
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -57,10 +57,8 @@ _DIGIT = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 SPELLED = re.compile(rf"(?i:(?<!\w)(?:plus[ -])?(?:{_DIGIT})(?:[ ,-]{{1,2}}(?:{_UNIT}))+(?!\w))")
 SPELLED_WORD = re.compile(r"\w+")
 BRACKETED = re.compile(r"(?i:[\[({<][ ]?(?:(?P<at>at|@|arroba)|dot|\.|punkt|punto|point)[ ]?[\])}>])")
-_NAME = r"[A-Za-z0-9_%+-]++"
 BARE = re.compile(
-    rf"(?i:(?<![A-Za-z0-9._%+-]){_NAME}(?:(?:\.|[ ]dot[ ]){_NAME})*?(?:[ ]at[ ]|@)"
-    r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*(?:[ ]dot[ ][A-Za-z0-9-]++)+)"
+    r"(?i:(?:[ ]at[ ]|@)[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+(?:[ ]dot[ ][A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+)++)"
 )
 BARE_UNIT = re.compile(r"(?i:[ ](?P<at>at)[ ]|[ ]dot[ ])")
 
@@ -128,6 +126,21 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     return {kind: DETECTORS[kind](text) for kind in KINDS}
 
 
+def name_start(text: str, end: int, least: int) -> int:
+    """Where a name that ends at ``end`` begins: words joined by a dot or the word dot."""
+    start = at = end
+    while True:
+        while at > least and text[at - 1] in LOCAL:
+            at -= 1
+        if at == start:  # no word here
+            return start if start == end or text[start : start + 5] != " dot " else start + 5
+        start = at
+        if at - 5 >= least and text[at - 5 : at] == " dot ":
+            start = at = at - 5
+        else:
+            return start
+
+
 def rewrites(text: str) -> list[tuple[int, int, str]]:
     """(start, end, replacement) of every disguise, in order and without overlap."""
     found: list[tuple[int, int, str]] = []
@@ -149,9 +162,13 @@ def rewrites(text: str) -> list[tuple[int, int, str]]:
         start -= start > 0 and text[start - 1] == " "
         found.append((start, end + (text[end : end + 1] == " "), "@" if m["at"] else "."))
     if " dot " in lowered:
+        last = 0
         for m in BARE.finditer(text):
-            for u in BARE_UNIT.finditer(text, m.start(), m.end()):
-                found.append((u.start(), u.end(), "@" if u["at"] else "."))
+            start = name_start(lowered if len(lowered) == len(text) else text, m.start(), last)
+            if start < m.start():
+                for u in BARE_UNIT.finditer(text, start, m.end()):
+                    found.append((u.start(), u.end(), "@" if u["at"] else "."))
+            last = m.end()
     kept, last = [], 0
     for start, end, new in sorted(found, key=lambda x: (x[0], -x[1])):
         if start >= last:

@@ -10,7 +10,7 @@ each pair.
 Defined cases: components are floor(scale * x) with x as double; vectors that are null or hold null or non-finite
 components, and rows with a null id, take no part; of several rows with one id the smallest vector counts; vectors are
 compared with those of the same length only, empty ones with score 0; ties go to smaller ids; scores beyond 64 bits are
-held at the largest value; an empty table gives an empty result; other columns are ignored.
+ranked as they are and given as the largest value; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -119,12 +119,12 @@ def search(tree: Tree, query_id: int, query: np.ndarray, bounds: np.ndarray, kth
 
 def exact_matrix(rows: list, length: int, of_queries: list) -> tuple[np.ndarray, np.ndarray]:
     """Both matrices as doubles if every inner product is exact so, else as Python integers."""
-    a = np.array(rows, np.float64).reshape(-1, length)
-    b = np.array(of_queries, np.float64).reshape(-1, length)
+    a = np.array(rows, np.float64).reshape(len(rows), length)
+    b = np.array(of_queries, np.float64).reshape(len(of_queries), length)
     largest = max(np.abs(a).max(initial=0), 1) * max(np.abs(b).max(initial=0), 1) * max(length, 1)
     if largest < 2**53:
         return a, b
-    whole = lambda m: np.array([[int(x) for x in r] for r in m], object).reshape(-1, length)
+    whole = lambda m: np.array([[int(x) for x in r] for r in m], object).reshape(len(m), length)
     return whole(a), whole(b)
 
 

@@ -33,7 +33,8 @@ def test_spans_equal_brute_force(spark, awkward):
     got = sorted((r["doc_id"] or -1, r["spans"], r["base_sha256"]) for r in scan_secrets(spark, frame).collect())
     want = sorted((i or -1, s := brute(t), hashlib.sha256(s.encode()).hexdigest()) for i, t in rows)
     assert got == want
-    counts = {r["doc_id"]: (r["n_assign"], r["n_access"], r["n_hex"]) for r in scan_secrets(spark, frame).collect()}
+    own = spark.createDataFrame(SECRETS, "doc_id long, text string")
+    counts = {r["doc_id"]: (r["n_assign"], r["n_access"], r["n_hex"]) for r in scan_secrets(spark, own).collect()}
     assert counts[1] == (2, 0, 0) and counts[3] == (0, 2, 0) and counts[4] == (0, 0, 2) and counts[2] == (1, 0, 0)
 
 

@@ -189,6 +189,57 @@ def threshold_sse(spark, folder):
     )
 
 
+# sums of two columns, such as 0.07 + 0.03, are often doubles next to each other
+NEAR_ROWS = f"(SELECT l_discount + l_tax AS x, {PLANTED_LABEL} AS y FROM lineitem)"
+
+
+@query(
+    "split_near_values",
+    f"""WITH r AS (SELECT * FROM {NEAR_ROWS}), v AS (SELECT DISTINCT x FROM r),
+        t AS (SELECT DISTINCT round_even((x + n) / 2, 4) AS t FROM (SELECT x, lead(x) OVER (ORDER BY x) AS n FROM v) WHERE n IS NOT NULL)
+        SELECT t AS threshold, sum((x <= t)::INTEGER)::BIGINT AS n_low, sum((x <= t AND y = 1)::INTEGER)::BIGINT AS c1_low,
+          count(*) AS n_all FROM t, r GROUP BY t""",
+)
+def split_near_values(spark, folder):
+    """Totals at every threshold are those of the rows that the threshold sends to either side."""
+    rows = lines(spark, folder).select((F.col("l_discount") + F.col("l_tax")).alias("x"), "y")
+    layout = ordered.lay_out(rows, ["x"])
+    melted = criteria.melt_numeric(ordered.add_slices(rows, layout), ["x"], ["y"], layout)
+    histogram = ordered.histogram(melted, [], layout, criteria.class_measures(F.col("y"), [0, 1], F.lit(1.0)))
+    totals = criteria.threshold_totals(histogram, [], ["c0", "c1"], digits=4, layout=layout)
+    return totals.select(
+        "threshold",
+        (F.col("c0_low") + F.col("c1_low")).cast("long").alias("n_low"),
+        F.col("c1_low").cast("long").alias("c1_low"),
+        (F.col("c0_low") + F.col("c1_low") + F.col("c0_high") + F.col("c1_high")).cast("long").alias("n_all"),
+    ).distinct()
+
+
+# most rows are zero, the rest has many values
+TAIL = "CASE WHEN l_quantity > 1 THEN 0 ELSE l_extendedprice END"
+
+
+@query(
+    "split_zero_inflated",
+    f"""WITH r AS (SELECT {TAIL} AS x, {PLANTED_LABEL} AS y FROM lineitem),
+        g AS (SELECT x, count(*) AS n, sum(y) AS s FROM r GROUP BY x),
+        w AS (SELECT x, lead(x) OVER (ORDER BY x) AS nx, sum(n) OVER (ORDER BY x) AS nl, sum(s) OVER (ORDER BY x) AS sl,
+          sum(n) OVER () AS na, sum(s) OVER () AS sa FROM g)
+        SELECT round_even((x + nx) / 2, 4) AS threshold, nl::BIGINT AS n_low, sl::BIGINT AS c1_low FROM w WHERE nx IS NOT NULL""",
+)
+def split_zero_inflated(spark, folder):
+    rows = lines(spark, folder).select(F.expr(f"CAST({TAIL} AS DOUBLE)").alias("x"), "y")
+    layout = ordered.lay_out(rows, ["x"], small_domain=100)
+    melted = criteria.melt_numeric(ordered.add_slices(rows, layout), ["x"], ["y"], layout)
+    histogram = ordered.histogram(melted, [], layout, criteria.class_measures(F.col("y"), [0, 1], F.lit(1.0)))
+    totals = criteria.threshold_totals(histogram, [], ["c0", "c1"], digits=4, layout=layout)
+    return totals.select(
+        "threshold",
+        (F.col("c0_low") + F.col("c1_low")).cast("long").alias("n_low"),
+        F.col("c1_low").cast("long").alias("c1_low"),
+    )
+
+
 @query("threshold_gini", SPLITS + f" SELECT feature, t AS threshold, round_even({GINI}, 8) + 0.0 AS gini FROM side")
 def threshold_gini(spark, folder):
     histogram, layout = class_histogram(spark, folder)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabloom.catalog import PLANTED_LABEL, PLANTED_TARGET, lines, query, r6, table
+from tabloom.functions.encode import first_argmax
 from tabloom.plans import linear
 from tabloom.plans.learners import (
     ForestLearner,
@@ -59,33 +60,48 @@ def linreg_normal(spark, folder):
     return model.table(spark).select("term", r6(F.col("weight"), 5).alias("weight"))
 
 
-STEPS = 5
+DESCENT_ETA, DESCENT_DELTA = 0.1, 1e-6
 
 
-def descent_sql(steps: int, eta: float) -> str:
-    """Gradient steps on the one-row table of sums."""
-    ctes = [
-        f"""m AS (SELECT count(*)::DOUBLE AS n, sum(quantity) AS g01, sum(discount) AS g02, sum(quantity * quantity) AS g11,
-            sum(quantity * discount) AS g12, sum(discount * discount) AS g22, sum(z) AS b0, sum(quantity * z) AS b1,
-            sum(discount * z) AS b2 FROM {SCALED_ROWS})""",
-        "t0 AS (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b, 0.0::DOUBLE AS c)",
-    ]
-    for k in range(1, steps + 1):
-        ctes.append(
-            f"""t{k} AS (SELECT a - {eta}::DOUBLE / n * (n * a + g01 * b + g02 * c - b0) AS a,
-                b - {eta}::DOUBLE / n * (g01 * a + g11 * b + g12 * c - b1) AS b,
-                c - {eta}::DOUBLE / n * (g02 * a + g12 * b + g22 * c - b2) AS c FROM t{k - 1}, m)"""
-        )
-    return f"""WITH {', '.join(ctes)} SELECT '(intercept)' AS term, round_even(a, 6) + 0.0 AS weight FROM t{steps}
-        UNION ALL SELECT 'quantity', round_even(b, 6) + 0.0 FROM t{steps} UNION ALL SELECT 'discount', round_even(c, 6) + 0.0 FROM t{steps}"""
+def descent_sql(eta: float, delta: float) -> str:
+    """Gradient steps on the one-row table of sums, until the squared error falls by less than delta."""
+    gaps = "n * a + g01 * b + g02 * c - b0", "g01 * a + g11 * b + g12 * c - b1", "g02 * a + g12 * b + g22 * c - b2"
+    return f"""WITH RECURSIVE m AS (SELECT count(*)::DOUBLE AS n, sum(quantity) AS g01, sum(discount) AS g02,
+          sum(quantity * quantity) AS g11, sum(quantity * discount) AS g12, sum(discount * discount) AS g22, sum(z) AS b0,
+          sum(quantity * z) AS b1, sum(discount * z) AS b2 FROM {SCALED_ROWS}),
+        t AS (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b, 0.0::DOUBLE AS c, 1e300::DOUBLE AS fell, 0 AS k
+          UNION ALL SELECT a + d0, b + d1, c + d2, -(d0 * (n * d0 + g01 * d1 + g02 * d2) + d1 * (g01 * d0 + g11 * d1 + g12 * d2)
+            + d2 * (g02 * d0 + g12 * d1 + g22 * d2) + 2 * (d0 * e0 + d1 * e1 + d2 * e2)), k + 1
+          FROM (SELECT *, -{eta}::DOUBLE / n * e0 AS d0, -{eta}::DOUBLE / n * e1 AS d1, -{eta}::DOUBLE / n * e2 AS d2 FROM
+            (SELECT *, {gaps[0]} AS e0, {gaps[1]} AS e1, {gaps[2]} AS e2 FROM t, m WHERE fell >= {delta}))),
+        last AS (SELECT * FROM t ORDER BY k DESC LIMIT 1)
+        SELECT '(intercept)' AS term, round_even(a, 4) + 0.0 AS weight FROM last
+        UNION ALL SELECT 'quantity', round_even(b, 4) + 0.0 FROM last UNION ALL SELECT 'discount', round_even(c, 4) + 0.0 FROM last"""
 
 
-@query("linreg_gd", descent_sql(STEPS, 0.1))
+@query("linreg_gd", descent_sql(DESCENT_ETA, DESCENT_DELTA))
 def linreg_gd(spark, folder):
     model = linear.fit_linear_descent(
-        scaled(spark, folder), ["quantity", "discount"], "z", eta=0.1, max_iterations=STEPS
+        scaled(spark, folder), ["quantity", "discount"], "z", eta=DESCENT_ETA, delta=DESCENT_DELTA
     )
-    return model.table(spark).select("term", r6(F.col("weight")).alias("weight"))
+    return model.table(spark).select("term", r6(F.col("weight"), 4).alias("weight"))
+
+
+@query(
+    "gram_wide",
+    """WITH v AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings)
+       SELECT a.i::INTEGER AS i, b.i::INTEGER AS j, round_even(sum(a.x * b.x), 4) + 0.0 AS product
+       FROM v a JOIN v b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY a.i, b.i""",
+)
+def gram_wide(spark, folder):
+    names = [f"x{i}" for i in range(64)]
+    rows = table(spark, folder, "embeddings").select(
+        *[F.get("embedding", F.lit(i)).cast("double").alias(n) for i, n in enumerate(names)], "label"
+    )
+    gram = linear.moments(rows, names, "label").gram
+    cells = [(i, j, float(gram[i + 1, j + 1])) for i in range(64) for j in range(i, 64)]
+    frame = spark.createDataFrame(cells, "i int, j int, product double")
+    return frame.select("i", "j", r6(F.col("product"), 4).alias("product"))
 
 
 ITERATIONS, ETA, L1, L2 = 4, 0.5, 3.0, 5.0
@@ -215,11 +231,15 @@ def ml_linreg(spark, folder):
     )
 
 
-@query("ml_logreg")
+# a converged fit without a penalty gives each class its own share of the probability
+@query(
+    "ml_logreg",
+    f"""SELECT count(*) AS n, round_even(1 - avg(y), 4) + 0.0 AS p0, round_even(avg(y), 4) + 0.0 AS p1 FROM {SCALED_ROWS}""",
+)
 def ml_logreg(spark, folder):
     rows = scaled(spark, folder).select(*SCALED, "y")
-    scored = fit_library_logistic(rows, SCALED, "y", l2=0.01, max_iterations=20).score(rows)
-    return scored.groupBy("y").agg(
+    scored = fit_library_logistic(rows, SCALED, "y").score(rows)
+    return scored.agg(
         F.count(F.lit(1)).alias("n"),
         r6(F.avg(F.get("prediction", F.lit(0))), 4).alias("p0"),
         r6(F.avg(F.get("prediction", F.lit(1))), 4).alias("p1"),
@@ -227,30 +247,38 @@ def ml_logreg(spark, folder):
 
 
 def labelled_documents(spark, folder):
-    documents = table(spark, folder, "documents").select(
+    """All documents; the labels ``planted`` and ``class`` are made of a feature, so a right learner finds them again."""
+    return table(spark, folder, "documents").select(
         "doc_id",
         F.col("n_chars").cast("double").alias("n_chars"),
-        F.length("lang").cast("double").alias("lang_length"),
+        (F.col("doc_id") % 3).cast("double").alias("third"),
         F.length("source").cast("double").alias("source_length"),
+        (F.col("doc_id") % 3 == 1).cast("int").alias("planted"),
+        (F.col("doc_id") % 3).cast("int").alias("class"),
     )
-    return documents.join(table(spark, folder, "labels"), "doc_id")
 
 
-DOCUMENT_FEATURES = ["n_chars", "lang_length", "source_length"]
+DOCUMENT_FEATURES = ["n_chars", "third", "source_length"]
 
 
-@query("ml_gbt")
+@query("ml_gbt", "SELECT doc_id, (doc_id % 3 = 1)::INTEGER AS planted, (doc_id % 3 = 1)::INTEGER AS predicted FROM documents")
 def ml_gbt(spark, folder):
     rows = labelled_documents(spark, folder)
     learner = GbtLearner({"n_estimators": 5, "max_depth": 3, "learning_rate": 0.3, "random_state": 7}, key="doc_id")
-    return learner.fit(rows, DOCUMENT_FEATURES, "quality").score(rows, "p").select("doc_id", "quality", r6(F.col("p"), 4).alias("p"))
+    scored = learner.fit(rows, DOCUMENT_FEATURES, "planted").score(rows, "p")
+    return scored.select("doc_id", "planted", (F.col("p") > 0.5).cast("int").alias("predicted"))
 
 
-@query("ml_multiclass")
+@query(
+    "ml_multiclass",
+    """SELECT doc_id, (doc_id % 3)::INTEGER AS "class", (doc_id % 3)::INTEGER AS likeliest, (doc_id % 3)::INTEGER AS boosted
+       FROM documents""",
+)
 def ml_multiclass(spark, folder):
-    rows = labelled_documents(spark, folder).withColumn("class", F.col("quality") + F.col("toxic"))
-    forest = ForestLearner({"numTrees": 5, "maxDepth": 4, "seed": 7}).fit(rows, DOCUMENT_FEATURES, "class")
-    boosted = fit_one_vs_rest(rows, DOCUMENT_FEATURES, "class", n_estimators=2, max_depth=2, random_state=7)
+    rows = labelled_documents(spark, folder)
+    forest = ForestLearner({"numTrees": 15, "maxDepth": 5, "seed": 7}).fit(rows, DOCUMENT_FEATURES, "class")
+    boosted = fit_one_vs_rest(rows, DOCUMENT_FEATURES, "class", n_estimators=2, max_depth=3, random_state=7)
     return boosted.score(forest.score(rows, "probabilities"), "boosted").select(
-        "doc_id", "class", F.size("probabilities").alias("classes"), F.col("boosted").cast("int").alias("boosted")
-    )
+        "doc_id", "class", first_argmax(F.col("probabilities")).cast("int").alias("likeliest"),
+        F.col("boosted").cast("int").alias("boosted"),
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabloom.catalog import PLANTED_LABEL, PLANTED_TARGET, lines, query, r6, table
+from tabloom.catalog import EVENTS_WITH_GAPS, PLANTED_LABEL, PLANTED_TARGET, events_with_gaps, lines, query, r6, table
 from tabloom.operators import folds, metrics
 
 SCORE = "l_quantity / 50 + 2 * l_discount"
@@ -126,3 +126,13 @@ def kfold(spark, folder):
 def kfold_stratified(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
     return folds.stratified_folds(orders, "o_orderkey", "o_orderstatus", 5)
+
+
+@query(
+    "kfold_stratified_nulls",
+    f"""SELECT event_id, event_type, ((row_number() OVER (PARTITION BY event_type ORDER BY md5(event_id::VARCHAR)) - 1) % 5)::INTEGER
+        AS fold FROM {EVENTS_WITH_GAPS}""",
+)
+def kfold_stratified_nulls(spark, folder):
+    events = events_with_gaps(spark, folder).select("event_id", "event_type")
+    return folds.stratified_folds(events, "event_id", "event_type", 5)

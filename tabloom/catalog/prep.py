@@ -15,12 +15,11 @@ from tabloom.sources import tables
 @query(
     "scan_project",
     """SELECT l_orderkey AS order_key, l_linenumber AS line, l_quantity AS quantity, l_returnflag AS flag
-       FROM lineitem WHERE l_quantity > 30""",
+       FROM lineitem""",
 )
 def scan_project(spark, folder):
     return (
         tables.read_parquet(spark, folder, "lineitem")
-        .filter("l_quantity > 30")
         .select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_tax")
         .drop("l_tax")
         .withColumnsRenamed(
@@ -223,11 +222,11 @@ def impute_zero(spark, folder):
 @query(
     "bin_edges",
     f"""SELECT event_id, CASE WHEN value <= 7 THEN 1 WHEN value <= 15 THEN 2 WHEN value <= 32 THEN 3
-        WHEN value <= 50 THEN 4 WHEN value <= 80 THEN 5 ELSE 6 END AS bin
-        FROM {EVENTS_WITH_GAPS} WHERE value IS NOT NULL""",
+        WHEN value <= 50 THEN 4 WHEN value <= 80 THEN 5 WHEN value > 80 THEN 6 END AS bin
+        FROM {EVENTS_WITH_GAPS}""",
 )
 def bin_edges(spark, folder):
-    events = events_with_gaps(spark, folder).filter("value IS NOT NULL")
+    events = events_with_gaps(spark, folder)
     return events.select("event_id", encode.bin_upper(F.col("value"), [7, 15, 32, 50, 80]).alias("bin"))
 
 

@@ -74,7 +74,7 @@ def branch_filter(spark, folder):
 
 @query(
     "bind_scores",
-    "SELECT doc_id, lang, n_chars, quality, toxic FROM documents JOIN labels USING (doc_id)",
+    "SELECT doc_id, lang, n_chars, quality, toxic FROM documents FULL JOIN labels USING (doc_id)",
 )
 def bind_scores(spark, folder):
     documents = table(spark, folder, "documents").select("doc_id", "lang", "n_chars")

@@ -22,6 +22,7 @@ from tabloom.functions import quoted
 SMALL_DOMAIN = 20_000
 # at least SLICES slices, and more so that a slice holds about VALUES_PER_SLICE values
 SLICES, MAX_SLICES, VALUES_PER_SLICE = 128, 8192, 1_000_000
+LARGEST_COARSE = 1e12  # from here on neighbouring doubles come near 0.001 apart
 INFINITY = float("inf")
 
 
@@ -29,9 +30,9 @@ INFINITY = float("inf")
 class Layout:
     """How a set of columns is worked on: size, estimated distinct counts, slices.
 
-    ``three_decimals`` says per column that no value has more.  Then neighbours are 0.001
-    apart or more, and a midpoint rounded to four decimals or finer stays strictly between
-    them.  ``snapped`` columns hold slice boundaries instead of their own values.
+    ``three_decimals`` says per column that every value is the double next to a number of
+    three decimals, and below ``LARGEST_COARSE``.  Then neighbours are 0.001 apart or more,
+    and a midpoint rounded to four decimals or finer stays strictly between them.  ``snapped`` columns hold slice boundaries instead of their own values.
     """
 
     columns: tuple[str, ...]
@@ -81,9 +82,10 @@ def lay_out(
     small_domain = small_domain or SMALL_DOMAIN
     aggregates = [F.count(F.lit(1)).alias("rows")]
     for i, name in enumerate(columns):
-        scaled = f"CAST({quoted(name)} AS DOUBLE) * 1000D"
+        x = f"CAST({quoted(name)} AS DOUBLE)"
+        fine = f"rint({x} * 1000D) / 1000D = {x} AND abs({x}) < {LARGEST_COARSE!r}D"
         aggregates.append(F.approx_count_distinct(quoted(name)).alias(f"d{i}"))
-        aggregates.append(F.expr(f"max(abs({scaled} - rint({scaled})))").alias(f"g{i}"))
+        aggregates.append(F.expr(f"bool_and({fine})").alias(f"g{i}"))
     row = frame.agg(*aggregates).first()
     distinct = tuple(int(row[f"d{i}"]) for i in range(len(columns)))
     boundaries: list[tuple[float, ...]] = [()] * len(columns)
@@ -92,17 +94,13 @@ def lay_out(
         needed = max(distinct[i] for i in wide) // VALUES_PER_SLICE
         slices = slices or max(SLICES, min(needed, MAX_SLICES))
         steps = [i / slices for i in range(1, slices)]
-        cuts = frame.agg(
-            *[
-                F.percentile_approx(
-                    F.col(quoted(columns[i])).cast("double"), steps, max(10_000, 10 * slices)
-                ).alias(f"q{i}")
-                for i in wide
-            ]
-        ).first()
-        for i in wide:
-            boundaries[i] = tuple(sorted({b for b in cuts[f"q{i}"] if math.isfinite(b)}))
-    three_decimals = tuple((row[f"g{i}"] or 0.0) <= 1e-5 for i in range(len(columns)))
+        # quantiles of the distinct values: a value that fills the table is one of them, so slices stay even
+        pairs = ", ".join(f"struct({i} AS feature, CAST({quoted(columns[i])} AS DOUBLE) AS x)" for i in wide)
+        values = frame.selectExpr(f"inline(array({pairs}))").filter("x IS NOT NULL").distinct()
+        cuts = values.groupBy("feature").agg(F.percentile_approx("x", steps, max(10_000, 10 * slices)).alias("points"))
+        for row_of in cuts.collect():
+            boundaries[row_of["feature"]] = tuple(sorted({b for b in row_of["points"] if math.isfinite(b)}))
+    three_decimals = tuple(row[f"g{i}"] is not False for i in range(len(columns)))
     return Layout(tuple(columns), int(row["rows"]), distinct, tuple(boundaries), three_decimals)
 
 
@@ -192,8 +190,7 @@ def running_totals(
 class Histogram:
     """Measures per (keys, feature, value) and, for sliced layouts, per slice.
 
-    Both are grouped from the rows: the slice totals are map-side combined to a few rows
-    per task, so only the values pass through a large shuffle.
+    The rows are melted and grouped once; the slice totals are rolled up from the values.
     """
 
     values: DataFrame
@@ -204,7 +201,8 @@ def histogram(melted: DataFrame, keys: Sequence[str], layout: Layout, measures:
     """Group melted rows (``feature``, ``x``, and ``slice`` where the layout has slices)."""
     if not layout.sliced:
         return Histogram(melted.groupBy(*keys, "feature", "x").agg(*measures), None)
-    return Histogram(
-        melted.groupBy(*keys, "feature", "slice", "x").agg(*measures),
-        melted.groupBy(*keys, "feature", "slice").agg(F.expr("min(x) AS slice_head"), *measures),
-    )
+    local = [*keys, "feature", "slice"]
+    values = melted.groupBy(*local, "x").agg(*measures)
+    names = [c for c in values.columns if c not in (*local, "x")]
+    totals = [F.sum(n).alias(n) for n in names]
+    return Histogram(values, values.groupBy(*local).agg(F.expr("min(x) AS slice_head"), *totals))

@@ -62,13 +62,12 @@ def describe(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     frame = frame.select(*[quoted(c) for c in columns])
     layout = lay_out(frame, columns)
     melted = melt_numeric(add_slices(frame, layout), columns, [], layout)
-    plain = melted.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("count"),
-        F.avg("x").alias("mean"),
-        F.stddev_samp("x").alias("std"),
-        F.min("x").alias("min"),
-        F.max("x").alias("max"),
-    )
+    sums = []
+    for i, name in enumerate(columns):
+        x = F.col(quoted(name)).cast("double")
+        found = {"count": F.count(x), "mean": F.avg(x), "std": F.stddev_samp(x), "min": F.min(x), "max": F.max(x)}
+        sums.append(F.struct(F.lit(i).alias("feature"), *[v.alias(k) for k, v in found.items()]).alias(f"s{i}"))
+    plain = frame.agg(*sums).select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(columns))])))
     counted = histogram(melted, [], layout, [F.expr("count(1) AS n")])
     ranked = running_totals(
         counted.values, ["feature"], ["x"], ["n"], slice_column=layout.slice_column, by_slice=counted.by_slice
@@ -100,8 +99,8 @@ def quantile_parts(share: float, side: str) -> Column:
 
 
 def bind(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Put two tables side by side by key: the column bind of tables without a row order."""
-    return left.join(right, key)
+    """Put two tables side by side by key, every row of both kept: the column bind of tables without a row order."""
+    return left.join(right, key, "full")
 
 
 def union_tagged(parts: dict[str, DataFrame], tag: str) -> DataFrame:

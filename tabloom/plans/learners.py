@@ -167,9 +167,12 @@ def fit_library_linear(frame: DataFrame, features: Sequence[str], label: str) ->
 def fit_library_logistic(
     frame: DataFrame, features: Sequence[str], label: str, *, l2: float = 0.0, max_iterations: int = 100
 ) -> LibraryModel:
-    """Logistic regression with an L2 penalty; ``score`` gives class probability rows."""
+    """Logistic regression with an L2 penalty on the coefficients as they are, which features on different scales feel
+    differently; ``score`` gives class probability rows. An SGD fit's ``alpha`` is ``l2``; with a sum of losses and an
+    inverse strength ``C``, ``l2`` is 1 / (C x rows)."""
     learner = LogisticRegression(
-        featuresCol="ml_features", labelCol=label, regParam=l2, elasticNetParam=0.0, maxIter=max_iterations
+        featuresCol="ml_features", labelCol=label, regParam=l2, elasticNetParam=0.0, maxIter=max_iterations,
+        standardization=False,
     )
     model = Pipeline(stages=[assemble(features), learner]).fit(frame)
     return LibraryModel(model, tuple(features), "probability")

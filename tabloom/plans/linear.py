@@ -6,10 +6,11 @@ logistic fit needs one aggregation per iteration, the perceptron one per update.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tabloom.functions import double_sql, quoted, sigmoid, softplus, weighted_sum
@@ -27,38 +28,57 @@ class Moments:
     rows: int
 
 
-def moment_columns(features: Sequence[str], label: str) -> list[Column]:
-    names = ["1D", *[f"CAST({quoted(f)} AS DOUBLE)" for f in features]]
-    target = f"CAST({quoted(label)} AS DOUBLE)"
-    columns = [
-        F.expr(f"sum({names[i]} * {names[j]})").alias(f"g_{i}_{j}")
-        for i in range(len(names))
-        for j in range(i, len(names))
-    ]
-    columns += [F.expr(f"sum({names[i]} * {target})").alias(f"b_{i}") for i in range(len(names))]
-    return [*columns, F.expr(f"sum({target} * {target})").alias("yy"), F.count(F.lit(1)).alias("rows")]
-
-
 def complete_rows(frame: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     return frame.select(*[quoted(f) for f in features], quoted(label)).dropna()
 
 
-def moment_table(frame: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """One row with every distinct entry of X'X, X'y and y'y."""
-    return complete_rows(frame, features, label).agg(*moment_columns(features, label))
+SUM_TASKS = 32  # partial sums meet in so many tasks before the driver adds them
+
+
+def _row_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Z'Z of a task's rows, for Z = (1, features, label)."""
+    total = None
+    for batch in batches:
+        if batch.num_rows:
+            z = np.column_stack([np.ones(batch.num_rows), *[c.to_numpy(zero_copy_only=False) for c in batch.columns]])
+            total = z.T @ z if total is None else total + z.T @ z
+    if total is not None:
+        yield pa.RecordBatch.from_pydict({"sums": [total.tobytes()]})
+
+
+def _sums_of_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = None
+    for batch in batches:
+        for data in batch.column(0).to_pylist():
+            part = np.frombuffer(data)
+            total = part if total is None else total + part
+    if total is not None:
+        yield pa.RecordBatch.from_pydict({"sums": [total.tobytes()]})
 
 
 def moments(frame: DataFrame, features: Sequence[str], label: str) -> Moments:
-    row = moment_table(frame, features, label).first()
-    size = len(features) + 1
-    if not row["rows"]:
+    """One Arrow pass with a matrix product for each batch; tasks send one matrix each."""
+    rows = complete_rows(frame, features, label)
+    rows = rows.select(*[F.col(quoted(c)).cast("double").alias(f"c{i}") for i, c in enumerate(rows.columns)])
+    parts = rows.mapInArrow(_row_sums, "sums binary").repartition(SUM_TASKS)
+    size = len(features) + 2
+    sums = np.zeros(size * size)
+    for row in parts.mapInArrow(_sums_of_sums, "sums binary").collect():
+        sums = sums + np.frombuffer(row["sums"])
+    sums = sums.reshape(size, size)
+    if not sums[0, 0]:
         raise ValueError("no complete rows to fit")
-    gram = np.zeros((size, size))
-    for i in range(size):
-        for j in range(i, size):
-            gram[i, j] = gram[j, i] = row[f"g_{i}_{j}"]
-    cross = np.array([row[f"b_{i}"] for i in range(size)])
-    return Moments(tuple(features), gram, cross, float(row["yy"]), int(row["rows"]))
+    return Moments(tuple(features), sums[:-1, :-1], sums[:-1, -1], float(sums[-1, -1]), int(sums[0, 0]))
+
+
+def moment_table(frame: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """One row with every distinct entry of X'X, X'y and y'y."""
+    m = moments(frame, features, label)
+    size = len(m.gram)
+    cells = {f"g_{i}_{j}": float(m.gram[i, j]) for i in range(size) for j in range(i, size)}
+    cells |= {f"b_{i}": float(m.cross[i]) for i in range(size)} | {"yy": m.square}
+    schema = ", ".join(f"{name} double" for name in cells) + ", rows long"
+    return frame.sparkSession.createDataFrame([(*cells.values(), m.rows)], schema)
 
 
 @dataclass(frozen=True)

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tabloom.functions import quoted
-from tabloom.operators.folds import fold_of, stratified_folds
+from tabloom.operators.folds import fold_of, row_hash, stratified_folds
 from tabloom.operators.metrics import evaluate
 from tabloom.functions.encode import first_argmax
 from tabloom.plans.learners import TreeScore
@@ -33,7 +33,7 @@ class Stacked:
 def with_folds(train: DataFrame, key: str, label: str, folds: int, stratified: bool) -> DataFrame:
     if stratified:
         return stratified_folds(train, key, label, folds)
-    return train.withColumn("fold", fold_of(F.col(quoted(key)), folds))
+    return train.withColumn("fold", fold_of(F.col(quoted(key)), folds, otherwise=row_hash(train)))
 
 
 def importance_table(spark: SparkSession, models: Sequence, features: Sequence[str]) -> DataFrame:
@@ -235,15 +235,22 @@ def draw(space: Mapping[str, tuple], trials: int, seed: int) -> list[dict]:
 def cross_validated(
     frame: DataFrame, features: Sequence[str], label: str, key: str, learner, *, folds: int, metric: str = "auc"
 ) -> float:
-    """Mean metric over the folds."""
-    train = with_folds(frame, key, label, folds, stratified=False)
-    values = []
-    for fold in range(folds):
-        model = learner.fit(train.filter(F.col("fold") != fold), features, label)
-        scored = model.score(train.filter(F.col("fold") == fold), "score")
-        values.append(evaluate(scored, label, "score", metric).first()["value"])
-    present = [v for v in values if v is not None]
-    return sum(present) / len(present)
+    """Mean metric over the folds; the folded rows are kept for all fits and one grouped evaluation.
+
+    A fold whose metric has no value, such as an AUC without both classes, is an error.
+    """
+    train = with_folds(frame, key, label, folds, stratified=False).persist()
+    try:
+        models = fold_models(train, features, label, learner, folds)
+        scored = fold_scores(train, models, [label])
+        found = {r["fold"]: r["value"] for r in evaluate(scored, label, "score", metric, ["fold"]).collect()}
+    finally:
+        train.unpersist()
+    values = [found.get(fold) for fold in range(folds)]
+    if any(v is None for v in values):
+        without = [fold for fold, v in enumerate(values) if v is None]
+        raise ValueError(f"{metric} has no value in folds {without}; use fewer or stratified folds")
+    return sum(values) / folds
 
 
 def parameter_search(

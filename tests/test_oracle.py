@@ -29,6 +29,4 @@ def test_contract_names_agree():
 
     own = set(QUERIES)
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert (set(contract.queries()) - set(contract.oracle_sql())) & own == {
-        "ml_logreg", "ml_gbt", "ml_multiclass", "param_search",
-    }
+    assert not (set(contract.queries()) - set(contract.oracle_sql())) & own

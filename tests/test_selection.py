@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabloom.plans.learners import ForestLearner, GbtLearner, RegressionTreeLearner, fit_model, gbt_params
-from tabloom.plans.selection import draw, stack_binary, stack_multi
+from tabloom.operators.folds import stratified_folds
+from tabloom.plans.selection import cross_validated, draw, stack_binary, stack_multi
 from test_trees import noisy
 
 
@@ -66,3 +67,25 @@ def test_learners_by_name(spark):
         assert "prediction" in fit_model(frame, ["a", "b"], "y", name, **options).score(frame).columns
     with pytest.raises(ValueError):
         fit_model(frame, ["a"], "y", "knn")
+
+
+def test_stratified_folds_keep_every_row_and_column(spark):
+    frame = spark.createDataFrame(
+        [(i if i % 9 else None, "a" if i % 3 else None, i, i, i) for i in range(100)],
+        "id int, y string, place int, prefix int, digest int",
+    )
+    dealt = stratified_folds(frame, "id", "y", 4)
+    assert dealt.columns == [*frame.columns, "fold"]
+    assert sorted(r["place"] for r in dealt.collect()) == list(range(100))
+    assert dealt.filter("place <> prefix OR prefix <> digest").count() == 0
+    sizes = {(r["y"], r["fold"]): r["count"] for r in dealt.groupBy("y", "fold").count().collect()}
+    for y in ("a", None):
+        own = [n for (label, _), n in sizes.items() if label == y]
+        assert max(own) - min(own) <= 1 and len(own) == 4
+
+
+def test_folds_without_a_metric_are_an_error(spark):
+    frame = spark.range(60).select("id", F.col("id").cast("double").alias("x"), (F.col("id") == 7).cast("int").alias("y"))
+    learner = GbtLearner({"n_estimators": 1, "max_depth": 1, "random_state": 1})
+    with pytest.raises(ValueError, match="no value in folds"):
+        cross_validated(frame, ["x"], "y", "id", learner, folds=3)

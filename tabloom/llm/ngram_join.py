@@ -6,9 +6,12 @@ sketch of counts over all documents, and two sets within the threshold share a s
 either. For every such shingle the least of its documents is the pivot; a document is replicated to the region of each
 pivot that it meets so, which are the only pivots at a distance below one. Regions are then worked off:
 
-1. every member's distance to its pivot is taken; within the threshold it is a link;
-2. a region whose members are already connected is done;
-3. of the others, members are laid out by their distance to the pivot in rings as wide as the threshold. By the triangle
+1. a sketch of every set, its shingles counted by hash range, bounds distances from below (the counts of two sets differ
+   by no more than the sets). A member that is too far, by its sketch, from the pivot and from every other member of its
+   region has no partner there and leaves it;
+2. every other member's exact distance to its pivot is taken; within the threshold it is a link;
+3. a region whose members are already connected is done;
+4. of the others, members are laid out by their distance to the pivot in rings as wide as the threshold. By the triangle
    inequality a partner is in the same ring or the next, to which boundary documents are replicated. A ring whose
    members outside the pivot's group still fill more than a block gets a new pivot from among them, and so on again;
    smaller ones are joined exactly, block by block, by products of incidence matrices.
@@ -30,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import BooleanType, LongType
 
 from tabloom.llm.common import batch_of, slices, texts_of, written
 from tabloom.llm.components import components
@@ -88,16 +91,54 @@ def as_class(sig: bytes) -> int:
     return int.from_bytes(sig[:8], "little", signed=True)
 
 
+def sketch_of(hashes: np.ndarray) -> bytes:
+    """Counts of a set's shingles by hash range, 2 to 4 shingles to a range on average, at most 255."""
+    ranges = min(max(16, 1 << max(0, len(hashes).bit_length() - 2)), 1 << 16)
+    counts = np.bincount((hashes >> np.uint64(64 - ranges.bit_length() + 1)).astype(np.int64), minlength=ranges)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def folded(counts: np.ndarray, ranges: int) -> np.ndarray:
+    """Rows of counts with fewer, wider ranges."""
+    if counts.shape[1] == ranges:
+        return counts
+    return np.minimum(counts.reshape(len(counts), ranges, -1).sum(2, dtype=np.int64), 255).astype(np.uint8)
+
+
+def may_link(sketches: list[bytes], sizes: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows of the left can, by their sketches, be within the threshold of which of the right."""
+    widths = np.array([len(x) for x in sketches])
+    out = np.zeros((len(left), len(right)), bool)
+    for ranges in np.unique(widths).tolist():
+        # sizes of partners are within the threshold, so the numbers of ranges are equal or neighbours
+        for a_width, b_width in ((ranges, ranges), (ranges, 2 * ranges), (2 * ranges, ranges)):
+            a, b = np.flatnonzero(widths[left] == a_width), np.flatnonzero(widths[right] == b_width)
+            if not len(a) or not len(b):
+                continue
+            of = lambda rows, width: folded(
+                np.frombuffer(b"".join([sketches[r] for r in rows]), np.uint8).reshape(-1, width), ranges
+            ).astype(np.int16)
+            one, two = of(left[a], a_width), of(right[b], b_width)
+            total = sizes[left[a]][:, None] + sizes[right[b]][None, :]
+            step = max(1, 4_000_000 // max(two.size, 1))
+            for at in range(0, len(a), step):
+                apart = np.abs(one[at : at + step, None, :] - two[None]).sum(2, dtype=np.int64)
+                some = total[at : at + step]
+                near = (some - apart) * (100 + percent) >= 2 * percent * some
+                out[a[at : at + step][:, None], b] = near
+    return out
+
+
 def prefix_length(size: int, percent: int = PERCENT) -> int:
     """So many of the first shingles meet those of any set within the threshold."""
     return size - -(-percent * size // 100) + 1
 
 
 SUMMARY = pa.schema(
-    [("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("cls", pa.int64()), ("part", pa.int32()),
-     ("counts", pa.binary())]
+    [("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("cls", pa.int64()), ("sketch", pa.binary()),
+     ("part", pa.int32()), ("counts", pa.binary())]
 )
-SUMMARY_SQL = "doc_id long, n long, sig binary, cls long, part int, counts binary"
+SUMMARY_SQL = "doc_id long, n long, sig binary, cls long, sketch binary, part int, counts binary"
 
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,20 +146,21 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(1 << SKETCH_BITS, np.uint32)
     shift = np.uint64(64 - SKETCH_BITS)
     for batch in slices(batches, 1):
-        sizes, sigs = [], []
+        sizes, sigs, sketches = [], [], []
         for text in batch.column(1).to_pylist():
             hashes = shingles(text)
             np.add.at(counts, hashes >> shift, 1)
             sizes.append(len(hashes))
+            sketches.append(sketch_of(hashes))
             sigs.append(signature(hashes) if len(hashes) else None)
         rows, classes = len(sizes), [s and as_class(s) for s in sigs]
         none = pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())
-        yield batch_of(SUMMARY, batch.column(0), sizes, sigs, classes, *none)
+        yield batch_of(SUMMARY, batch.column(0), sizes, sigs, classes, sketches, *none)
     if counts.any():
         parts = [x.tobytes() for x in np.split(counts, SKETCH_PARTS)]
         empty = pa.nulls(SKETCH_PARTS, pa.int64())
         none = pa.nulls(SKETCH_PARTS, pa.binary())
-        yield batch_of(SUMMARY, empty, empty, none, empty, list(range(SKETCH_PARTS)), parts)
+        yield batch_of(SUMMARY, empty, empty, none, empty, none, list(range(SKETCH_PARTS)), parts)
 
 
 def _sum_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,13 +231,21 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch_of(MEMBER, pa.array(pairs[0]), pa.array(pairs[1]))
 
 
+SET = pa.schema([("sig", pa.binary()), ("n", pa.int64()), ("hashes", pa.binary())])
+
+
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sets of texts, once for each of a task."""
+    seen = set()
     for batch in slices(batches, 0):
-        sets = [shingles(t) for t in batch.column(0).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([signature(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
-            names=["sig", "hashes"],
-        )
+        rows = []
+        for text in batch.column(0).to_pylist():
+            hashes = shingles(text)
+            if (sig := signature(hashes)) not in seen:
+                seen.add(sig)
+                rows.append((sig, len(hashes), hashes.tobytes()))
+        if rows:
+            yield batch_of(SET, *zip(*rows, strict=True))
 
 
 def overlap(a: bytes, b: bytes) -> int:
@@ -214,15 +264,44 @@ def _linked(percent: int):
     return F.col("common") * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))
 
 
-def distances(pairs: DataFrame, sets: DataFrame, key: str) -> DataFrame:
-    """(of, a, b, n_a, n_b, common) for pairs (x, pivot) of a region ``of``, named by the column ``key`` of ``sets``."""
+def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(of, a, b, n_a, n_b, common) for pairs (x, pivot) of a region ``of``."""
     side = lambda name, sig, n, hashes: sets.select(
-        F.col(key).alias(name), F.col("sig").alias(sig), F.col("n").alias(n), F.col("hashes").alias(hashes)
+        F.col("sig").alias(name), F.col("sig").alias(sig), F.col("n").alias(n), F.col("hashes").alias(hashes)
     )
     rows = pairs.join(side("x", "a", "n_a", "of_a"), "x").join(side("pivot", "b", "n_b", "of_b"), "pivot")
     return rows.select("of", "a", "b", "n_a", "n_b", common("of_a", "of_b").alias("common"))
 
 
+def _plausible(percent: int):
+    @F.arrow_udf(BooleanType())
+    def plausible(n_a: pa.Array, a: pa.Array, n_b: pa.Array, b: pa.Array) -> pa.Array:
+        out = []
+        for m, x, n, y in zip(n_a.to_pylist(), a.to_pylist(), n_b.to_pylist(), b.to_pylist(), strict=True):
+            pair = may_link([x, y], np.array([m, n]), np.array([0]), np.array([1]), percent)
+            out.append(bool(pair[0, 0]))
+        return pa.array(out, pa.bool_())
+
+    return plausible
+
+
+def _near_members(percent: int):
+    """Of a block's members those that may link with another member of it."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        of_left = np.array(rows.column("of_left").to_pylist(), bool)
+        left = np.flatnonzero(of_left)
+        right = left if of_left.all() else np.flatnonzero(~of_left)
+        sizes = rows.column("n").to_numpy()
+        near = may_link(rows.column("sketch").to_pylist(), sizes, left, right, percent)
+        names = np.array([hash(x) for x in rows.column("sig").to_pylist()])
+        near &= names[left][:, None] != names[right][None, :]
+        found = np.union1d(left[near.any(1)], right[near.any(0)])
+        return rows.select(["pivot", "sig"]).take(pa.array(found))
+
+    return run
+
+
 def join_block(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
     """Which sets of the left rows link with which of the right: products of 0/1 matrices of shared shingles."""
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
@@ -308,10 +387,10 @@ def _ringed(near: DataFrame, percent: int) -> DataFrame:
     return rows.select(F.xxhash64("of", "b", "ring").alias("region"), F.col("b").alias("pivot"), F.col("a").alias("sig"))
 
 
-def _blocked(members: DataFrame, block: int) -> DataFrame:
-    """(task, sig, root, left, right): blocks of members that are joined with each other.
+def _blocked(members: DataFrame, block: int, *columns: str) -> DataFrame:
+    """(task, of_left, sig, columns): blocks of members that are joined with each other.
 
-    Small regions are one block. In others the members apart from the pivot's group meet those of the group and each
+    Small regions share blocks. In others the members apart from the pivot's group meet those of the group and each
     other, block by block.
     """
     blocks = lambda n: F.greatest(F.ceil(n / block), F.lit(1)).cast("int")
@@ -336,8 +415,11 @@ def _blocked(members: DataFrame, block: int) -> DataFrame:
         )
     )
     rows = members.withColumn("spot", F.explode(spots))
-    task = F.xxhash64("region", "spot.kind", "spot.i", "spot.j")
-    return rows.select(task.alias("task"), "sig", "root", F.col("spot.of_left").alias("of_left"))
+    small = members.where(F.col("n_all") <= block).count()
+    shared = F.pmod(F.col("region"), F.lit(-(-small // block) or 1))
+    task = F.when(F.col("spot.kind") == "all", shared).otherwise(F.xxhash64("region", "spot.kind", "spot.i", "spot.j"))
+    return rows.select(task.alias("task"), F.col("spot.kind").alias("kind"), F.col("spot.of_left").alias("of_left"),
+                       "sig", *columns)
 
 
 def near_duplicate_groups(
@@ -348,20 +430,39 @@ def near_duplicate_groups(
     rows = texts_of(documents, id_column, text_column)
     summaries = written(spark, rows.mapInArrow(_summaries, SUMMARY_SQL), "summaries")
     counts = spark.sparkContext.broadcast(shingle_counts(summaries))  # of fixed size
-    docs = summaries.where("part IS NULL").select("doc_id", "n", "sig", "cls")
+    docs = summaries.where("part IS NULL").select("doc_id", "n", "sig", "cls", "sketch")
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     in_order = prefixes(rows, counts, percent).repartition(parts, "shingle").sortWithinPartitions("shingle", "cls")
     members = written(spark, in_order.mapInArrow(_regions, "cls long, pivot long").distinct(), "regions")
 
-    classes = docs.where("n > 0").groupBy("sig", "cls", "n").agg(F.min("doc_id").alias("holder"))
+    classes = docs.where("n > 0").groupBy("sig", "cls", "n").agg(
+        F.min("doc_id").alias("holder"), F.first("sketch").alias("sketch")
+    )
     named = members.select("cls").union(members.select(F.col("pivot").alias("cls"))).distinct()
-    wanted = classes.join(named, "cls", "left_semi")
-    held = rows.join(wanted.select("holder"), F.col("doc_id").eqNullSafe(F.col("holder")), "left_semi").select("text")
-    sets = held.mapInArrow(_set_rows, "sig binary, hashes binary").groupBy("sig").agg(F.first("hashes").alias("hashes"))
-    sets = written(spark, sets.join(wanted, "sig").select("sig", "cls", "n", "hashes"), "sets")
-
-    near = distances(members.select(F.col("cls").alias("x"), "pivot", F.lit(0).cast("long").alias("of")), sets, "cls")
+    classes = written(spark, classes.join(named, "cls", "left_semi"), "classes")
+    side = lambda name, sig, n, sketch: classes.select(
+        F.col("cls").alias(name), F.col("sig").alias(sig), F.col("n").alias(n), F.col("sketch").alias(sketch)
+    )
+    met = members.join(side("cls", "sig", "n", "sketch"), "cls")
+    met = met.join(side("pivot", "pivot_sig", "n_b", "sketch_b"), "pivot")
+    near = _plausible(percent)("n", "sketch", "n_b", "sketch_b")
+    met = met.select(F.col("pivot_sig").alias("pivot"), "sig", "n", "sketch", near.alias("near"))
+    met = written(spark, met.withColumn("side", (~F.col("near")).cast("int")), "met")
+    # members that are far from the pivot stay only for partners among the others
+    regions = met.groupBy("pivot").agg(F.count("*").alias("n_all"), F.sum("side").alias("n_apart"))
+    regions = regions.where("n_all > 1 AND n_apart > 0").withColumn("region", F.xxhash64("pivot"))
+    blocks = _blocked(met.join(regions, "pivot"), block, "pivot", "n", "sketch")
+    found = blocks.groupBy("kind", "task").applyInArrow(_near_members(percent), "pivot binary, sig binary")
+    stay = met.where("near").select("pivot", "sig").union(found).distinct()
+    stay = written(spark, stay, "members")
+
+    wanted = stay.select("sig").union(stay.select("pivot")).distinct()
+    holders = classes.join(wanted, "sig", "left_semi").select("holder").distinct()
+    held = rows.join(holders, F.col("doc_id").eqNullSafe(F.col("holder")), "left_semi").select("text")
+    sets = written(spark, held.mapInArrow(_set_rows, "sig binary, n long, hashes binary"), "sets")
+
+    near = distances(stay.select(F.col("sig").alias("x"), "pivot", F.lit(0).cast("long").alias("of")), sets)
     near = written(spark, near, "distances")
     links = near.where(_linked(percent)).select("a", "b")
     roots = components(spark, links)
@@ -374,8 +475,7 @@ def near_duplicate_groups(
         # a new pivot for every region that is still wide, out of the members apart
         pivots = wide.where("side = 1").groupBy("region").agg(F.min("sig").alias("next"))
         pairs = wide.join(pivots, "region").where("sig <> next")
-        near = distances(pairs.select(F.col("sig").alias("x"), F.col("next").alias("pivot"), F.col("region").alias("of")),
-                         sets, "sig")
+        near = distances(pairs.select(F.col("sig").alias("x"), F.col("next").alias("pivot"), F.col("region").alias("of")), sets)
         near = written(spark, near, "distances")
         links = links.union(near.where(_linked(percent)).select("a", "b"))
         roots = components(spark, links)
@@ -383,8 +483,8 @@ def near_duplicate_groups(
         regions = written(spark, regions.distinct(), "regions")
     else:
         apart = written(spark, _rooted(regions, roots), "apart")
-    blocks = _blocked(apart, block).join(sets.select("sig", "hashes"), "sig")
-    found = blocks.groupBy("task").applyInArrow(_joined_blocks(percent), "a binary, b binary")
+    blocks = _blocked(apart, block, "root").join(sets.select("sig", "hashes"), "sig")
+    found = blocks.groupBy("kind", "task").applyInArrow(_joined_blocks(percent), "a binary, b binary")
     links = links.union(written(spark, found, "block-links"))
     roots = components(spark, links).select(F.col("node").alias("sig"), "root")
 

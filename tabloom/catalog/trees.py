@@ -57,6 +57,26 @@ def id3_tree(spark, folder):
     return path_rows(fit_category_tree(categories(spark, folder), CATEGORIES, "y", "ID3", 0.01), spark)
 
 
+WIDE = ["brand", "kind", "size"]
+WIDE_ROWS = """(SELECT p_brand AS brand, p_type AS kind, p_size::VARCHAR AS size,
+    (CASE WHEN p_size % 7 < 3 AND p_brand < 'Brand#3' THEN 1 ELSE 0 END) AS y FROM part)"""
+
+
+@query("id3_wide", category_tree(WIDE_ROWS, WIDE, 3, "ID3", 0.01))
+def id3_wide(spark, folder):
+    rows = table(spark, folder, "part").selectExpr(
+        "p_brand AS brand", "p_type AS kind", "CAST(p_size AS STRING) AS size",
+        "CASE WHEN p_size % 7 < 3 AND p_brand < 'Brand#3' THEN 1 ELSE 0 END AS y",
+    )
+    return path_rows(fit_category_tree(rows, WIDE, "y", "ID3", 0.01), spark)
+
+
+@query("cart_binned", cart_tree(LABEL_ROWS, LINE_FEATURES, "y", 3, "class"))
+def cart_binned(spark, folder):
+    """With as many bins as a column has values, binning changes nothing."""
+    return node_rows(fit_class_tree(lines(spark, folder), LINE_FEATURES, "y", max_depth=3, max_bins=64), spark)
+
+
 @query("c45_tree", category_tree(CATEGORY_ROWS, CATEGORIES, 4, "C4.5", 0.01))
 def c45_tree(spark, folder):
     return path_rows(fit_category_tree(categories(spark, folder), CATEGORIES, "y", "C4.5", 0.01), spark)

@@ -62,8 +62,18 @@ def fit_fill(frame: DataFrame, rules: Mapping[str, str | float]) -> Fill:
     if means:
         row = frame.agg(*[F.avg(quoted(c)).alias(f"m{i}") for i, c in enumerate(means)]).first()
         values.update({c: row[f"m{i}"] for i, c in enumerate(means)})
-    for column in modes:
-        values[column] = mode_row(frame, column).first()["value"]
+    if modes:  # one pass over all of them; values travel as text beside themselves
+        pairs = [
+            F.struct(F.lit(i).alias("place"), *[(F.col(quoted(c)) if i == j else F.lit(None)).alias(f"v{j}")
+                                                for j, c in enumerate(modes)])
+            for i, c in enumerate(modes)
+        ]
+        names = [f"v{j}" for j in range(len(modes))]
+        counts = frame.select(F.inline(F.array(*pairs))).groupBy("place", *names).agg(F.count(F.lit(1)).alias("n"))
+        counts = counts.filter(F.coalesce(*[F.col(v).cast("string") for v in names]).isNotNull())
+        best = F.min(F.struct((-F.col("n")).alias("below"), *names)).alias("best")
+        found = {r["place"]: r["best"] for r in counts.groupBy("place").agg(best).collect()}
+        values.update({c: found[i][f"v{i}"] if i in found else None for i, c in enumerate(modes)})
     return Fill(values)
 
 
@@ -183,9 +193,10 @@ def ranked_by_parts(values: DataFrame, column: str, code: str) -> DataFrame:
 def label_encode(frame: DataFrame, column: str, codes: DataFrame) -> DataFrame:
     """Replace a column by its code. The codes join by value; Spark broadcasts them when
     they are small and splits a skewed value when they are not."""
-    encoded = frame.join(codes.withColumnRenamed("value", column), column, "left")
+    codes = codes.select(F.col("value").alias("__value_to_encode"), F.col("code").alias("__code_of_value"))
+    encoded = frame.join(codes, F.col(quoted(column)) == F.col("__value_to_encode"), "left")
     return encoded.select(
-        *[F.col("code").alias(c) if c == column else F.col(quoted(c)) for c in frame.columns]
+        *[F.col("__code_of_value").alias(c) if c == column else F.col(quoted(c)) for c in frame.columns]
     )
 
 

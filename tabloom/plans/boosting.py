@@ -256,7 +256,7 @@ def fit_tree_booster(
         raise ValueError(f"loss must be one of {LOSSES}")
     params = TreeParams(**options)
     shared_dir(frame.sparkSession)
-    rows, layout = target_rows(frame, features, label)
+    rows, layout = target_rows(frame, features, label, max_bins=params.max_bins)
     try:
         start = rows.agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("mean")).first()["mean"]
         if start is None:

@@ -42,14 +42,14 @@ def worth_folding(layout: Layout, per_vector: int = 1) -> bool:
 
 
 def class_rows(
-    frame: DataFrame, features: Sequence[str], label: str, carry: Sequence[str] = ()
+    frame: DataFrame, features: Sequence[str], label: str, carry: Sequence[str] = (), max_bins: int | None = None
 ) -> tuple[DataFrame, Layout]:
     """(features, carry, label, n) rows, kept in memory and on disk for the fit.
 
     ``carry`` columns have few values, such as a fold number.
     """
     base = features_and_label(frame, features, label, carry)
-    layout = lay_out(base, features)
+    layout = lay_out(base, features, slices=max_bins, small_domain=max_bins)
     if worth_folding(layout, per_vector=4):
         rows = base.groupBy(*[quoted(f) for f in (*features, *carry)], "label").agg(
             F.count(F.lit(1)).cast("double").alias("n")
@@ -60,11 +60,11 @@ def class_rows(
 
 
 def target_rows(
-    frame: DataFrame, features: Sequence[str], label: str, carry: Sequence[str] = ()
+    frame: DataFrame, features: Sequence[str], label: str, carry: Sequence[str] = (), max_bins: int | None = None
 ) -> tuple[DataFrame, Layout]:
     """(features, carry, n, m, m2) rows: count, mean and squared deviation of the target."""
     base = features_and_label(frame, features, label, carry)
-    layout = lay_out(base, features)
+    layout = lay_out(base, features, slices=max_bins, small_domain=max_bins)
     target = F.col("label").cast("double")
     kept = [quoted(f) for f in (*features, *carry)]
     if worth_folding(layout, per_vector=4 if carry else 1):

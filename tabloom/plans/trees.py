@@ -28,7 +28,10 @@ METHODS = ("ID3", "C4.5")
 @dataclass(frozen=True)
 class TreeParams:
     """Stop rules. ``min_features_left`` is the number of non-constant columns a child
-    needs to go on; ``impurity_of`` says whether ``min_impurity_split`` is compared with
+    needs to go on; ``max_bins`` makes the cuts of every column with more distinct values
+    their quantiles, which bounds a level's shuffle by nodes x features x bins and suits
+    continuous columns of large tables; without it every midpoint is a candidate.
+    ``impurity_of`` says whether ``min_impurity_split`` is compared with
     the node's own gini or with the weighted gini after its best split."""
 
     max_depth: int = 3
@@ -37,13 +40,13 @@ class TreeParams:
     min_impurity_split: float = 0.005
     min_features_left: int = 0
     impurity_of: str = "node"
-    candidates: str = "exact"
+    max_bins: int | None = None
 
     def __post_init__(self):
         if self.impurity_of not in ("node", "split"):
             raise ValueError("impurity_of must be 'node' or 'split'")
-        if self.candidates not in ("exact", "quantile"):
-            raise ValueError("candidates must be 'exact' or 'quantile'")
+        if self.max_bins is not None and self.max_bins < 2:
+            raise ValueError("max_bins must be at least 2")
 
 
 def fit_tree(frame: DataFrame, features: Sequence[str], label: str, objective: str, **params) -> Tree:
@@ -97,7 +100,7 @@ def gini_of(counts: Sequence[float]) -> float:
 def fit_class_tree(frame: DataFrame, features: Sequence[str], label: str, **options) -> Tree:
     """Binary classification tree by the Gini index."""
     params = TreeParams(**options)
-    rows, layout = class_rows(frame, features, label)
+    rows, layout = class_rows(frame, features, label, max_bins=params.max_bins)
     try:
         return grow_class_tree(rows, features, layout, params)
     finally:
@@ -110,7 +113,7 @@ def grow_class_tree(rows: DataFrame, features: Sequence[str], layout: Layout, pa
         raise ValueError("no labelled rows to fit")
     names = [f"c{k}" for k in range(len(classes))]
     measures = criteria.class_measures(F.col("label"), classes, F.col("n"))
-    if params.candidates == "quantile":
+    if params.max_bins is not None:
         rows, layout = snap(rows, layout)
     root = Node(1, None, 0, None, None, None, majority(classes, counts), int(sum(counts)))
     nodes = [root]
@@ -167,7 +170,7 @@ def class_split_allowed(node: Node, totals, row, names, params: TreeParams) -> b
 def fit_regression_tree(frame: DataFrame, features: Sequence[str], label: str, **options) -> Tree:
     """Binary regression tree by squared loss; a leaf is the mean rounded to 8 decimals."""
     params = TreeParams(**options)
-    rows, layout = target_rows(frame, features, label)
+    rows, layout = target_rows(frame, features, label, max_bins=params.max_bins)
     try:
         return grow_mean_tree(rows, features, layout, params)
     finally:
@@ -192,9 +195,9 @@ def fit_fold_trees(
     """
     params = TreeParams(**options)
     if classes is None:
-        rows, layout = target_rows(frame, features, label, ["fold"])
+        rows, layout = target_rows(frame, features, label, ["fold"], params.max_bins)
     else:
-        rows, layout = class_rows(frame, features, label, ["fold"])
+        rows, layout = class_rows(frame, features, label, ["fold"], params.max_bins)
     try:
         jobs = []
         for fold in range(folds):
@@ -228,7 +231,7 @@ def grow_regression_tree(
     The residual is taken off each row's mean before squaring, so a small residual of a
     large target keeps its digits.
     """
-    if params.candidates == "quantile":
+    if params.max_bins is not None:
         rows, layout = snap(rows, layout)
     n, r = F.col("n"), residual.alias("r")
     sums = [F.expr(e) for e in ("sum(n) AS n", "sum(n * r) AS s", "sum(m2 + n * r * r) AS q")]
@@ -318,65 +321,96 @@ def fit_category_tree(
 
 
 def grow_category_tree(rows, features, domains, method, delta, above_average_gain) -> Tree:
+    """One round of jobs per level. Rows carry their node and move to a child by a join with the new nodes, so the
+    plan does not grow with the tree; the driver gets each open node's best feature and the new nodes' counts."""
     classes, counts = labels_of(rows)
     names = [f"c{k}" for k in range(len(classes))]
     root = Node(1, None, 0, None, None, None, majority(classes, counts), int(sum(counts)))
     nodes = [root]
     last_id = 1
-    used: dict[int, set[int]] = {1: set()}
+    used: dict[int, list[int]] = {1: []}
     open_nodes = {1: (root, counts)} if gini_of(counts) > 0 else {}
-    while open_nodes:
-        place = F.expr(Tree(nodes).place_sql(set(open_nodes))).alias("node")
-        melted = criteria.melt_text(rows, features, [place, "label", "n"])
-        spent = [
-            f"(node = {i} AND feature IN ({', '.join(map(str, sorted(used[i])))}))" for i in open_nodes if used[i]
-        ]
-        melted = melted.filter(F.col("node").isNotNull())
-        if spent:
-            melted = melted.filter(f"NOT ({' OR '.join(spent)})")
-        table = melted.groupBy("node", "feature", "value").agg(
-            *criteria.class_measures(F.col("label"), classes, F.col("n"))
-        )
-        # a feature's categories are few: fit_category_tree has counted them
-        branches = F.collect_list(F.struct("value", *names)).alias("branches")
-        gains = criteria.category_gains(table, ["node"], len(classes), branches)
-        options: dict[int, list] = {}
-        for row in gains.collect():
-            options.setdefault(row["node"], []).append(row)
-        following = {}
-        for node_id, (node, totals) in open_nodes.items():
-            left = len(features) - len(used[node_id])
-            if node.depth > 0 and left <= 1:
-                continue
-            best = choose_category(options.get(node_id, []), node.n, names, method, above_average_gain)
-            if best is None or (best["gain"] if method == "ID3" else best["gain_ratio"]) < delta:
-                continue
-            seen = {b["value"]: [b[c] for c in names] for b in best["branches"]}
-            feature = features[best["feature"]]
-            for value in domains[feature]:
-                last_id += 1
-                side = seen.get(value)
-                guess = node.prediction if side is None else majority(classes, side)
-                size = 0 if side is None else int(sum(side))
-                child = Node(last_id, node_id, node.depth + 1, feature, "=", value, guess, size)
-                nodes.append(child)
-                if side is not None and gini_of(side) > 0:
-                    following[last_id] = (child, side)
-                    used[last_id] = used[node_id] | {best["feature"]}
-        open_nodes = following
+    texts = F.array(*[F.col(quoted(f)).cast("string") for f in features]).alias("texts")
+    placed = rows.select(texts, "label", "n", F.lit(1).cast("long").alias("node"), F.array().cast("array<int>").alias("used"))
+    held = []
+    try:
+        while open_nodes:
+            melted = placed.select("node", "label", "n", "used", F.posexplode("texts").alias("feature", "value"))
+            melted = melted.filter("value IS NOT NULL AND NOT array_contains(used, feature)")
+            table = melted.groupBy("node", "feature", "value").agg(
+                *criteria.class_measures(F.col("label"), classes, F.col("n"))
+            )
+            table = table.persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(table)
+            best = best_categories(table, names, method, above_average_gain)
+            chosen = {}
+            for node_id, (node, _) in open_nodes.items():
+                row = best.get(node_id)
+                if row is None or node.depth > 0 and len(features) - len(used[node_id]) <= 1:
+                    continue
+                if max(abs(1 - row["fewest"] / node.n), abs(1 - row["most"] / node.n)) >= 1e-4:
+                    raise ValueError("branch shares of a feature do not sum to 1: fill missing values first")
+                if row["score"] >= delta:
+                    chosen[node_id] = row["feature"]
+            following, moves = {}, []
+            seen = branch_counts(table, chosen, names)
+            for node_id, feature in chosen.items():
+                node = open_nodes[node_id][0]
+                for value in domains[features[feature]]:
+                    last_id += 1
+                    side = seen.get((node_id, value))
+                    guess = node.prediction if side is None else majority(classes, side)
+                    size = 0 if side is None else int(sum(side))
+                    child = Node(last_id, node_id, node.depth + 1, features[feature], "=", value, guess, size)
+                    nodes.append(child)
+                    if side is not None and gini_of(side) > 0:
+                        following[last_id] = (child, side)
+                        used[last_id] = [*used[node_id], feature]
+                        moves.append((node_id, feature, value, last_id, used[last_id]))
+            open_nodes = following
+            if moves:
+                placed = moved(placed, moves).persist(StorageLevel.MEMORY_AND_DISK)
+                held.append(placed)
+    finally:
+        for frame in held:
+            frame.unpersist()
     return Tree(nodes)
 
 
-def choose_category(options, n: int, names, method: str, above_average_gain: bool):
-    """The best feature of a node; the first in table order wins ties."""
-    for row in options:
-        if abs(1 - sum(sum(b[c] for c in names) for b in row["branches"]) / n) >= 1e-4:
-            raise ValueError("branch shares of a feature do not sum to 1: fill missing values first")
-    if above_average_gain and method == "C4.5" and options:
-        average = sum(row["gain"] for row in options) / len(options)
-        options = [row for row in options if row["gain"] >= average - 1e-12]
+def best_categories(table: DataFrame, names: Sequence[str], method: str, above_average_gain: bool) -> dict[int, dict]:
+    """Per node the best feature, the first in table order of equals, its score, and the range of features' sizes."""
+    gains = criteria.category_gains(table, ["node"], len(names)).withColumn("size", criteria.added(names))
     key = "gain" if method == "ID3" else "gain_ratio"
-    return min(options, key=lambda row: (-round(row[key], 10), row["feature"]), default=None)
+    whole = gains.groupBy("node").agg(
+        F.avg("gain").alias("average"), F.min("size").alias("fewest"), F.max("size").alias("most")
+    )
+    options = gains.join(whole, "node")
+    if above_average_gain and method == "C4.5":
+        options = options.filter("gain >= average - 1e-12")
+    rank = F.struct(F.expr(f"-rint({key} * 1e10D)").alias("below"), "feature", F.col(key).alias("score"))
+    best = options.groupBy("node").agg(F.min(rank).alias("best"), F.min("fewest").alias("fewest"), F.max("most").alias("most"))
+    rows = best.select("node", "best.feature", "best.score", "fewest", "most").collect()
+    return {row["node"]: row.asDict() for row in rows}
+
+
+def branch_counts(table: DataFrame, chosen: dict[int, int], names: Sequence[str]) -> dict[tuple, list[float]]:
+    """Class counts of the new nodes, by (node, value)."""
+    if not chosen:
+        return {}
+    split = table.sparkSession.createDataFrame(list(chosen.items()), "node long, feature int")
+    rows = table.join(F.broadcast(split), ["node", "feature"]).select("node", "value", *names).collect()
+    return {(row["node"], row["value"]): [row[c] for c in names] for row in rows}
+
+
+def moved(placed: DataFrame, moves: list[tuple]) -> DataFrame:
+    """Rows of split nodes at their child; rows in leaves are left behind. The table of moves is a part of the tree,
+    which the driver holds, so it may be broadcast."""
+    schema = "node long, feature int, value string, child long, child_used array<int>"
+    table = placed.sparkSession.createDataFrame(moves, schema)
+    split = table.select("node", "feature").distinct()
+    valued = placed.join(F.broadcast(split), "node").withColumn("value", F.get("texts", F.col("feature")))
+    there = valued.join(F.broadcast(table.drop("feature")), ["node", "value"])
+    return there.select("texts", "label", "n", F.col("child").alias("node"), F.col("child_used").alias("used"))
 
 
 def fit_tree_depths(frame, features, label, depths: Sequence[int], **options) -> dict[int, Tree]:

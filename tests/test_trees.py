@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -180,11 +181,9 @@ def test_folding_equal_rows_changes_nothing(spark, monkeypatch):
     assert fit_class_tree(noisy(spark), features, "y", max_depth=3).nodes == plain_class
 
 
-def test_quantile_candidates_agree_with_their_own_routing(spark, monkeypatch):
-    monkeypatch.setattr(ordered, "SMALL_DOMAIN", 5)
-    monkeypatch.setattr(ordered, "SLICES", 8)
+def test_binned_candidates_agree_with_their_own_routing(spark):
     rows = noisy(spark)
-    tree = fit_class_tree(rows, ["a", "b", "c"], "y", max_depth=3, candidates="quantile")
+    tree = fit_class_tree(rows, ["a", "b", "c"], "y", max_depth=3, max_bins=8)
     placed = rows.withColumn("p", tree.column())
     counts = {n.node_id: n.n for n in tree.nodes}
     for node in tree.nodes[1:]:
@@ -242,4 +241,17 @@ def test_wrong_parameters_are_refused(spark, melon):
     with pytest.raises(ValueError):
         fit_category_tree(melon, MELON_FEATURES, "haogua", "CART")
     with pytest.raises(ValueError):
-        fit_class_tree(melon, ["seze"], "haogua", candidates="some")
+        fit_class_tree(melon, ["seze"], "haogua", max_bins=1)
+
+
+def test_wide_category_tree_takes_few_jobs(spark):
+    frame = spark.range(1500).selectExpr(
+        "concat('a', id % 40) AS a", "concat('b', (id * 7) % 37) AS b", "concat('c', (id * 11) % 41) AS c",
+        "CAST((id * 2654435761) % 97 > 48 AS INT) AS y",
+    )
+    started = time.time()
+    tree = fit_category_tree(frame, ["a", "b", "c"], "y", "ID3", 0.0)
+    assert len(tree.nodes) > 1000 and time.time() - started < 60
+    for node in tree.nodes[:50]:
+        below = tree.children(node)
+        assert not below or sum(c.n for c in below) == node.n

@@ -36,12 +36,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BooleanType, LongType
 
 from tabloom.llm.common import batch_of, slices, texts_of, written
-from tabloom.llm.components import components
+from tabloom.llm.components import components, extended
 
 WORDS = 5
 PERCENT = 75  # two sets link when 100 * intersection >= PERCENT * union
 SKETCH_BITS, SKETCH_PARTS = 20, 64
-BLOCK = 256  # sets on either side of a block
+BLOCK = 512  # sets on either side of a block
+SKETCH_BLOCK = 4096  # as many sketches take less room
+MOST_BROADCAST = 1_000_000  # document ids that are sent to all executors; beyond it they are joined by a shuffle
 PIVOT_ROUNDS = 4
 
 _random = np.random.default_rng(45)
@@ -452,20 +454,21 @@ def near_duplicate_groups(
     # members that are far from the pivot stay only for partners among the others
     regions = met.groupBy("pivot").agg(F.count("*").alias("n_all"), F.sum("side").alias("n_apart"))
     regions = regions.where("n_all > 1 AND n_apart > 0").withColumn("region", F.xxhash64("pivot"))
-    blocks = _blocked(met.join(regions, "pivot"), block, "pivot", "n", "sketch")
+    blocks = _blocked(met.join(regions, "pivot"), block * SKETCH_BLOCK // BLOCK, "pivot", "n", "sketch")
     found = blocks.groupBy("kind", "task").applyInArrow(_near_members(percent), "pivot binary, sig binary")
     stay = met.where("near").select("pivot", "sig").union(found).distinct()
     stay = written(spark, stay, "members")
 
     wanted = stay.select("sig").union(stay.select("pivot")).distinct()
-    holders = classes.join(wanted, "sig", "left_semi").select("holder").distinct()
+    holders = written(spark, classes.join(wanted, "sig", "left_semi").select("holder").distinct(), "holders")
+    if holders.count() <= MOST_BROADCAST:
+        holders = F.broadcast(holders)
     held = rows.join(holders, F.col("doc_id").eqNullSafe(F.col("holder")), "left_semi").select("text")
     sets = written(spark, held.mapInArrow(_set_rows, "sig binary, n long, hashes binary"), "sets")
 
     near = distances(stay.select(F.col("sig").alias("x"), "pivot", F.lit(0).cast("long").alias("of")), sets)
     near = written(spark, near, "distances")
-    links = near.where(_linked(percent)).select("a", "b")
-    roots = components(spark, links)
+    roots = components(spark, near.where(_linked(percent)).select("a", "b"))
     regions = _ringed(near, percent)
     for _ in range(PIVOT_ROUNDS):
         apart = written(spark, _rooted(regions, roots), "apart")
@@ -477,16 +480,14 @@ def near_duplicate_groups(
         pairs = wide.join(pivots, "region").where("sig <> next")
         near = distances(pairs.select(F.col("sig").alias("x"), F.col("next").alias("pivot"), F.col("region").alias("of")), sets)
         near = written(spark, near, "distances")
-        links = links.union(near.where(_linked(percent)).select("a", "b"))
-        roots = components(spark, links)
+        roots = extended(spark, roots, near.where(_linked(percent)).select("a", "b"))
         regions = _ringed(near, percent).union(apart.where(F.col("n_apart") <= block).select("region", "pivot", "sig"))
         regions = written(spark, regions.distinct(), "regions")
     else:
         apart = written(spark, _rooted(regions, roots), "apart")
     blocks = _blocked(apart, block, "root").join(sets.select("sig", "hashes"), "sig")
     found = blocks.groupBy("kind", "task").applyInArrow(_joined_blocks(percent), "a binary, b binary")
-    links = links.union(written(spark, found, "block-links"))
-    roots = components(spark, links).select(F.col("node").alias("sig"), "root")
+    roots = extended(spark, roots, found).select(F.col("node").alias("sig"), "root")
 
     grouped = docs.where("n > 0").join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     least = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))

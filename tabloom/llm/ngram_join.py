@@ -9,9 +9,9 @@ pivot that it meets so, which are the only pivots at a distance below one. Regio
 1. a sketch of every set, its shingles counted by hash range, bounds distances from below (the counts of two sets differ
    by no more than the sets). A member that is too far, by its sketch, from the pivot and from every other member of its
    region has no partner there and leaves it;
-2. every other member's exact distance to its pivot is taken; within the threshold it is a link;
+2. the exact distances of the other members to their pivot are taken; within the threshold it is a link;
 3. a region whose members are already connected is done;
-4. of the others, members are laid out by their distance to the pivot in rings as wide as the threshold. By the triangle
+4. of the others, those that fill more than a block are laid out by distance to the pivot in rings as wide as the threshold. By the triangle
    inequality a partner is in the same ring or the next, to which boundary documents are replicated. A ring whose
    members outside the pivot's group still fill more than a block gets a new pivot from among them, and so on again;
    smaller ones are joined exactly, block by block, by products of incidence matrices.
@@ -44,7 +44,7 @@ SKETCH_BITS, SKETCH_PARTS = 20, 64
 BLOCK = 512  # sets on either side of a block
 SKETCH_BLOCK = 4096  # as many sketches take less room
 MOST_BROADCAST = 1_000_000  # document ids that are sent to all executors; beyond it they are joined by a shuffle
-PIVOT_ROUNDS = 4
+PIVOT_ROUNDS = 2  # what is wide after so many new pivots is joined block by block
 
 _random = np.random.default_rng(45)
 BYTE = _random.integers(0, 2**64, 256, dtype=np.uint64) | np.uint64(1)
@@ -456,8 +456,10 @@ def near_duplicate_groups(
     regions = regions.where("n_all > 1 AND n_apart > 0").withColumn("region", F.xxhash64("pivot"))
     blocks = _blocked(met.join(regions, "pivot"), block * SKETCH_BLOCK // BLOCK, "pivot", "n", "sketch")
     found = blocks.groupBy("kind", "task").applyInArrow(_near_members(percent), "pivot binary, sig binary")
-    stay = met.where("near").select("pivot", "sig").union(found).distinct()
-    stay = written(spark, stay, "members")
+    stay = met.where("near").select("pivot", "sig", F.lit(1).alias("near"))
+    stay = stay.union(found.withColumn("near", F.lit(0))).groupBy("pivot", "sig").agg(F.max("near").alias("near"))
+    sizes = stay.groupBy("pivot").agg((F.count("*") > block).alias("wide"))
+    stay = written(spark, stay.join(sizes, "pivot"), "members")
 
     wanted = stay.select("sig").union(stay.select("pivot")).distinct()
     holders = written(spark, classes.join(wanted, "sig", "left_semi").select("holder").distinct(), "holders")
@@ -466,10 +468,13 @@ def near_duplicate_groups(
     held = rows.join(holders, F.col("doc_id").eqNullSafe(F.col("holder")), "left_semi").select("text")
     sets = written(spark, held.mapInArrow(_set_rows, "sig binary, n long, hashes binary"), "sets")
 
-    near = distances(stay.select(F.col("sig").alias("x"), "pivot", F.lit(0).cast("long").alias("of")), sets)
-    near = written(spark, near, "distances")
+    # rings need the distance of every member, small regions only that of possible links
+    pairs = stay.where("near = 1 OR wide").select(F.col("sig").alias("x"), "pivot", F.lit(0).cast("long").alias("of"))
+    near = written(spark, distances(pairs, sets), "distances")
     roots = components(spark, near.where(_linked(percent)).select("a", "b"))
-    regions = _ringed(near, percent)
+    wide = stay.where("wide").select(F.col("pivot").alias("b")).distinct()
+    small = stay.where("NOT wide").select(F.xxhash64("pivot").alias("region"), "pivot", "sig")
+    regions = _ringed(near.join(wide, "b", "left_semi"), percent).union(small)
     for _ in range(PIVOT_ROUNDS):
         apart = written(spark, _rooted(regions, roots), "apart")
         wide = apart.where(F.col("n_apart") > block)

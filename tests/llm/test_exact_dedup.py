@@ -1,7 +1,7 @@
 import hashlib
 from collections import defaultdict
 
-from conftest_llm import ascii_lower
+from llm.conftest_llm import ascii_lower
 
 from tabloom.llm.exact_dedup import LARGEST, SMALLEST, cuts, drop_copies, exact_groups
 

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from conftest_llm import ascii_lower
+from llm.conftest_llm import ascii_lower
 
 from tabloom.llm.ngram_join import (
     drop_near_duplicates, may_link, near_duplicate_groups, prefix_length, shingles, sketch_of,

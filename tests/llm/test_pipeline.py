@@ -2,9 +2,9 @@ import sys
 from pathlib import Path
 
 import pytest
-from conftest_llm import ascii_lower
-from test_curve_packing import check, ids_of
-from test_ngram_join import brute, near_copies
+from llm.conftest_llm import ascii_lower
+from llm.test_curve_packing import check, ids_of
+from llm.test_ngram_join import brute, near_copies
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 import corpus_pipeline  # noqa: E402

@@ -133,7 +133,9 @@ def learn_toxicity(documents: DataFrame, labels: DataFrame, id_column="doc_id",
     order = Window.partitionBy("grade").orderBy(F.xxhash64("label_id"), "label_id")
     sampled = graded.withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE_A_GRADE)
     totals = {r["grade"]: r["count"] for r in graded.groupBy("grade").count().collect()}
-    rows = texts.join(sampled, F.col("doc_id") == F.col("label_id")).select("text", "grade").collect()
+    # at most SAMPLE_A_GRADE rows for each of three grades, so no text need be shuffled to meet them
+    few = F.broadcast(sampled.select("label_id", "grade"))
+    rows = texts.join(few, F.col("doc_id") == F.col("label_id")).select("text", "grade").collect()
     drawn = Counter(r["grade"] for r in rows)
     return fit_ordinal([(r["text"], r["grade"], totals[r["grade"]] / drawn[r["grade"]]) for r in rows])
 

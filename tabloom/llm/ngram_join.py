@@ -137,10 +137,10 @@ def prefix_length(size: int, percent: int = PERCENT) -> int:
 
 
 SUMMARY = pa.schema(
-    [("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("cls", pa.int64()), ("sketch", pa.binary()),
-     ("part", pa.int32()), ("counts", pa.binary())]
+    [("doc_id", pa.int64()), ("digest", pa.binary()), ("n", pa.int64()), ("sig", pa.binary()), ("cls", pa.int64()),
+     ("sketch", pa.binary()), ("part", pa.int32()), ("counts", pa.binary())]
 )
-SUMMARY_SQL = "doc_id long, n long, sig binary, cls long, sketch binary, part int, counts binary"
+SUMMARY_SQL = "doc_id long, digest binary, n long, sig binary, cls long, sketch binary, part int, counts binary"
 
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,12 +157,13 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sigs.append(signature(hashes) if len(hashes) else None)
         rows, classes = len(sizes), [s and as_class(s) for s in sigs]
         none = pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())
-        yield batch_of(SUMMARY, batch.column(0), sizes, sigs, classes, sketches, *none)
+        digests = batch.column(2) if batch.num_columns > 2 else pa.nulls(rows, pa.binary())
+        yield batch_of(SUMMARY, batch.column(0), digests, sizes, sigs, classes, sketches, *none)
     if counts.any():
         parts = [x.tobytes() for x in np.split(counts, SKETCH_PARTS)]
         empty = pa.nulls(SKETCH_PARTS, pa.int64())
         none = pa.nulls(SKETCH_PARTS, pa.binary())
-        yield batch_of(SUMMARY, empty, empty, none, empty, none, list(range(SKETCH_PARTS)), parts)
+        yield batch_of(SUMMARY, empty, none, empty, none, empty, none, list(range(SKETCH_PARTS)), parts)
 
 
 def _sum_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -424,15 +425,12 @@ def _blocked(members: DataFrame, block: int, *columns: str) -> DataFrame:
                        "sig", *columns)
 
 
-def near_duplicate_groups(
-    spark: SparkSession, documents: DataFrame, percent: int = PERCENT, block: int = BLOCK,
-    id_column="doc_id", text_column="text",
-) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
-    rows = texts_of(documents, id_column, text_column)
+def _grouped(spark: SparkSession, rows: DataFrame, percent: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, digest, n, root) of the rows (doc_id, text, and digest or none) with shingles; all without any."""
     summaries = written(spark, rows.mapInArrow(_summaries, SUMMARY_SQL), "summaries")
+    rows = rows.select("doc_id", "text")
     counts = spark.sparkContext.broadcast(shingle_counts(summaries))  # of fixed size
-    docs = summaries.where("part IS NULL").select("doc_id", "n", "sig", "cls", "sketch")
+    docs = summaries.where("part IS NULL").select("doc_id", "digest", "n", "sig", "cls", "sketch")
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     in_order = prefixes(rows, counts, percent).repartition(parts, "shingle").sortWithinPartitions("shingle", "cls")
@@ -495,28 +493,41 @@ def near_duplicate_groups(
     roots = extended(spark, roots, found).select(F.col("node").alias("sig"), "root")
 
     grouped = docs.where("n > 0").join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+    return grouped.select("doc_id", "digest", "n", "root"), docs.where("n = 0").select("doc_id", "n")
+
+
+def near_duplicate_groups(
+    spark: SparkSession, documents: DataFrame, percent: int = PERCENT, block: int = BLOCK,
+    id_column="doc_id", text_column="text",
+) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id."""
+    grouped, blank = _grouped(spark, texts_of(documents, id_column, text_column), percent, block)
     least = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     grouped = grouped.join(least, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = docs.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    alone = blank.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return grouped.union(alone)
 
 
 def drop_near_duplicates(
     spark: SparkSession, documents: DataFrame, percent: int = PERCENT, id_column="doc_id", text_column="text"
 ) -> DataFrame:
-    """The documents with one row of each group, the one whose doc_id names it, with all their columns.
+    """The documents with one row of each group, with all their columns.
 
-    Of several rows with that doc_id the one with the smallest text stays; a group without any doc_id keeps one row for
-    all such groups.
+    The row with the smallest doc_id that isn't null stays, of several with that doc_id (or none) the one with the least
+    digest of its text. Null and blank texts are groups of their own, so all of their rows stay.
     """
-    groups = near_duplicate_groups(spark, documents, percent, id_column=id_column, text_column=text_column)
-    kept = groups.select(F.col("component_id").alias("_kept")).distinct()
-    rows = documents.select(
+    row_key = lambda doc_id, digest: F.concat_ws("/", F.coalesce(doc_id.cast("string"), F.lit("null")), F.hex(digest))
+    digest_of = lambda text: F.unhex(F.sha2(text, 256))
+    texts = texts_of(documents, id_column, text_column)
+    grouped, _ = _grouped(spark, texts.withColumn("digest", digest_of(F.col("text"))), percent, BLOCK)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("first")
+    kept = grouped.groupBy("root").agg(first).select(row_key(F.col("first.doc_id"), F.col("first.digest")).alias("_key"))
+    text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
+    inked = text.rlike(r"[^\x09-\x0D\x20]")
+    rows = documents.where(inked).select(
         F.struct(*[F.col(f"`{n}`") for n in documents.columns]).alias("_row"),
-        F.col(id_column).cast("long").alias("_id"),
-    )
-    rows = rows.groupBy("_id").agg(
-        F.min_by("_row", F.col(f"_row.`{text_column}`")).alias("_row"), F.first("_row").alias("_any")
+        row_key(F.col(id_column).cast("long"), digest_of(text)).alias("_key"),
     )
-    rows = rows.join(kept, F.col("_id").eqNullSafe(F.col("_kept")), "left_semi")
-    return rows.select(F.coalesce("_row", "_any").alias("_row")).select("_row.*")
+    # combined before the shuffle, which also serves the join
+    rows = rows.groupBy("_key").agg(F.first("_row").alias("_row")).join(kept, "_key", "left_semi")
+    return rows.select("_row.*").union(documents.where(~inked))

@@ -107,3 +107,16 @@ def test_sketches_never_part_links():
 
 def test_prefix_length():
     assert [prefix_length(n) for n in (1, 4, 5, 8, 100)] == [1, 2, 2, 3, 26]
+
+
+def test_a_row_of_each_group_stays(spark):
+    words = lambda name: " ".join(f"{name}{i}" for i in range(40))
+    one, two, three = words("one"), words("two"), words("three")
+    rows = [(None, one), (None, two), (None, two + " more"), (None, three), (None, three), (7, three + " end")]
+    rows += [(5, words("x")), (5, words("y")), (5, words("z")), (6, words("z") + " end"), (None, ""), (None, None), (5, " ")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in drop_near_duplicates(spark, frame).collect()]
+    assert sum(t in (two, two + " more") for _, t in kept) == 1
+    rest = [(None, one), (7, three + " end"), (5, words("x")), (5, words("y")), (5, words("z"))]
+    rest += [(None, ""), (None, None), (5, " ")]
+    assert sorted((r for r in kept if "two" not in (r[1] or "")), key=str) == sorted(rest, key=str)

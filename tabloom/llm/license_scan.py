@@ -13,6 +13,7 @@ are ignored. Spans count code points, the end is exclusive.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right, insort
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,6 +26,7 @@ from tabloom.llm.common import batch_of, slices, texts_of
 
 GRAM, WINDOW, BAND = 3, 3, 8
 LEAST_COVERAGE = 0.8
+LONG, LEAST_HITS = 100, 5  # templates with more words are aligned if so many hundredths of their fingerprints are hit
 MATCH, MISMATCH, GAP = 2, -1, -1
 WORD = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
 
@@ -58,6 +60,16 @@ notice, this list of conditions and the following disclaimer in the documentatio
 the distribution.""",
 }
 
+# words that name a license and its version; the first of each in the template must be matched
+REQUIRED = {
+    "Apache-2.0 notice": "apache 2.0",
+    "GPL-3.0 notice": "general public 3",
+    "MIT notice": "mit",
+    "CC-BY-NC-4.0 notice": "by-nc 4.0",
+    "Apache-2.0 header": "apache 2.0",
+    "GPL-3.0 header": "general public 3",
+}
+
 
 @dataclass(frozen=True)
 class Match:
@@ -81,18 +93,23 @@ def winnowed(hashes: list[int]) -> dict[int, int]:
 class LicenseIndex:
     """Template words by number, and template places by fingerprint."""
 
-    def __init__(self, templates: dict[str, str]):
+    def __init__(self, templates: dict[str, str], required: dict[str, str] | None = None):
         self.names = list(templates)
         self.numbers: dict[str, int] = {}
         self.words = [
             [self.numbers.setdefault(w, len(self.numbers) + 1) for w in WORD.findall(t.lower())]
             for t in templates.values()
         ]
+        named = [[self.numbers[w] for w in (required or {}).get(name, "").split()] for name in self.names]
+        self.required = [sorted(words.index(w) for w in some) for words, some in zip(self.words, named, strict=True)]
         self.base = len(self.numbers) + 1
         self.places: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        self.least_hits = []
         for t, words in enumerate(self.words):
-            for place, gram in winnowed(self.grams(np.array(words)).tolist()).items():
+            prints = winnowed(self.grams(np.array(words)).tolist())
+            for place, gram in prints.items():
                 self.places[gram].append((t, place))
+            self.least_hits.append(1 if len(words) <= LONG else -(-len(prints) * LEAST_HITS // 100))
         self.fingerprints = np.array(sorted(self.places), np.uint64)
 
     def grams(self, words: np.ndarray) -> np.ndarray:
@@ -105,74 +122,108 @@ class LicenseIndex:
             total = total * np.uint64(self.base) + words[i : i + size].astype(np.uint64)
         return total * np.uint64(0x9E3779B97F4A7C15)  # odd, so different k-grams stay different
 
-    def candidates(self, words: np.ndarray) -> list[tuple[int, int]]:
-        """(template, diagonal) of hits; diagonals within the band of each other are one candidate."""
+    def hits(self, words: np.ndarray) -> dict[int, list[tuple[int, int]]]:
+        """(text place, template place) of fingerprints in the text by template, in text order."""
         grams = self.grams(words)
-        hits = np.flatnonzero(np.isin(grams, self.fingerprints))
-        diagonals = defaultdict(set)
-        for at in hits.tolist():
+        near = np.minimum(np.searchsorted(self.fingerprints, grams), len(self.fingerprints) - 1)
+        found = defaultdict(list)
+        for at in np.flatnonzero(self.fingerprints[near] == grams).tolist():
             for t, place in self.places[int(grams[at])]:
-                diagonals[t].add(at - place)
-        found = []
-        for t, some in diagonals.items():
-            last = None
-            for diagonal in sorted(some):
-                if last is None or diagonal - last > BAND:
-                    found.append((t, diagonal))
-                    last = diagonal
+                found[t].append((at, place))
         return found
 
-    def align(self, t: int, words: list[int], diagonal: int) -> tuple[int, int, int]:
-        """(matched template words, first, last text word) of the best local alignment in the band."""
-        template = self.words[t]
-        low = -BAND
-        width = 2 * BAND + 1
-        before = [(0, 0, -1, -1)] * width  # score, matched words, first and last matched place
-        best = (0, 0, -1, -1)
+    def align(self, t: int, words: np.ndarray, some: list[tuple[int, int]], low: int, high: int) -> tuple[int, int, int]:
+        """(matched template words, first, last text word) of the best local alignment with the words from ``low`` to
+        ``high``, in a band about the diagonals of the hits. Required words are matched, or there is no alignment."""
+        template, required = self.words[t], set(self.required[t])
+        until, since = (min(required), max(required)) if required else (len(template), 0)
+        diagonals = [at - place for at, place in some]
+        start = min(diagonals) - BAND
+        width = max(diagonals) + BAND + 1 - start
+        text = np.full(len(template) + width, -1, np.int64)  # the word at place x of the text is at x - start
+        a, b = max(low, start), min(high, start + len(text))
+        text[a - start : b - start] = words[a:b]
+        # a cell is the score, the matched words and the first matched place + 1, packed so that the largest is the best
+        one = np.int64(1) << 48
+        ramp = np.arange(width, dtype=np.int64) * one
+        before = np.zeros(width, np.int64)
+        best, best_last = np.int64(0), -1
         for i, word in enumerate(template):
-            now = []
-            for k in range(width):
-                j = i + diagonal + low + k
-                if not 0 <= j < len(words):
-                    now.append((0, 0, -1, -1))
-                    continue
-                score, matched, first, last = before[k]
-                if words[j] == word:
-                    step = (score + MATCH, matched + 1, j if first < 0 else first, j)
-                else:
-                    step = (score + MISMATCH, matched, first, last)
-                if k + 1 < width:  # a template word is left out
-                    other = before[k + 1]
-                    step = max(step, (other[0] + GAP, *other[1:]))
-                if k:  # a text word is left out
-                    other = now[k - 1]
-                    step = max(step, (other[0] + GAP, *other[1:]))
-                if step[0] <= 0:
-                    step = (0, 0, -1, -1)
-                now.append(step)
-                if (step[0], -step[2]) > (best[0], -best[2]):
-                    best = step
+            same = text[i : i + width] == word
+            fresh = np.arange(start + i + 1, start + i + 1 + width) if i <= until else np.int64(0)
+            gained = before + MATCH * one + (np.int64(1) << 34)
+            matched = np.where(before > 0, gained, gained + fresh if i <= until else 0)
+            if i in required:
+                now = np.where(same, matched, 0)
+            else:
+                now = np.where(same, matched, before + MISMATCH * one)
+                now[:-1] = np.maximum(now[:-1], before[1:] + GAP * one)  # a template word is left out
+            now = np.maximum.accumulate(now - GAP * ramp) + GAP * ramp  # text words are left out
+            now[now < one] = 0
+            if i >= since and (top := now.max()) >> 48 >= max(best >> 48, 1):
+                rows = np.flatnonzero(now >> 48 == top >> 48)
+                firsts = now[rows] & ((1 << 34) - 1)
+                k = rows[firsts.argmin()]
+                if now[k] >> 48 > best >> 48 or firsts.min() < best & ((1 << 34) - 1):
+                    best, best_last = now[k], start + i + int(k)
             before = now
-        return best[1:]
+        return int(best >> 34) & 0x3FFF, int(best & ((1 << 34) - 1)) - 1, best_last
+
+    def occurrences(self, t: int, words: np.ndarray, some: list[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
+        """(matched words, first, last) of alignments of a template. An alignment ends before its gaps outweigh its
+        matches, so it spans less than three templates; a window of hits has room for that from any of its first part."""
+        size = len(self.words[t])
+        low = begin = 0
+        while begin < len(some):
+            start = some[begin][0]
+            end = bisect_left(some, (start + 4 * size,))
+            todo = [(low, min(len(words), start + 5 * size), begin, end)]
+            after = start + size
+            while todo:
+                a, b, i, j = todo.pop()
+                inside = some[i:j]
+                if len({place for _, place in inside}) < self.least_hits[t] or not inside:
+                    continue
+                matched, first, last = self.align(t, words, inside, a, b)
+                if matched and matched >= LEAST_COVERAGE * size:
+                    yield matched, first, last
+                    after, low = max(after, last + 1), max(low, last + 1)
+                    todo.append((a, first, i, bisect_left(some, (first - GRAM + 1,), i, j)))
+                    todo.append((last + 1, b, bisect_left(some, (last + 1,), i, j), j))
+            begin = max(begin + 1, bisect_left(some, (after,)))
 
     def scan(self, text: str) -> list[Match]:
         lowered = text.lower()
         if len(lowered) != len(text):  # some letters have longer small forms; keep places as they are
             lowered = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
-        found = WORD.findall(lowered)
-        words = [self.numbers.get(w, 0) for w in found]
-        candidates = self.candidates(np.array(words, np.int64))
-        if not candidates:
+        words = np.array([self.numbers.get(w, 0) for w in WORD.findall(lowered)], np.int64)
+        found = [
+            (matched, matched / len(self.words[t]), self.names[t], first, last)
+            for t, some in self.hits(words).items()
+            for matched, first, last in self.occurrences(t, words, some)
+        ]
+        if not found:
             return []
         spans = [m.span() for m in WORD.finditer(lowered)]
-        matches = {}
-        for t, diagonal in candidates:
-            matched, first, last = self.align(t, words, diagonal)
-            coverage = matched / len(self.words[t])
-            if coverage >= LEAST_COVERAGE:
-                match = Match(self.names[t], round(coverage, 4), spans[first][0], spans[last][1])
-                matches[match.license, match.start, match.end] = match
-        return sorted(matches.values(), key=lambda m: (m.start, m.end, m.license))
+        # of templates that match the same place the one with most matched words stays
+        kept: list[tuple[int, int]] = []
+        matches = []
+        for _, coverage, name, first, last in sorted(found, key=lambda x: (-x[0], -x[1], x[2], x[3])):
+            at = bisect_right(kept, (last, len(words)))
+            near = kept[max(0, at - 1) : at]
+            while near and near[0][1] >= first and not covers(near[0], first, last) and at > 1:
+                at -= 1
+                near = kept[at - 1 : at]
+            if near and covers(near[0], first, last):
+                continue
+            insort(kept, (first, last))
+            matches.append(Match(name, round(coverage, 4), spans[first][0], spans[last][1]))
+        return sorted(matches, key=lambda m: (m.start, m.end, m.license))
+
+
+def covers(kept: tuple[int, int], first: int, last: int) -> bool:
+    """Whether more than half of the words from first to last are inside the kept ones."""
+    return 2 * (min(kept[1], last) - max(kept[0], first) + 1) > last - first + 1
 
 
 RESULT = pa.schema(
@@ -185,7 +236,7 @@ def find_licenses(
     documents: DataFrame, templates: dict[str, str] | None = None, id_column="doc_id", text_column="text"
 ) -> DataFrame:
     """One row per match: doc_id, license, coverage of the template, span in the text."""
-    index = LicenseIndex(templates or TEMPLATES)
+    index = LicenseIndex(templates or TEMPLATES, REQUIRED if templates is None else None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):

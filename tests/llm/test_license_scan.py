@@ -1,6 +1,6 @@
 import random
 
-from tabloom.llm.license_scan import TEMPLATES, LicenseIndex, find_licenses, winnowed
+from tabloom.llm.license_scan import REQUIRED, TEMPLATES, LicenseIndex, find_licenses, winnowed
 
 INDEX = LicenseIndex(TEMPLATES)
 
@@ -37,3 +37,21 @@ def test_repeats_and_awkward_table(spark, awkward, no_documents):
     got = sorted((str(r["doc_id"]), r["span_start"], r["span_end"]) for r in find_licenses(frame).collect())
     assert got == [("1", 0, 30), ("1", 58, 88), ("None", 0, 30)]
     assert find_licenses(awkward).count() == 0 and find_licenses(no_documents).count() == 0
+
+
+def licenses(text):
+    return [m.license for m in LicenseIndex(TEMPLATES, REQUIRED).scan(text)]
+
+
+def test_names_and_versions_are_matched():
+    assert licenses("This work is licensed under the GNU General Public License, version 1") == []
+    assert licenses("Released under the Foo License") == []
+
+
+def test_words_inserted_into_a_long_template():
+    words = TEMPLATES["MIT"].split()
+    at = len(words) // 2
+    for more in (9, 30, 60):
+        text = " ".join(["before", *words[:at], *["inserted"] * more, *words[at:], "after", *words])
+        found = [m for m in LicenseIndex(TEMPLATES, REQUIRED).scan(text) if m.license == "MIT"]
+        assert [m.coverage for m in found] == [1.0, 1.0]

@@ -17,6 +17,7 @@ from bisect import bisect_left, bisect_right, insort
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,94 @@ LONG, LEAST_HITS = 100, 5  # templates with more words are aligned if so many hu
 MATCH, MISMATCH, GAP = 2, -1, -1
 WORD = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
 
+MIT_DISCLAIMER = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
+LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT
+OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+ISC_DISCLAIMER = """THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE
+INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL,
+DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER
+IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+PERFORMANCE OF THIS SOFTWARE."""
+BSD_START = """Redistribution and use in source and binary forms, with or without modification, are permitted
+provided that the following conditions are met: Redistributions of source code must retain the above copyright notice,
+this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright
+notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with
+the distribution.
+"""
+BSD_NAMES = """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission.
+"""
+BSD_DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE
+ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
+LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
+CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
+SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+# notices and the words of each that name the license and its version
+NOTICES = {
+    f"{name} notice{kind}": (form, words)
+    for kind, name, form, words in [
+        ("", "BSD", "Released under the BSD License", "bsd"),
+        ("", "BSD-2-Clause", "Released under the BSD 2-Clause License", "bsd 2-clause"),
+        ("", "BSD-3-Clause", "Released under the BSD 3-Clause License", "bsd 3-clause"),
+        ("", "ISC", "Released under the ISC License", "isc"),
+        (" 2", "MIT", "Licensed under the MIT License", "mit"),
+        (" 2", "BSD", "Licensed under the BSD License", "bsd"),
+        (" 2", "BSD-2-Clause", "Licensed under the BSD 2-Clause License", "bsd 2-clause"),
+        (" 2", "BSD-3-Clause", "Licensed under the BSD 3-Clause License", "bsd 3-clause"),
+        (" 2", "ISC", "Licensed under the ISC License", "isc"),
+        ("", "Apache-1.1", "Licensed under the Apache License, Version 1.1", "apache 1.1"),
+        (" 2", "Apache-2.0", "Released under the Apache License 2.0", "apache 2.0"),
+        ("", "MPL-2.0", "Licensed under the Mozilla Public License, version 2.0", "mozilla 2.0"),
+        ("", "GPL-2.0", "This work is licensed under the GNU General Public License, version 2", "general public 2"),
+        ("", "LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1", "lesser 2.1"),
+        ("", "LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3", "lesser 3"),
+        ("", "AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3", "affero 3"),
+        *[("", f"CC-{kind.upper()}-{version}", f"Licensed under CC {kind.upper()} {version}", f"{kind} {version}")
+          for kind in ("by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd") for version in ("3.0", "4.0")
+          if (kind, version) != ("by-nc", "4.0")],
+        *[(" 2", f"CC-{kind.upper()}-{version}",
+           f"This work is licensed under a Creative Commons {long} {version} International License", f"{key} {version}")
+          for kind, long, key in (
+              ("by", "Attribution", "attribution"), ("by-sa", "Attribution-ShareAlike", "attribution-sharealike"),
+              ("by-nd", "Attribution-NoDerivatives", "attribution-noderivatives"),
+              ("by-nc", "Attribution-NonCommercial", "attribution-noncommercial"),
+              ("by-nc-sa", "Attribution-NonCommercial-ShareAlike", "attribution-noncommercial-sharealike"),
+              ("by-nc-nd", "Attribution-NonCommercial-NoDerivatives", "attribution-noncommercial-noderivatives"),
+          ) for version in ("4.0",)],
+    ]
+}
+GNU_HEADERS = {"GPL-2.0": "general public 2", "LGPL-2.1": "lesser 2.1", "LGPL-3.0": "lesser 3", "AGPL-3.0": "affero 3"}
+WHOLE = "Apache-2.0 Artistic GPL-1 GPL-2 GPL-3 LGPL-2 LGPL-2.1 LGPL-3 MPL-1.1 MPL-2.0 CC0-1.0 GFDL-1.2 GFDL-1.3".split()
+
+
+def license_notices() -> dict[str, str]:
+    """Short notices, and the file headers of the GNU licenses and of Mozilla's."""
+    found = {name: form for name, (form, _) in NOTICES.items()}
+    for name in GNU_HEADERS:
+        kind = {"L": "Lesser ", "A": "Affero "}.get(name[0], "")
+        found[f"{name} header"] = f"""This program is free software; you can redistribute it and/or modify it under the
+terms of the GNU {kind}General Public License as published by the Free Software Foundation; either version
+{name.split("-")[1].removesuffix(".0")} of the License, or (at your option) any later version. This program is distributed
+in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or
+FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind}General Public License for more details."""
+    found["MPL-2.0 header"] = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a
+copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/"""[:-1]
+    return found
+
+
+def whole_texts() -> dict[str, str]:
+    """License texts kept beside this module, from the first word to the last."""
+    texts = {}
+    for name in WHOLE:
+        text = (Path(__file__).parent / "licenses" / f"{name}.txt").read_text()
+        places = [m.span() for m in WORD.finditer(text.lower())]
+        texts[f"{name} text"] = text[places[0][0] : places[-1][1]]
+    return texts
+
+
 # fixed values: notices and license texts as they are commonly given
 TEMPLATES = {
     "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0",
@@ -50,14 +139,61 @@ License for more details.""",
 associated documentation files (the "Software"), to deal in the Software without restriction, including without
 limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software,
 and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above
-copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.""",
+copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+"""
+    + MIT_DISCLAIMER,
+    "MIT-0": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+associated documentation files (the "Software"), to deal in the Software without restriction, including without
+limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software,
+and to permit persons to whom the Software is furnished to do so.
+"""
+    + MIT_DISCLAIMER,
     "ISC": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
-hereby granted, provided that the above copyright notice and this permission notice appear in all copies.""",
-    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted
-provided that the following conditions are met: Redistributions of source code must retain the above copyright notice,
-this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright
-notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with
-the distribution.""",
+hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+"""
+    + ISC_DISCLAIMER,
+    "0BSD": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
+hereby granted.
+"""
+    + ISC_DISCLAIMER,
+    "BSD-2-Clause": BSD_START + BSD_DISCLAIMER,
+    "BSD-3-Clause": BSD_START + BSD_NAMES + BSD_DISCLAIMER,
+    "BSD-4-Clause": BSD_START
+    + """All advertising materials mentioning features or use of this software must display the following
+acknowledgement: This product includes software developed by the organization.
+"""
+    + BSD_NAMES
+    + BSD_DISCLAIMER,
+    "Zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors
+be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this
+software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the
+following restrictions: The origin of this software must not be misrepresented; you must not claim that you wrote the
+original software. If you use this software in a product, an acknowledgment in the product documentation would be
+appreciated but is not required. Altered source versions must be plainly marked as such, and must not be misrepresented
+as being the original software. This notice may not be removed or altered from any source distribution.""",
+    "BSL-1.0": """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the
+software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute,
+execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom
+the Software is furnished to do so, all subject to the following: The copyright notices in the Software and this entire
+statement, including the above license grant, this restriction and the following disclaimer, must be included in all
+copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative
+works are solely in the form of machine-executable object code generated by a source language processor. THE SOFTWARE IS
+PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR
+ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE,
+ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "Unlicense": """This is free and unencumbered software released into the public domain. Anyone is free to copy,
+modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for
+any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author
+or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this
+dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this
+dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under
+copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
+LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING
+FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    **license_notices(),
+    **whole_texts(),
 }
 
 # words that name a license and its version; the first of each in the template must be matched
@@ -68,6 +204,9 @@ REQUIRED = {
     "CC-BY-NC-4.0 notice": "by-nc 4.0",
     "Apache-2.0 header": "apache 2.0",
     "GPL-3.0 header": "general public 3",
+    "MPL-2.0 header": "mozilla 2.0",
+    **{name: words for name, (_, words) in NOTICES.items()},
+    **{f"{name} header": words for name, words in GNU_HEADERS.items()},
 }
 
 

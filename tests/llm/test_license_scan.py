@@ -43,7 +43,20 @@ def licenses(text):
     return [m.license for m in LicenseIndex(TEMPLATES, REQUIRED).scan(text)]
 
 
+def test_whole_texts_and_the_template_with_most_words():
+    assert licenses("x. " + TEMPLATES["BSD-3-Clause"]) == ["BSD-3-Clause"]
+    assert licenses("x. " + TEMPLATES["BSD-2-Clause"]) == ["BSD-2-Clause"]
+    for name in ("GPL-2 text", "LGPL-2 text", "LGPL-2.1 text", "AGPL-3.0 header", "MPL-2.0 text"):
+        assert licenses("x. " + TEMPLATES[name]) == [name]
+    assert TEMPLATES["MIT"].endswith("DEALINGS IN THE SOFTWARE.")
+
+
 def test_names_and_versions_are_matched():
+    assert licenses("Released under the BSD License") == ["BSD notice"]
+    assert licenses("Licensed under CC BY 4.0") == ["CC-BY-4.0 notice"]
+    assert licenses("Licensed under CC BY-SA 4.0") == ["CC-BY-SA-4.0 notice"]
+    assert licenses("Licensed under the Apache License, Version 1.1") == ["Apache-1.1 notice"]
+    assert licenses("This work is licensed under the GNU General Public License, version 2") == ["GPL-2.0 notice"]
     assert licenses("This work is licensed under the GNU General Public License, version 1") == []
     assert licenses("Released under the Foo License") == []
 

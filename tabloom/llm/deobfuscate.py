@@ -1,9 +1,11 @@
 """Personal data in plain and disguised form, reported at its place in the source text.
 
 Detectors run twice: over the text as it stands, and over a normalised text in which transducers have rewritten
-homoglyphs, spelled digits and at/dot disguises. Each rewrite keeps its source interval, so a span that is found in the
-normalised text maps back to source characters; spans that touch no rewrite are those of the first pass and are not
-reported twice. Every detector takes time in proportion to the text.
+homoglyphs, bracketed and bare at/dot disguises and spelled digits, one after another, so that mixed forms compose. Every
+character keeps its source interval, so a span that is found in the normalised text maps back to source characters;
+spans that touch no rewrite are those of the first pass and are not reported twice. Every detector takes time in
+proportion to the text. A bare at before a plain domain is rewritten only if the domain has another disguise or the name
+before it has a mark inside: "john at example.com" is otherwise like "available at example.com".
 
 Defined cases: a null text is empty; null doc_ids pass through; repeated rows each return a row; an empty table gives
 an empty result; other columns are ignored; no span gives the empty string and its digest.
@@ -13,11 +15,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -52,14 +54,18 @@ SIGN_WORDS = {"plus": "+", "dot": ".", "point": ".", "dash": "-"}
 FEWEST_DIGITS = 4
 DIGIT_NAMES = frozenset(DIGIT_WORDS)
 
-_UNIT = "|".join(sorted([*DIGIT_WORDS, *SIGN_WORDS], key=len, reverse=True))
 _DIGIT = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
-SPELLED = re.compile(rf"(?i:(?<!\w)(?:plus[ -])?(?:{_DIGIT})(?:[ ,-]{{1,2}}(?:{_UNIT}))+(?!\w))")
+SPELLED = re.compile(rf"(?i:(?<!\w)(?:plus[ -])?(?:{_DIGIT})(?:[ ,-]{{1,2}}(?:(?:{"|".join(SIGN_WORDS)})[ ,-]{{1,2}})?(?:{_DIGIT}))*+(?!\w))")
+_GAP = r"(?:[ ,.()-]{0,2}|[ ](?:dot|point|dash)[ ])"
+BEFORE_DIGITS, AFTER_DIGITS = re.compile(rf"(?i:{_GAP}[0-9])"), re.compile(rf"(?i:[0-9+]{_GAP}\Z)")
+SIGN_BETWEEN = re.compile(r"(?i:(?<=[0-9])[ ](?:(?P<dot>dot|point)|dash)[ ](?=[0-9]))")
 SPELLED_WORD = re.compile(r"\w+")
 BRACKETED = re.compile(r"(?i:[\[({<][ ]?(?:(?P<at>at|@|arroba)|dot|\.|punkt|punto|point)[ ]?[\])}>])")
 BARE = re.compile(
     r"(?i:(?:[ ]at[ ]|@)[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+(?:[ ]dot[ ][A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+)++)"
 )
+BARE_AT = re.compile(r"(?i:[ ]at[ ][A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++)")
+MARKED_NAME = re.compile(r"(?=[^A-Za-z]*+[A-Za-z])[A-Za-z0-9]++(?:[._%+][A-Za-z0-9]++)++|[A-Za-z]++[0-9]++")
 BARE_UNIT = re.compile(r"(?i:[ ](?P<at>at)[ ]|[ ]dot[ ])")
 
 
@@ -141,74 +147,151 @@ def name_start(text: str, end: int, least: int) -> int:
             return start
 
 
-def rewrites(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, replacement) of every disguise, in order and without overlap."""
-    found: list[tuple[int, int, str]] = []
-    if not text.isascii():
-        table = stand_ins()
-        if present := table.keys() & set(text):
-            pattern = "[" + "".join(map(re.escape, sorted(present))) + "]"
-            found += [(m.start(), m.end(), table[m.group()]) for m in re.finditer(pattern, text)]
-    lowered = text.lower()
-    words = lowered.replace("-", " ").replace(",", " ").split()
-    # the first and last word of a run may carry other punctuation
-    if not DIGIT_NAMES.isdisjoint(words) and sum(map(DIGIT_NAMES.__contains__, words)) >= FEWEST_DIGITS - 2:
-        for m in SPELLED.finditer(text):
-            units = [u.lower() for u in SPELLED_WORD.findall(m.group())]
-            if sum(u in DIGIT_WORDS for u in units) >= FEWEST_DIGITS:
-                found.append((m.start(), m.end(), "".join(DIGIT_WORDS.get(u) or SIGN_WORDS[u] for u in units)))
+class Rewritten:
+    """A text in the course of its rewrites; every character has its source interval and whether it was rewritten."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.starts = np.arange(len(text))
+        self.ends = self.starts + 1
+        self.new = np.zeros(len(text), bool)
+
+    def apply(self, edits: list[tuple[int, int, str]]) -> None:
+        """Edits (start, end, replacement) in order and without overlap; a replacement has the interval of what it replaces."""
+        if not edits:
+            return
+        texts, starts, ends, new, at = [], [], [], [], 0
+        for start, end, piece in [*edits, (len(self.text), len(self.text), "")]:
+            texts += [self.text[at:start], piece]
+            starts.append(self.starts[at:start])
+            ends.append(self.ends[at:start])
+            new.append(self.new[at:start])
+            if piece:
+                starts.append(np.full(len(piece), self.starts[start]))
+                ends.append(np.full(len(piece), self.ends[end - 1]))
+                new.append(np.ones(len(piece), bool))
+            at = end
+        self.text = "".join(texts)
+        self.starts, self.ends, self.new = map(np.concatenate, (starts, ends, new))
+
+
+def homoglyphs(now: Rewritten) -> list[tuple[int, int, str]]:
+    if now.text.isascii():
+        return []
+    table = stand_ins()
+    present = table.keys() & set(now.text)
+    if not present:
+        return []
+    pattern = "[" + "".join(map(re.escape, sorted(present))) + "]"
+    return [(m.start(), m.end(), table[m.group()]) for m in re.finditer(pattern, now.text)]
+
+
+def bracketed(now: Rewritten) -> list[tuple[int, int, str]]:
+    text, found, last = now.text, [], 0
     for m in BRACKETED.finditer(text):
         start, end = m.span()
-        start -= start > 0 and text[start - 1] == " "
-        found.append((start, end + (text[end : end + 1] == " "), "@" if m["at"] else "."))
-    if " dot " in lowered:
-        last = 0
-        for m in BARE.finditer(text):
-            start = name_start(lowered if len(lowered) == len(text) else text, m.start(), last)
-            if start < m.start():
-                for u in BARE_UNIT.finditer(text, start, m.end()):
-                    found.append((u.start(), u.end(), "@" if u["at"] else "."))
-            last = m.end()
-    kept, last = [], 0
-    for start, end, new in sorted(found, key=lambda x: (x[0], -x[1])):
-        if start >= last:
-            kept.append((start, end, new))
+        start -= start > last and text[start - 1] == " "
+        last = end + (text[end : end + 1] == " ")
+        found.append((start, last, "@" if m["at"] else "."))
+    return found
+
+
+def bare_dots(now: Rewritten) -> list[tuple[int, int, str]]:
+    text, found, last = now.text, [], 0
+    lowered = text.lower()
+    if " dot " not in lowered:
+        return []
+    for m in BARE.finditer(text):
+        start = name_start(lowered if len(lowered) == len(text) else text, m.start(), last)
+        if start < m.start():
+            for u in BARE_UNIT.finditer(text, start, m.end()):
+                found.append((u.start(), u.end(), "@" if u["at"] else "."))
+        last = m.end()
+    return found
+
+
+def bare_ats(now: Rewritten) -> list[tuple[int, int, str]]:
+    """Where the dot is a plain one: at a domain with another disguise, or after a name with a mark inside."""
+    text, found, last = now.text, [], 0
+    for m in BARE_AT.finditer(text):
+        start = m.start()
+        while start > last and text[start - 1] in LOCAL:
+            start -= 1
+        if start < m.start() and (now.new[start : m.end()].any() or MARKED_NAME.fullmatch(text, start, m.start())):
+            found.append((m.start(), m.start() + 4, "@"))
+        last = m.start() + 4
+    return found
+
+
+def spelled_digits(now: Rewritten) -> list[tuple[int, int, str]]:
+    """Runs of digit names: long ones, and those of any length beside digits or other runs."""
+    text = now.text
+    words = SPELLED_WORD.findall(text.lower())
+    if DIGIT_NAMES.isdisjoint(words):
+        return []
+    if sum(map(DIGIT_NAMES.__contains__, words)) < FEWEST_DIGITS and not any(map(str.isdigit, words)):
+        return []
+    runs = []
+    for m in SPELLED.finditer(text):
+        units = [u.lower() for u in SPELLED_WORD.findall(m.group())]
+        piece = "".join(DIGIT_WORDS.get(u) or SIGN_WORDS[u] for u in units)
+        runs.append((m.start(), m.end(), piece, sum(u in DIGIT_WORDS for u in units)))
+    gap = lambda a, b: b - a <= 3 and not text[a:b].strip(" ,.()-")
+    # a chain of runs and digits is taken as a whole
+    found, chain, touches, digits, last = [], [], False, 0, -9
+    for start, end, piece, n in [*runs, (len(text) + 9, len(text) + 9, "", 0)]:
+        if chain and not gap(last, start):
+            if touches or digits >= FEWEST_DIGITS:
+                found += chain
+            chain, touches, digits = [], False, 0
+        if piece:
+            chain.append((start, end, piece))
+            digits += n
+            touches |= bool(AFTER_DIGITS.search(text[max(0, start - 8) : start]) or BEFORE_DIGITS.match(text, end))
             last = end
-    return kept
+    return found
+
+
+def signs_between(now: Rewritten) -> list[tuple[int, int, str]]:
+    return [(m.start(), m.end(), "." if m["dot"] else "-") for m in SIGN_BETWEEN.finditer(now.text)]
+
+
+def normalised(text: str) -> Rewritten:
+    now = Rewritten(text)
+    for transducer in (homoglyphs, bracketed, bare_dots, bare_ats, spelled_digits, signs_between):
+        now.apply(transducer(now))
+    return now
+
+
+def rewrites(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, replacement) of every disguise, in order and without overlap."""
+    now = normalised(text)
+    found: list[tuple[int, int, str]] = []
+    last = 0
+    for letter, start, end, new in zip(now.text, now.starts.tolist(), now.ends.tolist(), now.new.tolist(), strict=True):
+        if start > last:
+            found.append((last, start, ""))
+        if new:
+            if found and found[-1][:2] == (start, end):
+                found[-1] = (start, end, found[-1][2] + letter)
+            else:
+                found.append((start, end, letter))
+        last = end
+    return [*found, (last, len(text), "")] if last < len(text) else found
 
 
 def disguised_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     """Spans that are found only after normalising, in source positions."""
-    edits = rewrites(text)
-    if not edits:
+    now = normalised(text)
+    if now.text == text:
         return {}
-    pieces, new_starts, new_ends, position, at = [], [], [], 0, 0
-    for start, end, new in edits:
-        pieces += [text[at:start], new]
-        position += start - at
-        new_starts.append(position)
-        position += len(new)
-        new_ends.append(position)
-        at = end
-    normal = "".join([*pieces, text[at:]])
-
-    def source(place: int, of_end: bool) -> int:
-        """The source position of a normal one; inside a rewrite, the rewrite's own start or end."""
-        i = bisect_right(new_starts, place - of_end) - 1
-        if i < 0:
-            return place
-        start, end, _ = edits[i]
-        if place - of_end < new_ends[i]:
-            return end if of_end else start
-        return end + place - new_ends[i]
-
     added = {}
     for kind in KINDS:
         spans = []
-        for start, end in DETECTORS[kind](normal):
-            last = bisect_right(new_starts, end - 1) - 1
-            if last >= 0 and new_ends[last] > start or last >= 0 and start < new_starts[last] < end:
-                spans.append((source(start, False), source(end, True)))
+        for start, end in DETECTORS[kind](now.text):
+            first, last = int(now.starts[start]), int(now.ends[end - 1])
+            if now.new[start:end].any() or last - first != end - start:
+                spans.append((first, last))
         if spans:
             added[kind] = spans
     return added

@@ -79,3 +79,27 @@ def test_awkward_table(spark, awkward, no_documents):
     clean = mask_documents(awkward)
     assert clean.columns == awkward.columns
     assert sorted(r["text"] or "" for r in clean.collect() if r["doc_id"] is None) == ["", "mail [EMAIL] now", "one two three"]
+
+
+@pytest.mark.parametrize(
+    "text, kind, source",
+    [
+        ("to john [at] example dot com now", "email", "john [at] example dot com"),
+        ("to john at example (dot) com now", "email", "john at example (dot) com"),
+        ("to john.doe at example.com now", "email", "john.doe at example.com"),
+        ("to john＠example dot com now", "email", "john＠example dot com"),
+        ("to john at exаmple dot com now", "email", "john at exаmple dot com"),
+        ("call +1 555 one two three 4567 now", "phone", "+1 555 one two three 4567"),
+        ("call +1 555 one 234 4567 now", "phone", "+1 555 one 234 4567"),
+        ("host one two seven (dot) zero dot 0 dot one up", "ip", "one two seven (dot) zero dot 0 dot one"),
+    ],
+)
+def test_mixed_disguises_map_back(text, kind, source):
+    start = text.index(source)
+    assert (start, start + len(source)) in all_spans(text)[1][kind]
+    assert masked(text) == text.replace(source, f"[{kind.upper()}]")
+
+
+@pytest.mark.parametrize("text", ["It is available at example.com for one or two days.", "2 plus one is 3, at most"])
+def test_clean_text_beside_bare_at_stays(text):
+    assert masked(text) == text

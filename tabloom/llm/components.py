@@ -24,6 +24,8 @@ def _named(roots: DataFrame, node: str, root: str) -> DataFrame:
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """(node, root): the least node that links (a, b) reach; nodes without links are not listed."""
     links = written(spark, _undirected(links), "links")
+    if links.isEmpty():
+        return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     roots = None
     while True:
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -47,6 +49,8 @@ def extended(spark: SparkSession, roots: DataFrame, links: DataFrame) -> DataFra
     between = links.join(_named(roots, "a", "root_a"), "a", "left").join(_named(roots, "b", "root_b"), "b", "left")
     between = between.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
     joined = components(spark, between)
+    if joined.isEmpty():
+        return roots
     above = roots.join(_named(joined, "root", "beyond"), "root", "left")
     fresh = joined.join(roots.select("node"), "node", "left_anti")
     return written(spark, above.select("node", F.coalesce("beyond", "root").alias("root")).unionByName(fresh), "roots")

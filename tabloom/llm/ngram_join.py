@@ -7,14 +7,15 @@ either. For every such shingle the least of its documents is the pivot; a docume
 pivot that it meets so, which are the only pivots at a distance below one. Regions are then worked off:
 
 1. a sketch of every set, its shingles counted by hash range, bounds distances from below (the counts of two sets differ
-   by no more than the sets). A member that is too far, by its sketch, from the pivot and from every other member of its
-   region has no partner there and leaves it;
-2. the exact distances of the other members to their pivot are taken; within the threshold it is a link;
-3. a region whose members are already connected is done;
-4. of the others, those that fill more than a block are laid out by distance to the pivot in rings as wide as the threshold. By the triangle
-   inequality a partner is in the same ring or the next, to which boundary documents are replicated. A ring whose
-   members outside the pivot's group still fill more than a block gets a new pivot from among them, and so on again;
-   smaller ones are joined exactly, block by block, by products of incidence matrices.
+   by no more than the sets). The exact distance of every set to one pivot that its sketch leaves in reach is taken;
+   within the threshold it is a link. Distances to its other pivots are taken where links have not connected them yet;
+2. a region whose members are connected is done. In the others, members that by their sketches have no partner outside
+   their own component leave;
+3. regions that still fill more than a block get a new pivot from among the members that are not connected with the old
+   one, and are laid out by distance to it in rings as wide as the threshold. By the triangle inequality a partner is in
+   the same ring or the next, to which boundary documents are replicated. This goes on as long as rings fill more than a
+   block and a pivot makes them smaller;
+4. what is left is joined exactly, block by block, by products of incidence matrices.
 
 Equal sets are one class from the start. Blocks bound the memory of a task, and pairs already connected are not tested,
 so a large group of copies costs a pass over its members. Links are exact: sets are compared by 64-bit hashes of whole
@@ -44,7 +45,7 @@ SKETCH_BITS, SKETCH_PARTS = 20, 64
 BLOCK = 512  # sets on either side of a block
 SKETCH_BLOCK = 4096  # as many sketches take less room
 MOST_BROADCAST = 1_000_000  # document ids that are sent to all executors; beyond it they are joined by a shuffle
-PIVOT_ROUNDS = 2  # what is wide after so many new pivots is joined block by block
+SHRINK = 0.75  # a ring with a larger share of its region is not laid out again but joined block by block
 
 _random = np.random.default_rng(45)
 BYTE = _random.integers(0, 2**64, 256, dtype=np.uint64) | np.uint64(1)
@@ -55,14 +56,14 @@ BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
+def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str) -> np.ndarray:
-    """Sorted distinct hashes of the word 5-grams of a text; of all its words if there are fewer."""
+def shingles(text: str, n_words: int = WORDS) -> np.ndarray:
+    """Sorted distinct hashes of the runs of ``n_words`` (up to 5) words of a text; of all its words if there are fewer."""
     data = np.frombuffer(text.encode().lower(), np.uint8)  # bytes.lower() changes A-Z only
     blank = BLANK[data]
     inside = ~blank
@@ -74,14 +75,14 @@ def shingles(text: str) -> np.ndarray:
     power = np.multiply.accumulate(np.full(longest, STEP)) if longest else np.zeros(0, np.uint64)
     values = BYTE[data] * power[place]
     values[blank] = 0
-    words = _mix(np.add.reduceat(values, starts))
-    if len(words) < WORDS:
-        return _mix((words * PLACE[: len(words)]).sum(keepdims=True) + SHORT[len(words)])
-    size = len(words) - WORDS + 1
+    words = mix(np.add.reduceat(values, starts))
+    if len(words) < n_words:
+        return mix((words * PLACE[: len(words)]).sum(keepdims=True) + SHORT[len(words)])
+    size = len(words) - n_words + 1
     total = words[:size] * PLACE[0]
-    for i in range(1, WORDS):
+    for i in range(1, n_words):
         total += words[i : i + size] * PLACE[i]
-    return np.unique(_mix(total))
+    return np.unique(mix(total))
 
 
 def signature(hashes: np.ndarray) -> bytes:
@@ -237,18 +238,31 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 SET = pa.schema([("sig", pa.binary()), ("n", pa.int64()), ("hashes", pa.binary())])
 
 
-def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _set_rows(n_words: int):
     """The sets of texts, once for each of a task."""
-    seen = set()
-    for batch in slices(batches, 0):
-        rows = []
-        for text in batch.column(0).to_pylist():
-            hashes = shingles(text)
-            if (sig := signature(hashes)) not in seen:
-                seen.add(sig)
-                rows.append((sig, len(hashes), hashes.tobytes()))
-        if rows:
-            yield batch_of(SET, *zip(*rows, strict=True))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for batch in slices(batches, 0):
+            rows = []
+            for text in batch.column(0).to_pylist():
+                hashes = shingles(text, n_words)
+                if len(hashes) and (sig := signature(hashes)) not in seen:
+                    seen.add(sig)
+                    rows.append((sig, len(hashes), hashes.tobytes()))
+            if rows:
+                yield batch_of(SET, *zip(*rows, strict=True))
+
+    return run
+
+
+def sets_of(spark: SparkSession, rows: DataFrame, holders: DataFrame, n_words: int = WORDS) -> DataFrame:
+    """(sig, n, hashes) of the texts whose doc_id is among ``holders`` (holder)."""
+    holders = written(spark, holders.distinct(), "holders")
+    if holders.count() <= MOST_BROADCAST:
+        holders = F.broadcast(holders)
+    held = rows.join(holders, F.col("doc_id").eqNullSafe(F.col("holder")), "left_semi").select("text")
+    return written(spark, held.mapInArrow(_set_rows(n_words), "sig binary, n long, hashes binary"), "sets")
 
 
 def overlap(a: bytes, b: bytes) -> int:
@@ -276,35 +290,66 @@ def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.select("of", "a", "b", "n_a", "n_b", common("of_a", "of_b").alias("common"))
 
 
+def may_link_by_row(n_a: np.ndarray, a: list[bytes], n_b: np.ndarray, b: list[bytes], percent: int) -> np.ndarray:
+    """``may_link`` of the first sketch with the first, the second with the second, and so on."""
+    out = np.zeros(len(a), bool)
+    widths = np.array([(len(x), len(y)) for x, y in zip(a, b, strict=True)]).reshape(-1, 2)
+    for one, two in np.unique(widths, axis=0).tolist():
+        if max(one, two) > 2 * min(one, two):
+            continue  # the sizes are too different
+        here = np.flatnonzero((widths == (one, two)).all(1))
+        for some in np.split(here, range(4096, len(here), 4096)):
+            of = lambda side, width: folded(
+                np.frombuffer(b"".join([side[r] for r in some]), np.uint8).reshape(-1, width), min(one, two)
+            ).astype(np.int16)
+            total = n_a[some] + n_b[some]
+            distance = np.abs(of(a, one) - of(b, two)).sum(1, dtype=np.int64)
+            out[some] = (total - distance) * (100 + percent) >= 2 * percent * total
+    return out
+
+
 def _plausible(percent: int):
     @F.arrow_udf(BooleanType())
     def plausible(n_a: pa.Array, a: pa.Array, n_b: pa.Array, b: pa.Array) -> pa.Array:
-        out = []
-        for m, x, n, y in zip(n_a.to_pylist(), a.to_pylist(), n_b.to_pylist(), b.to_pylist(), strict=True):
-            pair = may_link([x, y], np.array([m, n]), np.array([0]), np.array([1]), percent)
-            out.append(bool(pair[0, 0]))
-        return pa.array(out, pa.bool_())
+        return pa.array(may_link_by_row(n_a.to_numpy(), a.to_pylist(), n_b.to_numpy(), b.to_pylist(), percent))
 
     return plausible
 
 
-def _near_members(percent: int):
-    """Of a block's members those that may link with another member of it."""
+def by_region(rows: pa.Table):
+    """For each region of a task its rows, and places of the left and the right ones among them."""
+    region = rows.column("region").to_numpy()
+    order = np.argsort(region, kind="stable")
+    for here in np.split(order, np.flatnonzero(np.diff(region[order])) + 1):
+        some = rows.take(pa.array(here))
+        of_left = np.array(some.column("of_left").to_pylist(), bool)
+        left = np.flatnonzero(of_left)
+        yield some, left, left if of_left.all() else np.flatnonzero(~of_left)
+
+
+def near_members(may):
+    """Of a block's members those that may link, by ``may`` of their rows, with another one outside their component."""
 
     def run(rows: pa.Table) -> pa.Table:
-        of_left = np.array(rows.column("of_left").to_pylist(), bool)
-        left = np.flatnonzero(of_left)
-        right = left if of_left.all() else np.flatnonzero(~of_left)
-        sizes = rows.column("n").to_numpy()
-        near = may_link(rows.column("sketch").to_pylist(), sizes, left, right, percent)
-        names = np.array([hash(x) for x in rows.column("sig").to_pylist()])
-        near &= names[left][:, None] != names[right][None, :]
-        found = np.union1d(left[near.any(1)], right[near.any(0)])
-        return rows.select(["pivot", "sig"]).take(pa.array(found))
+        found = []
+        for some, left, right in by_region(rows):
+            if len(left) and len(right):
+                names = np.unique(np.array(some.column("root").to_pylist(), object), return_inverse=True)[1]
+                near = may(some, left, right) & (names[left][:, None] != names[right][None, :])
+                kept = np.union1d(left[near.any(1)], right[near.any(0)])
+                found.append(some.select(["region", "sig"]).take(pa.array(kept, pa.int64())))
+        return pa.concat_tables(found) if found else rows.select(["region", "sig"]).slice(0, 0)
 
     return run
 
 
+def _by_sketch(percent: int):
+    def may(rows: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return may_link(rows.column("sketch").to_pylist(), rows.column("n").to_numpy(), left, right, percent)
+
+    return may
+
+
 def join_block(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
     """Which sets of the left rows link with which of the right: products of 0/1 matrices of shared shingles."""
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
@@ -337,34 +382,35 @@ def join_block(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, perc
 
 
 def _joined_blocks(percent: int):
+    none = pa.table({"a": pa.array([], pa.binary()), "b": pa.array([], pa.binary())})
+
     def run(rows: pa.Table) -> pa.Table:
-        names, labels = rows.column("sig").to_pylist(), rows.column("root").to_pylist()
-        of_left = np.array(rows.column("of_left").to_pylist())
-        left = np.flatnonzero(of_left)
-        right = left if of_left.all() else np.flatnonzero(~of_left)
-        if not len(left):
-            return pa.table({"a": pa.array([], pa.binary()), "b": pa.array([], pa.binary())})
-        sets = [np.frombuffer(h, np.uint64) for h in rows.column("hashes").to_pylist()]
-        links = join_block(sets, left, right, percent)
-        groups = {x: i for i, x in enumerate(dict.fromkeys(labels))}
-        group = np.array([groups[x] for x in labels])
-        links &= group[left][:, None] != group[right][None, :]
-        i, j = np.nonzero(links)
-        # one link between any two groups is enough
-        pairs = dict(zip(zip(group[left[i]].tolist(), group[right[j]].tolist()), zip(i.tolist(), j.tolist())))
-        a = [names[left[x]] for x, _ in pairs.values()]
-        b = [names[right[y]] for _, y in pairs.values()]
+        pairs = {}  # one link between any two components is enough
+        for some, left, right in by_region(rows):
+            if not len(left) or not len(right):
+                continue
+            names, roots = some.column("sig").to_pylist(), some.column("root").to_pylist()
+            group = np.unique(np.array(roots, object), return_inverse=True)[1]
+            sets = [np.frombuffer(h, np.uint64) for h in some.column("hashes").to_pylist()]
+            links = join_block(sets, left, right, percent) & (group[left][:, None] != group[right][None, :])
+            for i, j in zip(*(x.tolist() for x in np.nonzero(links)), strict=True):
+                a, b = left[i], right[j]
+                pairs[roots[a], roots[b]] = names[a], names[b]
+        if not pairs:
+            return none
+        a, b = zip(*pairs.values(), strict=True)
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     return run
 
 
-def _rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
+def _rooted(members: DataFrame, roots: DataFrame, *columns: str) -> DataFrame:
     """Members (region, pivot, sig) of regions with more than one root, each with its root and its side.
 
     ``side`` is 0 for members that the pivot is connected with; pairs of these need no test.
     """
     of = lambda name, out: roots.select(F.col("node").alias(name), F.col("root").alias(out))
+    members = members.select("region", "pivot", "sig", *columns)
     found = members.join(of("sig", "root"), "sig", "left").join(of("pivot", "main"), "pivot", "left")
     found = found.withColumn("root", F.coalesce("root", "sig")).withColumn("main", F.coalesce("main", "pivot"))
     apart = (F.col("root") != F.col("main")).cast("int")
@@ -379,7 +425,7 @@ def _rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _ringed(near: DataFrame, percent: int) -> DataFrame:
-    """Members of the rings around each pivot: (region, pivot, sig), boundary documents in two rings.
+    """Members of the rings around each pivot: (region, of, pivot, sig), boundary documents in two rings.
 
     ``near`` has the members' distances to the pivot of their region ``of``. Rings are as wide as the threshold, so
     partners are in one ring or in neighbouring ones; a ring also holds the members of the next.
@@ -387,11 +433,11 @@ def _ringed(near: DataFrame, percent: int) -> DataFrame:
     ring = F.expr(f"(100 * (n_a + n_b - 2 * common)) div ({100 - percent} * (n_a + n_b - common))")
     rows = near.withColumn("ring", ring)
     rows = rows.withColumn("ring", F.explode(F.expr("CASE WHEN ring > 0 THEN array(ring, ring - 1) ELSE array(ring) END")))
-    return rows.select(F.xxhash64("of", "b", "ring").alias("region"), F.col("b").alias("pivot"), F.col("a").alias("sig"))
+    return rows.select(F.xxhash64("of", "b", "ring").alias("region"), "of", F.col("b").alias("pivot"), F.col("a").alias("sig"))
 
 
 def _blocked(members: DataFrame, block: int, *columns: str) -> DataFrame:
-    """(task, of_left, sig, columns): blocks of members that are joined with each other.
+    """(task, kind, of_left, region, sig, columns): blocks of the written members that are joined with each other.
 
     Small regions share blocks. In others the members apart from the pivot's group meet those of the group and each
     other, block by block.
@@ -418,11 +464,65 @@ def _blocked(members: DataFrame, block: int, *columns: str) -> DataFrame:
         )
     )
     rows = members.withColumn("spot", F.explode(spots))
-    small = members.where(F.col("n_all") <= block).count()
-    shared = F.pmod(F.col("region"), F.lit(-(-small // block) or 1))
+    shared = F.pmod(F.col("region"), F.lit(-(-members.count() // block) or 1))
     task = F.when(F.col("spot.kind") == "all", shared).otherwise(F.xxhash64("region", "spot.kind", "spot.i", "spot.j"))
     return rows.select(task.alias("task"), F.col("spot.kind").alias("kind"), F.col("spot.of_left").alias("of_left"),
-                       "sig", *columns)
+                       "region", "sig", *columns)
+
+
+def linked_regions(
+    spark: SparkSession, met: DataFrame, find_sets, may, columns: tuple[str, ...], percent: int, block: int
+) -> DataFrame:
+    """(node, root) of the sets that are linked with others within a region.
+
+    ``met`` (pivot, sig, near, columns) has the members of each region, ``near`` where a link with the pivot is
+    possible; ``may`` tells from the columns of a block's rows which may link with which; ``find_sets`` gives
+    (sig, n, hashes) of wanted ones (sig).
+    """
+    reach = met.where("near").select("pivot", "sig")
+    stars = written(spark, reach.groupBy("sig").agg(F.min("pivot").alias("pivot")), "stars")
+    sets = find_sets(stars.select("sig").union(reach.select(F.col("pivot").alias("sig"))))
+    no_region = F.lit(0).cast("long").alias("of")
+    near = distances(stars.select(F.col("sig").alias("x"), "pivot", no_region), sets)
+    roots = components(spark, near.where(_linked(percent)).select("a", "b"))
+    others = _rooted(reach.withColumn("region", F.xxhash64("pivot")), roots).where("side = 1")
+    near = distances(others.select(F.col("sig").alias("x"), "pivot", no_region), sets)
+    roots = extended(spark, roots, near.where(_linked(percent)).select("a", "b"))
+
+    apart = written(spark, _rooted(met.withColumn("region", F.xxhash64("pivot")), roots, *columns), "apart")
+    if apart.isEmpty():
+        return roots
+    blocks = _blocked(apart, block * SKETCH_BLOCK // BLOCK, "root", *columns)
+    stay = blocks.groupBy("kind", "task").applyInArrow(near_members(may), "region long, sig binary").distinct()
+    regions = written(spark, apart.join(stay, ["region", "sig"], "left_semi").select("region", "pivot", "sig"), "members")
+    if regions.isEmpty():
+        return roots
+    sets = find_sets(regions.select("sig"))
+    whole = None  # members by region before the last pivot
+    while True:
+        apart = _rooted(regions, roots)
+        apart = apart.withColumn("was", F.lit(None).cast("long")) if whole is None else apart.join(whole, "region", "left")
+        wide = (F.col("n_apart") > block) & F.coalesce(F.col("n_all") <= SHRINK * F.col("was"), F.lit(True))
+        apart = written(spark, apart.withColumn("wide", wide), "apart")
+        open_regions = apart.where("wide")
+        if open_regions.isEmpty():
+            break
+        # a new pivot for every region that is still wide, out of the members apart
+        pivots = open_regions.where("side = 1").groupBy("region").agg(F.min("sig").alias("next"), F.first("n_all").alias("was"))
+        pairs = open_regions.drop("was").join(pivots, "region").where("sig <> next")
+        near = distances(pairs.select(F.col("sig").alias("x"), F.col("next").alias("pivot"), F.col("region").alias("of")), sets)
+        near = written(spark, near, "distances")
+        roots = extended(spark, roots, near.where(_linked(percent)).select("a", "b"))
+        ringed = written(spark, _ringed(near, percent).distinct(), "rings")
+        sizes = pivots.select(F.col("region").alias("of"), "was")
+        whole = ringed.join(sizes, "of").groupBy("region").agg(F.max("was").alias("was"))
+        rest = apart.where("NOT wide").select("region", "pivot", "sig")
+        kept = rest.select("region").distinct().withColumn("was", F.lit(0).cast("long"))  # these stay as they are
+        whole = written(spark, whole.unionByName(kept).groupBy("region").agg(F.min("was").alias("was")), "sizes")
+        regions = written(spark, ringed.select("region", "pivot", "sig").union(rest).distinct(), "regions")
+    blocks = _blocked(apart, block, "root").join(sets.select("sig", "hashes"), "sig")
+    found = blocks.groupBy("kind", "task").applyInArrow(_joined_blocks(percent), "a binary, b binary")
+    return extended(spark, roots, found)
 
 
 def _grouped(spark: SparkSession, rows: DataFrame, percent: int, block: int) -> tuple[DataFrame, DataFrame]:
@@ -448,49 +548,12 @@ def _grouped(spark: SparkSession, rows: DataFrame, percent: int, block: int) ->
     met = met.join(side("pivot", "pivot_sig", "n_b", "sketch_b"), "pivot")
     near = _plausible(percent)("n", "sketch", "n_b", "sketch_b")
     met = met.select(F.col("pivot_sig").alias("pivot"), "sig", "n", "sketch", near.alias("near"))
-    met = written(spark, met.withColumn("side", (~F.col("near")).cast("int")), "met")
-    # members that are far from the pivot stay only for partners among the others
-    regions = met.groupBy("pivot").agg(F.count("*").alias("n_all"), F.sum("side").alias("n_apart"))
-    regions = regions.where("n_all > 1 AND n_apart > 0").withColumn("region", F.xxhash64("pivot"))
-    blocks = _blocked(met.join(regions, "pivot"), block * SKETCH_BLOCK // BLOCK, "pivot", "n", "sketch")
-    found = blocks.groupBy("kind", "task").applyInArrow(_near_members(percent), "pivot binary, sig binary")
-    stay = met.where("near").select("pivot", "sig", F.lit(1).alias("near"))
-    stay = stay.union(found.withColumn("near", F.lit(0))).groupBy("pivot", "sig").agg(F.max("near").alias("near"))
-    sizes = stay.groupBy("pivot").agg((F.count("*") > block).alias("wide"))
-    stay = written(spark, stay.join(sizes, "pivot"), "members")
-
-    wanted = stay.select("sig").union(stay.select("pivot")).distinct()
-    holders = written(spark, classes.join(wanted, "sig", "left_semi").select("holder").distinct(), "holders")
-    if holders.count() <= MOST_BROADCAST:
-        holders = F.broadcast(holders)
-    held = rows.join(holders, F.col("doc_id").eqNullSafe(F.col("holder")), "left_semi").select("text")
-    sets = written(spark, held.mapInArrow(_set_rows, "sig binary, n long, hashes binary"), "sets")
-
-    # rings need the distance of every member, small regions only that of possible links
-    pairs = stay.where("near = 1 OR wide").select(F.col("sig").alias("x"), "pivot", F.lit(0).cast("long").alias("of"))
-    near = written(spark, distances(pairs, sets), "distances")
-    roots = components(spark, near.where(_linked(percent)).select("a", "b"))
-    wide = stay.where("wide").select(F.col("pivot").alias("b")).distinct()
-    small = stay.where("NOT wide").select(F.xxhash64("pivot").alias("region"), "pivot", "sig")
-    regions = _ringed(near.join(wide, "b", "left_semi"), percent).union(small)
-    for _ in range(PIVOT_ROUNDS):
-        apart = written(spark, _rooted(regions, roots), "apart")
-        wide = apart.where(F.col("n_apart") > block)
-        if wide.isEmpty():
-            break
-        # a new pivot for every region that is still wide, out of the members apart
-        pivots = wide.where("side = 1").groupBy("region").agg(F.min("sig").alias("next"))
-        pairs = wide.join(pivots, "region").where("sig <> next")
-        near = distances(pairs.select(F.col("sig").alias("x"), F.col("next").alias("pivot"), F.col("region").alias("of")), sets)
-        near = written(spark, near, "distances")
-        roots = extended(spark, roots, near.where(_linked(percent)).select("a", "b"))
-        regions = _ringed(near, percent).union(apart.where(F.col("n_apart") <= block).select("region", "pivot", "sig"))
-        regions = written(spark, regions.distinct(), "regions")
-    else:
-        apart = written(spark, _rooted(regions, roots), "apart")
-    blocks = _blocked(apart, block, "root").join(sets.select("sig", "hashes"), "sig")
-    found = blocks.groupBy("kind", "task").applyInArrow(_joined_blocks(percent), "a binary, b binary")
-    roots = extended(spark, roots, found).select(F.col("node").alias("sig"), "root")
+    met = written(spark, met, "met")
+    held = lambda sigs: classes.join(sigs.distinct(), "sig", "left_semi").select("holder")
+    roots = linked_regions(
+        spark, met, lambda sigs: sets_of(spark, rows, held(sigs)), _by_sketch(percent), ("n", "sketch"), percent, block
+    )
+    roots = roots.select(F.col("node").alias("sig"), "root")
 
     grouped = docs.where("n > 0").join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     return grouped.select("doc_id", "digest", "n", "root"), docs.where("n = 0").select("doc_id", "n")

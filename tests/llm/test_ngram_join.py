@@ -7,7 +7,7 @@ import pytest
 from llm.conftest_llm import ascii_lower
 
 from tabloom.llm.ngram_join import (
-    drop_near_duplicates, may_link, near_duplicate_groups, prefix_length, shingles, sketch_of,
+    drop_near_duplicates, may_link, may_link_by_row, near_duplicate_groups, prefix_length, shingles, sketch_of,
 )
 
 
@@ -70,6 +70,24 @@ def test_groups_equal_brute_force(spark, block):
     assert got(near_duplicate_groups(spark, frame, block=block)) == brute(rows)
 
 
+def test_a_region_wider_than_a_block(spark):
+    """Documents that share rare passages but differ: new pivots, rings and blocks all have work, links cross them."""
+    rng = random.Random(8)
+    words = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    passage, rows = words(40), []
+    for _ in range(40):
+        base = words(12)
+        texts = [base + passage + words(rng.randint(0, 2)) for _ in range(3)]
+        texts.append(base + passage + words(18))
+        rows += [" ".join(t) for t in texts]
+    for _ in range(30):
+        rows.append(" ".join(words(150) + passage))
+    rows = list(enumerate(rows))
+    rng.shuffle(rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(near_duplicate_groups(spark, frame, block=4)) == brute(rows)
+
+
 def test_awkward_table(spark, awkward, no_documents):
     rows = [(r["doc_id"], r["text"]) for r in awkward.collect()]
     want = [(d, n, d if n == 0 else c) for d, n, c in brute(rows)]
@@ -97,7 +115,12 @@ def test_sketches_never_part_links():
             sets += [np.unique(np.concatenate((base, more))), np.unique(np.concatenate((base[len(more) :], more)))]
         sizes = np.array([len(s) for s in sets])
         every = np.arange(len(sets))
-        may = may_link([sketch_of(s) for s in sets], sizes, every, every, 75)
+        sketches = [sketch_of(s) for s in sets]
+        may = may_link(sketches, sizes, every, every, 75)
+        rows = [(i, j) for i in every for j in every]
+        a, b = (np.array(side) for side in zip(*rows))
+        by_row = may_link_by_row(sizes[a], [sketches[i] for i in a], sizes[b], [sketches[j] for j in b], 75)
+        assert (by_row.reshape(may.shape) == may).all()
         for i in every:
             for j in every:
                 both = len(np.intersect1d(sets[i], sets[j]))

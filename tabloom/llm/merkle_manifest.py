@@ -32,7 +32,7 @@ FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 TREE, ORDER, COUNTER = "lang", "doc_id", "n_chars"
 ARITY = 2
 TAMPER_EVERY = 7
-SMALL = 16_384
+SMALL = 4_096
 STEP = "struct<before:binary,after:binary>"
 
 

@@ -404,15 +404,20 @@ def _joined_blocks(percent: int):
     return run
 
 
+def _with_roots(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members (pivot, sig) with ``root`` and ``main``, the root of their pivot."""
+    of = lambda name, out: roots.select(F.col("node").alias(name), F.col("root").alias(out))
+    found = members.join(of("sig", "root"), "sig", "left").join(of("pivot", "main"), "pivot", "left")
+    return found.withColumn("root", F.coalesce("root", "sig")).withColumn("main", F.coalesce("main", "pivot"))
+
+
 def _rooted(members: DataFrame, roots: DataFrame, *columns: str) -> DataFrame:
     """Members (region, pivot, sig) of regions with more than one root, each with its root and its side.
 
-    ``side`` is 0 for members that the pivot is connected with; pairs of these need no test.
+    ``side`` is 0 for members that the pivot is connected with; pairs of these need no test. Pivots are no members:
+    all their pairs have been tested.
     """
-    of = lambda name, out: roots.select(F.col("node").alias(name), F.col("root").alias(out))
-    members = members.select("region", "pivot", "sig", *columns)
-    found = members.join(of("sig", "root"), "sig", "left").join(of("pivot", "main"), "pivot", "left")
-    found = found.withColumn("root", F.coalesce("root", "sig")).withColumn("main", F.coalesce("main", "pivot"))
+    found = _with_roots(members.select("region", "pivot", "sig", *columns), roots)
     apart = (F.col("root") != F.col("main")).cast("int")
     open_regions = (
         found.groupBy("region")
@@ -485,7 +490,7 @@ def linked_regions(
     no_region = F.lit(0).cast("long").alias("of")
     near = distances(stars.select(F.col("sig").alias("x"), "pivot", no_region), sets)
     roots = components(spark, near.where(_linked(percent)).select("a", "b"))
-    others = _rooted(reach.withColumn("region", F.xxhash64("pivot")), roots).where("side = 1")
+    others = _with_roots(reach, roots).where("root <> main")
     near = distances(others.select(F.col("sig").alias("x"), "pivot", no_region), sets)
     roots = extended(spark, roots, near.where(_linked(percent)).select("a", "b"))
 

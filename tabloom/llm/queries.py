@@ -16,6 +16,7 @@ from tabloom.llm.fill_middle import restored, transform
 from tabloom.llm.kd_search import top_inner_products
 from tabloom.llm.license_scan import find_licenses
 from tabloom.llm.merkle_manifest import manifest
+from tabloom.llm.minhash_dedup import near_duplicates
 from tabloom.llm.ngram_join import near_duplicate_groups
 from tabloom.llm.ordinal_toxicity import score_toxicity
 from tabloom.llm.secret_ledger import scan_secrets
@@ -74,6 +75,10 @@ def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return manifest(spark, table(spark, folder, "documents")).select(*columns)
 
 
+def minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(spark, table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ordinal_toxicity": ordinal_toxicity,
     "op2_secret_ledger": secret_ledger,
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pii_deobfuscation": pii_deobfuscation,
     "op11_fill_middle": fill_middle,
     "op12_merkle_manifest": merkle_manifest,
+    "op13_minhash_dedup": minhash_dedup,
 }
 
 EXACT_DEDUP_SQL = """
@@ -134,6 +140,34 @@ FROM p
 """
 
 
+
+
+def _near_duplicates_sql(n_words: int, percent: int, columns: str) -> str:
+    """All pairs that share a shingle, then what links reach."""
+    return f"""
+WITH RECURSIVE
+w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+d AS (
+    SELECT row_number() OVER () AS row_id, doc_id, CASE WHEN len(words) = 0 THEN [] ELSE list_distinct(list_transform(
+        range(1, greatest(len(words) - {n_words - 1}, 1) + 1),
+        lambda i: array_to_string(words[i:i + {n_words - 1}], ' '))) END AS grams FROM w),
+sets AS (SELECT grams, min(row_id) AS cls, len(grams) AS n FROM (SELECT row_id, list_sort(grams) AS grams FROM d) GROUP BY grams),
+g AS (SELECT cls, n, unnest(grams) AS gram FROM sets WHERE n > 0),
+pairs AS (
+    SELECT a.cls AS a, b.cls AS b FROM g a JOIN g b ON a.gram = b.gram AND a.cls <> b.cls
+    GROUP BY a.cls, b.cls, a.n, b.n HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
+reach AS (SELECT cls AS a, cls AS b FROM sets UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON p.a = r.b),
+ids AS (SELECT s.cls, min(d.doc_id) AS least FROM d JOIN sets s ON list_sort(d.grams) = s.grams WHERE s.n > 0 GROUP BY s.cls),
+least AS (SELECT r.a AS cls, min(i.least) AS component_id FROM reach r JOIN ids i ON i.cls = r.b GROUP BY r.a),
+found AS (
+    SELECT d.doc_id, len(d.grams) AS n_shingles, CASE WHEN s.n = 0 THEN d.doc_id ELSE l.component_id END AS component_id
+    FROM d JOIN sets s ON list_sort(d.grams) = s.grams LEFT JOIN least l ON l.cls = s.cls)
+SELECT {columns} FROM found
+"""
+
+
 def _bytes_sql(value: str) -> str:
     return f"coalesce(octet_length(encode(CAST({value} AS VARCHAR))) || ':' || CAST({value} AS VARCHAR), '-')"
 
@@ -194,8 +228,12 @@ FROM top_fold f, (SELECT digest FROM top WHERE size = 1) WHERE f.size = 1
 """
 
 ORACLES: dict[str, str] = {
+    "op4_jaccard_join": _near_duplicates_sql(5, 75, "doc_id, n_shingles, component_id"),
     "op8_kd_search": KD_SEARCH_SQL,
     "op9_exact_dedup": EXACT_DEDUP_SQL,
     "op11_fill_middle": FILL_MIDDLE_SQL,
     "op12_merkle_manifest": MERKLE_SQL,
+    "op13_minhash_dedup": _near_duplicates_sql(
+        4, 80, "doc_id, n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept"
+    ),
 }

@@ -418,6 +418,7 @@ def _rooted(members: DataFrame, roots: DataFrame, *columns: str) -> DataFrame:
     all their pairs have been tested.
     """
     found = _with_roots(members.select("region", "pivot", "sig", *columns), roots)
+    found = written(members.sparkSession, found, "rooted")
     apart = (F.col("root") != F.col("main")).cast("int")
     open_regions = (
         found.groupBy("region")
@@ -485,12 +486,14 @@ def linked_regions(
     (sig, n, hashes) of wanted ones (sig).
     """
     reach = met.where("near").select("pivot", "sig")
-    stars = written(spark, reach.groupBy("sig").agg(F.min("pivot").alias("pivot")), "stars")
-    sets = find_sets(stars.select("sig").union(reach.select(F.col("pivot").alias("sig"))))
+    pivots = written(spark, reach.groupBy("sig").agg(F.array_sort(F.collect_set("pivot")).alias("pivots")), "pivots")
+    sets = find_sets(pivots.select("sig").union(pivots.select(F.explode("pivots").alias("sig"))))
     no_region = F.lit(0).cast("long").alias("of")
+    stars = pivots.select("sig", F.get("pivots", F.lit(0)).alias("pivot"))
     near = distances(stars.select(F.col("sig").alias("x"), "pivot", no_region), sets)
     roots = components(spark, near.where(_linked(percent)).select("a", "b"))
-    others = _with_roots(reach, roots).where("root <> main")
+    others = pivots.select("sig", F.explode(F.slice("pivots", 2, F.greatest(F.size("pivots") - 1, F.lit(0)))).alias("pivot"))
+    others = _with_roots(others, roots).where("root <> main")
     near = distances(others.select(F.col("sig").alias("x"), "pivot", no_region), sets)
     roots = extended(spark, roots, near.where(_linked(percent)).select("a", "b"))
 

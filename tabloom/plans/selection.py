@@ -17,6 +17,7 @@ from tabloom.operators.folds import fold_of, row_hash, stratified_folds
 from tabloom.operators.metrics import evaluate
 from tabloom.functions.encode import first_argmax
 from tabloom.plans.learners import TreeScore
+from tabloom.plans.newton import METRICS as STOPPING_METRICS, NewtonBooster, fit_fold_boosters, probabilities
 from tabloom.plans.trees import fit_fold_trees, fit_tree_depths
 from tabloom.session import in_parallel
 
@@ -30,6 +31,20 @@ class Stacked:
     importances: DataFrame
 
 
+@dataclass(frozen=True)
+class BoosterStack(Stacked):
+    """A stack of boosters that their own folds have stopped."""
+
+    models: Sequence[NewtonBooster]
+
+    def rounds(self, spark: SparkSession) -> DataFrame:
+        """(fold, round, value, best): the held-out metric after every round of every fold's model."""
+        rows = [
+            (fold + 1, i, float(v), i == len(m.rounds)) for fold, m in enumerate(self.models) for i, v in enumerate(m.history, 1)
+        ]
+        return spark.createDataFrame(rows, "fold int, round int, value double, best boolean")
+
+
 def with_folds(train: DataFrame, key: str, label: str, folds: int, stratified: bool) -> DataFrame:
     if stratified:
         return stratified_folds(train, key, label, folds)
@@ -282,3 +297,62 @@ def parameter_search(
         for i, (s, value) in enumerate(zip(settings, values))
     ]
     return frame.sparkSession.createDataFrame(rows, "trial int, setting map<string,double>, value double")
+
+
+def stack_boosters(
+    train: DataFrame,
+    test: DataFrame,
+    features: Sequence[str],
+    label: str,
+    key: str,
+    *,
+    objective: str = "binary",
+    folds: int = 5,
+    stratified: bool = False,
+    max_bin: int = 255,
+    **options,
+) -> BoosterStack:
+    """Boosters of all folds, grown together; each is stopped by the metric of the fold it scores (AUC, or macro F1 for
+    more classes) and cut back to its best round. Multiclass scores are arrays in the order of the sorted labels."""
+    train = with_folds(train, key, label, folds, stratified)
+    models = fit_fold_boosters(train, features, label, folds, [options], objective, key=key, max_bin=max_bin)[0]
+    kept = [quoted(c) for c in dict.fromkeys([key, label])]
+    oof = train.select(*kept, "fold", probabilities(train, models, "fold").alias("score"))
+    scored = average_columns(mean_scores(test, models, key), key, arrays=objective != "binary")
+    if objective == "binary":
+        judged, metrics = oof, fold_metrics(oof, label, "score", STOPPING_METRICS[objective])
+    else:
+        named = F.array(*[F.lit(v) for v in models[0].labels])
+        judged = oof.withColumn("predicted", F.get(named, first_argmax(F.col("score"))))
+        metrics = fold_metrics(judged.where(F.col(quoted(label)).isNotNull()), label, "predicted", STOPPING_METRICS[objective])
+    return BoosterStack(judged, scored, metrics, importance_table(train.sparkSession, models, features), models)
+
+
+def search_boosters(
+    frame: DataFrame,
+    features: Sequence[str],
+    label: str,
+    key: str,
+    settings: Sequence[Mapping],
+    *,
+    folds: int = 5,
+    max_bin: int = 255,
+    metric: str = "auc",
+) -> DataFrame:
+    """(trial, setting, value): the mean over the folds of every setting of binary boosters.
+
+    The models of all settings and folds grow together, so a level of all of them reads the data once; all are scored
+    and judged in one grouped evaluation.
+    """
+    train = with_folds(frame, key, label, folds, stratified=False)
+    fitted = fit_fold_boosters(train, features, label, folds, settings, "binary", key=key, max_bin=max_bin)
+    scores = {f"trial_{i}": probabilities(train, models, "fold") for i, models in enumerate(fitted, start=1)}
+    scored = train.select(F.col(quoted(label)).alias("label"), "fold", *[s.alias(n) for n, s in scores.items()])
+    pairs = ", ".join(f"struct({i} AS trial, trial_{i} AS score)" for i in range(1, len(fitted) + 1))
+    melted = scored.selectExpr("label", "fold", f"inline(array({pairs}))")
+    found = evaluate(melted, "label", "score", metric, ["trial", "fold"])
+    means = found.groupBy("trial").agg(F.avg("value").alias("value"), F.count("value").alias("judged"))
+    checked = F.when(F.col("judged") == folds, F.col("value"))  # null where a fold has no value
+    table = [(i, {k: float(v) for k, v in s.items()}) for i, s in enumerate(settings, start=1)]
+    names = frame.sparkSession.createDataFrame(table, "trial int, setting map<string,double>")
+    return names.join(means.select("trial", checked.alias("value")), "trial", "left").select("trial", "setting", "value")

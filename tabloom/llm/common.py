@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tabloom.session import scratch_path
 
@@ -49,3 +49,23 @@ def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
         c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)
     ]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def drawn(spark: SparkSession, rows: DataFrame, group: str, order: str, most: int, most_groups: int) -> DataFrame:
+    """Of each group the ``most`` rows with the smallest ``order``, a 64-bit hash, which no two rows should share.
+
+    The sizes of the groups tell below which hash enough rows must be, so what meets in a group's window is bounded by
+    ``most`` and not by the group. More groups than ``most_groups`` are refused.
+    """
+    sizes = rows.groupBy(F.col(group).alias("of_group")).agg(F.count("*").alias("of_size")).limit(most_groups + 1).collect()
+    if len(sizes) > most_groups:
+        raise ValueError(f"more than {most_groups} values of {group}")
+    table = F.broadcast(spark.createDataFrame([tuple(r) for r in sizes], sizes_schema(rows, group)))
+    share = F.col(order) / 2.0**64 + 0.5
+    few = rows.join(table, F.col(group) == F.col("of_group")).where(share * F.col("of_size") < 2 * most + 50)
+    place = F.row_number().over(Window.partitionBy(group).orderBy(order))
+    return few.withColumn("place", place).where(F.col("place") <= most).select(*rows.columns)
+
+
+def sizes_schema(rows: DataFrame, group: str) -> str:
+    return f"of_group {dict(rows.dtypes)[group]}, of_size long"

@@ -3,10 +3,12 @@
 Every word has features: its byte n-grams between word marks (those that touch a mark are its affixes) and its own
 identity, a learned lexicon. The field's weights and its transitions are fitted to sequences that switch language,
 spliced from runs of words of labelled documents. Forward-backward gives each word of a text a probability for each
-language; a document's language has the largest mean over its words, which is the score.
+language; a document's language has the largest mean over its words, which is the score. A text is one chain, however long: its words are
+worked on in spans of ``SPAN``, side by side, and messages go from span to span through the spans' transfer matrices.
 
-The fit takes a bounded sample: ``SAMPLE_DOCUMENTS`` labelled documents of each language, chosen by a hash of the text,
-and at most ``SAMPLE_WORDS`` words of each, drawn from the whole text. Prediction reads whole texts and only texts.
+The fit takes a bounded sample: ``SAMPLE_DOCUMENTS`` different labelled texts of each language, chosen by a hash, and at
+most ``SAMPLE_WORDS`` words of each, drawn from the whole text where it lies; only these words reach the driver. A model
+has a column of weights for each language; more than ``MOST_LANGUAGES`` are refused. Prediction reads whole texts and only texts.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, and so is every text if there is no
 labelled document; ties go to the language first in order; a null doc_id is not held out and teaches nothing; repeated
@@ -17,15 +19,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tabloom.llm.common import batch_of, slices
+from tabloom.llm.common import batch_of, drawn, slices
 
 UNKNOWN = "und"
-SAMPLE_DOCUMENTS, SAMPLE_WORDS = 250, 160
+SAMPLE_DOCUMENTS, SAMPLE_WORDS, SAMPLE_RUN = 250, 160, 16
+MOST_LANGUAGES = 512
 BITS, GRAMS, SPAN = 17, (2, 3, 4), 32
 ROUNDS, RATE, DECAY = 50, 0.3, 1e-6
 MOST_KNOWN = 1_000_000  # spellings a worker remembers before it starts anew; bounds memory, not results
@@ -66,20 +70,57 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (mixed >> np.uint64(64 - BITS)).astype(np.int64), np.searchsorted(owner[order], np.arange(len(words)))
 
 
-def forward_backward(emissions: np.ndarray, valid: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Marginals of words (sequences, span, labels) and expected transitions; ``valid`` is false after the end."""
+def span_messages(
+    emissions: np.ndarray, valid: np.ndarray, transitions: np.ndarray, first: np.ndarray, runs: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """What comes to each span of a chain from the spans before and after it.
+
+    A chain has ``runs`` spans from ``first`` on. A span's matrix takes what comes to its first word to its last word, so
+    a chain of spans is as exact as one of words.
+    """
+    rows, span, labels = emissions.shape
+    before, after = np.ones((rows, labels)), np.ones((rows, labels))
+    if not (runs > 1).any():
+        return before, after
+    scores = np.exp(emissions - emissions.max(2, keepdims=True))
+    step = np.exp(transitions - transitions.max())
+    matrix = np.zeros((rows, labels, labels))
+    matrix[:, range(labels), range(labels)] = scores[:, 0]
+    for t in range(1, span):
+        moved = (matrix @ step) * scores[:, t, None, :]
+        moved /= moved.max((1, 2), keepdims=True)
+        matrix = np.where(valid[:, t, None, None], moved, matrix)
+    normed = lambda x: x / x.sum(1, keepdims=True)
+    for k in range(1, int(runs.max())):
+        at = first[runs > k] + k
+        before[at] = normed(np.einsum("ri,rij->rj", before[at - 1], matrix[at - 1]) @ step)
+    for k in range(int(runs.max()) - 2, -1, -1):
+        at = first[runs > k + 1] + k
+        after[at] = normed(np.einsum("rij,rj->ri", matrix[at + 1], after[at + 1]) @ step.T)
+    return before, after
+
+
+def forward_backward(
+    emissions: np.ndarray, valid: np.ndarray, transitions: np.ndarray, before=None, after=None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Marginals of words (sequences, span, labels) and expected transitions; ``valid`` is false after the end.
+
+    ``before`` and ``after`` are the messages that come to the first and to the last word.
+    """
     rows, span, labels = emissions.shape
     scores = np.exp(emissions - emissions.max(2, keepdims=True))
     step = np.exp(transitions - transitions.max())
     ahead = np.empty_like(scores)
-    ahead[:, 0] = scores[:, 0] / scores[:, 0].sum(1, keepdims=True)
+    begin = scores[:, 0] if before is None else scores[:, 0] * before
+    ahead[:, 0] = begin / begin.sum(1, keepdims=True)
     for t in range(1, span):
         now = (ahead[:, t - 1] @ step) * scores[:, t]
         now /= now.sum(1, keepdims=True)
         ahead[:, t] = np.where(valid[:, t, None], now, ahead[:, t - 1])
-    back = np.ones((rows, labels))
+    back = np.ones((rows, labels)) if after is None else after
     marginals = np.empty_like(scores)
-    marginals[:, -1] = ahead[:, -1]
+    last = ahead[:, -1] * back
+    marginals[:, -1] = last / last.sum(1, keepdims=True)
     expected = np.zeros_like(transitions)
     for t in range(span - 2, -1, -1):
         message = scores[:, t + 1] * back
@@ -137,28 +178,34 @@ class Field:
         sizes = np.array([len(p) for p in places], np.int64)
         flat = np.fromiter((p for some in places for p in some), np.int64, int(sizes.sum()))
         runs = -(-sizes // SPAN)  # a text's words in spans, the last one short
-        first = np.concatenate(([0], np.cumsum(runs)[:-1])) * SPAN
+        begins = np.concatenate(([0], np.cumsum(runs)[:-1])).astype(np.int64)
         owner = np.repeat(np.arange(len(texts)), sizes)
         within = np.arange(len(flat)) - np.repeat(np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes)
-        spot = first[owner] + within
+        spot = begins[owner] * SPAN + within
         emissions = np.zeros((int(runs.sum()) * SPAN, len(self.labels)))
         valid = np.zeros(len(emissions), bool)
         emissions[spot], valid[spot] = table[flat], True
-        marginals, _ = forward_backward(
-            emissions.reshape(-1, SPAN, len(self.labels)), valid.reshape(-1, SPAN), self.transitions
-        )
+        spans = emissions.reshape(-1, SPAN, len(self.labels)), valid.reshape(-1, SPAN), self.transitions
+        marginals, _ = forward_backward(*spans, *span_messages(*spans, begins, runs))
         return marginals.reshape(-1, len(self.labels))[spot], owner
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
+        names, scores, _ = self.judge(texts)
+        return names, scores
+
+    def judge(self, texts: list[str]) -> tuple[list[str], list[float], list[float]]:
+        """Each text's language, its mean probability, and the mean of each word's largest probability: how certain the
+        words are, whether or not they agree."""
         if not self.labels:
-            return [UNKNOWN] * len(texts), [0.0] * len(texts)
+            return [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
         probabilities, owner = self.word_probabilities(texts)
         words = np.bincount(owner, minlength=len(texts))
         sums = np.stack([np.bincount(owner, p, len(texts)) for p in probabilities.T], axis=1)
         means = sums / np.maximum(words, 1)[:, None]
         best = means.argmax(1)
         names = [self.labels[b] if n else UNKNOWN for b, n in zip(best, words, strict=True)]
-        return names, np.clip(means[np.arange(len(texts)), best], 0, 1).tolist()
+        certain = np.bincount(owner, probabilities.max(1, initial=0), len(texts)) / np.maximum(words, 1)
+        return names, np.clip(means[np.arange(len(texts)), best], 0, 1).tolist(), np.clip(certain, 0, 1).tolist()
 
 
 def spliced(documents: list[list[str]], labels: list[int], seed: int = 3) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -180,17 +227,22 @@ def spliced(documents: list[list[str]], labels: list[int], seed: int = 3) -> tup
     return list(types), index, np.array([label for _, label in flat]).reshape(-1, SPAN)
 
 
+def sample_words(text: str) -> list[str]:
+    """The words of a text, or ``SAMPLE_WORDS`` of them in whole runs from all of the text, the same ones every time."""
+    words = [w for w in map(letters, text.split()) if w]
+    if len(words) <= SAMPLE_WORDS:
+        return words
+    random = np.random.default_rng(crc32(text.encode()))
+    begins = np.sort(random.choice(len(words) // SAMPLE_RUN, SAMPLE_WORDS // SAMPLE_RUN, replace=False)) * SAMPLE_RUN
+    return [w for b in begins for w in words[b : b + SAMPLE_RUN]]
+
+
 def fit_field(samples: list[tuple[str, str]]) -> Field:
     """Fit to (text, language) rows by gradient steps on the likelihood of spliced sequences."""
-    random = np.random.default_rng(11)
     names = sorted({lang for _, lang in samples})
     documents, labels = [], []
     for text, lang in sorted(samples):
-        words = [w for w in map(letters, text.split()) if w]
-        if len(words) > SAMPLE_WORDS:  # whole runs, from all of the text
-            begins = np.sort(random.choice(len(words) // 16, SAMPLE_WORDS // 16, replace=False)) * 16
-            words = [w for b in begins for w in words[b : b + 16]]
-        if words:
+        if words := sample_words(text):
             documents.append(words)
             labels.append(names.index(lang))
     size = len(names)
@@ -225,14 +277,30 @@ def is_held_out(id_column: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def learn_field(documents: DataFrame, id_column="doc_id", text_column="text", lang_column="lang") -> Field:
+SAMPLED = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64()), ("words", pa.string()), ("lang", pa.string())])
+
+
+def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, 2):
+        words = [" ".join(sample_words(t)) for t in batch.column(2).to_pylist()]
+        yield batch_of(SAMPLED, batch.column(0), batch.column(1), words, batch.column(3))
+
+
+def learn_field(
+    spark: SparkSession, documents: DataFrame, id_column="doc_id", text_column="text", lang_column="lang"
+) -> Field:
     """Fit to a bounded sample of the labelled documents that are not held out."""
     taught = documents.select(
-        F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), F.col(lang_column).alias("lang")
-    ).where(~is_held_out("doc_id") & F.expr("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "doc_id")
-    sample = taught.withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE_DOCUMENTS)
-    return fit_field([(r["text"], r["lang"]) for r in sample.select("text", "lang").collect()])
+        F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text_column).alias("hash"),
+        F.col(text_column).alias("text"), F.col(lang_column).alias("lang"),
+    ).where(~is_held_out("doc_id") & F.expr("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL"))
+    # only hashes meet, once for each text
+    texts = taught.groupBy("lang", "hash").agg(F.min("doc_id").alias("doc_id"))
+    sample = drawn(spark, texts, "lang", "hash", SAMPLE_DOCUMENTS, MOST_LANGUAGES)
+    # at most SAMPLE_DOCUMENTS rows for each of MOST_LANGUAGES
+    chosen = taught.join(F.broadcast(sample), ["lang", "hash", "doc_id"], "left_semi").select("doc_id", "hash", "text", "lang")
+    words = chosen.mapInArrow(_sampled, "doc_id long, hash long, words string, lang string").distinct()
+    return fit_field([(r["words"], r["lang"]) for r in words.select("words", "lang").collect()])
 
 
 RESULT = pa.schema(
@@ -244,7 +312,7 @@ def predict_languages(
     spark: SparkSession, documents: DataFrame, id_column="doc_id", text_column="text", lang_column="lang"
 ) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score."""
-    model = spark.sparkContext.broadcast(learn_field(documents, id_column, text_column, lang_column))  # of fixed size
+    model = spark.sparkContext.broadcast(learn_field(spark, documents, id_column, text_column, lang_column))  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2, 2_000_000):
@@ -261,14 +329,16 @@ def predict_languages(
 def keep_known_languages(
     spark: SparkSession, documents: DataFrame, least: float, id_column="doc_id", text_column="text", lang_column="lang"
 ) -> DataFrame:
-    """The documents whose language is found with a score of at least ``least``, with all their columns."""
-    model = spark.sparkContext.broadcast(learn_field(documents, id_column, text_column, lang_column))
+    """The documents whose words have a language with a certainty of at least ``least`` in the mean, with all their columns.
+
+    A text of several languages stays if each of its words has one."""
+    model = spark.sparkContext.broadcast(learn_field(spark, documents, id_column, text_column, lang_column))
     place = documents.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, place, 2_000_000):
-            names, scores = model.value.predict([t or "" for t in batch.column(place).to_pylist()])
-            keep = [n != UNKNOWN and s >= least for n, s in zip(names, scores, strict=True)]
+            names, _, certain = model.value.judge([t or "" for t in batch.column(place).to_pylist()])
+            keep = [n != UNKNOWN and c >= least for n, c in zip(names, certain, strict=True)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return documents.mapInArrow(run, documents.schema)

@@ -6,12 +6,13 @@ severity is the sum of the probabilities of exceeding each threshold. Grades are
 labels: 0 not toxic, 1 toxic in a text of good quality, 2 toxic in a bad one.
 
 The fit takes a bounded sample of labelled rows, ``SAMPLE_A_GRADE`` of each grade, chosen by a hash of the text and
-weighted back to the grades' shares among all labelled rows; words of fewer than ``LEAST_TEXTS`` sample texts have no
+weighted back to the grades' shares among all labelled rows; only the distinct words of these texts reach the driver. Words of fewer than ``LEAST_TEXTS`` sample texts have no
 weight. The cut that calls a text toxic is the severity with the best F1 on the sample.
 
-Defined cases: a null or empty text has the severity of a text without known words; without labelled rows the severity
+Defined cases: a very long text counts by its distinct words like any other; equal hashes are taken in the order of ids;
+a null or empty text has the severity of a text without known words; without labelled rows the severity
 is 0; a label row without a grade, or whose document is missing, teaches nothing; a null doc_id never meets a label;
-repeated rows each return a row and, when labelled, each count; an empty table gives an empty result; other columns are
+repeated rows each return a row, and labelled ones that are alike teach once; an empty table gives an empty result; other columns are
 ignored.
 """
 
@@ -24,9 +25,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tabloom.llm.common import batch_of, slices, texts_of
+from tabloom.llm.common import batch_of, drawn, slices, texts_of
 
 SAMPLE_A_GRADE = 3000
 LEAST_TEXTS = 4
@@ -125,19 +126,31 @@ def grade(toxic: Column, quality: Column) -> Column:
     return F.when(toxic == 0, 0).when((toxic == 1) & (quality == 1), 1).when(toxic == 1, 2)
 
 
-def learn_toxicity(documents: DataFrame, labels: DataFrame, id_column="doc_id", text_column="text") -> Ordinal:
+def learn_toxicity(
+    spark: SparkSession, documents: DataFrame, labels: DataFrame, id_column="doc_id", text_column="text"
+) -> Ordinal:
     graded = labels.select(
-        F.col("doc_id").alias("label_id"), grade(F.col("toxic"), F.col("quality")).alias("grade")
+        F.col("doc_id").cast("long").alias("label_id"), grade(F.col("toxic"), F.col("quality")).alias("grade")
     ).where("grade IS NOT NULL")
     texts = texts_of(documents, id_column, text_column)
-    order = Window.partitionBy("grade").orderBy(F.xxhash64("label_id"), "label_id")
-    sampled = graded.withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE_A_GRADE)
+    graded = graded.where("label_id IS NOT NULL").withColumn("hash", F.xxhash64("label_id"))
+    sampled = drawn(spark, graded.distinct(), "grade", "hash", SAMPLE_A_GRADE, 3)
     totals = {r["grade"]: r["count"] for r in graded.groupBy("grade").count().collect()}
     # at most SAMPLE_A_GRADE rows for each of three grades, so no text need be shuffled to meet them
     few = F.broadcast(sampled.select("label_id", "grade"))
-    rows = texts.join(few, F.col("doc_id") == F.col("label_id")).select("text", "grade").collect()
-    drawn = Counter(r["grade"] for r in rows)
-    return fit_ordinal([(r["text"], r["grade"], totals[r["grade"]] / drawn[r["grade"]]) for r in rows])
+    met = texts.join(few, F.col("doc_id") == F.col("label_id")).select("text", "grade")
+    words = met.mapInArrow(_distinct_words, "words string, grade int").distinct()
+    # an id may have any number of texts
+    words = drawn(spark, words.withColumn("hash", F.xxhash64("words", "grade")), "grade", "hash", SAMPLE_A_GRADE, 3)
+    rows = words.select("words", "grade").collect()
+    counts = Counter(r["grade"] for r in rows)
+    return fit_ordinal([(r["words"], r["grade"], totals[r["grade"]] / counts[r["grade"]]) for r in rows])
+
+
+def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, 0):
+        words = [" ".join(sorted(words_of(t))) for t in batch.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), batch.column(1)], names=["words", "grade"])
 
 
 RESULT = pa.schema(
@@ -149,7 +162,7 @@ def score_toxicity(
     spark: SparkSession, documents: DataFrame, labels: DataFrame, id_column="doc_id", text_column="text"
 ) -> DataFrame:
     """One row per document: doc_id, expected severity, the nearest grade, whether the severity reaches the cut."""
-    model = spark.sparkContext.broadcast(learn_toxicity(documents, labels, id_column, text_column))  # bounded by the sample
+    model = spark.sparkContext.broadcast(learn_toxicity(spark, documents, labels, id_column, text_column))  # bounded by the sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = model.value

@@ -43,6 +43,28 @@ def test_words_of_switched_text_get_their_own_language():
     assert fit_field([]).predict(["wira"]) == ([UNKNOWN], [0.0])
 
 
+def test_a_long_text_is_one_chain():
+    """Spans with messages against the same words as one long sequence, which the enumeration above vouches for."""
+    rng = np.random.default_rng(4)
+    model = fit_field(SAMPLES * 10)
+    model.transitions = rng.normal(size=(2, 2)) * 2
+    spellings = [w for t, _ in SAMPLES for w in t.split()] + ["lukra", "x", "ächa"]
+    texts = [" ".join(rng.choice(spellings, n)) for n in (150, 1, 32, 33, 0, 64, 1000, 31)]
+    found, owner = model.word_probabilities(texts)
+    for i, text in enumerate(texts):
+        words = text.split()
+        if words:
+            emissions = model.emissions([letters(w) for w in words])[None]
+            whole, _ = forward_backward(emissions, np.ones((1, len(words)), bool), model.transitions)
+            assert np.allclose(found[owner == i], whole[0], atol=1e-12)
+
+
+def test_certainty_of_mixed_text():
+    model = fit_field(SAMPLES * 10)
+    names, scores, certain = model.judge(["kata wira lani soka krass stolz brumm ächz", ""])
+    assert scores[0] < 0.7 < certain[0] and certain[1] == 0 and names[1] == UNKNOWN
+
+
 def test_features_of_a_word_do_not_depend_on_others():
     alone, _ = features(["wira"])
     together, starts = features(["x", "wira", "strümpf"])

@@ -7,18 +7,16 @@ from tabloom.llm.kd_search import top_inner_products
 
 
 def brute(rows, every, top):
-    whole = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            w = [math.floor(256 * x) for x in v]
-            if i not in whole or list(v) < whole[i][0]:
-                whole[i] = (list(v), w)
+    whole = [
+        (i, [math.floor(256 * x) for x in v]) for i, v in rows
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
     out = []
-    for q, (_, a) in whole.items():
+    for at, (q, a) in enumerate(whole):
         if q % every == 0:
             scores = sorted(
                 (-max(-(2**63 - 1), min(2**63 - 1, sum(x * y for x, y in zip(a, b)))), i)
-                for i, (_, b) in whole.items() if i != q and len(a) == len(b)
+                for other, (i, b) in enumerate(whole) if other != at and len(a) == len(b)
             )
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:top])]
     return sorted(out)
@@ -37,6 +35,14 @@ def test_equals_brute_force(spark, shard_rows):
     assert got == brute(rows, 10, 5)
 
 
+def test_rows_with_one_id_are_rows_of_their_own(spark):
+    rows = [(0, [1.0]), (50, [2.0]), (50, [3.0]), (7, [2.5]), (7, [2.5])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in top_inner_products(spark, frame).collect())
+    assert got == brute(rows, 50, 5)
+    assert (0, 1, 50, 196608) in got and [r for r in got if r[0] == 0][1:3] == [(0, 2, 7, 163840), (0, 3, 7, 163840)]
+
+
 def test_large_components_are_exact(spark):
     rows = [(i, [float(2**20 + i), float(-(2**19) - 3 * i), 0.25]) for i in range(30)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")

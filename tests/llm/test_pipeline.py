@@ -45,6 +45,28 @@ def test_stages_equal_brute_force(spark, folder):
     assert check(pieces, list(zip([i for i, _ in kept[3]], ids_of([t for _, t in kept[3]])))) == 0
 
 
+def test_mixed_languages_very_long_texts_and_empty_tables(spark, folder):
+    import os
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.where("false"), folder).count() == 0
+    if not os.path.isdir("/root/testdata/sf0.01"):
+        pytest.skip("driver tables not present")
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    words = {}
+    for r in given.where("lang IS NOT NULL AND text IS NOT NULL").limit(400).collect():
+        words.setdefault(r["lang"], []).extend(w for w in r["text"].split() if w.isalpha())
+    runs = [" ".join(some[i : i + 5]) for i in range(0, 40, 5) for _, some in sorted(words.items())]
+    mixed, long = " ".join(runs), " ".join(words["en"] * 40)
+    more = spark.createDataFrame([(10**9, mixed), (10**9 + 1, long)], "doc_id long, text string")
+    kept = corpus_pipeline.known_language(spark, given.unionByName(more, allowMissingColumns=True), folder)
+    ids = {r["doc_id"] for r in kept.select("doc_id").collect()}
+    assert {10**9, 10**9 + 1} <= ids
+    lettered = {r["doc_id"] for r in given.collect() if any(map(str.isalpha, r["text"] or ""))}
+    assert lettered <= ids
+
+
 def test_stages_are_the_named_ones():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language ID", "exact dedup", "n-gram Jaccard join", "PII", "packing"]
     assert corpus_pipeline.ORACLE_SQL is None

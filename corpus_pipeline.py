@@ -16,32 +16,42 @@ from tabloom.llm.deobfuscate import mask_documents
 from tabloom.llm.exact_dedup import drop_copies
 from tabloom.llm.ngram_join import drop_near_duplicates
 
-LEAST_LANGUAGE_SCORE = 0.4
+LEAST_CERTAINTY = 0.4  # mean over a text's words of their best language's probability
 ORACLE_SQL = None
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or without a language that most of their words agree on, go."""
-    return keep_known_languages(spark, docs, LEAST_LANGUAGE_SCORE)
+    """Documents without letters, or whose words no language fits, go; texts that mix languages stay.
+
+    Null and empty texts have no letters and go. Rows with a null doc_id, repeated rows and very long texts are judged
+    like all others; an empty table stays empty.
+    """
+    return keep_known_languages(spark, docs, LEAST_CERTAINTY)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest doc_id stays."""
+    """Of equal texts the row with the largest doc_id stays, a null one before none; null and empty texts are equal.
+
+    Repeated rows leave one row; texts of any length are compared whole; an empty table stays empty.
+    """
     return drop_copies(spark, docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of a group of near duplicates the document with the smallest doc_id stays."""
+    """Of a group of near duplicates the document with the smallest doc_id stays; ties go to the text's digest.
+
+    Null and blank texts are groups of their own and stay; null doc_ids come after all others; an empty table stays empty.
+    """
     return drop_near_duplicates(spark, docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data in the texts, plain or disguised, is replaced by its kind."""
+    """Personal data in the texts, plain or disguised, is replaced by its kind; all rows and null texts stay as they are."""
     return mask_documents(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences along the space-filling curve."""
+    """Token sequences along the space-filling curve: every document in pieces, a null text as an empty one."""
     return pack_documents(spark, docs)
 
 

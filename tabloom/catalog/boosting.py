@@ -8,7 +8,7 @@ from tabloom.catalog import LINE_FEATURES, PLANTED_LABEL, PLANTED_TARGET, lines,
 from tabloom.catalog.tree_sql import boosted_trees, stump_rounds
 from tabloom.plans.boosting import STEPS, best_step, error_curve, fit_stump_booster, fit_tree_booster, signed, step_losses
 
-ROUNDS = 4
+ROUNDS = 8
 SIGNED_ROWS = f"(SELECT l_quantity, l_discount, l_tax, CASE WHEN {PLANTED_LABEL} = 1 THEN 1 ELSE -1 END AS y FROM lineitem)"
 STUMPS = ", ".join(stump_rounds(SIGNED_ROWS, LINE_FEATURES, ROUNDS))
 NAMES = "CASE feature WHEN 0 THEN 'l_quantity' WHEN 1 THEN 'l_discount' ELSE 'l_tax' END"
@@ -87,12 +87,13 @@ def adaboost_score(spark, folder):
 
 
 TARGET_ROWS = f"(SELECT l_quantity, l_discount, l_tax, {PLANTED_TARGET} AS z FROM lineitem)"
-BOOSTED, SCORES = boosted_trees("target_rows", LINE_FEATURES, 2, 2)
+TREES = 6  # beyond the first checkpoint of the scores
+BOOSTED, SCORES = boosted_trees("target_rows", LINE_FEATURES, TREES, 2)
 BOOSTED = f"WITH target_rows AS {TARGET_ROWS}, {', '.join(BOOSTED)} "
 
 
 def fitted_trees(spark, folder):
-    return fit_tree_booster(lines(spark, folder), LINE_FEATURES, "z", rounds=2, max_depth=2)
+    return fit_tree_booster(lines(spark, folder), LINE_FEATURES, "z", rounds=TREES, max_depth=2)
 
 
 @query(
@@ -101,7 +102,7 @@ def fitted_trees(spark, folder):
     + " UNION ALL ".join(
         f"""SELECT {k} AS round, round_even((SELECT p FROM step{k}), 2)::DOUBLE AS step, node, round_even(leaf, 6) + 0.0 AS prediction,
             (SELECT count(*) FROM b{k}_rows2 x WHERE x.node = leaf{k}.node) AS n FROM leaf{k}"""
-        for k in (1, 2)
+        for k in range(1, TREES + 1)
     ),
 )
 def gbdt_fit(spark, folder):

@@ -104,7 +104,7 @@ def gram_wide(spark, folder):
     return frame.select("i", "j", r6(F.col("product"), 4).alias("product"))
 
 
-ITERATIONS, ETA, L1, L2 = 4, 0.5, 3.0, 5.0
+ITERATIONS, ETA, L1, L2 = 10, 0.5, 3.0, 5.0
 
 
 def logistic_ctes() -> str:
@@ -175,33 +175,30 @@ def logreg_curve(spark, folder):
     return curve.select("iter", r6(F.col("cost"), 8).alias("cost"), r6(F.col("cost_test"), 8).alias("cost_test"))
 
 
-UPDATES = 6
-POINTS = """(SELECT row_id, x1, x2, CASE WHEN 0.0 + x1 * 2.0::DOUBLE + x2 * 3.0::DOUBLE <= 0 THEN -1 ELSE 1 END AS y FROM
-    (SELECT o_orderkey AS row_id,
+GAP = 0.004
+POINTS = f"""(SELECT row_id, x1 + y * {GAP * 2}::DOUBLE AS x1, x2 + y * {GAP * 3}::DOUBLE AS x2, y FROM
+    (SELECT *, CASE WHEN 0.0 + x1 * 2.0::DOUBLE + x2 * 3.0::DOUBLE <= 0 THEN -1 ELSE 1 END AS y FROM (SELECT o_orderkey AS row_id,
      ('0x' || substr(md5('x1:' || o_orderkey), 1, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE * 20 - 10 AS x1,
-     ('0x' || substr(md5('x2:' || o_orderkey), 1, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE * 20 - 10 AS x2 FROM orders))"""
+     ('0x' || substr(md5('x2:' || o_orderkey), 1, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE * 20 - 10 AS x2 FROM orders)))"""
 
 
-def perceptron_sql() -> str:
-    ctes = [f"pts AS {POINTS}", "w0 AS (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b, 0 AS updates)"]
-    for k in range(1, UPDATES + 1):
-        ctes.append(
-            f"""f{k} AS (SELECT p.* FROM pts p, w{k - 1} w WHERE p.y * (p.x1 * w.a + p.x2 * w.b) <= 0 ORDER BY p.row_id LIMIT 1)"""
-        )
-        ctes.append(
-            f"""w{k} AS (SELECT a + coalesce(y * x1, 0) AS a, b + coalesce(y * x2, 0) AS b,
-                updates + CASE WHEN y IS NULL THEN 0 ELSE 1 END AS updates FROM w{k - 1} LEFT JOIN f{k} ON true)"""
-        )
-    last = f"w{UPDATES}"
-    left = f"NOT EXISTS (SELECT 1 FROM pts p, {last} w WHERE p.y * (p.x1 * w.a + p.x2 * w.b) <= 0)"
-    return f"""WITH {', '.join(ctes)} SELECT 'x1' AS feature, round_even(a, 6) AS weight, updates, {left} AS separated FROM {last}
-        UNION ALL SELECT 'x2', round_even(b, 6), updates, {left} FROM {last}"""
+# the loop itself: the first row on the wrong side moves the weights, until there is none
+PERCEPTRON_SQL = f"""WITH RECURSIVE pts AS MATERIALIZED (SELECT * FROM {POINTS}),
+    fit AS (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b, 0 AS updates
+      UNION ALL SELECT a + p.y * p.x1, b + p.y * p.x2, updates + 1 FROM
+        (SELECT any_value(a) AS a, any_value(b) AS b, any_value(updates) AS updates,
+          arg_min(struct_pack(y := y, x1 := x1, x2 := x2), row_id) FILTER (y * (x1 * a + x2 * b) <= 0) AS p FROM pts, fit)
+      WHERE p IS NOT NULL),
+    done AS (SELECT * FROM fit ORDER BY updates DESC LIMIT 1),
+    wrong AS (SELECT count(*) AS n FROM pts, done WHERE y * (x1 * a + x2 * b) <= 0)
+    SELECT 'x1' AS feature, round_even(a, 6) AS weight, updates, n = 0 AS separated FROM done, wrong
+    UNION ALL SELECT 'x2', round_even(b, 6), updates, n = 0 FROM done, wrong"""
 
 
-@query("perceptron_fit", perceptron_sql())
+@query("perceptron_fit", PERCEPTRON_SQL)
 def perceptron_fit(spark, folder):
-    points = tables.separable_points(table(spark, folder, "orders"), "o_orderkey", [2.0, 3.0])
-    model = linear.fit_perceptron(points, ["x1", "x2"], "label", "row_id", max_updates=UPDATES)
+    points = tables.separable_points(table(spark, folder, "orders"), "o_orderkey", [2.0, 3.0], gap=GAP)
+    model = linear.fit_perceptron(points, ["x1", "x2"], "label", "row_id")
     return model.table(spark).select("feature", r6(F.col("weight")).alias("weight"), "updates", "separated")
 
 

@@ -1,7 +1,7 @@
 """Linear and logistic fits, and the perceptron.
 
 The linear fits need one job for X'X and X'y; the p x p rest is model-sized.  The
-logistic fit needs one aggregation per iteration, the perceptron one per update.
+logistic fit needs one aggregation per iteration, the perceptron one per update that its head of rows does not decide.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ def complete_rows(frame: DataFrame, features: Sequence[str], label: str) -> Data
     return frame.select(*[quoted(f) for f in features], quoted(label)).dropna()
 
 
+HEAD_ROWS = 10_000  # rows of a perceptron fit that the driver holds
 SUM_TASKS = 32  # partial sums meet in so many tasks before the driver adds them
 
 
@@ -268,30 +269,52 @@ class Perceptron:
         return spark.createDataFrame(rows, "feature string, weight double, updates int, separated boolean")
 
 
+def _first_wrong(points: np.ndarray, signs: np.ndarray, weights: Sequence[float]) -> int | None:
+    """The first row on the wrong side, with products added in the order of the columns."""
+    dot = np.zeros(len(points))
+    for i, w in enumerate(weights):
+        dot = dot + points[:, i] * w
+    wrong = np.flatnonzero(signs * dot <= 0)
+    return int(wrong[0]) if len(wrong) else None
+
+
 def fit_perceptron(
-    frame: DataFrame, features: Sequence[str], label: str, key: str, *, max_updates: int = 1000
-) -> Perceptron:
+    frame: DataFrame, features: Sequence[str], label: str, key: str, *, max_updates: int | None = None,
+    head_rows: int = HEAD_ROWS,
+) -> Perceptron:
     """Perceptron with labels -1/+1: take the first misclassified row by ``key``, add
     y x to the weights, look again from the first row.
 
-    "First" is a minimum over the table, so each update is one aggregation that sends
-    one row per task.  Ends when nothing is misclassified or after ``max_updates``.
+    The first ``head_rows`` rows by key are kept on the driver.  As long as one of them is
+    misclassified it is the first of the table, so updates are replayed there; the table is
+    asked only when they are all right, for its first misclassified row, a minimum that
+    sends one row per task.  The weights are those of the row by row loop, whatever the
+    size of the head.  Ends when nothing is misclassified, or after ``max_updates``: on
+    rows that no plane separates the loop has no other end.
     """
-    rows = frame.select(
-        F.col(quoted(key)).alias("place"), *[quoted(f) for f in features], F.col(quoted(label)).alias("sign")
-    ).persist()
+    number = [F.col(quoted(f)).cast("double").alias(f"x{i}") for i, f in enumerate(features)]
+    rows = frame.select(F.col(quoted(key)).alias("place"), F.col(quoted(label)).cast("double").alias("sign"), *number)
+    rows = rows.persist()
+    names = [f"x{i}" for i in range(len(features))]
     weights = [0.0] * len(features)
     try:
         updates = 0
+        head = rows.orderBy("place", "sign", *names).limit(head_rows).collect()
+        number_of = lambda v: float("nan") if v is None else v
+        points = np.array([[number_of(r[n]) for n in names] for r in head]).reshape(len(head), len(names))
+        signs = np.array([number_of(r["sign"]) for r in head])
         while True:
-            dot = " + ".join(f"{quoted(f)} * {double_sql(w)}" for f, w in zip(features, weights))
+            while (max_updates is None or updates < max_updates) and (at := _first_wrong(points, signs, weights)) is not None:
+                weights = [w + float(signs[at]) * float(x) for w, x in zip(weights, points[at])]
+                updates += 1
+            dot = " + ".join(["0D", *[f"{n} * {double_sql(w)}" for n, w in zip(names, weights)]])
             wrong = rows.filter(f"sign * ({dot}) <= 0")
             first = wrong.agg(
-                F.min(F.struct("place", F.col("sign").alias("y"), *[quoted(f) for f in features])).alias("row")
+                F.min(F.struct("place", F.col("sign").alias("y"), *names)).alias("row")
             ).first()["row"]
-            if first is None or updates >= max_updates:
+            if first is None or max_updates is not None and updates >= max_updates:
                 return Perceptron(tuple(features), tuple(weights), updates, first is None)
-            weights = [w + first["y"] * first[f] for w, f in zip(weights, features)]
+            weights = [w + first["y"] * first[n] for w, n in zip(weights, names)]
             updates += 1
     finally:
         rows.unpersist()

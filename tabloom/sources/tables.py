@@ -39,15 +39,22 @@ def uniform(key: Column, stream: str, low: float, high: float) -> Column:
     return head.cast("double") / F.lit(4294967296.0) * F.lit(high - low) + F.lit(low)
 
 
-def separable_points(keys: DataFrame, key: str, weights: Sequence[float]) -> DataFrame:
-    """One point per key: features uniform in [-10, 10), label -1 where w.x <= 0, else +1."""
+def separable_points(keys: DataFrame, key: str, weights: Sequence[float], gap: float = 0.0) -> DataFrame:
+    """One point per key: features uniform in [-10, 10), label -1 where w.x <= 0, else +1.
+
+    With a ``gap`` every point is moved away from the plane by so many times the weights, to its own side."""
     names = [f"x{i + 1}" for i in range(len(weights))]
     points = keys.select(
         F.col(quoted(key)).alias("row_id"),
         *[uniform(F.col(quoted(key)), f"{name}:", -10.0, 10.0).alias(name) for name in names],
     )
     dot = weighted_sum(names, weights)
-    return points.withColumn("label", F.when(dot <= 0, -1).otherwise(1))
+    points = points.withColumn("label", F.when(dot <= 0, -1).otherwise(1))
+    if not gap:
+        return points
+    return points.withColumns(
+        {name: F.col(name) + F.col("label") * F.lit(gap * w) for name, w in zip(names, weights)}
+    )
 
 
 def binary_subset(frame: DataFrame, features: Sequence[str], label: str, negative, positive) -> DataFrame:

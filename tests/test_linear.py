@@ -85,6 +85,18 @@ def test_perceptron_equals_the_restarting_loop(spark):
     assert model.score(points).filter("prediction <> label").count() == 0
 
 
+@pytest.mark.parametrize("head", [1, 3, 1000])
+def test_perceptron_does_not_depend_on_its_head(spark, head):
+    points = separable_points(spark.range(300), "id", [2.0, 3.0], gap=0.01)
+    rows = [(r["x1"], r["x2"], r["label"]) for r in points.orderBy("row_id").collect()]
+    weights, updates = naive_perceptron(rows, 10_000)
+    model = linear.fit_perceptron(points, ["x1", "x2"], "label", "row_id", head_rows=head)
+    assert model.separated and model.updates == updates > 5
+    assert model.weights == pytest.approx(weights, abs=1e-12)
+    odd = points.unionByName(points.selectExpr("NULL AS row_id", "x1", "NULL AS x2", "label").limit(2))
+    assert linear.fit_perceptron(odd, ["x1", "x2"], "label", "row_id", head_rows=head).weights == model.weights
+
+
 def test_perceptron_gives_up_on_inseparable_rows(spark):
     frame = spark.createDataFrame([(1, 1.0, 1), (2, 1.0, -1)], "id int, a double, s int")
     model = linear.fit_perceptron(frame, ["a"], "s", "id", max_updates=7)

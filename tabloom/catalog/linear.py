@@ -243,22 +243,27 @@ def ml_logreg(spark, folder):
     )
 
 
+# labels of two features each, which a learner must combine; the third feature tells nothing
+PLANTED = "(doc_id % 3 = 1) <> (length(source) = 5)"
+PLANTED_CLASS = "(doc_id % 3 + CASE WHEN length(source) = 5 THEN 1 ELSE 0 END) % 3"
+
+
 def labelled_documents(spark, folder):
-    """All documents; the labels ``planted`` and ``class`` are made of a feature, so a right learner finds them again."""
+    """All documents with the labels ``planted`` and ``class``."""
     return table(spark, folder, "documents").select(
         "doc_id",
         F.col("n_chars").cast("double").alias("n_chars"),
         (F.col("doc_id") % 3).cast("double").alias("third"),
         F.length("source").cast("double").alias("source_length"),
-        (F.col("doc_id") % 3 == 1).cast("int").alias("planted"),
-        (F.col("doc_id") % 3).cast("int").alias("class"),
+        F.expr(PLANTED).cast("int").alias("planted"),
+        F.expr(PLANTED_CLASS).cast("int").alias("class"),
     )
 
 
 DOCUMENT_FEATURES = ["n_chars", "third", "source_length"]
 
 
-@query("ml_gbt", "SELECT doc_id, (doc_id % 3 = 1)::INTEGER AS planted, (doc_id % 3 = 1)::INTEGER AS predicted FROM documents")
+@query("ml_gbt", f"SELECT doc_id, ({PLANTED})::INTEGER AS planted, ({PLANTED})::INTEGER AS predicted FROM documents")
 def ml_gbt(spark, folder):
     rows = labelled_documents(spark, folder)
     learner = GbtLearner({"n_estimators": 5, "max_depth": 3, "learning_rate": 0.3, "random_state": 7}, key="doc_id")
@@ -268,13 +273,13 @@ def ml_gbt(spark, folder):
 
 @query(
     "ml_multiclass",
-    """SELECT doc_id, (doc_id % 3)::INTEGER AS "class", (doc_id % 3)::INTEGER AS likeliest, (doc_id % 3)::INTEGER AS boosted
-       FROM documents""",
+    f"""SELECT doc_id, ({PLANTED_CLASS})::INTEGER AS "class", ({PLANTED_CLASS})::INTEGER AS likeliest,
+        ({PLANTED_CLASS})::INTEGER AS boosted FROM documents""",
 )
 def ml_multiclass(spark, folder):
     rows = labelled_documents(spark, folder)
-    forest = ForestLearner({"numTrees": 15, "maxDepth": 5, "seed": 7}).fit(rows, DOCUMENT_FEATURES, "class")
-    boosted = fit_one_vs_rest(rows, DOCUMENT_FEATURES, "class", n_estimators=2, max_depth=3, random_state=7)
+    forest = ForestLearner({"numTrees": 15, "maxDepth": 5, "seed": 7, "featureSubsetStrategy": "all"}).fit(rows, DOCUMENT_FEATURES, "class")
+    boosted = fit_one_vs_rest(rows, DOCUMENT_FEATURES, "class", n_estimators=4, max_depth=5, random_state=7)
     return boosted.score(forest.score(rows, "probabilities"), "boosted").select(
         "doc_id", "class", first_argmax(F.col("probabilities")).cast("int").alias("likeliest"),
         F.col("boosted").cast("int").alias("boosted"),

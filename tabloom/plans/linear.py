@@ -6,15 +6,15 @@ logistic fit needs one aggregation per iteration, the perceptron one per update
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tabloom.functions import double_sql, quoted, sigmoid, softplus, weighted_sum
 from tabloom.plans.compact import class_rows
+from tabloom.plans.gram import doubles, gram
 
 
 @dataclass(frozen=True)
@@ -33,43 +33,19 @@ def complete_rows(frame: DataFrame, features: Sequence[str], label: str) -> Data
 
 
 HEAD_ROWS = 10_000  # rows of a perceptron fit that the driver holds
-SUM_TASKS = 32  # partial sums meet in so many tasks before the driver adds them
-
-
-def _row_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Z'Z of a task's rows, for Z = (1, features, label)."""
-    total = None
-    for batch in batches:
-        if batch.num_rows:
-            z = np.column_stack([np.ones(batch.num_rows), *[c.to_numpy(zero_copy_only=False) for c in batch.columns]])
-            total = z.T @ z if total is None else total + z.T @ z
-    if total is not None:
-        yield pa.RecordBatch.from_pydict({"sums": [total.tobytes()]})
-
-
-def _sums_of_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = None
-    for batch in batches:
-        for data in batch.column(0).to_pylist():
-            part = np.frombuffer(data)
-            total = part if total is None else total + part
-    if total is not None:
-        yield pa.RecordBatch.from_pydict({"sums": [total.tobytes()]})
+def _with_ones(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    whole = np.column_stack([np.ones(len(z)), z])
+    return whole, whole
 
 
 def moments(frame: DataFrame, features: Sequence[str], label: str) -> Moments:
-    """One Arrow pass with a matrix product for each batch; tasks send one matrix each."""
-    rows = complete_rows(frame, features, label)
-    rows = rows.select(*[F.col(quoted(c)).cast("double").alias(f"c{i}") for i, c in enumerate(rows.columns)])
-    parts = rows.mapInArrow(_row_sums, "sums binary").repartition(SUM_TASKS)
+    """One Arrow pass with a matrix product for each batch, summed as cells or tiles."""
+    rows = doubles(complete_rows(frame, features, label), [quoted(c) for c in (*features, label)])
     size = len(features) + 2
-    sums = np.zeros(size * size)
-    for row in parts.mapInArrow(_sums_of_sums, "sums binary").collect():
-        sums = sums + np.frombuffer(row["sums"])
-    sums = sums.reshape(size, size)
+    sums = gram(rows, _with_ones, (size, size))
     if not sums[0, 0]:
         raise ValueError("no complete rows to fit")
-    return Moments(tuple(features), sums[:-1, :-1], sums[:-1, -1], float(sums[-1, -1]), int(sums[0, 0]))
+    return Moments(tuple(features), sums[:-1, :-1], sums[:-1, -1], float(sums[-1, -1]), int(round(sums[0, 0])))
 
 
 def moment_table(frame: DataFrame, features: Sequence[str], label: str) -> DataFrame:

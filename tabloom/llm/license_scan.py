@@ -7,7 +7,8 @@ template with the text about it gives the part of the template that is matched a
 
 Defined cases: a null or empty text has no matches and so no rows; null doc_ids pass through; repeated rows each return
 their rows; several matches of a license in a text are a row each; an empty table gives an empty result; other columns
-are ignored. Spans count code points, the end is exclusive.
+are ignored; texts of any length are scanned whole. Spans count code points, the end is exclusive. Of templates that match
+one place equally well the shorter one is reported, then the first by name.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from tabloom.llm.common import batch_of, slices, texts_of
 
 GRAM, WINDOW, BAND = 3, 3, 8
-LEAST_COVERAGE = 0.8
+LEAST_COVERAGE, LEAST_TEXT_COVERAGE = 0.8, 0.4  # of notices, headers and tags; of license texts
 LONG, LEAST_HITS = 100, 5  # templates with more words are aligned if so many hundredths of their fingerprints are hit
 MATCH, MISMATCH, GAP = 2, -1, -1
 WORD = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
@@ -90,10 +91,50 @@ NOTICES = {
           ) for version in ("4.0",)],
     ]
 }
+GNU = [("GPL-2.0", "", "gpl", "2"), ("GPL-3.0", "", "gpl", "3"), ("LGPL-2.1", "Lesser ", "lgpl", "2.1"),
+       ("LGPL-3.0", "Lesser ", "lgpl", "3"), ("AGPL-3.0", "Affero ", "agpl", "3")]
+for _name, _kind, _short, _version in GNU:
+    for _k, _verb in enumerate(("Licensed", "Released"), start=3):
+        _words = f"{_kind.strip().lower() or 'general'} public {_version}" if _kind else f"general public {_version}"
+        NOTICES[f"{_name} notice {_k}"] = (f"{_verb} under the GNU {_kind}General Public License version {_version}", _words)
+        NOTICES[f"{_name} notice {_k + 2}"] = (f"{_verb} under the {_short.upper()} version {_version}", f"{_short} {_version}")
+        NOTICES[f"{_name} notice {_k + 4}"] = (f"{_verb} under {_short.upper()} version {_version}", f"{_short} {_version}")
+for _kind, _long in [("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"),
+                     ("BY-NC", "Attribution-NonCommercial"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+                     ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")]:
+    NOTICES[f"CC-{_kind}-4.0 notice 3"] = (f"Creative Commons {_long} 4.0 International", f"{_long.lower()} 4.0")
 GNU_HEADERS = {"GPL-2.0": "general public 2", "LGPL-2.1": "lesser 2.1", "LGPL-3.0": "lesser 3", "AGPL-3.0": "affero 3"}
 WHOLE = "Apache-2.0 Artistic GPL-1 GPL-2 GPL-3 LGPL-2 LGPL-2.1 LGPL-3 MPL-1.1 MPL-2.0 CC0-1.0 GFDL-1.2 GFDL-1.3".split()
 
 
+VERSIONS = "1 1.1 1.2 1.3 2 2.1 3 4".split()
+
+
+def spellings() -> dict[str, list[str]]:
+    """Words that stand for others: "v3.0" and "3.0" for version numbers, "gplv3", the word that begins a license tag."""
+    found = {"v": ["version"], "spdx-license-identifier": ["spdx", "license", "identifier"]}
+    for version in VERSIONS:
+        for number in (version, f"{version}.0") if "." not in version else (version,):
+            found[f"v{number}"] = ["version", version]
+            if number != version:
+                found[number] = [version]
+            for name in ("gpl", "lgpl", "agpl"):
+                found[f"{name}v{number}"] = [name, "version", version]
+    return found
+
+
+SPELLINGS = spellings()
+
+
+def split_words(lowered: str) -> tuple[list[str], list[int] | None]:
+    """The words of a text, and which run of characters each stands for; None if each stands for its own."""
+    words = WORD.findall(lowered)
+    if SPELLINGS.keys().isdisjoint(words):
+        return words, None
+    spelled = [(w, i) for i, word in enumerate(words) for w in SPELLINGS.get(word, (word,))]
+    return [w for w, _ in spelled], [i for _, i in spelled]
+
+
 def license_notices() -> dict[str, str]:
     """Short notices, and the file headers of the GNU licenses and of Mozilla's."""
     found = {name: form for name, (form, _) in NOTICES.items()}
@@ -195,6 +236,25 @@ FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN
     **license_notices(),
     **whole_texts(),
 }
+# fixed values: identifiers of licenses whose templates are named otherwise
+SPDX = {"GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-3": "LGPL-3.0", "Artistic": "Artistic-1.0"}
+
+
+def kind_of(template: str) -> tuple[str, str]:
+    """(license identifier, kind) of a template by its name: a text, or a notice, a header or a tag."""
+    name, _, rest = template.partition(" ")
+    return SPDX.get(name, name), rest.split(" ")[0] or "text"
+
+
+def license_tags() -> dict[str, str]:
+    """A tag for each identifier; those of the GNU licenses come with two endings more."""
+    names = sorted({kind_of(t)[0] for t in TEMPLATES} - {"BSD"})
+    ends = lambda n: ("", "-only", "-or-later") if "GPL" in n or "GFDL" in n else ("",)
+    return {f"{n} tag {e}".rstrip(): f"SPDX-License-Identifier: {n}{e}" for n in names for e in ends(n)}
+
+
+TAGS = license_tags()
+TEMPLATES |= TAGS
 
 # words that name a license and its version; the first of each in the template must be matched
 REQUIRED = {
@@ -207,12 +267,13 @@ REQUIRED = {
     "MPL-2.0 header": "mozilla 2.0",
     **{name: words for name, (_, words) in NOTICES.items()},
     **{f"{name} header": words for name, words in GNU_HEADERS.items()},
+    **{name: f"identifier {tag.split()[1].lower()}" for name, tag in TAGS.items()},
 }
 
 
 @dataclass(frozen=True)
 class Match:
-    license: str
+    template: str
     coverage: float
     start: int
     end: int
@@ -232,14 +293,18 @@ def winnowed(hashes: list[int]) -> dict[int, int]:
 class LicenseIndex:
     """Template words by number, and template places by fingerprint."""
 
-    def __init__(self, templates: dict[str, str], required: dict[str, str] | None = None):
+    def __init__(
+        self, templates: dict[str, str], required: dict[str, str] | None = None,
+        least_coverage: float = LEAST_COVERAGE, least_text_coverage: float = LEAST_TEXT_COVERAGE,
+    ):
         self.names = list(templates)
+        self.least = [least_text_coverage if kind_of(n)[1] == "text" else least_coverage for n in self.names]
         self.numbers: dict[str, int] = {}
         self.words = [
-            [self.numbers.setdefault(w, len(self.numbers) + 1) for w in WORD.findall(t.lower())]
+            [self.numbers.setdefault(w, len(self.numbers) + 1) for w in split_words(t.lower())[0]]
             for t in templates.values()
         ]
-        named = [[self.numbers[w] for w in (required or {}).get(name, "").split()] for name in self.names]
+        named = [[self.numbers[w] for w in split_words((required or {}).get(name, ""))[0]] for name in self.names]
         self.required = [sorted(words.index(w) for w in some) for words, some in zip(self.words, named, strict=True)]
         self.base = len(self.numbers) + 1
         self.places: dict[int, list[tuple[int, int]]] = defaultdict(list)
@@ -324,7 +389,7 @@ class LicenseIndex:
                 if len({place for _, place in inside}) < self.least_hits[t] or not inside:
                     continue
                 matched, first, last = self.align(t, words, inside, a, b)
-                if matched and matched >= LEAST_COVERAGE * size:
+                if matched and matched >= self.least[t] * size:
                     yield matched, first, last
                     after, low = max(after, last + 1), max(low, last + 1)
                     todo.append((a, first, i, bisect_left(some, (first - GRAM + 1,), i, j)))
@@ -335,7 +400,8 @@ class LicenseIndex:
         lowered = text.lower()
         if len(lowered) != len(text):  # some letters have longer small forms; keep places as they are
             lowered = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
-        words = np.array([self.numbers.get(w, 0) for w in WORD.findall(lowered)], np.int64)
+        spelled, owners = split_words(lowered)
+        words = np.array([self.numbers.get(w, 0) for w in spelled], np.int64)
         found = [
             (matched, matched / len(self.words[t]), self.names[t], first, last)
             for t, some in self.hits(words).items()
@@ -344,6 +410,7 @@ class LicenseIndex:
         if not found:
             return []
         spans = [m.span() for m in WORD.finditer(lowered)]
+        spans = spans if owners is None else [spans[i] for i in owners]
         # of templates that match the same place the one with most matched words stays
         kept: list[tuple[int, int]] = []
         matches = []
@@ -357,7 +424,7 @@ class LicenseIndex:
                 continue
             insort(kept, (first, last))
             matches.append(Match(name, round(coverage, 4), spans[first][0], spans[last][1]))
-        return sorted(matches, key=lambda m: (m.start, m.end, m.license))
+        return sorted(matches, key=lambda m: (m.start, m.end, m.template))
 
 
 def covers(kept: tuple[int, int], first: int, last: int) -> bool:
@@ -366,25 +433,30 @@ def covers(kept: tuple[int, int], first: int, last: int) -> bool:
 
 
 RESULT = pa.schema(
-    [("doc_id", pa.int64()), ("license", pa.string()), ("coverage", pa.float64()), ("span_start", pa.int64()),
+    [("doc_id", pa.int64()), ("license", pa.string()), ("kind", pa.string()), ("template", pa.string()), ("coverage", pa.float64()), ("span_start", pa.int64()),
      ("span_end", pa.int64())]
 )
 
 
 def find_licenses(
-    documents: DataFrame, templates: dict[str, str] | None = None, id_column="doc_id", text_column="text"
-) -> DataFrame:
-    """One row per match: doc_id, license, coverage of the template, span in the text."""
-    index = LicenseIndex(templates or TEMPLATES, REQUIRED if templates is None else None)
+    documents: DataFrame, templates: dict[str, str] | None = None, id_column="doc_id", text_column="text",
+    least_coverage: float = LEAST_COVERAGE, least_text_coverage: float = LEAST_TEXT_COVERAGE,
+) -> DataFrame:
+    """One row per match: doc_id, license (its identifier), kind, template, coverage of the template, span in the text.
+
+    Matches of less than ``least_coverage`` of a notice, header or tag, or ``least_text_coverage`` of a license text, are left out.
+    """
+    required = REQUIRED if templates is None else None
+    index = LicenseIndex(templates or TEMPLATES, required, least_coverage, least_text_coverage)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
             rows = [
-                (doc_id, m.license, m.coverage, m.start, m.end)
+                (doc_id, *kind_of(m.template), m.template, m.coverage, m.start, m.end)
                 for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
                 for m in index.scan(text)
             ]
-            yield batch_of(RESULT, *(zip(*rows, strict=True) if rows else [[]] * 5))
+            yield batch_of(RESULT, *(zip(*rows, strict=True) if rows else [[]] * 7))
 
-    schema = "doc_id long, license string, coverage double, span_start long, span_end long"
+    schema = "doc_id long, license string, kind string, template string, coverage double, span_start long, span_end long"
     return texts_of(documents, id_column, text_column).mapInArrow(run, schema)

@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tabloom.functions import quoted
@@ -111,14 +112,30 @@ class OneHot:
 
 
 def fit_one_hot(frame: DataFrame, columns: Sequence[str], null_dummy: bool = True) -> OneHot:
-    """Collect each column's values, one column of the result per value, so they are few."""
-    domains = {}
-    for column in columns:
-        values = frame.select(quoted(column)).dropna().distinct().orderBy(quoted(column))
-        found = [r[0] for r in values.limit(MAX_DUMMIES + 1).collect()]
-        if len(found) > MAX_DUMMIES:
-            raise ValueError(f"{column} has more than {MAX_DUMMIES} values: bin or label-encode it")
-        domains[column] = found
+    """Collect each column's values, one column of the result per value, so they are few.
+
+    One job for all columns: distinct values are combined in every task and grouped by column and value, so a column of
+    many values is refused by their count before any of them are sent.
+    """
+    if not columns:
+        return OneHot({}, null_dummy)
+    names = [f"v{i}" for i in range(len(columns))]
+    none = [F.lit(None).cast(frame.schema[c].dataType) for c in columns]
+    cells = [
+        F.struct(F.lit(i).alias("place"), *[(F.col(quoted(c)) if k == i else none[k]).alias(names[k]) for k in range(len(columns))])
+        for i, c in enumerate(columns)
+    ]
+    values = frame.select(F.inline(F.array(*cells))).where(" OR ".join(f"{n} IS NOT NULL" for n in names)).distinct()
+    values = values.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sizes = {r["place"]: r["count"] for r in values.groupBy("place").count().collect()}
+        for i, column in enumerate(columns):
+            if sizes.get(i, 0) > MAX_DUMMIES:
+                raise ValueError(f"{column} has more than {MAX_DUMMIES} values: bin or label-encode it")
+        found = values.orderBy("place", *names).collect()
+    finally:
+        values.unpersist()
+    domains = {c: [r[f"v{i}"] for r in found if r["place"] == i] for i, c in enumerate(columns)}
     return OneHot(domains, null_dummy)
 
 

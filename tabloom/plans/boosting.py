@@ -18,7 +18,7 @@ from tabloom.operators import criteria
 from tabloom.operators.ordered import Layout, histogram
 from tabloom.plans.compact import class_rows, target_rows
 from tabloom.plans.tree_model import Tree
-from tabloom.plans.trees import TreeParams, grow_regression_tree
+from tabloom.plans.trees import TreeParams, grow_regression_tree, snap
 from tabloom.session import shared_dir
 
 ALPHA_CAP = 20.0
@@ -106,15 +106,22 @@ def fit_stump_booster(
     *,
     rounds: int = 20,
     learning_rate: float = 1.0,
+    max_bins: int | None = None,
 ) -> StumpBooster:
     """AdaBoost with decision stumps: one aggregation per round.
 
+    ``max_bins`` makes quantiles of the distinct values the only cuts of every column with more values, which bounds a
+    round's shuffle by features x bins; without it every midpoint is a candidate.
+
     A round's alpha is half the log odds of its weighted error, times ``learning_rate``.
     Stops before a stump no better than chance and after one without error.
     """
-    rows, layout = class_rows(frame, features, label)
+    rows, layout = class_rows(frame, features, label, max_bins=max_bins)
+    kept = rows
     try:
         rows = signed(rows, "label")
+        if max_bins is not None:
+            rows, layout = snap(rows, layout)
         booster = StumpBooster(())
         total = rows.agg(F.sum("n").alias("n")).first()["n"]
         if not total:
@@ -127,15 +134,16 @@ def fit_stump_booster(
             log_odds = 0.5 * math.log((1 - error) / error) if error > 0 else ALPHA_CAP
             alpha = learning_rate * min(log_odds, ALPHA_CAP)
             normaliser = (1 - error) * math.exp(-alpha) + error * math.exp(alpha)
-            stump = Stump(
-                number, features[best["feature"]], best["threshold"], best["polarity"], error, alpha, normaliser
-            )
+            threshold = best["threshold"]
+            if best["feature"] in layout.snapped:  # a boundary closes the slice below it, a stump's threshold opens the one above
+                threshold = math.nextafter(threshold, math.inf)
+            stump = Stump(number, features[best["feature"]], threshold, best["polarity"], error, alpha, normaliser)
             booster = StumpBooster((*booster.stumps, stump))
             if error == 0:
                 break
         return booster
     finally:
-        rows.unpersist()
+        kept.unpersist()
 
 
 def best_stump(rows: DataFrame, features: Sequence[str], booster: StumpBooster, layout: Layout):

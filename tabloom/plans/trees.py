@@ -341,7 +341,6 @@ def grow_category_tree(rows, features, domains, method, delta, above_average_gai
                 *criteria.class_measures(F.col("label"), classes, F.col("n"))
             )
             table = table.persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(table)
             best = best_categories(table, names, method, above_average_gain)
             chosen = {}
             for node_id, (node, _) in open_nodes.items():
@@ -368,9 +367,14 @@ def grow_category_tree(rows, features, domains, method, delta, above_average_gai
                         used[last_id] = [*used[node_id], feature]
                         moves.append((node_id, feature, value, last_id, used[last_id]))
             open_nodes = following
+            table.unpersist()
             if moves:
                 placed = moved(placed, moves).persist(StorageLevel.MEMORY_AND_DISK)
                 held.append(placed)
+                # a level is computed from the one before it, which goes when its successor has been
+                for old in held[:-2]:
+                    old.unpersist()
+                del held[:-2]
     finally:
         for frame in held:
             frame.unpersist()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
@@ -41,7 +42,7 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):  # local-cluster has executors of its own
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         named = context.getCheckpointDir() or tempfile.mkdtemp(prefix="tabloom-")
     if context.getCheckpointDir() is None:

@@ -50,6 +50,20 @@ def test_stumps_equal_the_naive_loop(spark):
     assert [r["w"] for r in kept] == pytest.approx([w for _, w in sorted(zip([r["id"] for r in rows], weights))], abs=1e-9)
 
 
+def test_binned_stumps_say_what_they_do_to_the_rows(spark):
+    frame = spark.range(3000).selectExpr("id", "CAST(id * 7919 % 3000 AS double) a", "CAST(id % 11 AS double) b")
+    frame = frame.selectExpr("*", "IF((a > 1203 AND b > 4) OR a % 10 = 0, 1, 0) y")
+    booster = fit_stump_booster(frame, ["a", "b"], "y", rounds=5, max_bins=16)
+    assert {s.feature for s in booster.stumps} == {"a", "b"}
+    first = booster.stumps[0]
+    wrong = frame.filter(booster.vote(1) != F.col("y")).count() / 3000
+    assert first.error == pytest.approx(wrong)
+    rows = signed(frame, "y").select((booster.weight() / 3000).alias("w"))
+    assert rows.agg(F.sum("w")).first()[0] == pytest.approx(1)
+    exact = fit_stump_booster(frame, ["a", "b"], "y", rounds=5)
+    assert exact.stumps[0].error <= first.error + 1e-9 <= exact.stumps[0].error + 0.03
+
+
 def test_error_curve_is_the_error_of_each_prefix(spark):
     frame = noisy(spark)
     booster = fit_stump_booster(frame, ["a", "b"], "y", rounds=4)

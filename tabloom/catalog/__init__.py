@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tabloom.functions import half_even
 
-MODULES = ("prep", "relations", "criteria", "trees", "boosting", "linear", "metrics", "selection", "newton", "logistic")
+MODULES = ("prep", "relations", "criteria", "trees", "boosting", "linear", "metrics", "selection", "newton", "logistic", "c45")
 
 
 @dataclass(frozen=True)

@@ -99,8 +99,8 @@ def test_only_numbers_only_categories_and_bins(spark):
     frame = spark.createDataFrame(table(), "id long, c string, d string, x double, z double, y int")
     assert {n.op for n in fit_c45_tree(frame, [], ["x"], "y").nodes} == {None, "<=", ">"}
     assert {n.op for n in fit_c45_tree(frame, ["c"], [], "y", delta=0.0).nodes} == {None, "="}
-    wide = frame.selectExpr("*", "x + id / 1000D AS w")
-    tree = fit_c45_tree(wide, ["c"], ["w"], "y", max_bins=10, max_depth=3)
+    wide = frame.selectExpr("*", "x + id / 1000D AS fine")
+    tree = fit_c45_tree(wide, ["c"], ["fine"], "y", max_bins=10, max_depth=3)
     scored = tree.score(wide)
     sizes = {n.node_id: n.n for n in tree.leaves()}
     assert scored.where("prediction IS NOT NULL").count() == sum(sizes.values()) == 500

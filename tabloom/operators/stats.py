@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.functions import quoted
-from tabloom.operators.criteria import melt_numeric
-from tabloom.operators.ordered import add_slices, histogram, lay_out, running_totals
+from tabloom.operators.ranks import sketch, values_at
 
 
 def value_counts(frame: DataFrame, column: str) -> DataFrame:
@@ -53,49 +53,51 @@ def drop_constant(frame: DataFrame, label: str) -> DataFrame:
     return frame.select(*[quoted(c) for c in varying_columns(frame, label)])
 
 
+QUARTILES = (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))
+
+
 def describe(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, min, interpolated quartiles and max per column.
 
-    Quartiles are exact: they are read off the running count of the value histogram,
-    which is cut into slices, so no task has to hold all values of a column.
+    Quartiles are exact: the values at their ranks are found in brackets around a sketch's
+    guess, so a second pass moves a few thousandths of the distinct values and no column is
+    sorted whole.
     """
     frame = frame.select(*[quoted(c) for c in columns])
-    layout = lay_out(frame, columns)
-    melted = melt_numeric(add_slices(frame, layout), columns, [], layout)
+    shares = [share for _, share in QUARTILES]
     sums = []
     for i, name in enumerate(columns):
         x = F.col(quoted(name)).cast("double")
         found = {"count": F.count(x), "mean": F.avg(x), "std": F.stddev_samp(x), "min": F.min(x), "max": F.max(x)}
-        sums.append(F.struct(F.lit(i).alias("feature"), *[v.alias(k) for k, v in found.items()]).alias(f"s{i}"))
-    plain = frame.agg(*sums).select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(columns))])))
-    counted = histogram(melted, [], layout, [F.expr("count(1) AS n")])
-    ranked = running_totals(
-        counted.values, ["feature"], ["x"], ["n"], slice_column=layout.slice_column, by_slice=counted.by_slice
-    )
-    quartiles = ranked.groupBy("feature").agg(
-        *[quantile_parts(share, side).alias(f"{name}_{side}") for name, share in QUARTILES for side in ("low", "high")],
-        F.max("n_all").alias("total"),
-    )
-    names = F.array(*[F.lit(c) for c in columns])
-    blended = []
-    for name, share in QUARTILES:
-        place = F.lit(share) * (F.col("total") - 1)
-        part = place - F.floor(place)
-        low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
-        blended.append((low + (high - low) * part).alias(name))
-    return plain.join(quartiles, "feature").select(
-        F.get(names, F.col("feature")).alias("column"), "count", "mean", "std", "min", *blended, "max"
-    )
-
-
-QUARTILES = (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))
-
+        found["guess"] = sketch(x, shares)
+        sums.append(F.struct(*[v.alias(k) for k, v in found.items()]).alias(f"s{i}"))
+    plain = [frame.agg(*sums).first()[f"s{i}"] for i in range(len(columns))] if columns else []
+    ranks, brackets, ends = {}, {}, {}
+    for i, row in enumerate(plain):
+        if not row["count"]:
+            continue
+        ends[i] = row["min"], row["max"]
+        for at, share in enumerate(shares):
+            place = share * (row["count"] - 1)
+            for rank in {math.floor(place), math.ceil(place)}:
+                ranks.setdefault(i, []).append(rank)
+                brackets[i, rank] = row["guess"][2 * at], row["guess"][2 * at + 1]
+    ranks = {i: sorted(set(some)) for i, some in ranks.items()}
+    values = values_at(frame, columns, ranks, brackets, ends)
+    rows = []
+    for i, (name, row) in enumerate(zip(columns, plain, strict=True)):
+        quartiles = []
+        for share in shares:
+            place = share * (row["count"] - 1)
+            if not row["count"]:
+                quartiles.append(None)
+                continue
+            low, high = values[i, math.floor(place)], values[i, math.ceil(place)]
+            quartiles.append(low + (high - low) * (place - math.floor(place)))
+        rows.append((name, row["count"], row["mean"], row["std"], row["min"], *quartiles, row["max"]))
+    names = ", ".join(f"{n} double" for n in ("mean", "std", "min", *(n for n, _ in QUARTILES), "max"))
+    return frame.sparkSession.createDataFrame(rows, f"column string, count long, {names}")
 
-def quantile_parts(share: float, side: str) -> Column:
-    """The value at the 0-based rank floor or ceil of share x (n - 1)."""
-    place = F.lit(share) * (F.col("n_all") - 1)
-    rank = F.floor(place) if side == "low" else F.ceil(place)
-    return F.min(F.when(F.col("n_upto") > rank, F.col("x")))
 
 
 def bind(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -33,7 +33,8 @@ from tabloom.llm.common import batch_of, slices, texts_of, written
 
 SEQUENCE = 1024
 DIMENSIONS, GRID_BITS, BUCKETS = 4, 8, 256
-PARTITION_BYTES = 16_000_000
+# a partition of the range sort grows with the total from the first size to the second, so that their number stays moderate
+PARTITION_BYTES, LARGEST_PARTITION, USUAL_PARTITIONS = 16_000_000, 256_000_000, 20_000
 MOST_KNOWN = 500_000  # runs a worker remembers before it starts anew; bounds memory, not results
 SPACED = regex.compile(r" \s| $")
 
@@ -219,6 +220,12 @@ class Packer:
         return batch_of(PIECES, *(zip(*rows, strict=True) if rows else [[]] * 7))
 
 
+def range_partitions(total_bytes: int) -> int:
+    """Partitions for so many bytes of ids."""
+    size = min(max(int(total_bytes) // USUAL_PARTITIONS, PARTITION_BYTES), LARGEST_PARTITION)
+    return max(1, -(-int(total_bytes) // size))
+
+
 def pack_documents(
     spark: SparkSession, documents: DataFrame, vocabulary: str | None = None, pattern: str | None = None,
     id_column="doc_id", text_column="text",
@@ -233,7 +240,7 @@ def pack_documents(
     deviations = [x or 0.0 for x in totals[1 + DIMENSIONS :]]
     wide = merge_ranks(path)
     kind = np.dtype("<u2" if max(wide.values()) < 1 << 16 else "<u4")
-    parts = max(1, -(-(totals[0] or 0) * kind.itemsize // PARTITION_BYTES))
+    parts = range_partitions((totals[0] or 0) * kind.itemsize)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(TaskContext.get().partitionId())
@@ -245,5 +252,5 @@ def pack_documents(
         yield packer.taken()
 
     keyed = tokens.select("doc_id", "ids", "row", curve_key(F.col("vector"), means, deviations).alias("key"))
-    ordered = keyed.repartitionByRange(int(parts), "key", "row").sortWithinPartitions("key", "row")
+    ordered = keyed.repartitionByRange(parts, "key", "row").sortWithinPartitions("key", "row")
     return ordered.select("doc_id", "ids").mapInArrow(pack, ", ".join(f"{f.name} long" for f in PIECES))

@@ -5,7 +5,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from tabloom.llm.curve_packing import SEQUENCE, hilbert, merge_ranks, pack_documents, runs_of
+from tabloom.llm.curve_packing import SEQUENCE, hilbert, merge_ranks, pack_documents, range_partitions, runs_of
 
 
 def ids_of(texts):
@@ -75,3 +75,8 @@ def test_many_partitions_and_neighbours(spark, monkeypatch):
     pieces = pack_documents(spark, frame).collect()
     assert check(pieces, list(zip(range(200), ids_of(texts)))) == 0
     assert len({p["sequence_id"] >> 36 for p in pieces}) > 5
+
+
+def test_partitions_grow_with_the_total():
+    assert [range_partitions(n) for n in (0, 1, 16_000_000, 16_000_001, 10**9)] == [1, 1, 1, 2, 63]
+    assert range_partitions(10**12) == 20_000 and range_partitions(5 * 10**13) == 195_313

@@ -32,7 +32,7 @@ SAMPLE_DOCUMENTS, SAMPLE_WORDS, SAMPLE_RUN = 250, 160, 16
 MOST_LANGUAGES = 512
 BITS, GRAMS, SPAN = 17, (2, 3, 4), 32
 ROUNDS, RATE, DECAY = 50, 0.3, 1e-6
-MOST_KNOWN = 1_000_000  # spellings a worker remembers before it starts anew; bounds memory, not results
+MOST_KNOWN = 300_000  # spellings a worker remembers before it starts anew; bounds memory, not results
 OPEN, CLOSE = b"\x01", b"\x02"
 MULTIPLIERS = np.random.default_rng(6).integers(0, 2**64, 8, dtype=np.uint64) | np.uint64(1)
 
@@ -315,7 +315,7 @@ def predict_languages(
     model = spark.sparkContext.broadcast(learn_field(spark, documents, id_column, text_column, lang_column))  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 2, 2_000_000):
+        for batch in slices(batches, 2, 500_000):
             names, scores = model.value.predict(batch.column(2).to_pylist())
             yield batch_of(RESULT, batch.column(0), batch.column(1), names, scores)
 
@@ -336,7 +336,7 @@ def keep_known_languages(
     place = documents.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, place, 2_000_000):
+        for batch in slices(batches, place, 500_000):
             names, _, certain = model.value.judge([t or "" for t in batch.column(place).to_pylist()])
             keep = [n != UNKNOWN and c >= least for n, c in zip(names, certain, strict=True)]
             yield batch.filter(pa.array(keep, pa.bool_()))

@@ -32,7 +32,7 @@ SAMPLE_DOCUMENTS, SAMPLE_WORDS, SAMPLE_RUN = 250, 160, 16
 MOST_LANGUAGES = 512
 BITS, GRAMS, SPAN = 17, (2, 3, 4), 32
 ROUNDS, RATE, DECAY = 50, 0.3, 1e-6
-MOST_KNOWN = 300_000  # spellings a worker remembers before it starts anew; bounds memory, not results
+MOST_KNOWN = 300_000  # spellings a task remembers before it starts anew; bounds memory, not results
 OPEN, CLOSE = b"\x01", b"\x02"
 MULTIPLIERS = np.random.default_rng(6).integers(0, 2**64, 8, dtype=np.uint64) | np.uint64(1)
 
@@ -137,7 +137,7 @@ def forward_backward(
 
 @dataclass
 class Field:
-    """Weights of a fitted field; a worker's memory of spellings is not part of the model."""
+    """Weights of a fitted field; a task's memory of spellings is not part of the model."""
 
     labels: list[str]
     weights: np.ndarray
@@ -152,6 +152,11 @@ class Field:
         self.labels, self.weights, self.transitions = state
         self.known, self.emitted = {}, []
 
+    def forget(self) -> None:
+        """Free what a task remembered; its worker lives on and serves other operators."""
+        self.known, self.emitted = {}, []
+        pa.default_memory_pool().release_unused()
+
     def emissions(self, words: list[str]) -> np.ndarray:
         buckets, starts = features(words)
         return np.add.reduceat(self.weights[buckets], starts, axis=0)
@@ -315,9 +320,12 @@ def predict_languages(
     model = spark.sparkContext.broadcast(learn_field(spark, documents, id_column, text_column, lang_column))  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 2, 500_000):
-            names, scores = model.value.predict(batch.column(2).to_pylist())
-            yield batch_of(RESULT, batch.column(0), batch.column(1), names, scores)
+        try:
+            for batch in slices(batches, 2, 500_000):
+                names, scores = model.value.predict(batch.column(2).to_pylist())
+                yield batch_of(RESULT, batch.column(0), batch.column(1), names, scores)
+        finally:
+            model.value.forget()
 
     rows = documents.select(
         F.col(id_column).cast("long").alias("doc_id"), is_held_out(id_column).alias("held_out"),
@@ -336,9 +344,12 @@ def keep_known_languages(
     place = documents.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, place, 500_000):
-            names, _, certain = model.value.judge([t or "" for t in batch.column(place).to_pylist()])
-            keep = [n != UNKNOWN and c >= least for n, c in zip(names, certain, strict=True)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+        try:
+            for batch in slices(batches, place, 500_000):
+                names, _, certain = model.value.judge([t or "" for t in batch.column(place).to_pylist()])
+                keep = [n != UNKNOWN and c >= least for n, c in zip(names, certain, strict=True)]
+                yield batch.filter(pa.array(keep, pa.bool_()))
+        finally:
+            model.value.forget()
 
     return documents.mapInArrow(run, documents.schema)

@@ -35,7 +35,7 @@ SEQUENCE = 1024
 DIMENSIONS, GRID_BITS, BUCKETS = 4, 8, 256
 # a partition of the range sort grows with the total from the first size to the second, so that their number stays moderate
 PARTITION_BYTES, LARGEST_PARTITION, USUAL_PARTITIONS = 16_000_000, 256_000_000, 20_000
-MOST_KNOWN = 500_000  # runs a worker remembers before it starts anew; bounds memory, not results
+MOST_KNOWN = 300_000  # runs a task remembers before it starts anew; bounds memory, not results
 SPACED = regex.compile(r" \s| $")
 
 
@@ -137,16 +137,20 @@ def tokenised(documents: DataFrame, path: str, pattern: str, id_column: str, tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs, plane = runs_of(path, pattern), projection()
         close = np.zeros(1, runs.kind).tobytes()
-        for batch in slices(batches, 1, 2_000_000):
-            ids = [i + close for i in runs.encode_batch(batch.column(1).to_pylist())]
-            lengths = [len(i) // runs.kind.itemsize for i in ids]
-            counts = np.empty((len(ids), BUCKETS))
-            for row, some in enumerate(ids):
-                buckets = (np.frombuffer(some, runs.kind).astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(24)
-                counts[row] = np.bincount(buckets, minlength=BUCKETS)
-            counts = np.log1p(counts)
-            counts /= np.linalg.norm(counts, axis=1, keepdims=True)
-            yield batch_of(TOKENS, batch.column(0), ids, lengths, list((counts @ plane).astype(np.float32)))
+        try:
+            for batch in slices(batches, 1, 2_000_000):
+                ids = [i + close for i in runs.encode_batch(batch.column(1).to_pylist())]
+                lengths = [len(i) // runs.kind.itemsize for i in ids]
+                counts = np.empty((len(ids), BUCKETS))
+                for row, some in enumerate(ids):
+                    buckets = (np.frombuffer(some, runs.kind).astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(24)
+                    counts[row] = np.bincount(buckets, minlength=BUCKETS)
+                counts = np.log1p(counts)
+                counts /= np.linalg.norm(counts, axis=1, keepdims=True)
+                yield batch_of(TOKENS, batch.column(0), ids, lengths, list((counts @ plane).astype(np.float32)))
+        finally:
+            runs.known.clear()  # the worker lives on and serves other operators
+            pa.default_memory_pool().release_unused()
 
     rows = texts_of(documents, id_column, text_column)
     return rows.mapInArrow(run, "doc_id long, ids binary, n long, vector array<float>")

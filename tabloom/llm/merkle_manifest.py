@@ -8,11 +8,13 @@ times smaller as the tree is wide, and all levels together move about twice the
 
 Proofs go the other way: a node's path is its own siblings and then its parent's path, so one equijoin on the
 parent's place for each level carries paths down from the root, those of the last tree first. No row ever meets all its
-ancestors, and no table has a row for a leaf and a level.
+ancestors, and no table has a row for a leaf and a level. Paths are written every ``LEVELS_A_PLAN`` levels, so no plan
+has more joins than that and the driver's memory does not grow with the levels.
 
 Places come from one range sort of (tree, order, digest): a row's place is its number in its partition plus the rows of its tree in
 partitions before, so no tree is ever in one task. Texts are read once and never moved. Levels of up to ``SMALL`` nodes
-are joined by broadcast, in few tasks; the bound is on counted rows, and the way does not change a digest.
+are joined in one task, without a shuffle or a broadcast that the driver would hold; the bound is on counted rows, and
+the way does not change a digest.
 
 Defined cases: a null field is a dash; a null tree is one of its own and comes first; in a tree null orders come
 first, and rows with one order are in the order of their digests, so repeated rows are leaves beside each other; a
@@ -33,7 +35,8 @@ TREE, ORDER, COUNTER = "lang", "doc_id", "n_chars"
 ARITY = 2
 TAMPER_EVERY = 7
 SMALL = 4_096
-STEP = "struct<before:binary,after:binary>"
+LEVELS_A_PLAN = 3
+STEPS = "array<struct<before:binary,after:binary>>"
 
 
 def hashed(data: Column) -> Column:
@@ -56,8 +59,8 @@ def leaf_of(fields: Sequence[Column]) -> Column:
     return hashed(F.concat(*[field(f) for f in fields]))
 
 
-def placed(spark: SparkSession, rows: DataFrame, order: Sequence[str]) -> tuple[DataFrame, int]:
-    """The rows with ``at``, their place in their tree by ``order``, and ``size``, the rows of the tree; their number."""
+def placed(spark: SparkSession, rows: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The rows with ``at``, their place in their tree by ``order``, and ``size``, the rows of the tree."""
     keys = [F.asc_nulls_first(c) for c in ("tree", *order)]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sorted_rows = rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
@@ -73,23 +76,37 @@ def placed(spark: SparkSession, rows: DataFrame, order: Sequence[str]) -> tuple[
     here = numbered.withColumn("part", F.shiftright("number", 33))
     met = here.join(runs, (here["part"] == runs["part"]) & here["tree"].eqNullSafe(runs["of_tree"]))
     at = F.col("number") - F.col("first") + F.col("offset")
-    return met.select(*rows.columns, at.alias("at"), "size"), numbered.count()
+    return written(spark, met.select(*rows.columns, at.alias("at"), "size"), "placed")
+
+
+def rows_of_levels(leaves: DataFrame, arity: int) -> list[int]:
+    """The numbers of nodes from the leaves up: a tree of ``size`` leaves has size / arity^k nodes, rounded up, in level k."""
+    powers = F.array(*[F.lit(arity**k).cast("long") for k in range(62) if arity**k < 1 << 62])
+    wide = F.filter(powers, lambda power: F.col("size") > power / arity)
+    levels = leaves.where("at = 0").select("size", F.posexplode(wide).alias("level", "power"))
+    found = levels.groupBy("level").agg(F.sum(F.expr("(size + power - 1) div power")).alias("rows"))
+    return [r["rows"] for r in found.orderBy("level").collect()]  # as many as a tree is high
+
+
+def in_one_task(frame: DataFrame) -> DataFrame:
+    """A frame of few rows, to be joined with others of that kind without a shuffle or a broadcast."""
+    return frame.coalesce(1).hint("merge")
 
 
 def with_siblings(level: DataFrame, rows: int, arity: int) -> DataFrame:
-    """The nodes with ``step``: the digests of their run before and after their own, each concatenated."""
+    """The nodes with ``step``: the digests of their run before and after their own, each concatenated; a tree's root has none."""
     others = level.select(
         F.col("tree").alias("of_tree"), F.col("at").alias("of_at"), F.col("digest").alias("of_digest")
     )
-    others = F.broadcast(others) if rows <= SMALL else others
+    few = in_one_task if rows <= SMALL else lambda frame: frame
     slot = F.col("at") % arity
-    found = level
+    found = few(level)
     for shift in range(1, arity):
         if arity == 2:
             place = F.col("at").bitwiseXOR(F.lit(1).cast("long"))
         else:
             place = F.col("at") - slot + (slot + shift) % arity
-        right = others.select("of_tree", "of_at", F.col("of_digest").alias(f"sibling_{shift}"))
+        right = few(others.select("of_tree", "of_at", F.col("of_digest").alias(f"sibling_{shift}")))
         found = found.withColumn("place", place)
         met = found["tree"].eqNullSafe(right["of_tree"]) & (found["place"] == right["of_at"])
         found = found.join(right, met, "left").drop("of_tree", "of_at", "place")
@@ -97,7 +114,8 @@ def with_siblings(level: DataFrame, rows: int, arity: int) -> DataFrame:
     sibling = lambda shift: F.coalesce(F.col(f"sibling_{shift}"), none)
     after = F.concat(none, *[F.when(slot + s < arity, sibling(s)).otherwise(none) for s in range(1, arity)])
     before = F.concat(none, *[F.when(slot + s >= arity, sibling(s)).otherwise(none) for s in range(1, arity)])
-    return found.select(*level.columns, F.struct(before.alias("before"), after.alias("after")).alias("step"))
+    step = F.when(F.col("size") > 1, F.struct(before.alias("before"), after.alias("after")))
+    return found.select(*level.columns, step.alias("step"))
 
 
 def folded(digest: Column, step: Column) -> Column:
@@ -105,55 +123,52 @@ def folded(digest: Column, step: Column) -> Column:
     return hashed(digits(F.concat(step["before"], digest, step["after"])))
 
 
-def levels_of(spark: SparkSession, nodes: DataFrame, rows: int, arity: int) -> list[tuple[DataFrame, int]]:
+def levels_of(spark: SparkSession, leaves: DataFrame, arity: int) -> list[tuple[DataFrame, int]]:
     """The written levels from the leaves (tree, size, at, digest, ...) up, with their numbers of rows.
 
     Nodes of trees that go on have their ``step``, the root of a tree has none.
     """
-    levels = []
-    while True:
-        level = with_siblings(nodes.where("size > 1"), rows, arity)
-        level = level.unionByName(nodes.where("size = 1").withColumn("step", F.lit(None).cast(STEP)))
-        level = written(spark, level.coalesce(1) if rows <= SMALL else level, "level")
+    levels, nodes = [], leaves
+    for rows in rows_of_levels(leaves, arity):
+        level = written(spark, with_siblings(nodes, rows, arity), "level")
         levels.append((level, rows))
         nodes = level.where(F.col("step").isNotNull() & (F.col("at") % arity == 0)).select(
             "tree", F.expr(f"(size + {arity - 1}) div {arity}").alias("size"),
             F.expr(f"at div {arity}").alias("at"), folded(F.col("digest"), F.col("step")).alias("digest"),
         )
-        rows = nodes.count()
-        if not rows:
-            return levels
+    return levels
 
 
-def paths(levels: list[tuple[DataFrame, int]], above: DataFrame | None, arity: int) -> DataFrame:
+def roots_of(levels: list[tuple[DataFrame, int]]) -> DataFrame:
+    """(tree, subroot, height) of every tree, the height being the level of its root."""
+    found = None
+    for height, (level, _) in enumerate(levels):
+        here = level.where(F.col("step").isNull()).select("tree", F.col("digest").alias("subroot"), F.lit(height).alias("height"))
+        found = here if found is None else found.unionByName(here)
+    return found
+
+
+def paths(spark: SparkSession, levels: list[tuple[DataFrame, int]], roots: DataFrame, arity: int) -> DataFrame:
     """The leaves with ``subroot``, the digest of their tree's root, and ``path``, the steps up to the last root.
 
-    ``above`` (tree, path) has the steps that follow the root of each tree.
+    ``roots`` (tree, height, subroot, path) has the steps that follow the root of each tree; a root meets its own row as
+    if that were its parent's. Every few levels the paths are written, so that a plan has few joins.
     """
-    no_steps = F.array().cast(f"array<{STEP}>")
-    known, known_rows = None, 0
-    for level, rows in reversed(levels):
-        roots = level.where(F.col("step").isNull()).withColumn("subroot", F.col("digest"))
-        if above is None:
-            roots = roots.withColumn("path", no_steps)
-        else:
-            more = above.select(F.col("tree").alias("of_tree"), F.col("path").alias("of_path"))
-            roots = roots.join(more, roots["tree"].eqNullSafe(more["of_tree"])).drop("of_tree")
-            roots = roots.withColumnRenamed("of_path", "path")
-        if known is not None:
-            parents = known.select(
-                F.col("tree").alias("of_tree"), F.col("at").alias("of_at"), F.col("path").alias("of_path"), "subroot"
-            )
-            parents = F.broadcast(parents) if known_rows <= SMALL else parents
-            nodes = level.where(F.col("step").isNotNull())
-            nodes = nodes.withColumn("parent", F.expr(f"at div {arity}"))
-            met = nodes["tree"].eqNullSafe(parents["of_tree"]) & (nodes["parent"] == parents["of_at"])
-            nodes = nodes.join(parents, met).withColumn("path", F.concat(F.array("step"), "of_path"))
-            roots = nodes.select(*level.columns, "subroot", "path").unionByName(
-                roots.select(*level.columns, "subroot", "path")
-            )
-        known, known_rows = roots, rows
-    return known
+    known = None
+    for height, (level, rows) in reversed(list(enumerate(levels))):
+        few = in_one_task if rows <= SMALL else lambda frame: frame
+        parents = roots.where(F.col("height") == height).select("tree", F.lit(0).cast("long").alias("at"), "subroot", "path")
+        parents = parents if known is None else parents.unionByName(known)
+        parents = parents.select(F.col("tree").alias("of_tree"), F.col("at").alias("of_at"), F.col("path").alias("of_path"), "subroot")
+        parents, nodes = few(parents), few(level.withColumn("parent", F.expr(f"at div {arity}")))
+        met = nodes["tree"].eqNullSafe(parents["of_tree"]) & (nodes["parent"] == parents["of_at"])
+        path = F.when(F.col("step").isNull(), F.col("of_path")).otherwise(F.concat(F.array("step"), "of_path"))
+        nodes = nodes.join(parents, met).withColumn("path", path)
+        if not height:
+            return nodes.select(*level.columns, "subroot", "path")
+        known = nodes.select("tree", "at", "subroot", "path")
+        if height % LEVELS_A_PLAN == 0:
+            known = written(spark, known, "paths")
 
 
 def manifest(
@@ -177,22 +192,27 @@ def manifest(
         leaf_of([column(f) for f in fields]).alias("digest"),
         F.when(changed, leaf_of([raised if f == counter else column(f) for f in fields])).alias("tampered"),
     )
-    levels = levels_of(spark, *placed(spark, leaves, ["doc_id", "digest"]), arity)
-    subroots = None
-    for level, _ in levels:
-        found = level.where(F.col("step").isNull()).select("tree", "digest")
-        subroots = found if subroots is None else subroots.unionByName(found)
-    top = subroots.select(F.lit(0).alias("tree"), F.col("tree").alias("name"), "digest")
-    top_levels = levels_of(spark, *placed(spark, top, ["name"]), arity)
-    above = paths(top_levels, None, arity).select(F.col("name").alias("tree"), "path")
-    root = top_levels[-1][0].select("digest").head()  # one row
-    root = F.lit(bytes(root["digest"]) if root else None).cast("binary")
-    rows = paths(levels, above, arity)
+    levels = levels_of(spark, placed(spark, leaves, ["doc_id", "digest"]), arity)
+    no_steps = F.array().cast(STEPS)
+    if not levels:
+        return shown_rows(leaves.limit(0).selectExpr("*", "digest AS subroot", "digest AS root").withColumn("path", no_steps))
+    roots = written(spark, roots_of(levels), "roots")
+    top = roots.select(F.lit(0).alias("tree"), F.col("tree").alias("name"), F.col("subroot").alias("digest"))
+    top_levels = levels_of(spark, placed(spark, top, ["name"]), arity)
+    last = written(spark, roots_of(top_levels).withColumn("path", no_steps), "last-root")
+    above = paths(spark, top_levels, last, arity).select(F.col("name").alias("of_tree"), "path")
+    root = bytes(last.select("subroot").head()[0])  # one row
+    above = roots.join(above, roots["tree"].eqNullSafe(above["of_tree"])).drop("of_tree")
+    return shown_rows(paths(spark, levels, written(spark, above, "paths"), arity).withColumn("root", F.lit(root)))
+
+
+def shown_rows(rows: DataFrame) -> DataFrame:
+    """Digests as text, and what a verifier gets, of the leaves with their ``subroot``, ``root`` and ``path``."""
     hashes = F.transform("path", lambda s: digits(F.concat(s["before"], s["after"])))
     shown = F.coalesce("tampered", "digest")
     result = rows.select(
         "doc_id", digits(F.col("digest")).alias("leaf"), digits(F.col("subroot")).alias("subroot"),
-        digits(root).alias("root"), "path", F.sha2(F.array_join(hashes, ""), 256).alias("proof_sha256"),
+        digits(F.col("root")).alias("root"), "path", F.sha2(F.array_join(hashes, ""), 256).alias("proof_sha256"),
         digits(F.aggregate("path", shown, folded)).alias("folded_root"),
     )
     return result.withColumn("verified", F.col("folded_root") == F.col("root"))

@@ -112,3 +112,20 @@ def test_paths_verify_rows(spark):
 def test_a_run_has_two_nodes_at_least(spark):
     with pytest.raises(ValueError):
         manifest(spark, spark.createDataFrame([], COLUMNS), arity=1)
+
+
+def test_no_plan_holds_all_levels(spark, monkeypatch):
+    """Levels are not broadcast, and the joins of a plan do not grow with the levels; Spark may broadcast one small table."""
+    plans = []
+    plain = merkle_manifest.written
+
+    def seen(spark, frame, label):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return plain(spark, frame, label)
+
+    monkeypatch.setattr(merkle_manifest, "written", seen)
+    last = manifest(spark, spark.createDataFrame(table(300, ["de", "en", None]), COLUMNS))
+    plans.append(last._jdf.queryExecution().executedPlan().toString())
+    assert sum("Join" in p for p in plans) > 8
+    assert max(p.count("SortMergeJoin") for p in plans) <= merkle_manifest.LEVELS_A_PLAN
+    assert max(p.count("BroadcastExchange") for p in plans) <= 1

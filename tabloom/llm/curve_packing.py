@@ -24,7 +24,6 @@ from zlib import crc32
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -35,8 +34,6 @@ SEQUENCE = 1024
 DIMENSIONS, GRID_BITS, BUCKETS = 4, 8, 256
 # a partition of the range sort grows with the total from the first size to the second, so that their number stays moderate
 PARTITION_BYTES, LARGEST_PARTITION, USUAL_PARTITIONS = 16_000_000, 256_000_000, 20_000
-MOST_KNOWN = 300_000  # runs a task remembers before it starts anew; bounds memory, not results
-SPACED = regex.compile(r" \s| $")
 
 
 @lru_cache(2)
@@ -55,41 +52,16 @@ def merge_ranks(path: str) -> dict[bytes, int]:
 
 
 class Runs:
-    """Ids of texts, with the ids of runs between single blanks remembered."""
+    """Ids of whole texts as bytes. Nothing is remembered from text to text: the merges of a short run of text cost less
+    than to look it up among some hundred thousand others, and a worker's memory stays that of the vocabulary."""
 
     def __init__(self, path: str, pattern: str):
         ranks = merge_ranks(path)
         self.encoding = tiktoken.Encoding("runs", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.kind = np.dtype("<u2" if max(ranks.values()) < 1 << 16 else "<u4")
-        self.lengths = np.zeros(max(ranks.values()) + 1, np.int64)
-        for token, i in ranks.items():
-            self.lengths[i] = len(token)
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.encoding.encode_ordinary(text), self.kind).tobytes()
-
-    def _learn(self, runs: list[str]) -> None:
-        """A blank before a visible character begins a match, so the runs are encoded as one text and cut after."""
-        if not runs:
-            return
-        ids = np.array(self.encoding.encode_ordinary("".join([" " + r for r in runs])), self.kind)
-        run_ends = np.cumsum([len(r.encode()) + 1 for r in runs])
-        ends = np.searchsorted(np.cumsum(self.lengths[ids]), run_ends, "left") + 1
-        data, size, at = ids.tobytes(), self.kind.itemsize, 0
-        for run, end in zip(runs, (ends * size).tolist(), strict=True):
-            self.known[run] = data[at:end]
-            at = end
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        split = [[] if SPACED.search(t) else t.split(" ") for t in texts]
-        if len(self.known) > MOST_KNOWN:
-            self.known.clear()
-        self._learn(list(set().union(*[runs[1:] for runs in split]).difference(self.known)))
-        return [
-            self._ids(runs[0]) + b"".join(map(self.known.__getitem__, runs[1:])) if runs else self._ids(text)
-            for text, runs in zip(texts, split, strict=True)
-        ]
+        return [np.array(self.encoding.encode_ordinary(t), self.kind).tobytes() for t in texts]
 
 
 @lru_cache(2)
@@ -137,20 +109,16 @@ def tokenised(documents: DataFrame, path: str, pattern: str, id_column: str, tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs, plane = runs_of(path, pattern), projection()
         close = np.zeros(1, runs.kind).tobytes()
-        try:
-            for batch in slices(batches, 1, 2_000_000):
-                ids = [i + close for i in runs.encode_batch(batch.column(1).to_pylist())]
-                lengths = [len(i) // runs.kind.itemsize for i in ids]
-                counts = np.empty((len(ids), BUCKETS))
-                for row, some in enumerate(ids):
-                    buckets = (np.frombuffer(some, runs.kind).astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(24)
-                    counts[row] = np.bincount(buckets, minlength=BUCKETS)
-                counts = np.log1p(counts)
-                counts /= np.linalg.norm(counts, axis=1, keepdims=True)
-                yield batch_of(TOKENS, batch.column(0), ids, lengths, list((counts @ plane).astype(np.float32)))
-        finally:
-            runs.known.clear()  # the worker lives on and serves other operators
-            pa.default_memory_pool().release_unused()
+        for batch in slices(batches, 1, 2_000_000):
+            ids = [i + close for i in runs.encode_batch(batch.column(1).to_pylist())]
+            lengths = [len(i) // runs.kind.itemsize for i in ids]
+            counts = np.empty((len(ids), BUCKETS))
+            for row, some in enumerate(ids):
+                buckets = (np.frombuffer(some, runs.kind).astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(24)
+                counts[row] = np.bincount(buckets, minlength=BUCKETS)
+            counts = np.log1p(counts)
+            counts /= np.linalg.norm(counts, axis=1, keepdims=True)
+            yield batch_of(TOKENS, batch.column(0), ids, lengths, list((counts @ plane).astype(np.float32)))
 
     rows = texts_of(documents, id_column, text_column)
     return rows.mapInArrow(run, "doc_id long, ids binary, n long, vector array<float>")

@@ -1,3 +1,4 @@
+import tracemalloc
 from collections import defaultdict
 from zlib import crc32
 
@@ -50,6 +51,18 @@ def test_runs_equal_the_library():
     assert len(merge_ranks(public_tokenizers.path("byte_bpe_50k.json"))) == 50256
 
 
+def test_nothing_is_remembered_of_texts():
+    runs = runs_of(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    runs.encode_batch(["one two"])
+    tracemalloc.start()
+    try:
+        for start in range(0, 40_000, 4_000):
+            runs.encode_batch([" ".join(f"word{i}" for i in range(start, start + 4_000))])
+        assert tracemalloc.get_traced_memory()[0] < 1_000_000
+    finally:
+        tracemalloc.stop()
+
+
 def test_hilbert_visits_every_cell_by_unit_steps():
     for dimensions, bits in ((2, 4), (3, 3), (4, 2)):
         grid = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dimensions), -1).reshape(-1, dimensions)

@@ -30,18 +30,23 @@ def written(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
-    """The batches cut into runs of rows whose texts have about ``most`` bytes; one row at least."""
-    for batch in batches:
-        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
-        first = held = 0
-        for row, size in enumerate(sizes):
-            if held and held + size > most:
-                yield batch.slice(first, row - first)
-                first, held = row, 0
-            held += size
-        if first < batch.num_rows:
-            yield batch.slice(first)
+def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of rows whose texts have about ``most`` bytes; one row at least.
+
+    At the end Arrow gives back what it keeps for later: the worker lives on beside those of other stages."""
+    try:
+        for batch in batches:
+            sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
+            first = held = 0
+            for row, size in enumerate(sizes):
+                if held and held + size > most:
+                    yield batch.slice(first, row - first)
+                    first, held = row, 0
+                held += size
+            if first < batch.num_rows:
+                yield batch.slice(first)
+    finally:
+        pa.default_memory_pool().release_unused()
 
 
 def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:

@@ -33,6 +33,7 @@ MOST_LANGUAGES = 512
 BITS, GRAMS, SPAN = 17, (2, 3, 4), 32
 ROUNDS, RATE, DECAY = 50, 0.3, 1e-6
 MOST_KNOWN = 300_000  # spellings a task remembers before it starts anew; bounds memory, not results
+WORDS_AT_ONCE = 2_000
 OPEN, CLOSE = b"\x01", b"\x02"
 MULTIPLIERS = np.random.default_rng(6).integers(0, 2**64, 8, dtype=np.uint64) | np.uint64(1)
 
@@ -155,11 +156,14 @@ class Field:
     def forget(self) -> None:
         """Free what a task remembered; its worker lives on and serves other operators."""
         self.known, self.emitted = {}, []
-        pa.default_memory_pool().release_unused()
 
     def emissions(self, words: list[str]) -> np.ndarray:
-        buckets, starts = features(words)
-        return np.add.reduceat(self.weights[buckets], starts, axis=0)
+        """A word's row depends on that word alone, so words are worked on by some thousand, which bounds memory."""
+        found = []
+        for first in range(0, len(words), WORDS_AT_ONCE):
+            buckets, starts = features(words[first : first + WORDS_AT_ONCE])
+            found.append(np.add.reduceat(self.weights[buckets], starts, axis=0))
+        return np.concatenate(found)
 
     def _learn(self, spellings: list[str]) -> None:
         words = [letters(s) for s in spellings]

@@ -3,8 +3,11 @@ from itertools import product
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from tabloom.llm import crf_language
+from tabloom.llm.common import slices
 from tabloom.llm.crf_language import (
     UNKNOWN, features, fit_field, forward_backward, keep_known_languages, letters, predict_languages,
 )
@@ -99,3 +102,23 @@ def test_held_out_accuracy(spark):
     rows = [r for r in predict_languages(spark, documents).collect() if r["held_out"]]
     assert len(rows) > 200
     assert np.mean([r["lang_pred"] == truth[r["doc_id"]] for r in rows]) > 0.98
+
+
+def test_new_words_are_worked_on_in_bounded_groups(monkeypatch):
+    """The rows of words do not depend on the words beside them, and no group is larger than the bound."""
+    words = [f"w{'aeiou'[i % 5] * (i % 7 + 1)}{chr(97 + i % 26)}" for i in range(100)]
+    weights = np.random.default_rng(1).standard_normal((1 << crf_language.BITS, 3))
+    model = crf_language.Field(["a", "b", "c"], weights, np.zeros((3, 3)))
+    whole, sizes, plain = model.emissions(words), [], crf_language.features
+    monkeypatch.setattr(crf_language, "WORDS_AT_ONCE", 7)
+    monkeypatch.setattr(crf_language, "features", lambda some: sizes.append(len(some)) or plain(some))
+    assert (model.emissions(words) == whole).all()
+    assert max(sizes) <= 7 and sum(sizes) == len(words)
+
+
+def test_slices_are_small_and_lose_no_row():
+    texts = ["x" * 300_000] * 20 + [None, "", "y" * 3_000_000]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    found = list(slices(iter([batch]), 0))
+    assert [t for b in found for t in b.column(0).to_pylist()] == texts
+    assert max(sum(len(t or "") for t in b.column(0).to_pylist()) for b in found if b.num_rows > 1) <= 1_000_000
